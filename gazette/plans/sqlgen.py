@@ -94,3 +94,18 @@ p AS (
 ps AS (
   SELECT *, CASE WHEN excluded THEN 'excluded' WHEN len(hits) = 0 THEN 'no_category' ELSE 'kept' END AS stage
   FROM p)"""
+
+
+def sanitise(expr: str, n: int) -> str:
+    """The scorer-input sanitiser in DuckDB SQL."""
+    x = f"nfc_normalize(coalesce({expr}, ''))"
+    x = f"regexp_replace({x}, '{K.CONTROL_CHARS_CLASS}', ' ', 'g')"
+    x = f"regexp_replace({x}, '  +', ' ', 'g')"
+    x = ustrip(x)
+    pat = "(?i)(" + "|".join(K.INJECTION_PHRASES) + ")"
+    return f"substring(CASE WHEN regexp_matches({x}, {lit(pat)}) THEN {lit(K.INJECTION_PLACEHOLDER)} ELSE {x} END, 1, {n})"
+
+
+def html_escape(expr: str) -> str:
+    return (f"replace(replace(replace(replace(replace({expr}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), "
+            f"'\"', '&#34;'), '''', '&#39;')")
