@@ -109,3 +109,19 @@ def sanitise(expr: str, n: int) -> str:
 def html_escape(expr: str) -> str:
     return (f"replace(replace(replace(replace(replace({expr}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), "
             f"'\"', '&#34;'), '''', '&#39;')")
+
+
+NATIVE_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'),
+                   ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
+                   ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
+
+
+def node_text_stripped(expr: str) -> str:
+    x = f"regexp_replace({expr}, '<[^>]*>', chr(1), 'g')"
+    for ent, ch in NATIVE_ENTITIES:
+        x = f"replace({x}, {lit(ent)}, {lit(ch)})"
+    x = f"regexp_replace({x}, '{SQL_SPACE}*\\x01{SQL_SPACE}*', '', 'g')"
+    return ustrip(x)
+
+
+ORIGIN_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)"
