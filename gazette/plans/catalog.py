@@ -1,6 +1,6 @@
 """All registered queries (importing the modules fills the registry)."""
 
-from . import q_feeds, q_html, q_keywords, q_report, q_scoring, q_store  # noqa: F401
+from . import q_feeds, q_html, q_intake, q_keywords, q_report, q_scoring, q_store  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 
