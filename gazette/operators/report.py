@@ -37,8 +37,14 @@ def active_filter(as_of: _dt.date, min_score: float = K.ACTIVE_MIN_SCORE,
             & ~F.coalesce(F.col("tender_type") == excluded_type, F.lit(False)))
 
 
-ACTIVE_ORDER = [F.col("deadline").asc_nulls_last(), F.col("score").desc_nulls_last(), F.col("id").desc()]
-ARCHIVE_ORDER = [F.col("posted_date").desc_nulls_last(), F.col("id").desc()]
+def active_order():
+    """Deadline soonest first (none last), then score high to low, then newest id."""
+    return [F.col("deadline").asc_nulls_last(), F.col("score").desc_nulls_last(), F.col("id").desc()]
+
+
+def archive_order():
+    """Posted newest first (none last), then newest id."""
+    return [F.col("posted_date").desc_nulls_last(), F.col("id").desc()]
 
 
 def active_board(store: DataFrame, as_of: _dt.date, categories: list, labels: dict) -> DataFrame:
@@ -48,7 +54,7 @@ def active_board(store: DataFrame, as_of: _dt.date, categories: list, labels: di
     act = act.select("*", D.deadline_badge("deadline", as_of).alias("badge"),
                      D.score_band("score").alias("band"),
                      category_tags(flags, [labels[c] for c in categories]).alias("tags"))
-    return global_rank(act, ACTIVE_ORDER, out="board_rank")
+    return global_rank(act, active_order(), out="board_rank")
 
 
 def tab_rows(board: DataFrame, categories: list) -> DataFrame:
@@ -81,7 +87,7 @@ def archive(store: DataFrame, run_ts: _dt.datetime) -> DataFrame:
                        D.score_band("score").alias("band"),
                        html_escape("title").alias("title_html"),
                        D.run_stamp(F.lit(run_ts).cast("timestamp")).alias("generated_at"))
-    return global_rank(rows, ARCHIVE_ORDER, out="archive_rank")
+    return global_rank(rows, archive_order(), out="archive_rank")
 
 
 def month_counts(store: DataFrame) -> DataFrame:
