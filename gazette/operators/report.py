@@ -95,3 +95,15 @@ def month_counts(store: DataFrame) -> DataFrame:
     total = store.select(F.count(F.lit(1))).scalar()
     return g.select("month_label", "month_rank", F.col("month_count").cast("long").alias("month_count"),
                     total.alias("total_count"))
+
+
+def publish(board: DataFrame, archive_rows: DataFrame, out_dir: str, mode: str = "overwrite") -> dict:
+    """Report sinks (A11): the board as Parquet and JSON lines, the archive as
+    Parquet partitioned by month label (one folder per month group)."""
+    import os
+    paths = {"board": os.path.join(out_dir, "board"), "board_json": os.path.join(out_dir, "board_json"),
+             "archive": os.path.join(out_dir, "archive")}
+    board.write.mode(mode).parquet(paths["board"])
+    board.select(*[c for c in board.columns if c != "categories"]).write.mode(mode).json(paths["board_json"])
+    archive_rows.write.mode(mode).partitionBy("month_label").parquet(paths["archive"])
+    return paths

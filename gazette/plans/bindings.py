@@ -52,6 +52,9 @@ TEST_DICTIONARY = {
     },
 }
 
+# Sources of N are the documents' source names.
+DOC_SOURCE_PATTERN = r"^src[0-9]+$"
+
 # category -> display label (tabs, tags)
 CATEGORY_LABELS = {"grid": "Grid", "reactor": "Reactor", "radiation": "Radiation"}
 

@@ -17,13 +17,15 @@ from ..operators.ordering import keep_first
 def validate_records(df: DataFrame, sources=K.SOURCES, types=K.TENDER_TYPES) -> DataFrame:
     """Record validation (B1, H20): title Unicode-stripped; ``errors`` lists
     the failed rules (source, url, title, tender_type); ``valid`` is true
-    when there is none. A missing type defaults to 'unknown'."""
+    when there is none. A missing type defaults to 'unknown'. ``sources`` is
+    a collection of names or a regular expression (str) names must match."""
     title = unicode_strip(F.col("title"))
     ttype = F.coalesce(F.col("tender_type"), F.lit(K.UNKNOWN))
     url_ok = F.coalesce(F.col("url").startswith(K.URL_PREFIXES[0]) | F.col("url").startswith(K.URL_PREFIXES[1]),
                         F.lit(False))
     errors = F.array_compact(F.array(
-        F.when(~F.coalesce(F.col("source").isin(list(sources)), F.lit(False)), F.lit("source")),
+        F.when(~F.coalesce(F.col("source").rlike(sources) if isinstance(sources, str)
+                           else F.col("source").isin(list(sources)), F.lit(False)), F.lit("source")),
         F.when(~url_ok, F.lit("url")),
         F.when(F.coalesce(F.length(title), F.lit(0)) == 0, F.lit("title")),
         F.when(~ttype.isin(list(types)), F.lit("tender_type")),
@@ -32,8 +34,8 @@ def validate_records(df: DataFrame, sources=K.SOURCES, types=K.TENDER_TYPES) ->
               .withColumn("errors", errors).withColumn("valid", F.size("errors") == 0))
 
 
-def split_valid(df: DataFrame) -> tuple:
-    v = validate_records(df)
+def split_valid(df: DataFrame, sources=K.SOURCES) -> tuple:
+    v = validate_records(df, sources)
     return v.filter("valid").drop("errors", "valid"), v.filter(~F.col("valid"))
 
 
