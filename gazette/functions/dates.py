@@ -61,13 +61,11 @@ def lenient_date(value: Column | str) -> Column:
     Accepted: 'y-m-d[ T…]', 'y/m/d[ …]', 'yyyymmdd'. Anything else is NULL.
     """
     s = F.trim(_c(value).cast("string"))
-    iso = F.regexp_extract(s, r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ].*)?$", 1)
-    sl = F.regexp_extract(s, r"^(\d{4}/\d{1,2}/\d{1,2})(?: .*)?$", 1)
-    compact = F.regexp_extract(s, r"^(\d{8})$", 1)
+    # each pattern reads the value once; a non-matching pattern yields '' -> NULL
     return F.coalesce(
-        F.when(iso != "", F.try_to_date(iso, "yyyy-M-d")),
-        F.when(sl != "", F.try_to_date(sl, "yyyy/M/d")),
-        F.when(compact != "", F.try_to_date(compact, "yyyyMMdd")),
+        F.try_to_date(F.regexp_extract(s, r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ].*)?$", 1), "yyyy-M-d"),
+        F.try_to_date(F.regexp_extract(s, r"^(\d{4}/\d{1,2}/\d{1,2})(?: .*)?$", 1), "yyyy/M/d"),
+        F.try_to_date(F.regexp_extract(s, r"^(\d{8})$", 1), "yyyyMMdd"),
     )
 
 

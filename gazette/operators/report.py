@@ -91,10 +91,10 @@ def archive(store: DataFrame, run_ts: _dt.datetime) -> DataFrame:
 
 
 def month_counts(store: DataFrame) -> DataFrame:
-    g = month_groups(store)
-    total = store.select(F.count(F.lit(1))).scalar()
+    g = month_groups(store)          # bounded: one row per calendar month present
+    total = F.sum("month_count").over(Window.partitionBy(F.lit(1)))
     return g.select("month_label", "month_rank", F.col("month_count").cast("long").alias("month_count"),
-                    total.alias("total_count"))
+                    total.cast("long").alias("total_count"))
 
 
 def publish(board: DataFrame, archive_rows: DataFrame, out_dir: str, mode: str = "overwrite") -> dict:

@@ -96,11 +96,13 @@ def _is_number_type(t: Column) -> Column:
     return t.isin("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE") | t.startswith("DECIMAL")
 
 
-def validated_score(x: Column) -> Column:
-    """Integral score 0..10 from a field variant (number, numeric text or bool)."""
-    t = _vtype(x)
-    d = F.call_function("try_variant_get", x, F.lit("$"), F.lit("double"))
-    s = F.call_function("try_variant_get", x, F.lit("$"), F.lit("string"))
+def _parts(prefix):
+    return F.col(prefix + "_t"), F.col(prefix + "_s"), F.col(prefix + "_n")
+
+
+def validated_score(prefix: str) -> Column:
+    """Integral score 0..10 from a field (number, numeric text or bool)."""
+    t, s, d = _parts(prefix)
     num = F.when(_is_number_type(t) & (d == F.floor(d)), d)
     txt = F.when((t == "STRING") & s.rlike(r"^[+-]?[0-9]+(\.0*)?$"), s.try_cast("double"))
     boo = F.when(t == "BOOLEAN", F.when(s == "true", F.lit(1.0)).otherwise(F.lit(0.0)))
@@ -108,15 +110,13 @@ def validated_score(x: Column) -> Column:
     return F.when(val.between(K.SCORE_MIN, K.SCORE_MAX), val.cast("int"))
 
 
-def validated_reason(x: Column) -> Column:
-    s = F.call_function("try_variant_get", x, F.lit("$"), F.lit("string"))
-    return F.when((_vtype(x) == "STRING") & (F.length(s) <= K.SCORER_REASON_MAX_CHARS), s)
+def validated_reason(prefix: str) -> Column:
+    t, s, _ = _parts(prefix)
+    return F.when((t == "STRING") & (F.length(s) <= K.SCORER_REASON_MAX_CHARS), s)
 
 
-def validated_bool(x: Column) -> Column:
-    t = _vtype(x)
-    s = F.call_function("try_variant_get", x, F.lit("$"), F.lit("string"))
-    d = F.call_function("try_variant_get", x, F.lit("$"), F.lit("double"))
+def validated_bool(prefix: str) -> Column:
+    t, s, d = _parts(prefix)
     low = F.lower(s)
     return (F.when(t == "BOOLEAN", s == "true")
             .when(_is_number_type(t) & d.isin(0.0, 1.0), d == 1.0)
@@ -124,9 +124,9 @@ def validated_bool(x: Column) -> Column:
             .when((t == "STRING") & low.isin(*FALSE_WORDS), F.lit(False)))
 
 
-def validated_type(x: Column) -> Column:
-    s = F.call_function("try_variant_get", x, F.lit("$"), F.lit("string"))
-    return F.when((_vtype(x) == "STRING") & s.isin(*K.TENDER_TYPES), s).otherwise(F.lit(K.UNKNOWN))
+def validated_type(prefix: str) -> Column:
+    t, s, _ = _parts(prefix)
+    return F.when((t == "STRING") & s.isin(*K.TENDER_TYPES), s).otherwise(F.lit(K.UNKNOWN))
 
 
 def validate_answers(df: DataFrame, raw: str = "raw", error: str | None = "scorer_error") -> DataFrame:
@@ -139,8 +139,11 @@ def validate_answers(df: DataFrame, raw: str = "raw", error: str | None = "score
     d = d.withColumn("_obj", F.coalesce(_vtype(F.col("_v")).startswith("OBJECT"), F.lit(False)))
     for name, col in (("_fs", SCORE_FIELD), ("_fr", "reason"), ("_fb", "is_research"), ("_ft", "tender_type")):
         d = d.withColumn(name, _field(F.col("_v"), col))
-    d = d.withColumn("_sc", validated_score(F.col("_fs"))).withColumn("_rs", validated_reason(F.col("_fr"))) \
-         .withColumn("_rb", validated_bool(F.col("_fb"))).withColumn("_ty", validated_type(F.col("_ft")))
+        d = (d.withColumn(name + "_t", _vtype(F.col(name)))
+              .withColumn(name + "_s", F.call_function("try_variant_get", F.col(name), F.lit("$"), F.lit("string")))
+              .withColumn(name + "_n", F.call_function("try_variant_get", F.col(name), F.lit("$"), F.lit("double"))))
+    d = d.withColumn("_sc", validated_score("_fs")).withColumn("_rs", validated_reason("_fr")) \
+         .withColumn("_rb", validated_bool("_fb")).withColumn("_ty", validated_type("_ft"))
     errs = F.concat_ws(",", F.when(F.col("_sc").isNull(), F.lit("score")),
                        F.when(F.col("_rs").isNull(), F.lit("reason")),
                        F.when(F.col("_rb").isNull(), F.lit("is_research")))
@@ -162,11 +165,14 @@ def merge_scores(store: DataFrame, answers: DataFrame, key: str = "id", type_onl
     """Merge valid answers into the store by id. Score, reason and research
     flag are overwritten; the type only by a confirmed value. Answers for ids
     no longer stored are ignored; rows without an answer are unchanged."""
-    a = answers.filter(F.col("ok")).select(
-        F.col(key).alias("_aid"), F.col("answer_score").alias("_as"), F.col("answer_reason").alias("_ar"),
-        F.col("answer_is_research").alias("_ab"), F.col("answer_type").alias("_at"))
+    # Failed answers ride along and are ignored after the join: a filter on
+    # ``ok`` would be pushed down and inline the whole validation into it.
+    a = answers.select(
+        F.col(key).alias("_aid"), F.col("ok").alias("_ok"), F.col("answer_score").alias("_as"),
+        F.col("answer_reason").alias("_ar"), F.col("answer_is_research").alias("_ab"),
+        F.col("answer_type").alias("_at"))
     j = store.join(a, store[key] == a["_aid"], "left")
-    hit = F.col("_aid").isNotNull()
+    hit = F.col("_aid").isNotNull() & F.coalesce(F.col("_ok"), F.lit(False))
     cols = []
     for c in store.columns:
         if c == "tender_type":

@@ -14,32 +14,42 @@ from .. import constants as K
 def run_stats(prepared: DataFrame, answers: DataFrame | None, fetched_total: DataFrame | None = None,
               cap: int | None = None, source_failures: int = 0, skip_ai: bool = False) -> DataFrame:
     """One row: fetched, truncated_to, excluded, no_category, upserted, the
-    three label counts, ai_classified, ai_skipped, failed, exit_status."""
-    s = F.col("stage")
-    kept = s == "kept"
-    c = prepared.agg(
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(s == "excluded").alias("excluded"),
-        F.count_if(s == "no_category").alias("no_category"),
+    three label counts, ai_classified, ai_skipped, failed, exit_status.
+
+    The prepared records, the scorer answers and the fetched records are
+    tagged and unioned, then counted in a single aggregate (one job, partial
+    aggregation, no joins)."""
+    parts = [prepared.select(F.lit("p").alias("_k"), "stage", "pre_label", F.lit(None).cast("boolean").alias("ok"))]
+    if answers is not None and not skip_ai:
+        parts.append(answers.select(F.lit("a").alias("_k"), F.lit(None).cast("string").alias("stage"),
+                                    F.lit(None).cast("string").alias("pre_label"), "ok"))
+    if fetched_total is not None:
+        parts.append(fetched_total.select(F.lit("f").alias("_k"), F.lit(None).cast("string").alias("stage"),
+                                          F.lit(None).cast("string").alias("pre_label"),
+                                          F.lit(None).cast("boolean").alias("ok")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    k, s = F.col("_k"), F.col("stage")
+    kept = (k == "p") & (s == "kept")
+    c = u.agg(
+        F.count_if(k == ("f" if fetched_total is not None else "p")).alias("fetched"),
+        F.count_if((k == "p") & (s == "excluded")).alias("excluded"),
+        F.count_if((k == "p") & (s == "no_category")).alias("no_category"),
         F.count_if(kept).alias("upserted"),
         F.count_if(kept & (F.col("pre_label") == "subsidy")).alias("subsidy_pre_labeled"),
         F.count_if(kept & (F.col("pre_label") == "commissioned")).alias("commissioned_pre_labeled"),
         F.count_if(kept & (F.col("pre_label") == K.UNKNOWN)).alias("unknown_pre_labeled"),
+        F.count_if((k == "a") & F.col("ok")).alias("ai_classified"),
+        F.count_if((k == "a") & ~F.col("ok")).alias("_bad"),
     )
-    fetched = (fetched_total if fetched_total is not None else prepared).select(F.count(F.lit(1))).scalar()
-    if answers is None or skip_ai:
-        ok, bad = F.lit(0).cast("long"), F.lit(0).cast("long")
-    else:
-        ok = answers.select(F.count_if(F.col("ok"))).scalar()
-        bad = answers.select(F.count_if(~F.col("ok"))).scalar()
-    failed = bad + F.lit(source_failures)
-    trunc = F.when(fetched > F.lit(cap), F.lit(cap)) if cap is not None else F.lit(None)
+    failed = F.col("_bad") + F.lit(source_failures)
+    trunc = F.when(F.col("fetched") > F.lit(cap), F.lit(cap)) if cap is not None else F.lit(None)
     return c.select(
-        fetched.cast("long").alias("fetched"), trunc.cast("long").alias("truncated_to"),
+        F.col("fetched").cast("long").alias("fetched"), trunc.cast("long").alias("truncated_to"),
         *[F.col(x).cast("long").alias(x) for x in ("excluded", "no_category", "upserted",
                                                     "subsidy_pre_labeled", "commissioned_pre_labeled",
-                                                    "unknown_pre_labeled")],
-        ok.cast("long").alias("ai_classified"),
+                                                    "unknown_pre_labeled", "ai_classified")],
         (F.col("upserted") if skip_ai else F.lit(0)).cast("long").alias("ai_skipped"),
         failed.cast("long").alias("failed"),
         F.when(failed > 0, F.lit(1)).otherwise(F.lit(0)).alias("exit_status"),

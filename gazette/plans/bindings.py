@@ -72,11 +72,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cores when it has fewer splits than cores.
+    """Spread rows over the cores when the input has fewer splits than cores.
 
-    Text work is CPU bound; a file written as one row group scans as one
-    task. At cluster scale the scan already has many splits and this is a
-    no-op (no extra shuffle)."""
+    Text and parsing work is CPU bound; a file written as one row group scans
+    as one task. Applied after a cheap projection (e.g. rendering a document
+    string), it also ends that codegen stage before the parse. At cluster
+    scale the scan already has many splits and this is a no-op."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)

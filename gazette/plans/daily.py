@@ -52,7 +52,10 @@ def daily_run(intake: DataFrame, tax: TXN.Taxonomy, store: DataFrame, run_ts: _d
     answers = None
     if scorer_factory is not None:
         touched = new_store.filter(F.col("last_checked") == F.lit(run_ts).cast("timestamp"))
-        answers = SC.validate_answers(SC.score_rows(touched, scorer_factory, key="id"))
+        raw = SC.score_rows(touched, scorer_factory, key="id")
+        if checkpoint:
+            raw = raw.checkpoint(eager=True)      # the scorer is called exactly once per row
+        answers = SC.validate_answers(raw)
         new_store = SC.merge_scores(new_store, answers)
     stats = STT.run_stats(prepared, answers, fetched_total=intake, cap=cap, source_failures=source_failures,
                           skip_ai=scorer_factory is None)

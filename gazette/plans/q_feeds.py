@@ -64,7 +64,8 @@ def feed_xml_sql(dialect: str) -> str:
 FROM orders
 WHERE o_orderkey % 23 <> 0 AND o_orderkey % 29 <> 0 AND o_orderkey % 9 NOT IN (0, 3, 6)""")
 def feed_items(spark, sf_dir):
-    o = B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.expr(feed_xml_sql("spark")).alias("xml"))
+    o = B.spread(B.table(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("id"),
+                                                      F.expr(feed_xml_sql("spark")).alias("xml"))
     return FD.feed_items(FD.feed_entries(o, "xml"), FEED_HOSTS, "mext")
 
 
@@ -96,7 +97,8 @@ def json_body_sql() -> str:
        CAST(o_orderdate AS DATE) + 30 AS deadline
 FROM orders WHERE o_orderkey % 23 <> 0 AND o_orderkey <> 0""")
 def json_items(spark, sf_dir):
-    o = B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.expr(json_body_sql()).alias("body"))
+    o = B.spread(B.table(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("id"),
+                                                      F.expr(json_body_sql()).alias("body"))
     return FD.json_items(FD.json_entries(o, "body"), GRANT_PREFIX, GRANT_HOSTS, "jgrants")
 
 
@@ -105,7 +107,8 @@ def json_items(spark, sf_dir):
 @query("era_date", f"""SELECT o_orderkey AS id, {era_text_sql(_D).replace("STRING", "VARCHAR")} AS era_text,
        {_era_expected(_D)} AS parsed_date FROM orders""")
 def era_date(spark, sf_dir):
-    o = B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.expr(era_text_sql(_D)).alias("era_text"))
+    o = B.spread(B.table(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("id"),
+                                                      F.expr(era_text_sql(_D)).alias("era_text"))
     return o.select("id", "era_text", D.era_date("era_text").alias("parsed_date"))
 
 

@@ -136,7 +136,7 @@ def _era_expected(date_expr: str) -> str:
 FROM orders""")
 def definition_fields(spark, sf_dir):
     o = B.table(spark, sf_dir, "orders")
-    pages = o.select(F.col("o_orderkey").alias("id"), F.expr(DETAIL_HTML_SQL).alias("html"))
+    pages = B.spread(o).select(F.col("o_orderkey").alias("id"), F.expr(DETAIL_HTML_SQL).alias("html"))
     f = H.definition_fields(H.definition_pairs(pages, keep=("id",)), "id", "公告日", "期限")
     return f.select("id", D.era_date("first_value").alias("posted_date"), D.era_date("last_value").alias("deadline"))
 

@@ -48,8 +48,8 @@ ESCAPE_SPLICE_SQL = """CASE WHEN ord % 9 = 0 THEN '<b>' || title || '</b> & "q"
 
 def rendered_answers(spark, sf_dir):
     o = B.table(spark, sf_dir, "orders")
-    return o.select(F.expr(ANSWER_ID_SQL).alias("id"), F.expr(ANSWER_SQL).alias("raw"),
-                    F.lit(None).cast("string").alias("scorer_error"))
+    return B.spread(o).select(F.expr(ANSWER_ID_SQL).alias("id"), F.expr(ANSWER_SQL).alias("raw"),
+                              F.lit(None).cast("string").alias("scorer_error"))
 
 
 def validated(spark, sf_dir):

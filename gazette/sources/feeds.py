@@ -60,14 +60,23 @@ def _vget(v: Column, path: str, typ: str) -> Column:
     return F.call_function("try_variant_get", v, F.lit(path), F.lit(typ))
 
 
-def truthy_text(x: Column) -> Column:
-    """``str(value or '').strip()`` of a JSON value, NULL when that is ''."""
-    t = F.schema_of_variant(x)
-    s = _vget(x, "$", "string")
-    num = _vget(x, "$", "double")
-    falsy = (x.isNull() | (t == "VOID") | ((t == "BOOLEAN") & (s == "false"))
+def variant_parts(df: DataFrame, col: str, prefix: str) -> DataFrame:
+    """Add ``<prefix>_t`` (JSON type), ``_s`` (as text) and ``_n`` (as number)
+    of a VARIANT column: each is computed once and read by later checks."""
+    x = F.col(col)
+    return (df.withColumn(prefix + "_t", F.schema_of_variant(x))
+              .withColumn(prefix + "_s", _vget(x, "$", "string"))
+              .withColumn(prefix + "_n", _vget(x, "$", "double"))
+              .withColumn(prefix + "_len", F.when(F.schema_of_variant(x).startswith("ARRAY"),
+                                                  F.size(_vget(x, "$", "array<variant>")))))
+
+
+def truthy_text(prefix: str) -> Column:
+    """``str(value or '').strip()`` of a JSON value from its parts, NULL when ''."""
+    t, s, num = F.col(prefix + "_t"), F.col(prefix + "_s"), F.col(prefix + "_n")
+    falsy = (t.isNull() | (t == "VOID") | ((t == "BOOLEAN") & (s == "false"))
              | ((t != "STRING") & (t != "BOOLEAN") & (num == 0))
-             | (t.startswith("ARRAY") & (F.size(_vget(x, "$", "array<variant>")) == 0)))
+             | F.coalesce(F.col(prefix + "_len") == 0, F.lit(False)))
     txt = TX.unicode_strip(F.when(t == "BOOLEAN", F.initcap(s)).otherwise(s))
     return F.when(~falsy & (F.length(txt) > 0), txt)
 
@@ -87,13 +96,15 @@ def json_items(entries: DataFrame, url_prefix: str, allowed_hosts, source: str,
                end_field: str = "acceptance_end_datetime") -> DataFrame:
     """API items to intake columns: blank id or title dropped, URL built from
     the id and checked against the allowlist, lenient dates, no description."""
-    it = F.col("item")
-    ext = truthy_text(_vget(it, f"$.{id_field}", "variant"))
-    title = truthy_text(_vget(it, f"$.{title_field}", "variant"))
-    e = entries.select(*keep, "pos", ext.alias("external_id"), title.alias("title"),
-                       D.lenient_date(truthy_text(_vget(it, f"$.{start_field}", "variant"))).alias("posted_date"),
-                       D.lenient_date(truthy_text(_vget(it, f"$.{end_field}", "variant"))).alias("deadline"))
+    fields = {"_id": id_field, "_ti": title_field, "_st": start_field, "_en": end_field}
+    e = entries.select(*keep, "pos", *[_vget(F.col("item"), f"$.{f}", "variant").alias(a) for a, f in fields.items()])
+    for a in fields:
+        e = variant_parts(e, a, a)
+    e = e.select(*keep, "pos", truthy_text("_id").alias("external_id"), truthy_text("_ti").alias("title"),
+                 truthy_text("_st").alias("_start"), truthy_text("_en").alias("_end"))
     e = e.filter(F.col("external_id").isNotNull() & F.col("title").isNotNull())
+    e = e.select(*keep, "pos", "external_id", "title", D.lenient_date("_start").alias("posted_date"),
+                 D.lenient_date("_end").alias("deadline"))
     e = e.withColumn("url", F.concat(F.lit(url_prefix), F.col("external_id")))
     e = e.filter(U.allowed(F.col("url"), allowed_hosts))
     return e.select(*keep, "pos", F.lit(source).alias("source"), "external_id", "title", "url",

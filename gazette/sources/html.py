@@ -249,18 +249,22 @@ def _events(df: DataFrame, html: str, keep: list, event_schema: T.StructType, fn
 
     def run(batches):
         for pdf in batches:
-            rows = []
+            out = {c: [] for c in keep + ["ok"] + names}
             for vals in zip(*(pdf[c] for c in cols)):
-                base, doc = list(vals[:-1]), vals[-1]
                 try:
-                    evs = fn(doc)
+                    evs = fn(vals[-1])
+                    ok = True
                 except Exception:        # a page that cannot be parsed is reported, not fatal
-                    rows.append(base + [False] + [None] * len(names))
-                    continue
+                    evs, ok = [], False
                 # one marker row per page, so pages without events are kept
-                rows.append(base + [True] + [None] * len(names))
-                rows.extend(base + [True] + list(ev) for ev in evs)
-            yield pd.DataFrame(rows, columns=keep + ["ok"] + names)
+                n = 1 + len(evs)
+                for c, v in zip(keep, vals[:-1]):
+                    out[c].extend([v] * n)
+                out["ok"].extend([ok] * n)
+                for i, c in enumerate(names):
+                    out[c].append(None)
+                    out[c].extend(ev[i] for ev in evs)
+            yield pd.DataFrame(out)
     return in_df.mapInPandas(run, schema)
 
 
