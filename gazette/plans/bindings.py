@@ -66,8 +66,12 @@ def taxonomy() -> Taxonomy:
 TEXT_TABLES = ("documents", "pages")
 
 
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = raw_table(spark, sf_dir, name)
     return spread(df) if name in TEXT_TABLES else df
 
 
@@ -113,7 +117,7 @@ def documents_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_point(spark: SparkSession, sf_dir: str):
     """First doc_id of the batch half: store = doc_id below it, batch = the rest."""
-    return table(spark, sf_dir, "documents").select(
+    return raw_table(spark, sf_dir, "documents").select(
         F.floor((F.max("doc_id") + 1) / 2).cast("long")).scalar()
 
 

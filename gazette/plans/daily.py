@@ -39,12 +39,14 @@ class RunResult:
 def daily_run(intake: DataFrame, tax: TXN.Taxonomy, store: DataFrame, run_ts: _dt.datetime, as_of: _dt.date,
               categories: list, labels: dict, scorer_factory=None, cap: int | None = None,
               since: _dt.date | None = None, source_failures: int = 0, checkpoint: bool = True,
-              sources=None) -> RunResult:
+              sources=None, reuse_prepared: bool = True) -> RunResult:
+    """``reuse_prepared``: the prepared batch feeds both the store and the run
+    counters; checkpoint it once when both are materialised."""
     spark = intake.sparkSession
     batch = IN.since_filter(IN.cap(intake, cap), since)
     valid, rejected = IN.split_valid(batch, sources if sources is not None else IN.K.SOURCES)
     prepared = TXN.prepare(valid, tax)
-    if checkpoint:
+    if checkpoint and reuse_prepared:
         ensure_checkpoint_dir(spark)
         prepared = prepared.checkpoint(eager=True)
     kept = prepared.filter(F.col("stage") == "kept").withColumn("tender_type", F.col("pre_label"))

@@ -23,7 +23,7 @@ CATS = list(B.CATEGORY_LABELS)
 def flagship_run(spark, sf_dir):
     return daily_run(B.documents_intake(spark, sf_dir), TAX, ST.empty_store(spark), B.RUN_TS, FLAGSHIP_AS_OF,
                      CATS, B.CATEGORY_LABELS, scorer_factory=SC.rule_scorer_factory,
-                     sources=B.DOC_SOURCE_PATTERN)
+                     sources=B.DOC_SOURCE_PATTERN, reuse_prepared=False)   # only the board is read
 
 
 def flagship(spark, sf_dir):
