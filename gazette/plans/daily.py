@@ -74,3 +74,108 @@ def relabel(store: DataFrame, as_of: _dt.date, scorer_factory, limit: int | None
     cand = SC.relabel_candidates(store, as_of, limit)
     answers = SC.validate_answers(SC.score_rows(cand, scorer_factory, key="id"))
     return SC.merge_scores(store, answers, type_only=True), SC.relabel_outcomes(answers)
+
+
+def _ord(rank: int, key: str):
+    """Input order across sources: (source rank, file key, position in file)."""
+    return F.struct(F.lit(rank).alias("source_rank"), F.col(key).cast("long").alias("key"),
+                    F.col("pos").cast("long").alias("pos"))
+
+
+def intake_from_files(spark, listing_pages: str | None = None, listing_href_pattern: str | None = None,
+                      listing_url_template: str | None = None, detail_pages: str | None = None,
+                      feeds: str | None = None, feed_hosts=(), api_bodies: str | None = None,
+                      api_url_prefix: str = "", api_hosts=(), container_pages: str | None = None,
+                      container_selectors: str = "", url_of=None) -> tuple:
+    """Build one intake batch from crawled files (the four source kinds), in
+    fixed source order, failures isolated per source.
+
+    ``url_of(path_col) -> Column`` maps a file path to the page URL (default:
+    the path). Detail pages join the listing on URL; listing titles win.
+    Returns ``(intake, failures)``; ``ord`` is ``(source_rank, file key, pos)``.
+    """
+    from ..functions import dates as D
+    from ..functions import urls as U
+    from ..operators.ordering import keep_first
+    from ..sources import feeds as FD
+    from ..sources import files as FL
+    from ..sources import html as H
+    url_of = url_of or (lambda c: c)
+
+    def pages(path):
+        d = FL.with_key(FL.read_documents(spark, path))
+        return d.select(F.col("doc_key").alias("page_id"), url_of(F.col("path")).alias("url"), F.col("body").alias("html"))
+
+    loaders = []
+    if listing_pages:
+        def detail_source():
+            listing = H.link_listing(pages(listing_pages), listing_href_pattern, listing_url_template)
+            listing = listing.select(F.col("link").alias("url"), "title", "page_id", "pos")
+            det = pages(detail_pages) if detail_pages else None
+            if det is None:
+                j = listing.select("*", F.lit(None).cast("date").alias("posted_date"),
+                                   F.lit(None).cast("date").alias("deadline"))
+            else:
+                fields = H.definition_fields(H.definition_pairs(det, keep=("url",)), "url", "公告日", "期限")
+                fields = fields.filter("ok").select("url", D.era_date("first_value").alias("posted_date"),
+                                                    D.era_date("last_value").alias("deadline"))
+                j = listing.join(fields, "url", "inner")
+            return j.select(_ord(0, "page_id").alias("ord"),
+                            F.lit("jst").alias("source"), U.last_path_segment("url").alias("external_id"),
+                            "title", "url", F.lit(None).cast("string").alias("description"), "posted_date",
+                            "deadline", F.lit("unknown").alias("tender_type"))
+        loaders.append(("jst", detail_source))
+    if feeds:
+        def feed_source():
+            d = FL.with_key(FL.read_documents(spark, feeds))
+            e = FD.feed_entries(d.select("doc_key", F.col("body").alias("xml")), "xml", keep=("doc_key",))
+            f = FD.feed_items(e, feed_hosts, "mext", keep=("doc_key",))
+            return f.select(_ord(1, "doc_key").alias("ord"), "source",
+                            "external_id", "title", "url", "description", "posted_date", "deadline",
+                            F.lit("unknown").alias("tender_type"))
+        loaders.append(("mext", feed_source))
+    if container_pages:
+        def container_source():
+            ev = H.container_rows(pages(container_pages), container_selectors).filter(F.col("kind").isNotNull())
+            ev = ev.filter((F.col("kind") == "row") | F.col("href").contains("/koubo/") | F.col("href").contains("/research/"))
+            link = U.resolve(F.col("href"), F.col("url"))
+            dates = D.row_dates(F.col("row_text"))
+            ev = ev.select("page_id", "pos", "url", link.alias("link"), "title",
+                           F.when(F.col("kind") == "row", D.row_date_value(F.get(dates, 0))).alias("posted_date"),
+                           F.when(F.col("kind") == "row", D.row_date_value(F.get(dates, 1))).alias("deadline"))
+            ev = ev.filter(F.col("link").isNotNull() & (U.host("link") == U.host("url")) & (F.col("title") != ""))
+            ev = ev.withColumn("ord", _ord(2, "page_id"))
+            first = keep_first(ev.drop("url"), "link", "ord")
+            return first.select("ord", F.lit("nedo").alias("source"), F.lit(None).cast("string").alias("external_id"),
+                                "title", F.col("link").alias("url"), F.lit(None).cast("string").alias("description"),
+                                "posted_date", "deadline", F.lit("unknown").alias("tender_type"))
+        loaders.append(("nedo", container_source))
+    if api_bodies:
+        def api_source():
+            d = FL.with_key(FL.read_documents(spark, api_bodies))
+            e = FD.json_entries(d, "body", keep=("doc_key",))
+            j = FD.json_items(e, api_url_prefix, api_hosts, "jgrants", keep=("doc_key",))
+            return j.select(_ord(3, "doc_key").alias("ord"), "source",
+                            "external_id", "title", "url", "description", "posted_date", "deadline",
+                            F.lit("unknown").alias("tender_type"))
+        loaders.append(("jgrants", api_source))
+    union, failures = IN.union_sources(spark, loaders)
+    return union.drop("source_rank"), failures
+
+
+def run_and_publish(spark, intake: DataFrame, tax, store_root: str, out_dir: str, run_ts, as_of,
+                    categories: list, labels: dict, scorer_factory=None, cap=None, since=None,
+                    source_failures: int = 0, sources=None) -> dict:
+    """Daily run against the latest store snapshot: writes snapshot n+1, then
+    publishes the board and the archive from it and returns the counters."""
+    versions = ST.snapshot_versions(store_root)
+    store = ST.read_store(spark, store_root) if versions else ST.empty_store(spark)
+    res = daily_run(intake, tax, store, run_ts, as_of, categories, labels, scorer_factory, cap, since,
+                    source_failures, sources=sources)
+    nxt = (versions[-1] + 1) if versions else 0
+    path = ST.write_store(res.store, store_root, nxt)
+    written = ST.read_store(spark, store_root, nxt)
+    board = R.active_board(written, as_of, categories, labels)
+    paths = R.publish(board, R.archive(written, run_ts), out_dir)
+    stats = res.stats.first().asDict()
+    return {"snapshot": path, "version": nxt, "stats": stats, **paths}
