@@ -75,7 +75,7 @@ def since_filter(df: DataFrame, since: _dt.date | None) -> DataFrame:
 
 
 def keyword_union(df: DataFrame, keywords: list, text: Callable | None = None, newest: str = "ord",
-                  key=None, limit: int = K.DEFAULT_UNION_LIMIT) -> DataFrame:
+                  key=None, limit: int = K.DEFAULT_UNION_LIMIT, since: _dt.date | None = None) -> DataFrame:
     """Union of per-keyword result sets.
 
     Per keyword: matching rows, newest first, at most
@@ -90,6 +90,8 @@ def keyword_union(df: DataFrame, keywords: list, text: Callable | None = None, n
         raise ValueError(f"limit must be > 0, got {limit}")
     if not keywords:
         return df.limit(0)
+    if since is not None:                       # the search's start-date parameter
+        df = df.filter(F.col("posted_date") >= F.lit(since))
     per_kw = max(K.MIN_PER_KEYWORD, limit // max(1, len(keywords)))
     t = text(df) if text is not None else norm_lower(F.concat_ws(" ", F.col("title"), F.col("description")))
     hits = F.filter(F.array(*[F.when(t.contains(py_norm_lower(w)), F.lit(i)) for i, w in enumerate(keywords)]),

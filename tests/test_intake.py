@@ -46,6 +46,9 @@ def test_keyword_union(spark):
     assert len({r["ord"] for r in u}) == len(u)
     with pytest.raises(ValueError):
         IN.keyword_union(df, ["alpha"], limit=0)
+    dated = recs(spark, [R(i, title="alpha", url=f"https://a.example/{i}", ext=str(i),
+                           posted=dt.date(2024, 1, 1 + i)) for i in range(5)])
+    assert sorted(r["ord"] for r in IN.keyword_union(dated, ["alpha"], since=dt.date(2024, 1, 4)).collect()) == [3, 4]
 
 
 def test_source_failure_isolated(spark):
