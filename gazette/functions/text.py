@@ -139,6 +139,19 @@ def html_text(col: Column | str) -> Column:
     return c
 
 
+def prompt_from_safe(safe_title: Column | str, safe_description: Column | str,
+                     template: str = "Title: {title}\nSummary: {description}",
+                     empty_description: str = K.EMPTY_DESCRIPTION_PLACEHOLDER) -> Column:
+    """Prompt from already sanitised parts (pass column names of a staged
+    projection so each sanitised text is computed once)."""
+    t = F.col(safe_title) if isinstance(safe_title, str) else safe_title
+    d = F.col(safe_description) if isinstance(safe_description, str) else safe_description
+    d = F.when(F.length(d) > 0, d).otherwise(F.lit(empty_description))
+    head, rest = template.split("{title}", 1)
+    mid, tail = rest.split("{description}", 1)
+    return F.concat(F.lit(head), t, F.lit(mid), d, F.lit(tail))
+
+
 def prompt_text(title: Column | str, description: Column | str,
                 template: str = "Title: {title}\nSummary: {description}",
                 title_chars: int = K.SCORER_TITLE_CHARS,
@@ -147,11 +160,7 @@ def prompt_text(title: Column | str, description: Column | str,
     """Scorer prompt: sanitised parts substituted into a template literally.
 
     The template is split around the two fields and joined with ``concat``,
-    so braces or ``$`` inside the data are inert.
-    """
-    safe_t = sanitise(title, title_chars)
-    safe_d = sanitise(description, description_chars)
-    safe_d = F.when(F.length(safe_d) > 0, safe_d).otherwise(F.lit(empty_description))
-    head, rest = template.split("{title}", 1)
-    mid, tail = rest.split("{description}", 1)
-    return F.concat(F.lit(head), safe_t, F.lit(mid), safe_d, F.lit(tail))
+    so braces or ``$`` inside the data are inert. In a hot path, stage the
+    sanitised columns and use :func:`prompt_from_safe`."""
+    return prompt_from_safe(sanitise(title, title_chars), sanitise(description, description_chars),
+                            template, empty_description)

@@ -24,7 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import constants as K
-from ..functions.text import prompt_text, sanitise
+from ..functions.text import prompt_from_safe, sanitise
+from .partitioning import spread
 
 SCORED = T.StructType([T.StructField("raw", T.StringType()), T.StructField("scorer_error", T.StringType())])
 
@@ -40,12 +41,12 @@ def score_rows(df: DataFrame, scorer_factory: Callable, key: str = "id",
     Only the key and the sanitised, bounded scorer inputs (title <= 300,
     description <= 800 code points, the prompt) travel to Python; callers
     merge the keyed answers with ``merge_scores``."""
-    inputs = df.select(
+    safe = df.select(
         F.col(key).alias("_key"),
         sanitise(title, K.SCORER_TITLE_CHARS).alias("_title"),
         sanitise(description, K.SCORER_DESCRIPTION_CHARS).alias("_description"),
-        prompt_text(title, description).alias("_prompt"),
     )
+    inputs = spread(safe.select("*", prompt_from_safe("_title", "_description").alias("_prompt")))
     schema = T.StructType([T.StructField(key, df.schema[key].dataType)] + SCORED.fields)
 
     def run(batches):

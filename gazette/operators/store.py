@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as K
 from ..schema import STORE, STORE_COLUMNS
+from ..session import ensure_checkpoint_dir
 from .ordering import global_rank
 from .taxonomy import CATEGORIES_TYPE, hits_json
 
@@ -51,8 +52,12 @@ def fold_batch(batch: DataFrame, type_col: str = "tender_type", confirmed=K.CONF
                     "confirmed_type", "first_ord", "n_records"))
 
 
-def upsert(store: DataFrame, folded: DataFrame, run_ts: _dt.datetime) -> DataFrame:
-    """Apply a folded batch to the store; returns the new store (STORE schema)."""
+def upsert(store: DataFrame, folded: DataFrame, run_ts: _dt.datetime, checkpoint: bool = True) -> DataFrame:
+    """Apply a folded batch to the store; returns the new store (STORE schema).
+
+    The joined result is checkpointed once (it is the next snapshot anyway):
+    the id assignment and every later use read it instead of re-running the
+    batch preparation and the join."""
     ts = F.lit(run_ts).cast("timestamp")
     s = store.select(*[F.col(c).alias("s_" + c) for c in STORE_COLUMNS])
     b = folded.select(*[F.col(c).alias("b_" + c) for c in folded.columns])
@@ -80,6 +85,9 @@ def upsert(store: DataFrame, folded: DataFrame, run_ts: _dt.datetime) -> DataFra
         F.when(touched, new_type).otherwise(F.col("s_tender_type")).alias("tender_type"),
         F.col("b_first_ord").alias("_first_ord"),
     )
+    if checkpoint:
+        ensure_checkpoint_dir(merged.sparkSession)
+        merged = merged.checkpoint(eager=True)
     return assign_new_ids(merged, store)
 
 

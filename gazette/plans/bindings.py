@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import constants as K
 from ..functions.text import unicode_strip
+from ..operators.partitioning import spread as _spread
 from ..operators.taxonomy import Taxonomy
 
 AS_OF = _dt.date(1998, 6, 1)
@@ -76,16 +77,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over the cores when the input has fewer splits than cores.
-
-    Text and parsing work is CPU bound; a file written as one row group scans
-    as one task. Applied after a cheap projection (e.g. rendering a document
-    string), it also ends that codegen stage before the parse. At cluster
-    scale the scan already has many splits and this is a no-op."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """See :func:`gazette.operators.partitioning.spread`; applied after a
+    cheap projection (e.g. rendering a document string) it also ends that
+    codegen stage before the parse."""
+    return _spread(df)
 
 
 # --------------------------------------------------------------------------

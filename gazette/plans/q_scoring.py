@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.text import html_escape, prompt_text, sanitise
+from ..functions.text import html_escape, prompt_from_safe, sanitise
 from ..operators import scoring as SC
 from . import bindings as B
 from . import sqlgen as S
@@ -168,8 +168,9 @@ SELECT ord, 'Title: ' || {S.sanitise("title", K.SCORER_TITLE_CHARS)} || chr(10)
             THEN {S.sanitise("description", K.SCORER_DESCRIPTION_CHARS)} ELSE {S.lit(K.EMPTY_DESCRIPTION_PLACEHOLDER)} END AS prompt
 FROM d""")
 def prompt_text_query(spark, sf_dir):
-    d = _spliced(spark, sf_dir)
-    return d.select("ord", prompt_text("title", "description", template=_TEMPLATE).alias("prompt"))
+    d = _spliced(spark, sf_dir).select("ord", sanitise("title", K.SCORER_TITLE_CHARS).alias("t"),
+                                       sanitise("description", K.SCORER_DESCRIPTION_CHARS).alias("d"))
+    return d.select("ord", prompt_from_safe("t", "d", template=_TEMPLATE).alias("prompt"))
 
 
 @query("escape_text", f"""WITH {S.N_CTE}
