@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-from urllib.parse import urljoin
-
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 
 def _c(col):
@@ -55,44 +51,46 @@ def _strip_fragment(url: Column) -> Column:
     return F.regexp_replace(url, r"#.*$", "")
 
 
-def _base_dir(url: Column) -> Column:
-    """Base URL up to and including the last '/' of its path."""
-    u = _strip_query_fragment(url)
-    path_dir = F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/]*(/(?:.*/)?)?", 1)
-    return F.concat(origin(u), F.when(path_dir == "", F.lit("/")).otherwise(path_dir))
-
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
-_DOT_SEGMENT = r"(^|/)\.{1,2}(/|$|[?#])"
 
-
-@lru_cache(maxsize=1)
-def _urljoin_udf():
-    @F.pandas_udf(T.StringType())
-    def _join(base: pd.Series, href: pd.Series) -> pd.Series:
-        out = []
-        for b, h in zip(base, href):
-            out.append(None if b is None or h is None else urljoin(b, h))
-        return pd.Series(out, dtype=object)
-    return _join
+def remove_dot_segments(path: Column) -> Column:
+    """RFC 3986 remove_dot_segments as a stack fold over the path's segments
+    (``aggregate``): '.' is dropped, '..' pops the previous segment (never
+    above the root), and a path ending in '.' or '..' keeps a trailing '/'."""
+    segs = F.split(path, "/")
+    body = F.slice(segs, 2, F.greatest(F.size(segs) - 1, F.lit(0)))     # after the leading ''
+    folded = F.aggregate(
+        body, F.array().cast("array<string>"),
+        lambda acc, seg: F.when(seg == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+                          .when(seg == ".", acc)
+                          .otherwise(F.concat(acc, F.array(seg))))
+    last = F.element_at(segs, -1)
+    trailing = F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    rebuilt = F.when(F.size(folded) == 0, F.lit("/")) \
+        .otherwise(F.concat(F.lit("/"), F.array_join(folded, "/"), trailing))
+    return F.when(path.rlike(r"(^|/)\.{1,2}(/|$)"), rebuilt).otherwise(path)
 
 
 def resolve(href, base) -> Column:
-    """Resolve an href against a base URL like ``urllib.parse.urljoin``.
-
-    The common forms are resolved with expressions; only hrefs with '.' or
-    '..' path segments go to a small Arrow UDF (which gets NULL for the rest).
-    An empty href gives NULL."""
+    """Resolve an href against a base URL like ``urllib.parse.urljoin`` (RFC
+    3986), entirely in the JVM: reference forms by prefix, then the merged
+    path's dot segments removed. An empty href gives NULL."""
     h, b = _c(href), _c(base)
-    native = (F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), h)
-              .when(h.startswith("//"), F.concat(F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1), h))
-              .when(h.startswith("/"), F.concat(origin(b), h))
-              .when(h.startswith("?"), F.concat(_strip_query_fragment(b), h))
-              .when(h.startswith("#"), F.concat(_strip_fragment(b), h))
-              .otherwise(F.concat(_base_dir(b), h)))
-    dotted = h.rlike(_DOT_SEGMENT) & ~h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
-    slow = _urljoin_udf()(b, F.when(dotted, h))
-    return F.when(F.coalesce(h, F.lit("")) == "", F.lit(None).cast("string")) \
-        .when(dotted, slow).otherwise(native)
+    h_path = F.regexp_extract(h, r"^([^?#]*)", 1)
+    h_rest = F.regexp_replace(h, r"^[^?#]*", "")
+    b_nq = _strip_query_fragment(b)
+    b_path = F.regexp_extract(b_nq, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/]*(.*)$", 1)
+    b_dir = F.regexp_extract(b_path, r"^(.*/)", 1)
+    merged = F.when(h_path.startswith("/"), h_path) \
+        .otherwise(F.concat(F.when(b_dir == "", F.lit("/")).otherwise(b_dir), h_path))
+    relative = F.concat(origin(b), remove_dot_segments(merged), h_rest)
+    return (F.when(F.coalesce(h, F.lit("")) == "", F.lit(None).cast("string"))
+            .when(h.rlike(_SCHEME), h)
+            .when(h.startswith("//"), F.concat(F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1), h))
+            .when(h.startswith("?"), F.concat(b_nq, h))
+            .when(h.startswith("#"), F.concat(_strip_fragment(b), h))
+            .otherwise(relative))
 
 
 def last_path_segment(url) -> Column:

@@ -143,7 +143,9 @@ def test_url_functions(spark):
     got = [r[0] for r in df.select(U.allowed("u", ["www.min.example"])).collect()]
     assert got == [True, True, False, False, False, True]
     r = spark.createDataFrame([("https://h.example/x/y?q=1", h) for h in
-                               ["z", "/z", "//o.example/z", "?p=2", "#f", "../z", "./z", "https://a.example/", ""]],
+                               ["z", "/z", "//o.example/z", "?p=2", "#f", "../z", "./z", "https://a.example/", "",
+                                ".", "..", "../../../../z", "/a/./b/../c", "a/b/..", "a/./b/.", "../z?k=1#f",
+                                "/../x", "z/", "./", "..z", "z..", "/a/b/../../../c"]],
                               "b string, h string")
     from urllib.parse import urljoin
     for row in r.select("b", "h", U.resolve("h", "b").alias("r")).collect():
