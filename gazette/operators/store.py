@@ -155,3 +155,20 @@ def write_store(df: DataFrame, root: str, version: int) -> str:
     path = os.path.join(root, f"v={version}")
     df.write.mode("errorifexists").parquet(path)
     return path
+
+
+# --------------------------------------------------------------------------
+# bucketed store tables: the upsert join then shuffles only the batch side
+
+def write_store_table(df: DataFrame, table: str, buckets: int, mode: str = "errorifexists") -> str:
+    """Write a store version as a catalog table bucketed and sorted by url.
+
+    With the store bucketed by the join key, the full outer join of an upsert
+    reads each bucket in place and only the (small, folded) batch is
+    shuffled into the store's bucket layout."""
+    (df.write.mode(mode).format("parquet").bucketBy(buckets, "url").sortBy("url").saveAsTable(table))
+    return table
+
+
+def read_store_table(spark: SparkSession, table: str) -> DataFrame:
+    return backfill_columns(spark.table(table))

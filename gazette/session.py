@@ -73,3 +73,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables, next to the checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def cluster_conf(input_bytes: int, cores: int, executor_memory_gb: float = 16.0,
+                 target_partition_mb: int = 256) -> dict:
+    """Sizing for a run over ``input_bytes`` of input on ``cores`` cores.
+
+    Shuffle partitions are sized so a partition is about ``target_partition_mb``
+    (it must fit an executor core's share of memory with room to spill), and
+    at least two waves of tasks. Scan splits stay at 128 MB. AQE coalesces
+    small partitions and splits skewed ones at run time; these are starting
+    points, not caps."""
+    per_core_mb = executor_memory_gb * 1024 / max(1, cores)
+    target = min(target_partition_mb, max(32, int(per_core_mb / 4)))
+    parts = max(2 * cores, int(input_bytes / (target * 1024 * 1024)) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }

@@ -13,7 +13,8 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from gazette.session import build_session
-    s = build_session("local[4]", app="gazette-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="gazette-tests", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="gazette-test-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gazette-test-ckpt-"))
