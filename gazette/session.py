@@ -76,15 +76,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def cluster_conf(input_bytes: int, cores: int, executor_memory_gb: float = 16.0,
-                 target_partition_mb: int = 256) -> dict:
-    """Sizing for a run over ``input_bytes`` of input on ``cores`` cores.
+                 executor_cores: int = 4, target_partition_mb: int = 256) -> dict:
+    """Sizing for a run over ``input_bytes`` of input on ``cores`` cores in
+    total, executors of ``executor_memory_gb`` with ``executor_cores`` each.
 
     Shuffle partitions are sized so a partition is about ``target_partition_mb``
     (it must fit an executor core's share of memory with room to spill), and
     at least two waves of tasks. Scan splits stay at 128 MB. AQE coalesces
     small partitions and splits skewed ones at run time; these are starting
     points, not caps."""
-    per_core_mb = executor_memory_gb * 1024 / max(1, cores)
+    per_core_mb = executor_memory_gb * 1024 / max(1, executor_cores)
     target = min(target_partition_mb, max(32, int(per_core_mb / 4)))
     parts = max(2 * cores, int(input_bytes / (target * 1024 * 1024)) + 1)
     return {
