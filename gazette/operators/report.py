@@ -74,7 +74,7 @@ def month_groups(store: DataFrame) -> DataFrame:
     m = store.groupBy(F.trunc("posted_date", "month").alias("month")).agg(F.count(F.lit(1)).alias("month_count"))
     w = Window.orderBy(F.col("month").desc_nulls_last())
     return m.select("month", D.month_label("month").alias("month_label"),
-                    F.dense_rank().over(w).alias("month_rank"), "month_count")
+                    F.dense_rank().over(w).cast("long").alias("month_rank"), "month_count")
 
 
 def archive(store: DataFrame, run_ts: _dt.datetime) -> DataFrame:
