@@ -129,19 +129,34 @@ def backfill_columns(df: DataFrame, defaults: dict | None = None) -> DataFrame:
     return df
 
 
-def snapshot_versions(root: str) -> list:
-    if not os.path.isdir(root):
+def _fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem and Path for ``path`` (local, HDFS or object store)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def snapshot_versions(spark: SparkSession, root: str) -> list:
+    """Complete snapshot versions under ``root`` (a ``v=<n>`` folder with _SUCCESS)."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
         return []
     out = []
-    for name in os.listdir(root):
-        if name.startswith("v=") and name[2:].isdigit():
-            out.append(int(name[2:]))
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[2:]))
     return sorted(out)
 
 
 def read_store(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """Latest (or given) snapshot, with missing columns backfilled."""
-    versions = snapshot_versions(root)
+    versions = snapshot_versions(spark, root)
     if not versions:
         return empty_store(spark)
     v = versions[-1] if version is None else version

@@ -168,7 +168,7 @@ def run_and_publish(spark, intake: DataFrame, tax, store_root: str, out_dir: str
                     source_failures: int = 0, sources=None) -> dict:
     """Daily run against the latest store snapshot: writes snapshot n+1, then
     publishes the board and the archive from it and returns the counters."""
-    versions = ST.snapshot_versions(store_root)
+    versions = ST.snapshot_versions(spark, store_root)
     store = ST.read_store(spark, store_root) if versions else ST.empty_store(spark)
     res = daily_run(intake, tax, store, run_ts, as_of, categories, labels, scorer_factory, cap, since,
                     source_failures, sources=sources)

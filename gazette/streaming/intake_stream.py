@@ -44,10 +44,10 @@ def start_intake_stream(spark: SparkSession, source_dir: str, store_root: str, c
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
         target = os.path.join(store_root, f"v={batch_id + 1}")
-        if os.path.exists(os.path.join(target, "_SUCCESS")):
+        if ST.path_exists(spark, os.path.join(target, "_SUCCESS")):
             return                                    # replayed batch: already applied
         ts = run_ts(batch_id) if callable(run_ts) else (run_ts or _dt.datetime.utcnow())
-        versions = [v for v in ST.snapshot_versions(store_root) if v <= batch_id]
+        versions = [v for v in ST.snapshot_versions(spark, store_root) if v <= batch_id]
         store = ST.read_store(spark, store_root, versions[-1]) if versions else ST.empty_store(spark)
         new = apply_batch(df, store, tax, ts, sources)
         new.write.mode("overwrite").parquet(target)

@@ -110,6 +110,6 @@ def test_snapshots_and_backfill(spark, tmpdir_path):
     assert old.first()["tender_type"] == "unknown"
     st.write_store(s1.drop("categories"), tmpdir_path, 1)
     assert st.read_store(spark, tmpdir_path).first()["tender_type"] == "commissioned"
-    assert st.snapshot_versions(tmpdir_path) == [0, 1]
+    assert st.snapshot_versions(spark, tmpdir_path) == [0, 1]
     once = st.backfill_columns(s1.drop("tender_type"))
     assert st.backfill_columns(once).columns == once.columns

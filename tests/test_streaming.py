@@ -21,14 +21,14 @@ def test_stream_equals_batch(spark, tmpdir_path):
     n = B.documents_intake(spark, SF001).select(*INTAKE_COLUMNS)
     half = B.split_point(spark, SF001)
     src = os.path.join(tmpdir_path, "incoming")
-    n.filter(F.col("ord") < half).coalesce(1).write.parquet(os.path.join(src, "part1"))
-    n.filter(F.col("ord") >= half).coalesce(1).write.parquet(os.path.join(src, "part2"))
     store_root = os.path.join(tmpdir_path, "store")
-    q = start_intake_stream(spark, os.path.join(src, "*"), store_root, os.path.join(tmpdir_path, "ckpt"),
-                            B.taxonomy(), run_ts=TS, sources=B.DOC_SOURCE_PATTERN, files_per_trigger=1)
-    q.awaitTermination(300)
-    assert q.exception() is None
+    for k, part in enumerate((n.filter(F.col("ord") < half), n.filter(F.col("ord") >= half)), start=1):
+        part.write.parquet(os.path.join(src, f"drop-{k}"))          # a new crawl drop arrives
+        q = start_intake_stream(spark, os.path.join(src, "*"), store_root, os.path.join(tmpdir_path, "ckpt"),
+                                B.taxonomy(), run_ts=TS, sources=B.DOC_SOURCE_PATTERN)
+        q.awaitTermination(300)
+        assert q.exception() is None
     streamed = ST.read_store(spark, store_root)
     at_once = apply_batch(n, ST.empty_store(spark), B.taxonomy(), TS, B.DOC_SOURCE_PATTERN)
-    assert ST.snapshot_versions(store_root) == [1, 2]          # one version per micro-batch
+    assert ST.snapshot_versions(spark, store_root) == [1, 2]          # one version per micro-batch
     assert _content(streamed) == _content(at_once)
