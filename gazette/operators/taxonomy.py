@@ -22,7 +22,6 @@ from dataclasses import dataclass, field
 from functools import reduce
 from pathlib import Path
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as K

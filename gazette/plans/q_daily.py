@@ -5,8 +5,6 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import functions as F
-
 from .. import constants as K
 from ..operators import scoring as SC
 from ..operators import store as ST

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import norm_lower
 from ..operators import scoring as SC
 from ..operators import stats as STT
 from ..operators import store as ST
@@ -13,7 +12,7 @@ from ..operators import taxonomy as tx
 from ..sources import intake as IN
 from . import bindings as B
 from . import sqlgen as S
-from .q_feeds import feed_items, json_items, FD, GRANT_HOSTS, GRANT_PREFIX, json_body_sql
+from .q_feeds import feed_items, json_items
 from .q_html import container_rows, detail_join
 from .q_keywords import TAX
 from .registry import ORACLE, query

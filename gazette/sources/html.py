@@ -14,7 +14,6 @@ Two paths:
 
 from __future__ import annotations
 
-import html as _html
 from html.parser import HTMLParser
 
 import pandas as pd
