@@ -15,6 +15,12 @@ def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
 
+def ts_lit(ts: _dt.datetime) -> Column:
+    """Timestamp literal read in the session time zone (a naive Python datetime
+    given to ``lit`` would be converted with the Python process's zone)."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
+
 def try_int(col: Column) -> Column:
     """String digits to INT, NULL when not a number or out of range."""
     return col.try_cast("long")

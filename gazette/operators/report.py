@@ -14,6 +14,8 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.dates import ts_lit
+
 from .. import constants as K
 from ..functions import dates as D
 from ..functions.text import html_escape
@@ -86,7 +88,7 @@ def archive(store: DataFrame, run_ts: _dt.datetime) -> DataFrame:
     rows = rows.select("*", D.date_or_dash("deadline").alias("deadline_text"),
                        D.score_band("score").alias("band"),
                        html_escape("title").alias("title_html"),
-                       D.run_stamp(F.lit(run_ts).cast("timestamp")).alias("generated_at"))
+                       D.run_stamp(ts_lit(run_ts)).alias("generated_at"))
     return global_rank(rows, archive_order(), out="archive_rank")
 
 

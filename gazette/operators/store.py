@@ -23,6 +23,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.dates import ts_lit
+
 from .. import constants as K
 from ..schema import STORE, STORE_COLUMNS
 from ..session import ensure_checkpoint_dir
@@ -58,7 +60,7 @@ def upsert(store: DataFrame, folded: DataFrame, run_ts: _dt.datetime, checkpoint
     The joined result is checkpointed once (it is the next snapshot anyway):
     the id assignment and every later use read it instead of re-running the
     batch preparation and the join."""
-    ts = F.lit(run_ts).cast("timestamp")
+    ts = ts_lit(run_ts)
     s = store.select(*[F.col(c).alias("s_" + c) for c in STORE_COLUMNS])
     b = folded.select(*[F.col(c).alias("b_" + c) for c in folded.columns])
     j = s.join(b, s["s_url"] == b["b_url"], "full_outer")

@@ -19,6 +19,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.dates import ts_lit
+
 from .. import constants as K
 from ..functions.text import unicode_strip
 from ..operators.partitioning import spread as _spread
@@ -143,8 +145,8 @@ def orders_store(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("o_orderstatus")).alias("description"),
         F.when(k % 19 != 0, posted).alias("posted_date"),
         F.when(k % 17 != 0, F.date_add(posted, 30)).alias("deadline"),
-        F.lit(STORE_TS).cast("timestamp").alias("first_seen"),
-        F.lit(STORE_TS).cast("timestamp").alias("last_checked"),
+        ts_lit(STORE_TS).alias("first_seen"),
+        ts_lit(STORE_TS).alias("last_checked"),
         cats.alias("categories"),
         F.lit(None).cast("string").alias("keyword_hits"),
         F.when(k % 7 != 0, (k % 11).cast("double")).alias("score"),

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.dates import ts_lit
+
 from .. import constants as K  # noqa: F401
 from ..operators import report as R
 from ..operators import scoring as SC
@@ -53,7 +55,7 @@ def daily_run(intake: DataFrame, tax: TXN.Taxonomy, store: DataFrame, run_ts: _d
     new_store = ST.upsert(store, ST.fold_batch(kept), run_ts)
     answers = None
     if scorer_factory is not None:
-        touched = new_store.filter(F.col("last_checked") == F.lit(run_ts).cast("timestamp"))
+        touched = new_store.filter(F.col("last_checked") == ts_lit(run_ts))
         raw = SC.score_rows(touched, scorer_factory, key="id")
         if checkpoint:
             raw = raw.checkpoint(eager=True)      # the scorer is called exactly once per row

@@ -25,6 +25,8 @@ def flagship_run(spark, sf_dir):
 
 
 def flagship(spark, sf_dir):
+    from ..session import apply_engine_conf
+    apply_engine_conf(spark)
     board = flagship_run(spark, sf_dir).board
     return board.select("board_rank", "id", "url", "title", "deadline", "score", "tender_type", "badge", "band", "tags")
 

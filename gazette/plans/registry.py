@@ -1,7 +1,15 @@
-"""The query registry: name -> (Spark builder, DuckDB oracle SQL or None)."""
+"""The query registry: name -> (Spark builder, DuckDB oracle SQL or None).
+
+Each registered builder first applies the engine's SQL settings to the
+caller's session (UTC session time zone, AQE), since results such as feed
+dates are defined in UTC."""
 
 from __future__ import annotations
 
+import functools
+
+from ..session import apply_engine_conf
+
 QUERIES: dict = {}
 ORACLE: dict = {}
 
@@ -10,7 +18,12 @@ def query(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise KeyError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            apply_engine_conf(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
