@@ -54,15 +54,35 @@ def fold_batch(batch: DataFrame, type_col: str = "tender_type", confirmed=K.CONF
                     "confirmed_type", "first_ord", "n_records"))
 
 
-def upsert(store: DataFrame, folded: DataFrame, run_ts: _dt.datetime, checkpoint: bool = True) -> DataFrame:
+def batch_ids(store: DataFrame, folded: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """``(url, id)`` for every url of a folded batch: the stored id of a known
+    url, else the next id after the store's maximum in order of first
+    appearance. Reads only the store's (url, id) columns; the result is
+    batch-sized."""
+    max_id = store.select(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar()
+    keys = folded.select("url", "first_ord").join(store.select("url", F.col("id").alias("_sid")), "url", "left")
+    # the ranking of new urls is checkpointed inside global_rank; the final
+    # join is by url, so ``keys`` itself needs no fixed row order
+    new = global_rank(keys.filter(F.col("_sid").isNull()), ["first_ord", "url"], out="_rank",
+                      checkpoint=checkpoint).select("url", (max_id + F.col("_rank")).alias("_nid"))
+    return keys.join(new, "url", "left").select("url", F.coalesce("_sid", "_nid").alias("id"))
+
+
+def upsert(store: DataFrame, folded: DataFrame, run_ts: _dt.datetime, checkpoint: bool = True,
+           ids: DataFrame | None = None) -> DataFrame:
     """Apply a folded batch to the store; returns the new store (STORE schema).
 
-    The joined result is checkpointed once (it is the next snapshot anyway):
-    the id assignment and every later use read it instead of re-running the
-    batch preparation and the join."""
+    Ids are settled on the batch side first (:func:`batch_ids`); the store is
+    then read once, in a single full outer join, and the result is written
+    once by the caller as the next snapshot. ``checkpoint`` applies to the
+    new-id ranking; callers that read ``folded`` several times checkpoint it
+    themselves (``daily_run`` does)."""
+    if ids is None:
+        ids = batch_ids(store, folded, checkpoint)
+    batch = folded.join(ids.withColumnRenamed("id", "new_id"), "url", "left")
     ts = ts_lit(run_ts)
     s = store.select(*[F.col(c).alias("s_" + c) for c in STORE_COLUMNS])
-    b = folded.select(*[F.col(c).alias("b_" + c) for c in folded.columns])
+    b = batch.select(*[F.col(c).alias("b_" + c) for c in batch.columns])
     j = s.join(b, s["s_url"] == b["b_url"], "full_outer")
     touched = F.col("b_url").isNotNull()
     known = F.col("s_url").isNotNull()
@@ -71,8 +91,8 @@ def upsert(store: DataFrame, folded: DataFrame, run_ts: _dt.datetime, checkpoint
         return F.when(touched, F.col("b_" + c)).otherwise(F.col("s_" + c)).alias(c)
 
     new_type = F.coalesce(F.col("b_confirmed_type"), F.col("s_tender_type"), F.lit(K.UNKNOWN))
-    merged = j.select(
-        F.col("s_id").alias("id"),
+    return j.select(
+        F.coalesce(F.col("s_id"), F.col("b_new_id")).alias("id"),
         F.when(known, F.col("s_source")).otherwise(F.col("b_source")).alias("source"),
         F.when(known, F.col("s_external_id")).otherwise(F.col("b_external_id")).alias("external_id"),
         upd("title"),
@@ -85,22 +105,7 @@ def upsert(store: DataFrame, folded: DataFrame, run_ts: _dt.datetime, checkpoint
         F.col("s_score").alias("score"), F.col("s_ai_reason").alias("ai_reason"),
         F.col("s_is_research").alias("is_research"),
         F.when(touched, new_type).otherwise(F.col("s_tender_type")).alias("tender_type"),
-        F.col("b_first_ord").alias("_first_ord"),
     )
-    if checkpoint:
-        ensure_checkpoint_dir(merged.sparkSession)
-        merged = merged.checkpoint(eager=True)
-    return assign_new_ids(merged, store)
-
-
-def assign_new_ids(merged: DataFrame, store: DataFrame) -> DataFrame:
-    """Give rows without an id the next ids after the store's maximum, in
-    order of first appearance in the batch."""
-    max_id = store.select(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar()
-    old = merged.filter(F.col("id").isNotNull())
-    new = global_rank(merged.filter(F.col("id").isNull()), ["_first_ord", "url"], out="_rank")
-    new = new.withColumn("id", max_id + F.col("_rank")).drop("_rank")
-    return old.drop("_first_ord").unionByName(new.drop("_first_ord")).select(*STORE_COLUMNS)
 
 
 def new_vs_known(store: DataFrame, batch: DataFrame) -> DataFrame:

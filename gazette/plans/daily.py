@@ -17,7 +17,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.dates import ts_lit
 
 from .. import constants as K  # noqa: F401
 from ..operators import report as R
@@ -52,10 +51,17 @@ def daily_run(intake: DataFrame, tax: TXN.Taxonomy, store: DataFrame, run_ts: _d
         ensure_checkpoint_dir(spark)
         prepared = prepared.checkpoint(eager=True)
     kept = prepared.filter(F.col("stage") == "kept").withColumn("tender_type", F.col("pre_label"))
-    new_store = ST.upsert(store, ST.fold_batch(kept), run_ts)
+    folded = ST.fold_batch(kept)
+    if checkpoint:
+        ensure_checkpoint_dir(spark)
+        folded = folded.checkpoint(eager=True)           # batch-sized; read by ids, upsert, scorer
+    ids = ST.batch_ids(store, folded, checkpoint)
+    new_store = ST.upsert(store, folded, run_ts, ids=ids)
     answers = None
     if scorer_factory is not None:
-        touched = new_store.filter(F.col("last_checked") == ts_lit(run_ts))
+        # the rows this run touched are the folded batch itself, with their ids:
+        # the scorer input never re-reads the store
+        touched = folded.join(ids, "url").select("id", "title", "description")
         raw = SC.score_rows(touched, scorer_factory, key="id")
         if checkpoint:
             raw = raw.checkpoint(eager=True)      # the scorer is called exactly once per row

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import store as st
+from ..session import ensure_checkpoint_dir
 from ..operators import taxonomy as tx
 from . import bindings as B
 from . import sqlgen as S
@@ -24,7 +25,9 @@ def store_and_batch(spark, sf_dir):
     kept = kept_records(spark, sf_dir)
     half = B.split_point(spark, sf_dir)
     store = st.upsert(st.empty_store(spark), st.fold_batch(kept.filter(F.col("ord") < half)), B.STORE_TS)
-    return store, kept.filter(F.col("ord") >= half)
+    # the store is a written snapshot in a real run: materialise it once
+    ensure_checkpoint_dir(spark)
+    return store.checkpoint(eager=True), kept.filter(F.col("ord") >= half)
 
 
 def store_view(df):
