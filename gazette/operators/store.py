@@ -74,10 +74,14 @@ def upsert(store: DataFrame, folded: DataFrame, run_ts: _dt.datetime, checkpoint
 
     Ids are settled on the batch side first (:func:`batch_ids`); the store is
     then read once, in a single full outer join, and the result is written
-    once by the caller as the next snapshot. ``checkpoint`` applies to the
-    new-id ranking; callers that read ``folded`` several times checkpoint it
+    once by the caller as the next snapshot. When the ids are computed here,
+    ``folded`` is read twice (id lookup and join), so with ``checkpoint`` it is
+    cut once first (it is batch-sized); callers passing ``ids`` manage that
     themselves (``daily_run`` does)."""
     if ids is None:
+        if checkpoint:
+            ensure_checkpoint_dir(folded.sparkSession)
+            folded = folded.checkpoint(eager=True)
         ids = batch_ids(store, folded, checkpoint)
     batch = folded.join(ids.withColumnRenamed("id", "new_id"), "url", "left")
     ts = ts_lit(run_ts)

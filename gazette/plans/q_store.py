@@ -111,7 +111,7 @@ SELECT url, f.source AS source, f.external_id AS external_id, l.title AS title,
        confirmed_type, first_ord, n_records
 FROM fb""")
 def upsert_fold(spark, sf_dir):
-    _, batch = store_and_batch(spark, sf_dir)
+    batch = kept_records(spark, sf_dir).filter(F.col("ord") >= B.split_point(spark, sf_dir))
     f = st.fold_batch(batch)
     return f.select("url", "source", "external_id", "title", F.md5("description").alias("description_md5"),
                     "posted_date", "deadline", categories_string(F.col("categories")).alias("categories"),
