@@ -42,6 +42,15 @@ EMPTY_DESCRIPTION_PLACEHOLDER = "（概要なし）"
 # Gregorian year = offset + era year.
 ERA_OFFSETS = (("令和", 2018), ("平成", 1988), ("昭和", 1925))
 
+# --- fixed values: page structure --------------------------------------------
+# Definition-list labels: posted date = first dt with this text, deadline =
+# last dt with this text.
+POSTED_LABEL = "公告日"
+DEADLINE_LABEL = "期限"
+# Listing rows, and the href parts an anchor needs when a page has no rows.
+CONTAINER_SELECTORS = "table.koubo-list tr, ul.koubo-list li, .koubo-item"
+FALLBACK_HREF_PARTS = ("/koubo/", "/research/")
+
 # --- fixed values: dates in listing rows -----------------------------------
 ROW_DATE_PATTERN = r"\d{4}[/\-年]\d{1,2}[/\-月]\d{1,2}"
 

@@ -124,7 +124,7 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
                 j = listing.select("*", F.lit(None).cast("date").alias("posted_date"),
                                    F.lit(None).cast("date").alias("deadline"))
             else:
-                fields = H.definition_fields(H.definition_pairs(det, keep=("url",)), "url", "公告日", "期限")
+                fields = H.definition_fields(H.definition_pairs(det, keep=("url",)), "url")
                 fields = fields.filter("ok").select("url", D.era_date("first_value").alias("posted_date"),
                                                     D.era_date("last_value").alias("deadline"))
                 j = listing.join(fields, "url", "inner")
@@ -145,7 +145,7 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
     if container_pages:
         def container_source():
             ev = H.container_rows(pages(container_pages), container_selectors).filter(F.col("kind").isNotNull())
-            ev = ev.filter((F.col("kind") == "row") | F.col("href").contains("/koubo/") | F.col("href").contains("/research/"))
+            ev = ev.filter(H.fallback_anchor_filter())
             link = U.resolve(F.col("href"), F.col("url"))
             dates = D.row_dates(F.col("row_text"))
             ev = ev.select("page_id", "pos", "url", link.alias("link"), "title",

@@ -87,7 +87,7 @@ def container_rows(spark, sf_dir):
     pages = B.table(spark, sf_dir, "pages")
     ev = H.container_rows(pages, CONTAINERS).filter(F.col("kind").isNotNull())
     # anchor-only rows (fallback listing) must point into the listing area
-    ev = ev.filter((F.col("kind") == "row") | F.col("href").contains("/koubo/") | F.col("href").contains("/research/"))
+    ev = ev.filter(H.fallback_anchor_filter())
     link = U.resolve(F.col("href"), F.col("url"))
     ev = ev.select("page_id", "pos", "kind", "url", link.alias("link"), "title", "row_text")
     ev = ev.filter(F.col("link").isNotNull() & (U.host("link") == U.host("url")) & (F.col("title") != ""))
@@ -137,7 +137,7 @@ FROM orders""")
 def definition_fields(spark, sf_dir):
     o = B.table(spark, sf_dir, "orders")
     pages = B.spread(o).select(F.col("o_orderkey").alias("id"), F.expr(DETAIL_HTML_SQL).alias("html"))
-    f = H.definition_fields(H.definition_pairs(pages, keep=("id",)), "id", "公告日", "期限")
+    f = H.definition_fields(H.definition_pairs(pages, keep=("id",)), "id")
     return f.select("id", D.era_date("first_value").alias("posted_date"), D.era_date("last_value").alias("deadline"))
 
 
@@ -151,8 +151,7 @@ def detail_join(spark, sf_dir):
     listing = pages.select("url", H.page_title("html").alias("title"))
     complete = F.col("html").rlike(r"(?i)</html>\s*$")
     fetched = pages.select("page_id", "url", "html", complete.alias("complete"))
-    fields = H.definition_fields(H.definition_pairs(fetched, keep=("url", "complete")), ["url", "complete"],
-                                 "公告日", "期限")
+    fields = H.definition_fields(H.definition_pairs(fetched, keep=("url", "complete")), ["url", "complete"])
     # pages that failed to load (incomplete) or to parse are quarantined, not joined
     details = fields.filter(F.col("ok") & F.col("complete")).select(
         "url", D.era_date("first_value").alias("posted_date"), D.era_date("last_value").alias("deadline"))

@@ -19,6 +19,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .. import constants as K
 from ..functions import text as TX
 from ..functions import urls as U
 
@@ -276,7 +277,17 @@ def definition_pairs(df: DataFrame, html: str = "html", keep=("page_id",)) -> Da
     return _events(df, html, list(keep), PAIR_EVENT, definition_events)
 
 
-def definition_fields(pairs: DataFrame, key, first_label: str, last_label: str) -> DataFrame:
+def fallback_anchor_filter(href_parts=K.FALLBACK_HREF_PARTS):
+    """Row events pass; anchor-only events (no listing rows on the page) need
+    one of ``href_parts`` in their href (B4)."""
+    ok = F.col("kind") == "row"
+    for part in href_parts:
+        ok = ok | F.col("href").contains(part)
+    return ok
+
+
+def definition_fields(pairs: DataFrame, key, first_label: str = K.POSTED_LABEL,
+                      last_label: str = K.DEADLINE_LABEL) -> DataFrame:
     """Per page: dd of the first dt == first_label, dd of the last dt == last_label
     (dt text compared after a Unicode strip). Pages without pairs give NULLs."""
     keys = [key] if isinstance(key, str) else list(key)

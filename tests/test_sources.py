@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from gazette import constants as K
 from gazette.functions import dates as D
 from gazette.functions import urls as U
 from gazette.sources import feeds as FD
@@ -35,9 +36,9 @@ CONTAINER = """<html><body><table class="koubo-list">
 </table></body></html>"""
 
 
-def rows(spark, html, selectors="table.koubo-list tr, ul.koubo-list li, .koubo-item"):
+def rows(spark, html, selectors=K.CONTAINER_SELECTORS):
     pages = spark.createDataFrame([(1, "https://www.agency.example/koubo/index.html", html)], "page_id long, url string, html string")
-    ev = H.container_rows(pages, selectors).filter(F.col("kind").isNotNull())
+    ev = H.container_rows(pages, selectors).filter(F.col("kind").isNotNull()).filter(H.fallback_anchor_filter())
     link = U.resolve(F.col("href"), F.col("url"))
     dates = D.row_dates(F.col("row_text"))
     return ev.select("kind", link.alias("link"), "title", U.host(link).alias("h"),
@@ -57,7 +58,8 @@ def test_container_rows(spark):
 
 def test_container_fallback_anchors(spark):
     r = rows(spark, '<p><a href="/koubo/x.html">X</a><a href="/news/y.html">Y</a></p>')
-    assert [(x["kind"], x["title"]) for x in r] == [("anchor", "X"), ("anchor", "Y")]
+    # no listing rows: every anchor is a candidate, but only hrefs with a listing part pass
+    assert [(x["kind"], x["title"]) for x in r] == [("anchor", "X")]
 
 
 DETAIL = """<html><body><dl>
@@ -72,7 +74,7 @@ DETAIL = """<html><body><dl>
 
 def test_definition_fields(spark):
     pages = spark.createDataFrame([(1, DETAIL), (2, "<html><body><p>none</p></body></html>")], "id long, html string")
-    f = H.definition_fields(H.definition_pairs(pages, keep=("id",)), "id", "公告日", "期限")
+    f = H.definition_fields(H.definition_pairs(pages, keep=("id",)), "id")
     got = {r["id"]: r for r in f.select("id", "ok", D.era_date("first_value").alias("p"),
                                         D.era_date("last_value").alias("d")).collect()}
     assert str(got[1]["p"]) == "2026-07-17" and str(got[1]["d"]) == "2026-08-06"
