@@ -77,3 +77,17 @@ def test_publish(spark, tmpdir_path):
     paths = R.publish(b, a, tmpdir_path)
     assert spark.read.parquet(paths["board"]).count() == 4
     assert spark.read.parquet(paths["archive"]).select("month_label").distinct().count() == 3
+
+
+def test_global_rank_balanced_under_a_hot_key(spark):
+    # a third of the rows share one deadline: the range partitioning runs on the
+    # full (unique) sort key, so the hot value is split across partitions
+    n = 30000
+    df = spark.range(n).select(F.col("id"),
+                               F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 997).alias("dl"))
+    order = [F.col("dl").asc(), F.col("id").desc()]
+    sizes = [r[1] for r in df.repartitionByRange(8, *order).groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * n / 8
+    ranked = global_rank(df, order, out="r", partitions=8)
+    expect = df.withColumn("r", F.row_number().over(Window.orderBy(*order)))
+    assert ranked.select("id", "r").exceptAll(expect.select("id", "r")).count() == 0
