@@ -220,6 +220,8 @@ def definition_events(doc: str) -> list:
     """Definition pairs (A3): for each ``dt`` whose single string exists, in
     document order: that string and the text of the next following sibling
     ``dd`` (pieces stripped, joined by ' '), or None without one."""
+    if not doc or "<dt" not in doc.lower():      # no dt tag at all: nothing to parse
+        return []
     root = parse_tree(doc)
     out, pos = [], 0
     for n in _walk(root):
