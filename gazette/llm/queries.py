@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import linededup, mix, quality, urlfilter
+from . import ann, langid, linededup, mix, packing, quality, urlfilter
 from .common import read_table
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
+TOKENIZER = "word_bpe_49k.json"
 WORDS = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DUCK_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -152,3 +153,29 @@ FROM base
 def op10_quality_rules(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op7_best_fit_pack")
+def op7_best_fit_pack(spark, sf_dir):
+    import public_tokenizers
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.best_fit_pack(docs, public_tokenizers.path(TOKENIZER))
+
+
+def held_out():
+    """Whether a document's fold is the one that is not learnt from."""
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    return F.coalesce(fold == 0, F.lit(True))
+
+
+@query("op5_language_id")
+def op5_language_id(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~held_out()))
+    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_nearest_vectors")
+def op3_nearest_vectors(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
