@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLANKS, ascii_lower, free_name, text_or_empty
+from .common import BLANKS, ascii_lower, free_name, staged, text_or_empty
 
 MIN_DOCS = 3
 MIN_CHARS = 20
@@ -45,8 +45,9 @@ def shared_keys(keys: DataFrame, min_docs: int) -> DataFrame:
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, text: str = "text") -> DataFrame:
     """``docs`` with the cleaned text, n_lines and n_dropped (replacing columns
     so named)."""
-    keys = line_keys(docs, text)
-    lost = (keys.join(shared_keys(keys, min_docs), ["h1", "h2"])
+    keys = staged(line_keys(docs, text), "line-keys")  # read twice, and cutting lines is the costly part
+    shared = staged(shared_keys(keys, min_docs), "line-shared")  # so that the join can split a hot key's rows
+    lost = (keys.join(shared, ["h1", "h2"])
             .where(~F.col("doc").eqNullSafe(F.col("keeper")))
             .groupBy("doc", "th").agg(F.collect_set("pos").alias("lost")))
     others = [c for c in docs.columns if c.lower() not in (text.lower(), "n_lines", "n_dropped")]
