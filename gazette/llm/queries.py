@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, langid, linededup, mix, packing, quality, urlfilter
+from . import ann, langid, linededup, mix, packing, quality, substring, urlfilter
 from .common import read_table
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -179,3 +179,26 @@ def op5_language_id(spark, sf_dir):
 def op3_nearest_vectors(spark, sf_dir):
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+SUBSTRING_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS words FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 34], ' ')) AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM d WHERE len(words) >= 35)),
+twice AS (SELECT w FROM win GROUP BY w HAVING count(*) > 1),
+hit AS (SELECT doc_id, i FROM win SEMI JOIN twice ON win.w = twice.w),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM hit),
+word AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM d),
+kept AS (
+  SELECT word.doc_id, string_agg(word, ' ' ORDER BY word.p) AS kept, count(*) AS n
+  FROM word ANTI JOIN gone ON word.doc_id = gone.doc_id AND word.p = gone.p GROUP BY word.doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
+
+@query("op9_substring_dedup", SUBSTRING_SQL)
+def op9_substring_dedup(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.substring_dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
