@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, langid, linededup, mix, packing, quality, substring, urlfilter
+from . import ann, langid, linededup, mix, packing, quality, substring, suffixdedup, urlfilter
 from .common import read_table
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -202,3 +202,9 @@ FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 def op9_substring_dedup(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.substring_dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixdedup.suffix_dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
