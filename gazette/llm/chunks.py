@@ -92,26 +92,31 @@ def split_by_range(keys: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, cuts, "left"), [len(keys)]])
 
 
-def requests(chunk: int, keys: np.ndarray, n: int, counts: np.ndarray | None = None) -> pa.Table:
+def requests(chunk: int, keys: np.ndarray, n: int, counts: np.ndarray | None = None, width: int = 8) -> pa.Table:
     """The chunk's distinct keys (sorted uint64), a row a range; with the
-    number of its documents (uint8, at most 255) if the answer needs it."""
+    number of its documents (uint8, at most 255) if the answer needs it. Only
+    the highest ``width`` bytes are sent; the others have to be 0."""
+    sent = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - width:]
     at = split_by_range(keys, n)
     full = [i for i in range(n) if at[i] < at[i + 1]]
     return pa.table({
         "part": pa.array(full, pa.int32()), "chunk": pa.array([chunk] * len(full), pa.int64()),
-        "keys": pa.array([keys[at[i]:at[i + 1]].tobytes() for i in full], pa.binary()),
+        "keys": pa.array([sent[at[i]:at[i + 1]].tobytes() for i in full], pa.binary()),
         "counts": pa.array([None if counts is None else counts[at[i]:at[i + 1]].tobytes() for i in full], pa.binary())})
 
 
-def answers(asked: DataFrame, judge: Callable[[np.ndarray, np.ndarray | None], np.ndarray], round_: int, bits: bool) -> DataFrame:
+def answers(asked: DataFrame, judge: Callable[[np.ndarray, np.ndarray | None], np.ndarray], round_: int, bits: bool,
+            width: int = 8) -> DataFrame:
     """For each request an answer: ``judge`` gets the number of chunks that
     hold each distinct key of a range, and the sum of their counts."""
 
     def gather(table: pa.Table) -> pa.Table:
         chunks, part = table.column("chunk").to_pylist(), table.column("part")[0].as_py()
-        blobs = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("keys")]
+        blobs = [np.frombuffer(x.as_py(), np.uint8).reshape(-1, width) for x in table.column("keys")]
         sizes = [len(b) for b in blobs]
-        keys = np.concatenate(blobs)
+        wide = np.zeros((sum(sizes), 8), np.uint8)
+        wide[:, 8 - width:] = np.concatenate(blobs)
+        keys = wide.view("<u8")[:, 0]
         order = np.argsort(keys, kind="stable")
         same = keys[order]
         begin = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))

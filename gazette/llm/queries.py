@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, langid, linededup, mix, packing, quality, substring, suffixdedup, urlfilter
+from . import ann, jaccard, langid, linededup, mix, packing, quality, substring, suffixdedup, urlfilter
 from .common import read_table
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -208,3 +208,37 @@ def op9_substring_dedup(spark, sf_dir):
 def op6_suffix_dedup(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixdedup.suffix_dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+JACCARD_CTE = rf"""
+sh_words AS (
+  SELECT rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORDS}') AS w FROM {{docs}}),
+sh AS (
+  SELECT DISTINCT rid, s FROM (
+    SELECT rid, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                            WHEN len(w) > 0 THEN [array_to_string(w, ' ') || ' '] ELSE [] END) AS s FROM sh_words)),
+sizes AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+often AS (SELECT s FROM sh GROUP BY s HAVING count(*) > 1),
+lists AS (SELECT sh.rid, sh.s FROM sh SEMI JOIN often ON sh.s = often.s),
+pairs AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS i FROM lists a JOIN lists b ON a.s = b.s AND a.rid < b.rid GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.rid = x JOIN sizes q ON q.rid = y WHERE 100 * i >= 75 * (p.n + q.n - i)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT rid AS a, rid AS b FROM sh_words
+  UNION
+  SELECT reach.a, edges.y FROM reach JOIN edges ON reach.b = edges.x),
+joined AS (
+  SELECT w.rid, w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m.component_id
+  FROM sh_words w LEFT JOIN sizes USING (rid)
+  JOIN (SELECT a AS rid, min(d.doc_id) AS component_id FROM reach JOIN sh_words d ON d.rid = reach.b GROUP BY a) m USING (rid))"""
+
+JACCARD_SQL = ("WITH RECURSIVE numbered AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)," + JACCARD_CTE.format(docs="numbered")
+               + " SELECT doc_id, n_shingles, component_id FROM joined")
+
+
+@query("op8_jaccard_join", JACCARD_SQL)
+def op8_jaccard_join(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.jaccard_join(docs).select("doc_id", "n_shingles", "component_id")

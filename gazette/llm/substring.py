@@ -47,8 +47,10 @@ _POWERS = np.cumprod(np.concatenate([[1], np.full((1 << 16) - 1, 0x9E3779B97F4A7
 class Words(Text):
     """The words of a chunk: where they begin and end, and a hash of each."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, fold: np.ndarray | None = None):
         super().__init__(table)
+        if fold is not None:
+            self.data = fold[self.data]
         ink = ~_BLANK[self.data]
         edge = np.flatnonzero(ink[1:] != ink[:-1]) + 1
         edge = np.concatenate([[0], edge]) if len(ink) and ink[0] else edge
