@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -50,18 +50,24 @@ class Chunks:
     def ranges(self, keys_a_byte: float) -> int:
         return max(1, int(self.n_bytes * keys_a_byte / RANGE_KEYS) + 1)
 
+    @property
+    def texts(self) -> DataFrame:
+        return self.table.select("chunk", "ord", "doc_id", "text")
+
     def map(self, fn: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
-        return self.table.groupBy("chunk").applyInArrow(fn, schema)
+        return self.texts.groupBy("chunk").applyInArrow(fn, schema)
 
     def map_with(self, replies: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
         """Each chunk with the answers to it."""
-        return self.table.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(fn, schema)
+        return self.texts.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(fn, schema)
 
 
-def stage(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> Chunks:
+def stage(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES, rest: list[str] | None = None) -> Chunks:
     """Write (doc_id, text) in chunks: a chunk is closed when it holds
-    ``chunk_bytes`` of text. Null texts become empty."""
+    ``chunk_bytes`` of text. Null texts become empty. The columns in ``rest``
+    go with them as one struct."""
     spark = docs.sparkSession
+    more = [] if rest is None else [F.struct(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(rest)]).alias("rest")]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held, n = TaskContext.get().partitionId() << 33, 0, 0
@@ -73,11 +79,12 @@ def stage(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -
                     chunk, held = chunk + 1, 0
                 out[i] = chunk
                 held += int(s) + 64
-            yield pa.RecordBatch.from_arrays([pa.array(out), pa.array(np.arange(n, n + len(size))), b.column(0), b.column(1)], names=["chunk", "ord", "doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(out), pa.array(np.arange(n, n + len(size))), *b.columns], names=["chunk", "ord", *b.schema.names])
             n += len(size)
 
-    given = docs.select("doc_id", F.coalesce(docs[text], F.lit("")).alias("text"))
-    dealt = given.mapInArrow(deal, "chunk long, ord long, doc_id long, text string")
+    given = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"), *more)
+    schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("ord", T.LongType()), *given.schema.fields])
+    dealt = given.mapInArrow(deal, schema)
     total = given.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     name = f"chunks_{uuid.uuid4().hex}"
     buckets = max(1, -(-total // BUCKET_BYTES))

@@ -194,7 +194,30 @@ def solve(table: pa.Table) -> pa.Table:
 def jaccard_join(docs: DataFrame, text: str = "text") -> DataFrame:
     """A row a row of ``docs``: doc_id, n_shingles and component_id (the least
     doc_id that links lead to)."""
-    chunks = stage(docs, text)
+    return joined(stage(docs, text)).select("doc_id", "n_shingles", "component_id")
+
+
+def distinct_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the least doc_id (a row
+    without doc_id only if none has one). Texts without words all stay."""
+    others = [c for c in docs.columns if c.lower() != text.lower()]
+    chunks = stage(docs, text, rest=others)
+    found = joined(chunks)
+    empty = found.where("n_shingles = 0").select("row")
+    first = F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    kept = empty.unionAll(found.where("n_shingles > 0").groupBy("group").agg(first.alias("row")).select("row"))
+    rows = chunks.table.withColumn("row", row_of("chunk", "ord")).join(staged(kept, "jaccard-kept"), "row", "left_semi")
+    place = {c: F.col(f"rest.c{i}").alias(c) for i, c in enumerate(others)}
+    return rows.select(*[place.get(c, F.col("text").alias(c)) for c in docs.columns])
+
+
+def row_of(chunk: str, ord_: str):
+    return F.shiftleft(F.shiftright(chunk, _BASE), _BASE).bitwiseOR(F.col(ord_))
+
+
+def joined(chunks) -> DataFrame:
+    """(row, doc_id, n_shingles, group, component_id) of each staged document;
+    rows of one component share a group."""
     n1 = chunks.ranges(KEYS_A_BYTE)
 
     def ask(table: pa.Table) -> pa.Table:
@@ -235,9 +258,9 @@ def jaccard_join(docs: DataFrame, text: str = "text") -> DataFrame:
     of = same.join(label, same["first"] == label["node"], "left").select("s1", "s2", "least", F.coalesce("label", "first").alias("label"))
     of = staged(of, "jaccard-labels")
     least = staged(of.groupBy("label").agg(F.min("least").alias("component_id")), "jaccard-least")
-    ids = staged(of.join(least, "label").select("s1", "s2", "component_id"), "jaccard-ids")
-    found = every.where("n > 0").join(ids, ["s1", "s2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return found.unionAll(every.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    ids = staged(of.join(least, "label").select("s1", "s2", F.col("label").alias("group"), "component_id"), "jaccard-ids")
+    found = every.where("n > 0").join(ids, ["s1", "s2"]).select("row", "doc_id", F.col("n").alias("n_shingles"), "group", "component_id")
+    return found.unionAll(every.where("n = 0").select("row", "doc_id", F.col("n").alias("n_shingles"), F.col("row").alias("group"), F.col("doc_id").alias("component_id")))
 
 
 def solved(chunks, near: DataFrame) -> DataFrame:
