@@ -43,6 +43,7 @@ SAMPLE = 65_536
 TREES = 6
 LEAF = 32         # of the sample
 SHARE = 1.0       # of the sample, in the leaves that a query meets (a point counts in each tree)
+LEAST = 2000      # points met at least
 BLOCK = 20_000
 MAX_LENGTHS = 16  # different vector lengths
 
@@ -156,7 +157,7 @@ def _of_length(points: DataFrame, asked: DataFrame, dim: int, n: int, k: int, sa
     taken = np.stack(taken["v"].to_numpy()) if len(taken) else np.zeros((1, dim))
     taken = taken[np.lexsort(taken.T[::-1])]  # the order rows come in doesn't matter
     forest = points.sparkSession.sparkContext.broadcast(Forest(taken, trees, leaf))
-    wanted = share * len(taken)
+    wanted = max(share * len(taken), LEAST)
     blocks = max(1, -(-n // (forest.value.n_leaves * BLOCK)))
     buckets = max(1, -(-n * trees // (2 * BLOCK)))
 

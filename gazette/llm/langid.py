@@ -32,6 +32,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import free_name
+
 BUCKETS = 1 << 13
 SAMPLE = 4000        # texts a language
 BLOCK = 1 << 18      # characters read at a time
@@ -181,7 +183,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score"])
 
     names = ("lang_pred", "score", "ambiguous")
-    kept = [docs[f"`{c}`"] for c in docs.columns if c.lower() not in names]
-    out = docs.select(*kept, predict(docs[text]).alias("score"))
-    return out.withColumns({"lang_pred": F.col("score.lang_pred"), "score": F.col("score.score"),
-                            "ambiguous": F.col("score.score") < AMBIGUOUS})
+    own, = free_name(docs, "predicted")
+    kept = [c for c in docs.columns if c.lower() not in names]
+    out = docs.select(*[docs[f"`{c}`"] for c in kept], predict(docs[text]).alias(own))
+    return out.select(*[out[f"`{c}`"] for c in kept], F.col(f"{own}.lang_pred").alias("lang_pred"), F.col(f"{own}.score").alias("score"),
+                      (F.col(f"{own}.score") < AMBIGUOUS).alias("ambiguous"))
