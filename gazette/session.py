@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +48,27 @@ def apply_engine_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+_shipped: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once per application,
+    so that functions of the package run wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="gazette-code-"), "gazette_code.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    p = os.path.join(folder, n)
+                    z.write(p, os.path.join(os.path.basename(root), os.path.relpath(p, root)))
+    sc.addPyFile(target)  # served by the driver; executors fetch their own copy
+    _shipped.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, setting one only when none is configured.
 
