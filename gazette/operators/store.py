@@ -165,6 +165,56 @@ def snapshot_versions(spark: SparkSession, root: str) -> list:
     return sorted(out)
 
 
+def next_version(spark: SparkSession, root: str, first: int = 0) -> int:
+    """One past every version folder, complete or not."""
+    fs, p = _fs(spark, root)
+    taken = [first - 1]
+    if fs.exists(p):
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        taken += [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
+    return max(taken) + 1
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, None if there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
+def claim_version(spark: SparkSession, root: str, owner: str, first: int = 1) -> tuple[int, bool]:
+    """``(version, done)`` of the snapshot that ``owner`` writes.
+
+    The claim is written before the snapshot, so a repeated attempt of the same
+    owner finds its version again: done if that is complete. A version that
+    others have passed meanwhile is given up for a new one."""
+    path = os.path.join(root, "_claims", owner)
+    said, complete = read_text(spark, path), snapshot_versions(spark, root)
+    if said is not None and int(said) in complete:
+        return int(said), True
+    if said is not None and not any(v > int(said) for v in complete):
+        return int(said), False
+    version = next_version(spark, root, first)
+    write_text(spark, path, str(version))
+    fs, p = _fs(spark, os.path.join(root, f"v={version}"))
+    fs.mkdirs(p)
+    return version, False
+
+
 def read_store(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """Latest (or given) snapshot, with missing columns backfilled."""
     versions = snapshot_versions(spark, root)

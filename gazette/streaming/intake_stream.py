@@ -3,19 +3,24 @@ exactly the batch path (validate -> prepare -> fold -> upsert).
 
 The state is the store itself (``first_seen`` is kept for ever), so there is
 no watermark and no in-memory state store: each micro-batch reads the latest
-snapshot ``v=n`` and writes ``v=batchId+1``. Writing to a version named by
-the batch id makes a replayed batch (after a failure between the write and
-the offset commit) detect its finished output and skip, so each batch
-applies once.
+snapshot and writes the next free version. Before it writes, the batch claims
+its version under (stream id, batch id); a batch that is replayed after a
+failure finds its claim and skips only if that very snapshot is complete. So a
+new stream over a store that has versions already, or daily runs between the
+batches of a stream, lose nothing. One writer at a time is assumed.
+
+Records that fail validation are written to ``<store>/_rejects``.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators import rejects as RJ
 from ..operators import store as ST
 from ..operators import taxonomy as TXN
 from ..schema import INTAKE
@@ -25,7 +30,15 @@ from ..sources import intake as IN
 def apply_batch(batch: DataFrame, store: DataFrame, tax: TXN.Taxonomy, run_ts: _dt.datetime,
                 sources=None) -> DataFrame:
     """One intake batch applied to the store (the batch path, no scoring)."""
-    valid, _ = IN.split_valid(batch, sources if sources is not None else IN.K.SOURCES)
+    valid, _ = split(batch, sources)
+    return apply_valid(valid, store, tax, run_ts)
+
+
+def split(batch: DataFrame, sources=None) -> tuple:
+    return IN.split_valid(batch, sources if sources is not None else IN.K.SOURCES)
+
+
+def apply_valid(valid: DataFrame, store: DataFrame, tax: TXN.Taxonomy, run_ts: _dt.datetime) -> DataFrame:
     prepared = TXN.prepare(valid, tax)
     kept = prepared.filter(F.col("stage") == "kept").withColumn("tender_type", F.col("pre_label"))
     return ST.upsert(store, ST.fold_batch(kept), run_ts)
@@ -43,15 +56,21 @@ def start_intake_stream(spark: SparkSession, source_dir: str, store_root: str, c
     stream = reader.parquet(source_dir)
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        target = os.path.join(store_root, f"v={batch_id + 1}")
-        if ST.path_exists(spark, os.path.join(target, "_SUCCESS")):
+        owner = f"{stream_id(spark, checkpoint_dir)}-{batch_id}"
+        version, done = ST.claim_version(spark, store_root, owner)
+        if done:
             return                                    # replayed batch: already applied
-        ts = run_ts(batch_id) if callable(run_ts) else (run_ts or _dt.datetime.utcnow())
-        versions = [v for v in ST.snapshot_versions(spark, store_root) if v <= batch_id]
-        store = ST.read_store(spark, store_root, versions[-1]) if versions else ST.empty_store(spark)
-        new = apply_batch(df, store, tax, ts, sources)
-        new.write.mode("overwrite").parquet(target)
+        ts = run_ts(batch_id) if callable(run_ts) else (run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+        store = ST.read_store(spark, store_root)
+        valid, rejected = split(df, sources)
+        RJ.of_validation(rejected).write.mode("overwrite").parquet(os.path.join(store_root, "_rejects", owner))
+        apply_valid(valid, store, tax, ts).write.mode("overwrite").parquet(os.path.join(store_root, f"v={version}"))
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def stream_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """The id that Spark gave the stream of this checkpoint folder."""
+    return json.loads(ST.read_text(spark, os.path.join(checkpoint_dir, "metadata")))["id"]

@@ -32,3 +32,40 @@ def test_stream_equals_batch(spark, tmpdir_path):
     at_once = apply_batch(n, ST.empty_store(spark), B.taxonomy(), TS, B.DOC_SOURCE_PATTERN)
     assert ST.snapshot_versions(spark, store_root) == [1, 2]          # one version per micro-batch
     assert _content(streamed) == _content(at_once)
+
+
+def _stream(spark, src, root, ckpt, wait=300):
+    q = start_intake_stream(spark, src, root, ckpt, B.taxonomy(), run_ts=TS, sources=B.DOC_SOURCE_PATTERN)
+    q.awaitTermination(wait)
+    assert q.exception() is None
+
+
+def test_new_stream_over_a_store_with_versions(spark, tmpdir_path):
+    """A new stream starts at batch 0 over a store that has versions already:
+    its rows arrive, and a replayed batch changes nothing."""
+    n = B.documents_intake(spark, SF001).select(*INTAKE_COLUMNS).withColumn("source", F.when(F.col("ord") % 50 == 0, "bad").otherwise(F.col("source")))
+    src, root = os.path.join(tmpdir_path, "incoming"), os.path.join(tmpdir_path, "store")
+    for v in (0, 1, 2):
+        ST.write_store(ST.empty_store(spark), root, v)
+    n.write.parquet(os.path.join(src, "drop-1"))
+    _stream(spark, os.path.join(src, "*"), root, os.path.join(tmpdir_path, "ckpt"))
+    expected = _content(apply_batch(n, ST.empty_store(spark), B.taxonomy(), TS, B.DOC_SOURCE_PATTERN))
+    assert ST.snapshot_versions(spark, root) == [0, 1, 2, 3] and _content(ST.read_store(spark, root)) == expected and expected
+    rejects = spark.read.parquet(os.path.join(root, "_rejects", "*"))
+    assert rejects.count() == n.where("source = 'bad'").count() > 0
+    # the commit of the batch is lost: it is replayed and finds its snapshot
+    commits = os.path.join(tmpdir_path, "ckpt", "commits")
+    for name in os.listdir(commits):
+        os.rename(os.path.join(commits, name), os.path.join(tmpdir_path, name + ".away"))
+    _stream(spark, os.path.join(src, "*"), root, os.path.join(tmpdir_path, "ckpt"))
+    assert ST.snapshot_versions(spark, root) == [0, 1, 2, 3] and _content(ST.read_store(spark, root)) == expected
+
+
+def test_claims(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "s")
+    assert ST.claim_version(spark, root, "a-0") == (1, False)
+    assert ST.claim_version(spark, root, "a-0") == (1, False)      # a retry writes the same version
+    assert ST.claim_version(spark, root, "b-0") == (2, False)      # claimed ones are taken
+    ST.empty_store(spark).write.mode("overwrite").parquet(os.path.join(root, "v=2"))
+    assert ST.claim_version(spark, root, "b-0") == (2, True)
+    assert ST.claim_version(spark, root, "a-0") == (3, False)      # passed meanwhile: a new one
