@@ -1,15 +1,17 @@
 """Keyword dictionary: loading, exclusion, categorisation, provisional labels.
 
-The dictionary is configuration (tens to thousands of words): it is loaded and
-normalised once on the driver. Matching runs in one of two physical forms with
-the same result:
-
-* ``expr`` — one boolean expression per sub-category (an OR of ``contains``),
-  evaluated inside whole-stage codegen with short-circuit per sub. No join, no
-  shuffle. The default up to ``EXPR_MAX_KEYWORDS`` words.
-* ``matcher`` — one Aho-Corasick pass per text inside ``mapInPandas``: cost is
-  linear in the text length whatever the dictionary size. The keyword list
-  travels with the task closure, so its size is checked first.
+The dictionary is configuration: it is loaded and normalised once on the
+driver. Matching runs in one of two physical forms with the same result, chosen
+by the caller:
+
+* ``expr`` (the default) — one boolean expression per sub-category, an OR of
+  ``contains`` with short-circuit per sub. No join, no shuffle; the cost grows
+  with words times text length.
+* ``join`` — for dictionaries of many thousand words: the distinct
+  three-character pieces of each text meet the words that begin with them in an
+  equi-join, and only these candidates are tested with ``contains``. Spark
+  broadcasts the words if they are small and shuffles by piece if not. Needs a
+  column that identifies a row.
 
 Matching is by substring on NFC + lower-cased text, title + ' ' + description,
 so a keyword may also match across the joint.
@@ -20,16 +22,13 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 from functools import reduce
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as K
 from ..functions.text import match_text, norm_lower, py_norm_lower
 
-EXPR_MAX_KEYWORDS = 1000
-MATCHER_MAX_KEYWORDS = 2_000_000
-MATCHER_MAX_BYTES = 256 << 20
+PIECE = 3   # characters of a word that a text's pieces are joined on
 
 CATEGORIES_TYPE = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
 
@@ -43,54 +42,35 @@ class Taxonomy:
 
     @classmethod
     def from_dict(cls, data) -> "Taxonomy":
+        """Every list of words below a category is a sub-category; anything of
+        another shape is left out."""
         if not isinstance(data, dict):
-            raise ValueError(f"dictionary must be a JSON object, got {type(data).__name__}")
-        cats = []
-        for cat, subs in data.items():
-            if cat in (K.DICT_EXCLUDE_KEY, K.DICT_HINTS_KEY) or not isinstance(subs, dict):
-                continue
-            kept = [(sub, [py_norm_lower(w) for w in words])
-                    for sub, words in subs.items() if isinstance(words, list)]
-            cats.append((cat, kept))
-        excl = data.get(K.DICT_EXCLUDE_KEY, [])
-        excl = [py_norm_lower(w) for w in excl] if isinstance(excl, list) else []
+            raise ValueError("a dictionary is an object of categories")
+
+        def words(value):
+            return [py_norm_lower(w) for w in value] if isinstance(value, list) else None
+
+        reserved = (K.DICT_EXCLUDE_KEY, K.DICT_HINTS_KEY)
+        nested = {c: v for c, v in data.items() if c not in reserved and isinstance(v, dict)}
+        categories = [(c, [(sub, w) for sub, v in subs.items() if (w := words(v)) is not None]) for c, subs in nested.items()]
         hints = data.get(K.DICT_HINTS_KEY)
-        if isinstance(hints, dict):
-            hints = {k: [py_norm_lower(w) for w in v] if isinstance(v, list) else None
-                     for k, v in hints.items()}
-        else:
-            hints = None
-        return cls(cats, excl, hints)
+        return cls(categories, words(data.get(K.DICT_EXCLUDE_KEY)) or [],
+                   {k: words(v) for k, v in hints.items()} if isinstance(hints, dict) else None)
 
     @classmethod
-    def from_json(cls, path) -> "Taxonomy":
-        p = Path(path)
-        if not p.exists():
-            raise FileNotFoundError(f"dictionary file not found: {p}")
-        return cls.from_dict(json.loads(p.read_text(encoding="utf-8")))
+    def from_json(cls, path, spark: SparkSession | None = None) -> "Taxonomy":
+        """From a JSON file on any file system that Spark reads."""
+        spark = spark or SparkSession.active()
+        from .store import read_text
+        text = read_text(spark, str(path))
+        if text is None:
+            raise FileNotFoundError(str(path))
+        return cls.from_dict(json.loads(text))
 
     @property
     def category_names(self) -> list:
         return [c for c, _ in self.categories]
 
-    def n_keywords(self) -> int:
-        return sum(len(ws) for _, subs in self.categories for _, ws in subs)
-
-    def to_frame(self, spark: SparkSession) -> DataFrame:
-        """Long form ``TAXONOMY(scope, category, sub, keyword, seq)``."""
-        from ..schema import TAXONOMY
-        rows, seq = [], 0
-        for cat, subs in self.categories:
-            for sub, words in subs:
-                for w in words:
-                    rows.append(("category", cat, sub, w, seq)); seq += 1
-        for w in self.exclude:
-            rows.append(("exclude", None, None, w, seq)); seq += 1
-        for kind, words in (self.hints or {}).items():
-            for w in words or []:
-                rows.append(("hint", kind, None, w, seq)); seq += 1
-        return spark.createDataFrame(rows, TAXONOMY)
-
 
 def _any_contains(text: Column, words) -> Column:
     if not words:
@@ -157,90 +137,69 @@ def category_tags(flags: list, labels: list, sep: str = " ") -> Column:
 
 
 # --------------------------------------------------------------------------
-# form 2: multi-pattern matcher in mapInPandas
-
-
-def _matcher_fn(tax: Taxonomy, text_col: str, out_col: str):
-    cats = [(c, [(s, list(ws)) for s, ws in subs]) for c, subs in tax.categories]
-
-    def build():
-        try:
-            import ahocorasick
-        except ImportError:
-            return None
-        auto = ahocorasick.Automaton()
-        for ci, (_, subs) in enumerate(cats):
-            for si, (_, ws) in enumerate(subs):
-                for w in ws:
-                    if not w:
-                        continue
-                    if w in auto:
-                        auto.get(w).append((ci, si))
-                    else:
-                        auto.add_word(w, [(ci, si)])
-        if len(auto) == 0:
-            return None
-        auto.make_automaton()
-        return auto
-
-    n_subs = sum(len(s) for _, s in cats)
-
-    def classify_one(auto, text):
-        hit = set()
-        if text:
-            if auto is not None:
-                for _, pairs in auto.iter(text):
-                    hit.update(pairs)
-                    if len(hit) == n_subs:
-                        break
-            else:
-                for ci, (_, subs) in enumerate(cats):
-                    for si, (_, ws) in enumerate(subs):
-                        if any(w in text for w in ws):
-                            hit.add((ci, si))
-        # an empty word matches everything, as a substring test would
-        for ci, (_, subs) in enumerate(cats):
-            for si, (_, ws) in enumerate(subs):
-                if "" in ws:
-                    hit.add((ci, si))
-        out = []
-        for ci, (c, subs) in enumerate(cats):
-            names = sorted(subs[si][0] for (cj, si) in hit if cj == ci)
-            if names:
-                out.append((c, sorted(set(names))))
-        return out
-
-    def fn(batches):
-        auto = build()
-        for pdf in batches:
-            pdf[out_col] = [classify_one(auto, t) for t in pdf[text_col]]
-            yield pdf
-    return fn
+# form 2: text pieces joined with the words that begin with them
+
+
+def _word_frame(spark: SparkSession, tax: Taxonomy) -> DataFrame:
+    """(piece, word, c, s) of every word of at least ``PIECE`` characters, by
+    the places of its category and sub-category."""
+    rows = [(w[:PIECE], w, i, j) for i, (_, subs) in enumerate(tax.categories) for j, (_, ws) in enumerate(subs) for w in ws if len(w) >= PIECE]
+    return spark.createDataFrame(rows, "piece string, word string, c int, s int").distinct()
+
+
+def _pieces(text: Column) -> Column:
+    """The distinct runs of ``PIECE`` characters of a text: those that follow
+    each other, from each of the first ``PIECE`` characters on."""
+    runs = [F.regexp_extract_all(F.substring(text, k + 1, (1 << 31) - 1), F.lit(f"(?s).{{{PIECE}}}"), F.lit(0)) for k in range(PIECE)]
+    return F.array_distinct(F.concat(*runs))
+
+
+def _hits_by_join(df: DataFrame, tax: Taxonomy, text: str, key: str) -> DataFrame:
+    """(key, _hits): the (c, s) places of the sub-categories found."""
+    pieces = df.select(key, F.explode(_pieces(F.col(text))).alias("piece"))
+    words = pieces.join(_word_frame(df.sparkSession, tax), "piece").select(key, "word", "c", "s")  # no text moves with a piece
+    met = df.select(key, text).join(words, key).where(F.col(text).contains(F.col("word")))
+    return met.groupBy(key).agg(F.collect_set(F.struct("c", "s")).alias("_hits"))
+
+
+def _subs_hit(hits: Column, category: int, names: Column) -> Column:
+    own = F.filter(hits, lambda h: h["c"] == category)
+    return F.transform(own, lambda h: F.get(names, h["s"]))
+
+
+def _categories_from_hits(hits: Column, norm_text: Column, tax: Taxonomy) -> Column:
+    """As :func:`categories_expr`; words too short for a piece are tested here."""
+    entries = []
+    for i, (cat, subs) in enumerate(tax.categories):
+        if not subs:
+            continue
+        found = _subs_hit(hits, i, F.array(*[F.lit(sub) for sub, _ in subs]))
+        few = F.array_compact(F.array(*[F.when(_any_contains(norm_text, [w for w in ws if len(w) < PIECE]), F.lit(sub)) for sub, ws in subs]))
+        entries.append(F.struct(F.lit(cat).alias("key"), F.array_sort(F.array_distinct(F.concat(found, few))).alias("value")))
+    if not entries:
+        return _empty_categories()
+    return F.map_from_entries(F.filter(F.array(*entries), lambda e: F.size(e["value"]) > 0))
 
 
 def categorise(df: DataFrame, tax: Taxonomy, title: str = "title", description: str = "description",
-               out: str = "categories", method: str = "auto", norm_col: str | None = None) -> DataFrame:
+               out: str = "categories", method: str = "expr", norm_col: str | None = None, key: str | None = None) -> DataFrame:
     """Add ``out``: the category map of each row (C1 + D1).
 
     ``norm_col`` names an existing normalised match-text column; otherwise it
-    is computed here (NFC + lower of title + ' ' + description)."""
-    n = tax.n_keywords()
-    if method == "auto":
-        method = "expr" if n <= EXPR_MAX_KEYWORDS else "matcher"
+    is computed here (NFC + lower of title + ' ' + description). ``key`` is a
+    column that identifies a row, for the ``join`` form."""
     tmp = norm_col or "_match_norm"
     if norm_col is None:
         df = df.withColumn(tmp, norm_lower(match_text(title, description)))
     if method == "expr":
         res = df.withColumn(out, categories_expr(F.col(tmp), tax))
-    elif method == "matcher":
-        size = sum(len(w.encode()) for _, subs in tax.categories for _, ws in subs for w in ws)
-        if n > MATCHER_MAX_KEYWORDS or size > MATCHER_MAX_BYTES:
-            raise ValueError(f"dictionary too large to ship with tasks: {n} words, {size} bytes")
-        entry = T.ArrayType(T.StructType([T.StructField("key", T.StringType()),
-                                          T.StructField("value", T.ArrayType(T.StringType()))]))
-        schema = T.StructType(df.schema.fields + [T.StructField("_cat_entries", entry)])
-        res = (df.mapInPandas(_matcher_fn(tax, tmp, "_cat_entries"), schema)
-               .withColumn(out, F.map_from_entries("_cat_entries")).drop("_cat_entries"))
+    elif method == "join":
+        if key is None:
+            raise ValueError("the join form needs the name of a key column")
+        hits = _hits_by_join(df, tax, tmp, key)
+        none = F.array().cast("array<struct<c:int,s:int>>")
+        res = (df.join(hits, key, "left")
+               .withColumn(out, _categories_from_hits(F.coalesce("_hits", none), F.col(tmp), tax)).drop("_hits"))
     else:
         raise ValueError(method)
     return res.drop(tmp) if norm_col is None else res
@@ -250,11 +209,11 @@ def prepare(df: DataFrame, tax: Taxonomy, title: str = "title", description: str
     """Exclusion, categories and provisional label, with a ``stage`` column
     giving each record's first-match outcome: excluded | no_category | kept.
 
-    Excluded rows never reach the description normaliser's consumers, but the
-    stage column keeps them for the run counters."""
+    The description of an excluded row is not normalised or matched; the row
+    stays, without categories, for the run counters."""
     d = (df.withColumn("_norm_title", norm_lower(F.col(title)))
            .withColumn("excluded", exclude_expr(F.col("_norm_title"), tax))
-           .withColumn("_match_norm", norm_lower(match_text(title, description))))
+           .withColumn("_match_norm", F.when(~F.col("excluded"), norm_lower(match_text(title, description)))))
     d = categorise(d, tax, title, description, norm_col="_match_norm")
     d = d.withColumn("pre_label", pre_label_expr(F.col("_match_norm"), tax))
     stage = (F.when(F.col("excluded"), F.lit("excluded"))

@@ -51,7 +51,7 @@ FROM m"""
 
 def _categories_query(spark, sf_dir, method):
     n = B.documents_intake(spark, sf_dir)
-    c = tx.categorise(n, TAX, method=method)
+    c = tx.categorise(n, TAX, method=method, key="ord")
     return c.select("ord", "url", categories_string(F.col("categories")).alias("categories"),
                     F.size("categories").cast("long").alias("n_categories"))
 
@@ -63,7 +63,7 @@ def keyword_categories(spark, sf_dir):
 
 @query("keyword_join", _CAT_SQL)
 def keyword_join(spark, sf_dir):
-    return _categories_query(spark, sf_dir, "matcher")
+    return _categories_query(spark, sf_dir, "join")
 
 
 # D2 ------------------------------------------------------------------------

@@ -22,11 +22,11 @@ def tax():
 
 
 def classify(spark, tax, title, desc=None, method="expr"):
-    df = spark.createDataFrame([(title, desc)], "title string, description string")
-    return tx.categorise(df, tax, method=method).first()["categories"]
+    df = spark.createDataFrame([(1, title, desc)], "k long, title string, description string")
+    return tx.categorise(df, tax, method=method, key="k").first()["categories"]
 
 
-def test_load_errors(tmp_path):
+def test_load_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         tx.Taxonomy.from_json(tmp_path / "missing.json")
     p = tmp_path / "list.json"
@@ -68,19 +68,31 @@ def test_no_match_is_empty(spark, tax):
     assert classify(spark, tax, "nothing here") == {}
 
 
-def test_matcher_form_equals_expr_form(spark, tax):
-    for title, desc in [("reactor", "battery and substation; 廃炉"), ("x", None), ("POWER GRID", "grant")]:
-        assert classify(spark, tax, title, desc, "expr") == classify(spark, tax, title, desc, "matcher")
+def test_join_form_equals_expr_form(spark, tax):
+    for title, desc in [("reactor", "battery and substation; 廃炉"), ("x", None), ("POWER GRID", "grant"), ("", "")]:
+        assert classify(spark, tax, title, desc, "expr") == classify(spark, tax, title, desc, "join")
 
 
 def test_forms_agree_on_documents(spark):
     from gazette.plans import bindings as B
     n = B.documents_intake(spark, SF001)
-    a = tx.categorise(n, B.taxonomy(), method="expr").select("ord", F.to_json("categories").alias("c"))
-    b = tx.categorise(n, B.taxonomy(), method="matcher").select("ord", F.to_json("categories").alias("c"))
+    a = tx.categorise(n, B.taxonomy()).select("ord", F.to_json("categories").alias("c"))
+    b = tx.categorise(n, B.taxonomy(), method="join", key="ord").select("ord", F.to_json("categories").alias("c"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_forms_agree_on_a_large_dictionary(spark):
+    words = [f"k{i}w" for i in range(5000)] + ["é", "ab", "😀x"]
+    t = tx.Taxonomy.from_dict({"a": {"one": words[::2], "two": words[1::2]}, "b": {"three": words[:50], "none": []}})
+    rows = [(i, f"title k{i * 7}w", f"text K{i * 11}W and é" if i % 3 else "😀x ab") for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, title string, description string")
+    got = {r["k"]: r["categories"] for r in tx.categorise(df, t, method="join", key="k").collect()}
+    for i, title, desc in rows:
+        text = f"{title} {desc}".lower()
+        expected = {c: sorted(s for s, ws in subs if any(w in text for w in ws)) for c, subs in t.categories}
+        assert got[i] == {c: v for c, v in expected.items() if v}
+
+
 def _label(spark, tax, title, desc=None):
     df = spark.createDataFrame([(title, desc)], "title string, description string")
     from gazette.functions.text import match_text, norm_lower
@@ -119,10 +131,3 @@ def test_prepare_stages(spark, tax):
                                "title string, description string")
     st = [r["stage"] for r in tx.prepare(df, tax).collect()]
     assert st == ["excluded", "no_category", "kept"]
-
-
-def test_taxonomy_frame(spark, tax):
-    f = tax.to_frame(spark)
-    assert f.filter("scope = 'exclude'").count() == 1
-    assert f.filter("scope = 'hint'").count() == 2
-    assert f.filter("scope = 'category'").count() == 5
