@@ -52,11 +52,28 @@ def row_dates(text: Column | str, pattern: str = K.ROW_DATE_PATTERN) -> Column:
     return F.regexp_extract_all(_c(text), F.lit("(?U)" + pattern), 0)
 
 
+FULL_WIDTH, DIGITS = "０１２３４５６７８９", "0123456789"
+# English month names, in order.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+
+
 def row_date_value(s: Column) -> Column:
-    """A matched row-date string to a date. 'y/m/d' and 'y-m-d' parse; the
-    '年/月' form is matched but gives NULL (the lenient parser rejects it)."""
+    """A matched row-date string to a date. 'y/m/d' and 'y-m-d' parse, with
+    full-width digits too; the '年/月' form is matched but gives NULL (the
+    lenient parser rejects it)."""
     has_kanji = s.contains("年") | s.contains("月")
-    return F.when(~has_kanji, F.try_to_date(F.regexp_replace(s, "/", "-"), "yyyy-M-d"))
+    plain = F.translate(F.regexp_replace(s, "/", "-"), FULL_WIDTH, DIGITS)
+    return F.when(~has_kanji, F.try_to_date(plain, "yyyy-M-d"))
+
+
+def month_number(name: Column) -> Column:
+    """1 to 12 for an English month name or its first three letters or more."""
+    low = F.lower(name)
+    hits = F.array(*[F.when(F.startswith(F.lit(m), low), F.lit(i)) for i, m in enumerate(MONTHS, 1)])
+    return F.when(F.length(low) >= 3, F.get(F.array_compact(hits), 0))
+
+
+_TAIL = r"(?:[T ,].*)?$"
 
 
 def lenient_date(value: Column | str) -> Column:
@@ -64,14 +81,33 @@ def lenient_date(value: Column | str) -> Column:
 
     The calendar day written in the string is kept: a time of day and any zone
     suffix are dropped, never applied ('…T15:00:00.000Z' stays on its day).
-    Accepted: 'y-m-d[ T…]', 'y/m/d[ …]', 'yyyymmdd'. Anything else is NULL.
+    Accepted: year first with '-', '/' or '.', 'yyyymmdd', day or month first
+    with English month names (a weekday may stand before, as in RFC 822), and
+    'a/b/yyyy', where a is the month if it can be one. Not accepted: a lone day
+    number, two-digit years, dates without a year, other languages' months.
     """
-    s = F.trim(_c(value).cast("string"))
-    # each pattern reads the value once; a non-matching pattern yields '' -> NULL
+    s = F.translate(F.trim(_c(value).cast("string")), FULL_WIDTH, DIGITS)
+
+    def part(pattern, i):
+        return F.regexp_extract(s, pattern, i)
+
+    def numbers(pattern, y, m, d):
+        return ymd_date(*(try_int(part(pattern, i)) for i in (y, m, d)))
+
+    first = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _TAIL
+    compact = r"^(\d{4})(\d{2})(\d{2})" + _TAIL
+    day_name = r"^(?:[A-Za-z]{3,9}\.?,?\s+)?"
+    by_month = day_name + r"([A-Za-z]{3,9})\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + _TAIL
+    by_day = day_name + r"(\d{1,2})(?:st|nd|rd|th)?[\s-]+([A-Za-z]{3,9})\.?,?[\s-]+(\d{4})" + _TAIL
+    last = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})" + _TAIL
+    a, b = try_int(part(last, 1)), try_int(part(last, 2))
+    swap = a > 12
     return F.coalesce(
-        F.try_to_date(F.regexp_extract(s, r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ].*)?$", 1), "yyyy-M-d"),
-        F.try_to_date(F.regexp_extract(s, r"^(\d{4}/\d{1,2}/\d{1,2})(?: .*)?$", 1), "yyyy/M/d"),
-        F.try_to_date(F.regexp_extract(s, r"^(\d{8})$", 1), "yyyyMMdd"),
+        numbers(first, 1, 2, 3), numbers(compact, 1, 2, 3),
+        F.when(s.rlike("[A-Za-z]"), F.coalesce(
+            ymd_date(try_int(part(by_month, 3)), month_number(part(by_month, 1)), try_int(part(by_month, 2))),
+            ymd_date(try_int(part(by_day, 3)), month_number(part(by_day, 2)), try_int(part(by_day, 1))))),
+        ymd_date(try_int(part(last, 3)), F.when(swap, b).otherwise(a), F.when(swap, a).otherwise(b)),
     )
 
 

@@ -122,21 +122,12 @@ def html_escape(col: Column | str) -> Column:
     return F.replace(c, F.lit("'"), F.lit("&#39;"))
 
 
-# Entities decoded by the native (regex) HTML path. Full decoding is done by
-# the Python HTML extractor (sources.html); these are the ones crawled pages
-# use in practice. '&amp;' must come last.
-NATIVE_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'),
-                   ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
-                   ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
-
-
-def html_text(col: Column | str) -> Column:
-    """Inner HTML to text on the JVM: drop tags, decode common entities."""
-    c = F.col(col) if isinstance(col, str) else col
-    c = F.regexp_replace(c, "<[^>]*>", "")
-    for ent, ch in NATIVE_ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+def decode_entities(c: Column) -> Column:
+    """Numeric and named (HTML 4) character references decoded, on the JVM.
+    Texts without an ampersand skip the call."""
+    decoded = F.call_function("reflect", F.lit("org.apache.commons.text.StringEscapeUtils"), F.lit("unescapeHtml4"), c)
+    apos = F.replace(decoded, F.lit("&apos;"), F.lit("'"))
+    return F.when(c.contains("&"), apos).otherwise(c)
 
 
 def prompt_from_safe(safe_title: Column | str, safe_description: Column | str,

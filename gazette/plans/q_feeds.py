@@ -29,7 +29,9 @@ def ymd(x, sep="-", pad=True):
 
 
 def feed_xml_sql(dialect: str) -> str:
-    """One feed document per order: RSS 2.0 for even keys, RDF for odd keys."""
+    """One feed document per order: RSS 2.0 for even keys, RDF for odd keys,
+    Atom for keys that leave 5 when divided by 8. Some RSS documents hold a bare
+    ampersand, and some a second item that is broken."""
     if dialect == "spark":
         wd, mon = f"date_format({_D}, 'EEE')", f"date_format({_D}, 'MMM')"
     else:
@@ -45,13 +47,17 @@ def feed_xml_sql(dialect: str) -> str:
     linkel = f"CASE WHEN o_orderkey % 29 = 0 THEN '' ELSE '<link>' || {link} || '</link>' END"
     rss = (f"'<rss version=\"2.0\"><channel><title>Orders</title><item><title>' || {title} || '</title>' || {linkel} || "
            f"'<description>' || {desc} || '</description><pubDate>' || {rfc} || '</pubDate><guid>urn:o:' || {_K} || "
-           f"'</guid></item></channel></rss>'")
+           f"'</guid></item>' || CASE WHEN o_orderkey % 10 = 4 THEN '<item><title>broken</titel><link>x</item>' ELSE '' END || '</channel></rss>'")
+    rss = f"CASE WHEN o_orderkey % 10 = 2 THEN replace({rss}, '&amp;', '&') ELSE {rss} END"
+    atom = ("'<feed xmlns=\"http://www.w3.org/2005/Atom\"><title>Orders</title><entry><title type=\"text\">' || " + title + " || '</title>' || "
+            f"CASE WHEN o_orderkey % 29 = 0 THEN '' ELSE '<link rel=\"self\" href=\"https://feeds.example/self\"/><link href=\"' || {link} || '\"/>' END || "
+            f"'<id>' || {link} || '</id><summary>' || {desc} || '</summary><published>' || {iso} || '</published></entry></feed>'")
     rdf = ("'<rdf:RDF xmlns:rdf=\"http://www.w3.org/1999/02/22-rdf-syntax-ns#\" xmlns=\"http://purl.org/rss/1.0/\" "
            "xmlns:dc=\"http://purl.org/dc/elements/1.1/\"><channel rdf:about=\"https://feeds.example/\"><title>Orders</title>"
            f"<items><rdf:Seq><rdf:li rdf:resource=\"' || {link} || '\"/></rdf:Seq></items></channel><item rdf:about=\"' || {link} || '\">"
            f"<title>' || {title} || '</title>' || {linkel} || '<description>' || {desc} || '</description><dc:date>' || {iso} || "
            "'</dc:date></item></rdf:RDF>'")
-    return f"CASE WHEN o_orderkey % 2 = 0 THEN {rss} ELSE {rdf} END"
+    return f"CASE WHEN o_orderkey % 2 = 0 THEN {rss} WHEN o_orderkey % 8 = 5 THEN {atom} ELSE {rdf} END"
 
 
 @query("feed_items", f"""SELECT o_orderkey AS id, CAST(0 AS INTEGER) AS pos, 'mext' AS source,
@@ -115,14 +121,16 @@ def era_date(spark, sf_dir):
 def row_text_sql():
     p, q = _D, _D + " + 30"
     kanji = f"CAST(year({p}) AS STRING) || '年' || CAST(month({p}) AS STRING) || '月' || CAST(day({p}) AS STRING) || '日'"
-    return (f"CASE o_orderkey % 4 WHEN 0 THEN 'Open ' || {ymd(p, '/')} || ' until ' || {ymd(q, '-', False)} || ' (JST)' "
+    wide = f"translate({ymd(p, '/')}, '0123456789', '０１２３４５６７８９')"
+    return (f"CASE o_orderkey % 5 WHEN 0 THEN 'Open ' || {ymd(p, '/')} || ' until ' || {ymd(q, '-', False)} || ' (JST)' "
             f"WHEN 1 THEN 'Open ' || {kanji} || ' until ' || {ymd(q, '/')} "
-            f"WHEN 2 THEN 'Posted ' || {ymd(p, '-', False)} || ', no deadline' ELSE 'Rolling call' END")
+            f"WHEN 2 THEN 'Posted ' || {ymd(p, '-', False)} || ', no deadline' "
+            f"WHEN 3 THEN 'Open ' || {wide} || ' until ' || {ymd(q, '/')} ELSE 'Rolling call' END")
 
 
 @query("row_dates", f"""SELECT o_orderkey AS id, {row_text_sql().replace("STRING", "VARCHAR")} AS row_text,
-       CASE o_orderkey % 4 WHEN 0 THEN {_D} WHEN 2 THEN {_D} END AS posted_date,
-       CASE o_orderkey % 4 WHEN 0 THEN {_D} + 30 WHEN 1 THEN {_D} + 30 END AS deadline FROM orders""")
+       CASE WHEN o_orderkey % 5 IN (0, 2, 3) THEN {_D} END AS posted_date,
+       CASE WHEN o_orderkey % 5 IN (0, 1, 3) THEN {_D} + 30 END AS deadline FROM orders""")
 def row_dates(spark, sf_dir):
     o = B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.expr(row_text_sql()).alias("row_text"))
     m = D.row_dates("row_text")
@@ -131,14 +139,21 @@ def row_dates(spark, sf_dir):
 
 
 def lenient_text_sql():
-    compact = f"CAST(year({_D}) AS STRING) || {_p2(f'month({_D})')} || {_p2(f'day({_D})')}"
-    return (f"CASE o_orderkey % 6 WHEN 0 THEN {ymd(_D)} || 'T15:00:00.000Z' WHEN 1 THEN {ymd(_D, '/')} "
+    y, m, d = f"CAST(year({_D}) AS STRING)", f"month({_D})", f"CAST(day({_D}) AS STRING)"
+    compact = f"{y} || {_p2(m)} || {_p2(f'day({_D})')}"
+    name = "CASE " + m + " " + " ".join(f"WHEN {i} THEN '{n.title()}'" for i, n in enumerate(D.MONTHS, 1)) + " END"
+    return (f"CASE o_orderkey % 14 WHEN 0 THEN {ymd(_D)} || 'T15:00:00.000Z' WHEN 1 THEN {ymd(_D, '/')} "
             f"WHEN 2 THEN {compact} WHEN 3 THEN {ymd(_D, '-', False)} || ' 23:59:59+09:00' "
-            f"WHEN 4 THEN '' ELSE 'TBD' END")
+            f"WHEN 4 THEN '' WHEN 5 THEN 'TBD' WHEN 6 THEN {ymd(_D, '.')} WHEN 7 THEN {name} || ' ' || {d} || ', ' || {y} "
+            f"WHEN 8 THEN {ymd(_D, '/')} || 'T10:00' WHEN 9 THEN {compact} || 'T150000Z' "
+            f"WHEN 10 THEN 'Mon, ' || {_p2(f'day({_D})')} || ' ' || substr({name}, 1, 3) || ' ' || {y} || ' 10:00:00 +0900' "
+            f"WHEN 11 THEN {_p2(m)} || '/' || {_p2(f'day({_D})')} || '/' || {y} "
+            f"WHEN 12 THEN CASE WHEN day({_D}) > 12 THEN {d} || '/' || {_p2(m)} || '/' || {y} ELSE {ymd(_D)} END "
+            f"ELSE {d} END")
 
 
 @query("lenient_date", f"""SELECT o_orderkey AS id, {lenient_text_sql().replace("STRING", "VARCHAR")} AS raw,
-       CASE WHEN o_orderkey % 6 IN (4, 5) THEN NULL ELSE {_D} END AS parsed_date FROM orders""")
+       CASE WHEN o_orderkey % 14 IN (4, 5, 13) THEN NULL ELSE {_D} END AS parsed_date FROM orders""")
 def lenient_date(spark, sf_dir):
     o = B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.expr(lenient_text_sql()).alias("raw"))
     return o.select("id", "raw", D.lenient_date("raw").alias("parsed_date"))

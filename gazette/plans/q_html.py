@@ -19,9 +19,19 @@ CONTAINERS = "nav ul li"
 ALLOWED_HOSTS = ("blog.tionsh.example.net", "thther.example.org", "m.ththth.example.net",
                  "blog.ththan.example.net")
 
+# What the oracle reads the anchors of the test pages with: they are all of the
+# one plain form. The engine gets other forms of the same anchors.
+PLAIN_ANCHOR = '(?s)<a href="([^"]*)">(.*?)</a>'
+ANCHOR_FORMS_SQL = """CASE page_id % 5
+  WHEN 1 THEN replace(html, '<a href="', '<a data-href="/no.html" class="x" HREF = "')
+  WHEN 2 THEN regexp_replace(html, '<a href="([^"]*)"', concat('<A href=', chr(39), '$1', chr(39), ' title="t"'))
+  WHEN 3 THEN regexp_replace(html, '<a href="([^" >]*)"', '<a\n href=$1')
+  WHEN 4 THEN regexp_replace(html, '<a href="/([^"]*)"', '<a id=1 href="&#47;$1"')
+  ELSE html END"""
+
 _ANCHORS_SQL = f"""a0 AS (
-  SELECT page_id, url, regexp_extract_all(html, {S.lit(H.ANCHOR_RE)}, 1) AS hrefs,
-         regexp_extract_all(html, {S.lit(H.ANCHOR_RE)}, 2) AS inners FROM pages),
+  SELECT page_id, url, regexp_extract_all(html, {S.lit(PLAIN_ANCHOR)}, 1) AS hrefs,
+         regexp_extract_all(html, {S.lit(PLAIN_ANCHOR)}, 2) AS inners FROM pages),
 a1 AS (SELECT page_id, url, unnest(range(len(hrefs))) AS pos, hrefs, inners FROM a0),
 an AS (SELECT page_id, url, pos, hrefs[pos + 1] AS href, {S.node_text_stripped("inners[pos + 1]")} AS title FROM a1)"""
 
@@ -36,7 +46,7 @@ SELECT link, arg_min({{'page_id': page_id, 'pos': pos, 'title': title}}, page_id
        arg_min({{'page_id': page_id, 'pos': pos, 'title': title}}, page_id * 1000000 + pos).title AS title
 FROM l GROUP BY link""")
 def link_listing(spark, sf_dir):
-    pages = B.table(spark, sf_dir, "pages")
+    pages = B.table(spark, sf_dir, "pages").withColumn("html", F.expr(ANCHOR_FORMS_SQL))
     out = H.link_listing(pages, HREF_PATTERN, URL_TEMPLATE_JAVA)
     return out.select("link", "page_id", F.col("pos").cast("long").alias("pos"), "title")
 
@@ -73,9 +83,9 @@ def url_allowlist(spark, sf_dir):
 @query("container_rows", f"""WITH c0 AS (
   SELECT page_id, url, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '(?s)<li>(.*?)</li>', 1) AS lis FROM pages),
 c1 AS (SELECT page_id, url, unnest(range(len(lis))) AS pos, lis FROM c0),
-c2 AS (SELECT page_id, url, pos, regexp_extract(lis[pos + 1], {S.lit(H.ANCHOR_RE)}, 1) AS href,
-              {S.node_text_stripped(f"regexp_extract(lis[pos + 1], {S.lit(H.ANCHOR_RE)}, 2)")} AS title,
-              regexp_matches(lis[pos + 1], {S.lit(H.ANCHOR_RE)}) AS has_link FROM c1),
+c2 AS (SELECT page_id, url, pos, regexp_extract(lis[pos + 1], {S.lit(PLAIN_ANCHOR)}, 1) AS href,
+              {S.node_text_stripped(f"regexp_extract(lis[pos + 1], {S.lit(PLAIN_ANCHOR)}, 2)")} AS title,
+              regexp_matches(lis[pos + 1], {S.lit(PLAIN_ANCHOR)}) AS has_link FROM c1),
 c3 AS (SELECT page_id, pos, regexp_extract(url, {S.lit(S.ORIGIN_RE)}, 1) || href AS link, title
        FROM c2 WHERE has_link AND href <> '' AND title <> '')
 SELECT link, arg_min({{'page_id': page_id, 'pos': pos, 'title': title}}, page_id * 1000000 + pos).page_id AS page_id,
@@ -141,20 +151,45 @@ def definition_fields(spark, sf_dir):
     return f.select("id", D.era_date("first_value").alias("posted_date"), D.era_date("last_value").alias("deadline"))
 
 
-@query("detail_join", f"""WITH l AS (SELECT url, {S.node_text_stripped("regexp_extract(html, " + S.lit(H.TITLE_RE) + ", 1)")} AS title FROM pages),
-d AS (SELECT url FROM pages WHERE regexp_matches(html, '(?i)</html>\\s*$'))
-SELECT l.url, l.title, nullif(split_part(regexp_replace(l.url, '/+$', ''), '/', -1), '') AS external_id,
-       'jst' AS source, NULL::DATE AS posted_date, NULL::DATE AS deadline
-FROM l JOIN d ON l.url = d.url""")
-def detail_join(spark, sf_dir):
-    pages = B.table(spark, sf_dir, "pages")
-    listing = pages.select("url", H.page_title("html").alias("title"))
-    complete = F.col("html").rlike(r"(?i)</html>\s*$")
-    fetched = pages.select("page_id", "url", "html", complete.alias("complete"))
-    fields = H.definition_fields(H.definition_pairs(fetched, keep=("url", "complete")), ["url", "complete"])
+def splice_dates(kind: str) -> str:
+    """A definition list with two era dates before </body>, by page_id."""
+    base = "DATE '2020-01-01' + CAST(page_id % 300 AS INT)"
+    if kind == "spark":
+        era = lambda n: (f"'令和' || CAST(year({base} + {n}) - 2018 AS STRING) || '年' || CAST(month({base} + {n}) AS STRING) || '月' || "
+                         f"CAST(day({base} + {n}) AS STRING) || '日'")
+        return (f"CASE WHEN page_id % 3 = 0 THEN html ELSE replace(html, '</body>', '<dl><dt>公告日</dt><dd>' || {era(0)} || "
+                f"'</dd><dt>期限</dt><dd>' || {era(30)} || '</dd></dl></body>') END")
+    return base
+
+
+_BASE = splice_dates("duckdb")
+
+
+def _expected_date(n: int) -> str:
+    return f"CASE WHEN p.page_id % 3 = 0 OR NOT contains(p.html, '</body>') THEN NULL ELSE CAST({_BASE.replace('page_id', 'p.page_id')} + {n} AS DATE) END"
+
+
+DETAIL_SQL = f"""WITH l AS (SELECT page_id, url, {S.node_text_stripped("regexp_extract(html, " + S.lit(H.TITLE_RE) + ", 1)")} AS title FROM pages),
+d AS (SELECT p.url, arg_min({{'x': {_expected_date(0)}, 'y': {_expected_date(30)}}}, p.page_id) AS v
+      FROM pages p WHERE regexp_matches(p.html, '(?i)</html>\\s*$') GROUP BY p.url)
+SELECT l.page_id, l.url, l.title, nullif(split_part(regexp_replace(l.url, '/+$', ''), '/', -1), '') AS external_id,
+       'jst' AS source, v.x AS posted_date, v.y AS deadline
+FROM l JOIN d ON l.url = d.url"""
+
+
+def detail_rows(spark, sf_dir):
+    pages = B.table(spark, sf_dir, "pages").withColumn("html", F.expr(splice_dates("spark")))
+    listing = pages.select("page_id", "url", H.page_title("html").alias("title"))
     # pages that failed to load (incomplete) or to parse are quarantined, not joined
-    details = fields.filter(F.col("ok") & F.col("complete")).select(
+    fetched = pages.filter(F.col("html").rlike(r"(?i)</html>\s*$")).select("page_id", "url", "html")
+    fields = H.definition_fields(H.definition_pairs(fetched, keep=("url", "page_id")), ["url", "page_id"])
+    details = H.first_good_page(fields).select(
         "url", D.era_date("first_value").alias("posted_date"), D.era_date("last_value").alias("deadline"))
     j = listing.join(details, "url", "inner")
-    return j.select("url", "title", U.last_path_segment("url").alias("external_id"), F.lit("jst").alias("source"),
+    return j.select("page_id", "url", "title", U.last_path_segment("url").alias("external_id"), F.lit("jst").alias("source"),
                     "posted_date", "deadline")
+
+
+@query("detail_join", f"SELECT url, title, external_id, source, posted_date, deadline FROM ({DETAIL_SQL}) j")
+def detail_join(spark, sf_dir):
+    return detail_rows(spark, sf_dir).drop("page_id")

@@ -13,7 +13,7 @@ from ..sources import intake as IN
 from . import bindings as B
 from . import sqlgen as S
 from .q_feeds import feed_items, json_items
-from .q_html import container_rows, detail_join
+from .q_html import DETAIL_SQL, container_rows, detail_rows
 from .q_keywords import TAX
 from .registry import ORACLE, query
 
@@ -38,7 +38,7 @@ def _sql_splice(c):
     return VALIDATE_SPLICE[c].replace("STRING", "VARCHAR")
 
 
-@query("validate_records", f"""WITH {S.N_CTE},
+VALIDATE_SQL = f"""WITH {S.N_CTE},
 v0 AS (SELECT ord, {_sql_splice("source")} AS source, {_sql_splice("url")} AS url,
               {S.ustrip(_sql_splice("title"))} AS title, coalesce({_sql_splice("tender_type")}, 'unknown') AS tender_type FROM n)
 SELECT ord, source, url, title, tender_type,
@@ -48,7 +48,10 @@ SELECT ord, source, url, title, tender_type,
                       CASE WHEN tender_type NOT IN ('commissioned', 'subsidy', 'unknown') THEN 'tender_type' END) AS errors,
        (source IN ('jgrants', 'nedo', 'jst', 'mext') AND (starts_with(url, 'http://') OR starts_with(url, 'https://'))
         AND length(title) > 0 AND tender_type IN ('commissioned', 'subsidy', 'unknown')) AS valid
-FROM v0""")
+FROM v0"""
+
+
+@query("validate_records", VALIDATE_SQL)
 def validate_records(spark, sf_dir):
     v = IN.validate_records(_spliced_n(spark, sf_dir))
     return v.select("ord", "source", "url", "title", "tender_type", F.array_join("errors", ",").alias("errors"), "valid")
@@ -98,10 +101,9 @@ def keyword_union(spark, sf_dir):
 
 def _sources(spark, sf_dir):
     def jst():
-        d = detail_join(spark, sf_dir)
-        pages = B.table(spark, sf_dir, "pages").select("url", "page_id")
-        return d.join(pages, "url").select(F.col("page_id").alias("src_key"), F.lit(0).cast("long").alias("pos"),
-                                           "source", "external_id", "title", "url", "posted_date", "deadline")
+        d = detail_rows(spark, sf_dir)
+        return d.select(F.col("page_id").alias("src_key"), F.lit(0).cast("long").alias("pos"),
+                        "source", "external_id", "title", "url", "posted_date", "deadline")
 
     def mext():
         f = feed_items(spark, sf_dir)
@@ -122,8 +124,8 @@ def _sources(spark, sf_dir):
 
 def _union_sql():
     parts = [
-        f"SELECT 0 AS source_rank, p.page_id AS src_key, CAST(0 AS BIGINT) AS pos, d.source, d.external_id, d.title, d.url, "
-        f"d.posted_date, d.deadline FROM ({ORACLE['detail_join']}) d JOIN pages p ON d.url = p.url",
+        f"SELECT 0 AS source_rank, d.page_id AS src_key, CAST(0 AS BIGINT) AS pos, d.source, d.external_id, d.title, d.url, "
+        f"d.posted_date, d.deadline FROM ({DETAIL_SQL}) d",
         f"SELECT 1, f.id, CAST(f.pos AS BIGINT), f.source, f.external_id, f.title, f.url, f.posted_date, f.deadline "
         f"FROM ({ORACLE['feed_items']}) f",
         f"SELECT 2, c.page_id, CAST(c.pos AS BIGINT), 'nedo', NULL, c.title, c.link, c.posted_date, c.deadline "

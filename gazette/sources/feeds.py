@@ -1,9 +1,8 @@
 """Feeds (RSS 2.0 and RDF / RSS 1.0) and JSON API bodies held in a string
 column, or read from files with ``spark.read``.
 
-Feeds are parsed by Spark's XML reader (``from_xml`` with an explicit schema
-that covers both dialects: RSS items sit under ``channel``, RDF items beside
-it). JSON bodies go through VARIANT so that the unwrap rule (first non-empty
+Feeds are cut into items (RSS, RDF) or entries (Atom), each parsed by Spark's
+XML reader (``from_xml`` with one schema that covers the three dialects). JSON bodies go through VARIANT so that the unwrap rule (first non-empty
 of result / results / subsidies / data, else a top-level list) and Python
 truthiness of ids and titles are expressed in columns.
 """
@@ -16,23 +15,37 @@ from ..functions import dates as D
 from ..functions import text as TX
 from ..functions import urls as U
 
-ITEM_FIELDS = ("title", "link", "description", "pubDate", "guid", "dc:date", "updated", "_rdf:about")
-ITEM = "STRUCT<" + ", ".join(f"`{f}`: STRING" for f in ITEM_FIELDS) + ">"
-FEED_SCHEMA = f"channel STRUCT<item: ARRAY<{ITEM}>>, item ARRAY<{ITEM}>"
+ITEM_FIELDS = ("title", "description", "pubDate", "guid", "dc:date", "updated", "published", "summary", "content", "id", "_rdf:about")
+LINK = "ARRAY<STRUCT<_VALUE: STRING, _href: STRING, _rel: STRING>>"
+ITEM_SCHEMA = ", ".join(f"`{f}` STRING" for f in ITEM_FIELDS) + f", link {LINK}"
+# An RSS or RDF item, or an Atom entry; and an ampersand that starts no reference.
+ITEM_RE = r"(?s)<item[\s>].*?</item>|<entry[\s>].*?</entry>"
+BARE_AMPERSAND = r"&(?!#?\w+;)"
+FEED_RE = r"(?i)<(rss|feed|channel|rdf:RDF)[\s>]"
 
 
-def read_feed_files(spark: SparkSession, path: str) -> DataFrame:
-    """Feed files, one row per item (``rowTag=item``), same columns as ITEM."""
-    return (spark.read.format("xml").option("rowTag", "item").schema(ITEM[7:-1].replace(": ", " "))
-            .load(path))
+def feed_entries(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
+    """One row per feed item: keep…, pos, read, link and the ITEM fields.
 
+    A document is cut into its items first and each is read by itself, so one
+    that is malformed (``read`` is false) costs no other. A bare ampersand is
+    taken as one."""
+    items = F.regexp_extract_all(F.col(xml), F.lit(ITEM_RE), F.lit(0))
+    e = df.select(*keep, F.posexplode(items).alias("pos", "item"))
+    whole = F.regexp_replace(F.col("item"), BARE_AMPERSAND, "&amp;")
+    e = e.select(*keep, "pos", F.from_xml(whole, ITEM_SCHEMA + ", _bad STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("it"))
+    link = F.filter("it.link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    href = F.coalesce(F.get(link, 0)["_href"], F.get(F.col("it.link"), 0)["_VALUE"])
+    fields = [F.col("it")[f].alias("atom_id" if f == "id" else f) for f in ITEM_FIELDS]
+    return e.select(*keep, "pos", F.col("it._bad").isNull().alias("read"), href.alias("link"), *fields)
 
-def feed_entries(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
-    """One row per feed item: keep…, pos, and the ITEM fields."""
-    parsed = F.from_xml(F.col(xml), FEED_SCHEMA, {"mode": "PERMISSIVE"})
-    items = F.coalesce(parsed["channel"]["item"], parsed["item"])
-    e = df.select(*keep, F.posexplode(items).alias("pos", "it"))
-    return e.select(*keep, "pos", *[F.col("it")[f].alias(f) for f in ITEM_FIELDS])
+
+def feed_status(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
+    """A row a document: keep…, n_items, and error for what is no feed."""
+    n = F.size(F.regexp_extract_all(F.coalesce(F.col(xml), F.lit("")), F.lit(ITEM_RE), F.lit(0)))
+    bad = F.coalesce(F.trim(F.col(xml)), F.lit("")) == ""
+    error = F.when(bad, F.lit("empty document")).when((n == 0) & ~F.col(xml).rlike(FEED_RE), F.lit("not a feed"))
+    return df.select(*keep, n.alias("n_items"), error.alias("error"))
 
 
 def feed_items(entries: DataFrame, allowed_hosts, source: str, keep=("id",)) -> DataFrame:
@@ -42,9 +55,9 @@ def feed_items(entries: DataFrame, allowed_hosts, source: str, keep=("id",)) ->
     title = TX.unicode_strip(F.coalesce(F.col("title"), F.lit("")))
     link = TX.unicode_strip(F.coalesce(F.col("link"), F.lit("")))
     e = entries.select(*keep, "pos", title.alias("title"), link.alias("url"),
-                       TX.blank_to_null(F.col("description")).alias("description"),
-                       D.feed_date(F.col("pubDate"), F.coalesce(F.col("`dc:date`"), F.col("updated"))).alias("posted_date"),
-                       F.coalesce(F.col("guid"), F.col("`_rdf:about`")).alias("external_id"))
+                       TX.blank_to_null(F.coalesce("description", "summary", "content")).alias("description"),
+                       D.feed_date(F.coalesce("pubDate", "published"), F.coalesce(F.col("`dc:date`"), F.col("updated"))).alias("posted_date"),
+                       F.coalesce(F.col("guid"), F.col("`_rdf:about`"), F.col("atom_id")).alias("external_id"))
     e = e.filter((F.col("title") != "") & (F.col("url") != "") & U.allowed(F.col("url"), allowed_hosts))
     return e.select(*keep, "pos", F.lit(source).alias("source"), "external_id", "title", "url", "description",
                     "posted_date", F.lit(None).cast("date").alias("deadline"))
@@ -81,13 +94,19 @@ def truthy_text(prefix: str) -> Column:
     return F.when(~falsy & (F.length(txt) > 0), txt)
 
 
+def json_status(df: DataFrame, body: str = "body", keep=("id",)) -> DataFrame:
+    """A row a body: keep…, and error for what is no JSON."""
+    return df.select(*keep, F.when(F.try_parse_json(F.col(body)).isNull(), F.lit("not JSON")).alias("error"))
+
+
 def json_entries(df: DataFrame, body: str = "body", keep=("id",)) -> DataFrame:
     """One row per API item: keep…, pos, item (VARIANT)."""
-    v = F.try_parse_json(F.col(body))
-    arrays = [_vget(v, f"$.{k}", "array<variant>") for k in UNWRAP_KEYS]
-    top = F.when(F.schema_of_variant(v).startswith("ARRAY"), _vget(v, "$", "array<variant>"))
-    items = F.coalesce(*[F.when(F.size(a) > 0, a) for a in arrays], top)
-    return df.select(*keep, F.posexplode(items).alias("pos", "item"))
+    d = df.select(*keep, F.try_parse_json(F.col(body)).alias("_v"))
+    # staged, so that each key is looked up once
+    d = d.select(*keep, *[_vget(F.col("_v"), f"$.{k}", "array<variant>").alias(f"_a{i}") for i, k in enumerate(UNWRAP_KEYS)],
+                 F.when(F.schema_of_variant("_v").startswith("ARRAY"), _vget(F.col("_v"), "$", "array<variant>")).alias("_top"))
+    items = F.coalesce(*[F.when(F.size(f"_a{i}") > 0, F.col(f"_a{i}")) for i in range(len(UNWRAP_KEYS))], F.col("_top"))
+    return d.select(*keep, F.posexplode(items).alias("pos", "item"))
 
 
 def json_items(entries: DataFrame, url_prefix: str, allowed_hosts, source: str, keep=("id",),

@@ -23,7 +23,9 @@ from .. import constants as K
 from ..functions import text as TX
 from ..functions import urls as U
 
-ANCHOR_RE = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
+# An anchor with a double-quoted (1), single-quoted (2) or bare (3) href, and
+# its inner HTML (4). A blank stands before ``href``: data-href is another name.
+ANCHOR_RE = r"""(?is)<a(?:\s[^>]*?)?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 _MARK = "\u0001"
 
@@ -32,19 +34,18 @@ def node_text_stripped(inner: Column) -> Column:
     """Text of an HTML fragment with each text piece stripped and the pieces
     joined by '' (as ``get_text(strip=True)``), on the JVM."""
     x = F.regexp_replace(inner, "<[^>]*>", _MARK)
-    for ent, ch in TX.NATIVE_ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
+    x = TX.decode_entities(x)
     x = F.regexp_replace(x, f"{TX.PY_SPACE_CLASS}*{_MARK}{TX.PY_SPACE_CLASS}*", "")
     return TX.unicode_strip(x)
 
 
 def anchors(pages: DataFrame, html: str = "html", keep=("page_id", "url")) -> DataFrame:
-    """One row per anchor with a double-quoted href: keep…, pos, href, title."""
-    pairs = F.arrays_zip(F.regexp_extract_all(F.col(html), F.lit(ANCHOR_RE), 1).alias("href"),
-                         F.regexp_extract_all(F.col(html), F.lit(ANCHOR_RE), 2).alias("inner"))
-    a = pages.select(*keep, F.posexplode(pairs).alias("pos", "a"))
-    return a.select(*keep, "pos", F.col("a.href").alias("href"),
-                    node_text_stripped(F.col("a.inner")).alias("title"))
+    """One row per anchor with an href: keep…, pos, href, title."""
+    part = lambda i: F.regexp_extract_all(F.col(html), F.lit(ANCHOR_RE), F.lit(i))
+    found = F.arrays_zip(part(1).alias("a"), part(2).alias("b"), part(3).alias("c"), part(4).alias("inner"))
+    a = pages.select(*keep, F.posexplode(found).alias("pos", "x"))
+    href = F.concat(*[F.coalesce(F.col(f"x.{c}"), F.lit("")) for c in "abc"])  # one of them at most has text
+    return a.select(*keep, "pos", TX.decode_entities(href).alias("href"), node_text_stripped(F.col("x.inner")).alias("title"))
 
 
 def page_title(html: Column | str) -> Column:
@@ -117,19 +118,25 @@ def parse_tree(doc: str) -> _Node:
     return b.root
 
 
-def _walk(node):
-    for ch in node.children:
-        if isinstance(ch, _Node):
+def _all(node):
+    """Everything below a node in document order; depth costs no recursion."""
+    open_ = [iter(node.children)]
+    while open_:
+        for ch in open_[-1]:
             yield ch
-            yield from _walk(ch)
+            if isinstance(ch, _Node):
+                open_.append(iter(ch.children))
+                break
+        else:
+            open_.pop()
+
+
+def _walk(node):
+    return (ch for ch in _all(node) if isinstance(ch, _Node))
 
 
 def _texts(node):
-    for ch in node.children:
-        if isinstance(ch, _Node):
-            yield from _texts(ch)
-        else:
-            yield ch
+    return (ch for ch in _all(node) if not isinstance(ch, _Node))
 
 
 def text_of(node, sep: str = "", strip: bool = False) -> str:
@@ -220,10 +227,10 @@ def definition_events(doc: str) -> list:
     """Definition pairs (A3): for each ``dt`` whose single string exists, in
     document order: that string and the text of the next following sibling
     ``dd`` (pieces stripped, joined by ' '), or None without one."""
-    if not doc or "<dt" not in doc.lower():      # no dt tag at all: nothing to parse
+    if not doc:
         return []
     root = parse_tree(doc)
-    out, pos = [], 0
+    out, pos, places = [], 0, {}
     for n in _walk(root):
         if n.tag != "dt":
             continue
@@ -231,8 +238,10 @@ def definition_events(doc: str) -> list:
         if s is None:
             continue
         sib = n.parent.children
+        if id(sib) not in places:
+            places[id(sib)] = {id(ch): i for i, ch in enumerate(sib)}
         dd = None
-        for ch in sib[sib.index(n) + 1:]:
+        for ch in sib[places[id(sib)][id(n)] + 1:]:
             if isinstance(ch, _Node) and ch.tag == "dd":
                 dd = text_of(ch, " ", True)
                 break
@@ -276,7 +285,9 @@ def container_rows(df: DataFrame, selectors: str, html: str = "html", keep=("pag
 
 
 def definition_pairs(df: DataFrame, html: str = "html", keep=("page_id",)) -> DataFrame:
-    return _events(df, html, list(keep), PAIR_EVENT, definition_events)
+    """Pages without a dt tag are told in the JVM and not sent to be parsed."""
+    some = df.withColumn(html, F.when(F.col(html).rlike("(?i)<dt"), F.col(html)))
+    return _events(some, html, list(keep), PAIR_EVENT, definition_events)
 
 
 def fallback_anchor_filter(href_parts=K.FALLBACK_HREF_PARTS):
@@ -301,3 +312,14 @@ def definition_fields(pairs: DataFrame, key, first_label: str = K.POSTED_LABEL,
                     F.when(F.col("_dt") == last_label, F.col("pos")))
     return p.groupBy(*keys).agg(F.bool_and("ok").alias("ok"), first.alias("_f"), last.alias("_l")) \
         .select(*keys, "ok", F.col("_f.dd").alias("first_value"), F.col("_l.dd").alias("last_value"))
+
+
+def first_good_page(fields: DataFrame, url: str = "url", page: str = "page_id") -> DataFrame:
+    """Of the pages that hold one url, the first that was read well."""
+    from ..operators.ordering import keep_first
+    return keep_first(fields.filter("ok"), url, page)
+
+
+def bad_pages(fields: DataFrame, url: str = "url") -> DataFrame:
+    """Pages that could not be read, as (url, error)."""
+    return fields.filter(~F.col("ok")).select(url, F.lit("page could not be parsed").alias("error"))

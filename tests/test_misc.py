@@ -1,28 +1,4 @@
-import os
-
 from gazette.session import cluster_conf
-from gazette.sources import feeds as FD
-
-RSS = """<rss version="2.0"><channel><title>t</title>
-<item><title>A</title><link>https://www.min.example/a</link><pubDate>Mon, 01 Jul 2024 10:00:00 +0900</pubDate><guid>g-a</guid></item>
-<item><title>B</title><link>https://www.min.example/b</link></item>
-</channel></rss>"""
-RDF = """<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/" xmlns:dc="http://purl.org/dc/elements/1.1/">
-<channel rdf:about="https://www.min.example/"><title>x</title><items><rdf:Seq><rdf:li rdf:resource="https://www.min.example/c"/></rdf:Seq></items></channel>
-<item rdf:about="https://www.min.example/c"><title>C</title><link>https://www.min.example/c</link><dc:date>2024-07-17T10:00:00+09:00</dc:date></item>
-</rdf:RDF>"""
-
-
-def test_read_feed_files(spark, tmpdir_path):
-    for name, body in (("a.xml", RSS), ("b.rdf", RDF)):
-        with open(os.path.join(tmpdir_path, name), "w", encoding="utf-8") as f:
-            f.write(body)
-    items = FD.read_feed_files(spark, os.path.join(tmpdir_path, "*"))
-    got = sorted((r["title"], r["link"], r["guid"], r["_rdf:about"]) for r in items.collect())
-    assert got == [("A", "https://www.min.example/a", "g-a", None),
-                   ("B", "https://www.min.example/b", None, None),
-                   ("C", "https://www.min.example/c", None, "https://www.min.example/c")]
-
 
 def test_cluster_conf():
     c = cluster_conf(100 * 1024 ** 4, cores=8000, executor_memory_gb=16, executor_cores=4)

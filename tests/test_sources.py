@@ -9,22 +9,22 @@ from gazette.sources import feeds as FD
 from gazette.sources import html as H
 
 LISTING = """<html><body><ul>
-<li><a href="kankouju/47_2026_16.html">Survey of grid stability　</a></li>
-<li><a href="kankouju/47_2026_17.html"> <b>Reactor</b> study </a></li>
-<li><a href="kankouju/47_2026_16.html">Duplicate entry</a></li>
+<li><a href="calls/12_2031_5.html">Survey of grid stability　</a></li>
+<li><a href="calls/12_2031_6.html"> <b>Reactor</b> study </a></li>
+<li><a href="calls/12_2031_5.html">Duplicate entry</a></li>
 <li><a href="/about.html">About</a></li>
-<li><a href="kankouju/1_2_3.htm">Wrong suffix</a></li>
-<li><a href="kankouju/9_2026_1.html">   </a></li>
-<li><a href="kankouju/9_2026_1.html">Late title</a></li>
+<li><a href="calls/1_2_3.htm">Wrong suffix</a></li>
+<li><a href="calls/9_2026_1.html">   </a></li>
+<li><a href="calls/9_2026_1.html">Late title</a></li>
 </ul></body></html>"""
 
 
 def test_link_listing(spark):
     pages = spark.createDataFrame([(1, "https://proc.example/list/index.html", LISTING)], "page_id long, url string, html string")
-    out = H.link_listing(pages, r"kankouju/(\d+)_(\d+)_(\d+)\.html$", "/detail/$1-$2-$3")
+    out = H.link_listing(pages, r"calls/(\d+)_(\d+)_(\d+)\.html$", "/detail/$1-$2-$3")
     got = sorted((r["link"], r["title"]) for r in out.collect())
-    assert got == [("https://proc.example/detail/47-2026-16", "Survey of grid stability"),
-                   ("https://proc.example/detail/47-2026-17", "Reactorstudy"),
+    assert got == [("https://proc.example/detail/12-2031-5", "Survey of grid stability"),
+                   ("https://proc.example/detail/12-2031-6", "Reactorstudy"),
                    ("https://proc.example/detail/9-2026-1", "Late title")]
 
 
@@ -152,5 +152,60 @@ def test_url_functions(spark):
     from urllib.parse import urljoin
     for row in r.select("b", "h", U.resolve("h", "b").alias("r")).collect():
         assert row["r"] == (urljoin(row["b"], row["h"]) if row["h"] else None), row
-    e = spark.createDataFrame([("https://h.example/47-2026-16/",), ("https://h.example/",)], "u string")
-    assert [r[0] for r in e.select(U.last_path_segment("u")).collect()] == ["47-2026-16", "h.example"]
+    e = spark.createDataFrame([("https://h.example/12-2031-5/",), ("https://h.example/",)], "u string")
+    assert [r[0] for r in e.select(U.last_path_segment("u")).collect()] == ["12-2031-5", "h.example"]
+
+
+# ---- forms of anchors, deep pages, copies of a page
+
+def test_anchor_forms(spark):
+    html = """<a data-href="/no.html" href="/a.html">A &yen;&#12354;</a><a class=x href='/b.html?x=1&amp;y=2'>B</a>
+<A HREF=/c.html>C</A><a name="n">none</a><area href="/d.html"><a
+ href = "/e.html" title="t">E &lt;b&gt;</a>"""
+    pages = spark.createDataFrame([(1, "https://x.example/", html)], "page_id long, url string, html string")
+    got = [(r["href"], r["title"]) for r in H.anchors(pages).orderBy("pos").collect()]
+    assert got == [("/a.html", "A ¥あ"), ("/b.html?x=1&y=2", "B"), ("/c.html", "C"), ("/e.html", "E <b>")]
+
+
+def test_deep_page(spark):
+    html = "<div>" * 3000 + "<dl><dt>公告日</dt><dd>令和2年1月2日</dd></dl>" + "</div>" * 3000
+    pages = spark.createDataFrame([(1, html)], "id long, html string")
+    r = H.definition_fields(H.definition_pairs(pages, keep=("id",)), "id").first()
+    assert r["ok"] and r["first_value"] == "令和2年1月2日"
+
+
+def test_copies_of_a_page_are_not_mixed(spark):
+    def page(a, b):
+        return f"<dl><dt>公告日</dt><dd>{a}</dd><dt>期限</dt><dd>{b}</dd></dl>"
+    pages = spark.createDataFrame([(2, "u", page("A2", "B2")), (1, "u", page("A1", "B1")), (3, "v", "<p>no</p>")], "page_id long, url string, html string")
+    f = H.first_good_page(H.definition_fields(H.definition_pairs(pages, keep=("url", "page_id")), ["url", "page_id"]))
+    assert sorted((r["url"], r["first_value"], r["last_value"]) for r in f.collect()) == [("u", "A1", "B1"), ("v", None, None)]
+
+
+# ---- feeds that are malformed, Atom, and status rows
+
+def test_malformed_and_atom_feeds(spark):
+    rss = ("<rss><channel><item><title>A & B</title><link>https://h.example/1</link></item>"
+           "<item><title>broken</titel><link>https://h.example/2</link></item>"
+           "<item><title>C</title><link>https://h.example/3</link></item></channel></rss>")
+    atom = ('<feed xmlns="http://www.w3.org/2005/Atom"><title>F</title><entry><title type="text">D</title>'
+            '<link rel="self" href="https://h.example/self"/><link rel="alternate" href="https://h.example/4"/>'
+            "<id>urn:4</id><published>2024-07-01T10:00:00Z</published><summary>S</summary></entry></feed>")
+    df = spark.createDataFrame([(1, rss), (2, atom), (3, "no feed"), (4, None)], "id long, xml string")
+    out = FD.feed_items(FD.feed_entries(df), ["h.example"], "mext").orderBy("id", "pos").collect()
+    assert [(r["id"], r["title"], r["url"]) for r in out] == [(1, "A & B", "https://h.example/1"), (1, "C", "https://h.example/3"), (2, "D", "https://h.example/4")]
+    assert out[2]["external_id"] == "urn:4" and str(out[2]["posted_date"]) == "2024-07-01" and out[2]["description"] == "S"
+    status = {r["id"]: (r["n_items"], r["error"]) for r in FD.feed_status(df).collect()}
+    assert status == {1: (3, None), 2: (1, None), 3: (0, "not a feed"), 4: (0, "empty document")}
+    bodies = spark.createDataFrame([(1, "{}"), (2, "{bad")], "id long, body string")
+    assert [r["error"] for r in FD.json_status(bodies).orderBy("id").collect()] == [None, "not JSON"]
+
+
+def test_more_date_forms(spark):
+    given = ["2024.04.01", "April 1, 2024", "2024/04/01T10:00", "20240401T150000Z", "Mon, 01 Apr 2024 10:00:00 +0900", "04/01/2024",
+             "1 Apr 2024", "13/04/2024", "２０２４/４/１", "15", "2024-13-01", "Foo 1, 2024"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(given)], "i long, x string")
+    got = [str(r[0]) for r in df.orderBy("i").select(D.lenient_date("x")).collect()]
+    assert got == ["2024-04-01"] * 7 + ["2024-04-13", "2024-04-01", "None", "None", "None"]
+    row = spark.createDataFrame([("開始 ２０２４/０４/０１ から",)], "t string").select(D.row_date_value(F.get(D.row_dates("t"), 0))).first()[0]
+    assert str(row) == "2024-04-01"
