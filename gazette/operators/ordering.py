@@ -5,8 +5,10 @@ window (which would pull every row into one task): the rows are range
 partitioned on the order keys and sorted within partitions, each row gets
 ``monotonically_increasing_id`` (partition id in the upper bits, position in
 the lower bits), and a per-partition count table — one row per partition, a
-bounded size — gives each partition its offset. The sorted frame is
-checkpointed first so both passes see the same partitioning.
+bounded size of at most 2^31 rows of two numbers, since
+``monotonically_increasing_id`` has 31 bits for the partition — gives each
+partition its offset. The sorted frame is checkpointed first so both passes
+see the same partitioning.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import ensure_checkpoint_dir
 
 _LOW_BITS = 33
-MAX_RANK_PARTITIONS = 1 << 20   # bound of the broadcast offset table
 
 
 def global_rank(df: DataFrame, order: list, out: str = "rank",
@@ -25,7 +26,6 @@ def global_rank(df: DataFrame, order: list, out: str = "rank",
     total order, e.g. ending in a unique key)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(1, min(n, MAX_RANK_PARTITIONS))
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
     sorted_df = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                  .withColumn("_mid", F.monotonically_increasing_id()))

@@ -1,16 +1,18 @@
-"""Partitioning helpers."""
+"""Partitioning helpers. Neither runs a job."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over the cores when the input has fewer partitions than
-    cores (e.g. a file written as one row group), ahead of CPU-heavy or remote
-    per-row work. When the input already has enough partitions — always the
-    case for scans at cluster scale — this is a no-op (no shuffle)."""
-    cores = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows out to ``partitions`` tasks (the cores, by default), ahead of
+    remote or very slow work a row on a small input."""
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
+
+
+def spread_scan(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """A scan of fewer files than cores dealt out to all cores (the test tables
+    are one row group each). Scans of many files stay as they are."""
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return spread(df, n) if len(df.inputFiles()) < n else df

@@ -22,7 +22,6 @@ from ..functions.text import html_escape
 from .ordering import global_rank
 from .taxonomy import category_flag, category_tags
 
-MAX_MONTH_ROWS = 12 * 10000   # months in the four-digit-year calendar
 
 
 def with_flags(df: DataFrame, categories: list) -> DataFrame:

@@ -35,8 +35,9 @@ SCORE_FIELD = "energy_system_score"
 
 
 def score_rows(df: DataFrame, scorer_factory: Callable, key: str = "id",
-               title: str = "title", description: str = "description") -> DataFrame:
-    """``(key, raw, scorer_error)`` for every row of ``df``.
+               title: str = "title", description: str = "description", partitions: int | None = None) -> DataFrame:
+    """``(key, raw, scorer_error)`` for every row of ``df`` (J1), asked in
+    ``partitions`` tasks at a time (the cores, by default).
 
     Only the key and the sanitised, bounded scorer inputs (title <= 300,
     description <= 800 code points, the prompt) travel to Python; callers
@@ -46,18 +47,35 @@ def score_rows(df: DataFrame, scorer_factory: Callable, key: str = "id",
         sanitise(title, K.SCORER_TITLE_CHARS).alias("_title"),
         sanitise(description, K.SCORER_DESCRIPTION_CHARS).alias("_description"),
     )
-    inputs = spread(safe.select("*", prompt_from_safe("_title", "_description").alias("_prompt")))
+    inputs = spread(safe.select("*", prompt_from_safe("_title", "_description").alias("_prompt")), partitions)
     schema = T.StructType([T.StructField(key, df.schema[key].dataType)] + SCORED.fields)
 
     def run(batches):
         scorer = scorer_factory()
         for pdf in batches:
-            res = scorer(pdf)
-            yield pd.DataFrame({key: pdf["_key"].values, "raw": list(res["raw"]),
-                                "scorer_error": list(res["error"])})
+            try:
+                raw, error = _called(scorer, pdf)
+            except Exception:  # find the rows that fail, the others go on
+                raw, error = [], []
+                for i in range(len(pdf)):
+                    try:
+                        r, e = _called(scorer, pdf.iloc[i:i + 1])
+                    except Exception as exc:  # noqa: BLE001 - reported with its row
+                        r, e = [None], [f"{type(exc).__name__}: {exc}"]
+                    raw += r
+                    error += e
+            yield pd.DataFrame({key: pdf["_key"].values, "raw": raw, "scorer_error": error})
     return inputs.mapInPandas(run, schema)
 
 
+def _called(scorer, pdf: pd.DataFrame) -> tuple:
+    res = scorer(pdf)
+    raw, error = list(res["raw"]), list(res["error"])
+    if len(raw) != len(pdf) or len(error) != len(pdf):
+        raise ValueError(f"{len(raw)} answers to {len(pdf)} rows")
+    return raw, error
+
+
 def rule_scorer_factory():
     """A deterministic scorer for tests and benchmarks (no network).
 

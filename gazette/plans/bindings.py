@@ -23,7 +23,7 @@ from ..functions.dates import ts_lit
 
 from .. import constants as K
 from ..functions.text import unicode_strip
-from ..operators.partitioning import spread as _spread
+from ..operators.partitioning import spread_scan
 from ..operators.taxonomy import Taxonomy
 
 AS_OF = _dt.date(1998, 6, 1)
@@ -75,14 +75,12 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = raw_table(spark, sf_dir, name)
-    return spread(df) if name in TEXT_TABLES else df
+    return spread_scan(df) if name in TEXT_TABLES else df
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """See :func:`gazette.operators.partitioning.spread`; applied after a
-    cheap projection (e.g. rendering a document string) it also ends that
-    codegen stage before the parse."""
-    return _spread(df)
+    """A plain scan dealt out to the cores, ahead of rendering and parsing."""
+    return spread_scan(df)
 
 
 # --------------------------------------------------------------------------

@@ -13,12 +13,14 @@ the counters, so it is checkpointed once (lineage cut, survives executor loss).
 from __future__ import annotations
 
 import datetime as _dt
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 
 from .. import constants as K  # noqa: F401
+from ..operators import rejects as RJ
 from ..operators import report as R
 from ..operators import scoring as SC
 from ..operators import stats as STT
@@ -30,11 +32,17 @@ from ..sources import intake as IN
 
 @dataclass
 class RunResult:
+    """``rejected``: every row the run could not use (see operators/rejects)."""
     store: DataFrame
-    board: DataFrame
     stats: DataFrame
     rejected: DataFrame
     answers: DataFrame | None
+    board_of: tuple  # as_of, categories, labels
+
+    @property
+    def board(self) -> DataFrame:
+        """The active board of the new store; ranked when it is asked for."""
+        return R.active_board(self.store, *self.board_of)
 
 
 def daily_run(intake: DataFrame, tax: TXN.Taxonomy, store: DataFrame, run_ts: _dt.datetime, as_of: _dt.date,
@@ -67,21 +75,34 @@ def daily_run(intake: DataFrame, tax: TXN.Taxonomy, store: DataFrame, run_ts: _d
             raw = raw.checkpoint(eager=True)      # the scorer is called exactly once per row
         answers = SC.validate_answers(raw)
         new_store = SC.merge_scores(new_store, answers)
-    stats = STT.run_stats(prepared, answers, fetched_total=intake, cap=cap, source_failures=source_failures,
-                          skip_ai=scorer_factory is None)
-    board = R.active_board(new_store, as_of, categories, labels)
-    return RunResult(new_store, board, stats, rejected, answers)
+    rejects = RJ.of_validation(rejected)
+    # without a cap or a date every fetched record is prepared or rejected, and
+    # the sources needn't be parsed again to count them
+    whole = cap is None and since is None
+    stats = STT.run_stats(prepared, answers, fetched_total=None if whole else intake, cap=cap,
+                          source_failures=source_failures, skip_ai=scorer_factory is None, rejected=rejects)
+    if answers is not None:
+        rejects = RJ.union([rejects, RJ.of_answers(answers)])
+    return RunResult(new_store, stats, rejects, answers, (as_of, categories, labels))
+
+
+def scored_once(rows: DataFrame, scorer_factory) -> DataFrame:
+    """Valid and invalid answers to ``rows``; the scorer is called once a row,
+    however often the answers are read."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    return SC.validate_answers(SC.score_rows(rows, scorer_factory, key="id").checkpoint(eager=True))
 
 
-def score_backlog(store: DataFrame, scorer_factory, limit: int | None = 100) -> DataFrame:
-    answers = SC.validate_answers(SC.score_rows(SC.pending(store, limit), scorer_factory, key="id"))
-    return SC.merge_scores(store, answers)
+def score_backlog(store: DataFrame, scorer_factory, limit: int | None = 100) -> tuple:
+    """The store with scores of its pending rows, and the answers."""
+    answers = scored_once(SC.pending(store, limit), scorer_factory)
+    return SC.merge_scores(store, answers), answers
 
 
 def relabel(store: DataFrame, as_of: _dt.date, scorer_factory, limit: int | None = None) -> tuple:
-    cand = SC.relabel_candidates(store, as_of, limit)
-    answers = SC.validate_answers(SC.score_rows(cand, scorer_factory, key="id"))
-    return SC.merge_scores(store, answers, type_only=True), SC.relabel_outcomes(answers)
+    """The store with new types of its open rows, and the answers."""
+    answers = scored_once(SC.relabel_candidates(store, as_of, limit), scorer_factory)
+    return SC.merge_scores(store, answers, type_only=True), answers
 
 
 def _ord(rank: int, key: str):
@@ -124,9 +145,9 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
                 j = listing.select("*", F.lit(None).cast("date").alias("posted_date"),
                                    F.lit(None).cast("date").alias("deadline"))
             else:
-                fields = H.definition_fields(H.definition_pairs(det, keep=("url",)), "url")
-                fields = fields.filter("ok").select("url", D.era_date("first_value").alias("posted_date"),
-                                                    D.era_date("last_value").alias("deadline"))
+                fields = H.first_good_page(H.definition_fields(H.definition_pairs(det, keep=("url", "page_id")), ["url", "page_id"]))
+                fields = fields.select("url", D.era_date("first_value").alias("posted_date"),
+                                       D.era_date("last_value").alias("deadline"))
                 j = listing.join(fields, "url", "inner")
             return j.select(_ord(0, "page_id").alias("ord"),
                             F.lit("jst").alias("source"), U.last_path_segment("url").alias("external_id"),
@@ -174,16 +195,58 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
 def run_and_publish(spark, intake: DataFrame, tax, store_root: str, out_dir: str, run_ts, as_of,
                     categories: list, labels: dict, scorer_factory=None, cap=None, since=None,
                     source_failures: int = 0, sources=None) -> dict:
-    """Daily run against the latest store snapshot: writes snapshot n+1, then
-    publishes the board and the archive from it and returns the counters."""
-    versions = ST.snapshot_versions(spark, store_root)
-    store = ST.read_store(spark, store_root) if versions else ST.empty_store(spark)
-    res = daily_run(intake, tax, store, run_ts, as_of, categories, labels, scorer_factory, cap, since,
-                    source_failures, sources=sources)
-    nxt = (versions[-1] + 1) if versions else 0
-    path = ST.write_store(res.store, store_root, nxt)
-    written = ST.read_store(spark, store_root, nxt)
+    """Daily run against the latest store snapshot: writes the next snapshot
+    and the rejected rows, publishes the board and the archive from what it
+    wrote, and returns the counters."""
+    res = daily_run(intake, tax, ST.read_store(spark, store_root), run_ts, as_of, categories, labels, scorer_factory, cap,
+                    since, source_failures, sources=sources)
+    done = publish_next(spark, res.store, store_root, out_dir, run_ts, as_of, categories, labels)
+    done["rejects"] = os.path.join(out_dir, "rejects")
+    res.rejected.write.mode("overwrite").parquet(done["rejects"])
+    return {**done, "stats": res.stats.first().asDict()}
+
+
+def publish_next(spark, store: DataFrame, store_root: str, out_dir: str, run_ts, as_of, categories: list, labels: dict) -> dict:
+    """Write the next snapshot and publish from it."""
+    version = ST.next_version(spark, store_root)
+    path = ST.write_store(store, store_root, version)
+    return {"snapshot": path, **publish_only(spark, store_root, out_dir, run_ts, as_of, categories, labels, version)}
+
+
+def publish_only(spark, store_root: str, out_dir: str, run_ts, as_of, categories: list, labels: dict,
+                 version: int | None = None) -> dict:
+    """Publish the board and the archive of a snapshot, the latest by default."""
+    written = ST.read_store(spark, store_root, version)
     board = R.active_board(written, as_of, categories, labels)
-    paths = R.publish(board, R.archive(written, run_ts), out_dir)
-    stats = res.stats.first().asDict()
-    return {"snapshot": path, "version": nxt, "stats": stats, **paths}
+    versions = ST.snapshot_versions(spark, store_root)
+    return {"version": version if version is not None else (versions[-1] if versions else None),
+            **R.publish(board, R.archive(written, run_ts), out_dir)}
+
+
+def backlog_run(spark, store_root: str, out_dir: str, run_ts, as_of, categories: list, labels: dict, scorer_factory,
+                limit: int | None = 100) -> dict:
+    """Score pending rows of the latest snapshot, write the next one, publish,
+    and return the counts and the exit status."""
+    store, answers = score_backlog(ST.read_store(spark, store_root), scorer_factory, limit)
+    counts = answer_counts(answers)
+    done = publish_next(spark, store, store_root, out_dir, run_ts, as_of, categories, labels) if counts["asked"] else {}
+    return {**done, **counts}
+
+
+def relabel_run(spark, store_root: str, out_dir: str, run_ts, as_of, categories: list, labels: dict, scorer_factory,
+                limit: int | None = None, dry_run: bool = False) -> dict:
+    """Ask for the types of open rows without a confirmed one. A dry run only
+    counts the candidates: nothing is asked or written."""
+    store = ST.read_store(spark, store_root)
+    if dry_run:
+        return {"candidates": SC.relabel_candidates(store, as_of, limit).count(), "exit_status": 0}
+    new, answers = relabel(store, as_of, scorer_factory, limit)
+    outcomes = {r["outcome"]: r["n"] for r in SC.relabel_outcomes(answers).collect()}  # a row a type
+    counts = answer_counts(answers)
+    done = publish_next(spark, new, store_root, out_dir, run_ts, as_of, categories, labels) if counts["asked"] else {}
+    return {**done, **counts, "outcomes": outcomes}
+
+
+def answer_counts(answers: DataFrame) -> dict:
+    r = answers.agg(F.count(F.lit(1)).alias("asked"), F.count_if("ok").alias("scored"), F.count_if(~F.col("ok")).alias("failed")).first()
+    return {**r.asDict(), "exit_status": int(r["failed"] > 0)}

@@ -121,17 +121,17 @@ def pending_rows(spark, sf_dir):
     return SC.pending(B.orders_store(spark, sf_dir)).select("id", "title")
 
 
-_CAND_SQL = """c AS (SELECT * FROM t WHERE (deadline IS NULL OR deadline >= DATE '1998-06-01')
+CAND_SQL = """c AS (SELECT * FROM t WHERE (deadline IS NULL OR deadline >= DATE '1998-06-01')
                        AND (tender_type IS NULL OR tender_type = 'unknown'))"""
 
 
-@query("relabel_candidates", f"""WITH {T_CTE}, {_CAND_SQL}
+@query("relabel_candidates", f"""WITH {T_CTE}, {CAND_SQL}
 SELECT id, deadline, tender_type FROM c""")
 def relabel_candidates(spark, sf_dir):
     return SC.relabel_candidates(B.orders_store(spark, sf_dir), B.AS_OF).select("id", "deadline", "tender_type")
 
 
-@query("relabel_outcomes", f"""WITH {T_CTE}, {_CAND_SQL},
+@query("relabel_outcomes", f"""WITH {T_CTE}, {CAND_SQL},
 s AS (SELECT length({S.sanitise("title", K.SCORER_TITLE_CHARS)}) AS lt,
              length({S.sanitise("description", K.SCORER_DESCRIPTION_CHARS)}) AS ld FROM c)
 SELECT CASE WHEN lt % 13 = 0 OR ld % 17 = 0 THEN 'failed'

@@ -4,10 +4,12 @@ into an empty store; batch = kept records of the second half."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import store as st
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_dir
 from ..operators import taxonomy as tx
 from . import bindings as B
 from . import sqlgen as S
@@ -105,14 +107,13 @@ def upsert_query(spark, sf_dir):
     return store_view(st.upsert(store, st.fold_batch(batch), B.RUN_TS))
 
 
-@query("upsert_fold", _STORE_SQL + """
+@query("upsert_fold", _KEPT + ",\n" + _fold_sql("fb", "TRUE") + """
 SELECT url, f.source AS source, f.external_id AS external_id, l.title AS title, md5(l.description) AS description_md5,
        l.posted_date AS posted_date, l.deadline AS deadline, l.categories_str AS categories,
        confirmed_type, first_ord, n_records
 FROM fb""")
 def upsert_fold(spark, sf_dir):
-    batch = kept_records(spark, sf_dir).filter(F.col("ord") >= B.split_point(spark, sf_dir))
-    f = st.fold_batch(batch)
+    f = st.fold_batch(kept_records(spark, sf_dir))
     return f.select("url", "source", "external_id", "title", F.md5("description").alias("description_md5"),
                     "posted_date", "deadline", categories_string(F.col("categories")).alias("categories"),
                     "confirmed_type", "first_ord", "n_records")
@@ -128,11 +129,17 @@ def new_vs_known(spark, sf_dir):
     return st.new_vs_known(store, batch)
 
 
-@query("schema_backfill", _STORE_SQL + """
+_ALL_SQL = _KEPT + ",\n" + _fold_sql("fs", "TRUE") + """,
+st AS (SELECT row_number() OVER (ORDER BY first_ord, url) AS id, url, confirmed_type FROM fs)"""
+
+
+@query("schema_backfill", _ALL_SQL + """
 SELECT id, url, 'unknown' AS tender_type, TRUE AS backfilled FROM st""")
 def schema_backfill(spark, sf_dir):
-    store, _ = store_and_batch(spark, sf_dir)
-    old_snapshot = store.drop("tender_type")            # written before the column existed
-    once = st.backfill_columns(old_snapshot)
+    """A snapshot of all records written without the type column, read back."""
+    store = st.upsert(st.empty_store(spark), st.fold_batch(kept_records(spark, sf_dir)), B.STORE_TS)
+    root = scratch_dir(spark, f"old-store-{uuid.uuid4().hex}")
+    st.write_store(store.drop("tender_type"), root, 0)   # as before the column existed
+    once = st.read_store(spark, root)
     twice = st.backfill_columns(once)                    # idempotent
     return twice.select("id", "url", "tender_type", F.lit(True).alias("backfilled"))
