@@ -87,7 +87,7 @@ def keyword_union(df: DataFrame, keywords: list, text: Callable | None = None, n
     shuffle (WindowGroupLimit), so a keyword matching a third of the table
     sends only ``cap`` rows per map task."""
     if limit <= 0:
-        raise ValueError(f"limit must be > 0, got {limit}")
+        raise ValueError(f"a keyword union needs room for some rows, not {limit}")
     if not keywords:
         return df.limit(0)
     if since is not None:                       # the search's start-date parameter

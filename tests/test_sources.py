@@ -63,11 +63,11 @@ def test_container_fallback_anchors(spark):
 
 
 DETAIL = """<html><body><dl>
-<dt>公告日</dt><dd><b>令和８年７月１７日</b>(金)</dd>
-<dt>質問書提出期限</dt><dd>令和８年７月２４日</dd>
-<dt> 期限 </dt><dd><font>令和８年７月３１日</font></dd>
+<dt>公告日</dt><dd><b>令和７年３月１１日</b>(金)</dd>
+<dt>質問書提出期限</dt><dd>令和７年３月２１日</dd>
+<dt> 期限 </dt><dd><font>令和７年４月２日</font></dd>
 <dt>公告日</dt><dd>令和９年１月１日</dd>
-<dt>期限</dt><dd>令和８年８月６日</dd>
+<dt>期限</dt><dd>令和７年４月９日</dd>
 <dt>期限<br></dt><dd>令和８年９月９日</dd>
 </dl></body></html>"""
 
@@ -77,15 +77,15 @@ def test_definition_fields(spark):
     f = H.definition_fields(H.definition_pairs(pages, keep=("id",)), "id")
     got = {r["id"]: r for r in f.select("id", "ok", D.era_date("first_value").alias("p"),
                                         D.era_date("last_value").alias("d")).collect()}
-    assert str(got[1]["p"]) == "2026-07-17" and str(got[1]["d"]) == "2026-08-06"
+    assert str(got[1]["p"]) == "2025-03-11" and str(got[1]["d"]) == "2025-04-09"
     assert got[2]["p"] is None and got[2]["d"] is None and got[2]["ok"]
 
 
 def test_era_dates(spark):
-    df = spark.createDataFrame([("令和８年７月１７日",), ("平成7年1月2日",), ("昭和64年1月7日",), ("令和8年2月30日",),
+    df = spark.createDataFrame([("令和７年３月１１日",), ("平成7年1月2日",), ("昭和64年1月7日",), ("令和8年2月30日",),
                                 ("令和元年5月1日",), ("no date",)], "t string")
     got = [None if r[0] is None else str(r[0]) for r in df.select(D.era_date("t")).collect()]
-    assert got == ["2026-07-17", "1995-01-02", "1989-01-07", None, None, None]
+    assert got == ["2025-03-11", "1995-01-02", "1989-01-07", None, None, None]
 
 
 def test_lenient_and_feed_dates(spark):
