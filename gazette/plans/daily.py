@@ -107,7 +107,7 @@ def relabel(store: DataFrame, as_of: _dt.date, scorer_factory, limit: int | None
 
 def _ord(rank: int, key: str):
     """Input order across sources: (source rank, file key, position in file)."""
-    return F.struct(F.lit(rank).alias("source_rank"), F.col(key).cast("long").alias("key"),
+    return F.struct(F.lit(rank).alias("source_rank"), F.col(key).cast("string").alias("key"),
                     F.col("pos").cast("long").alias("pos"))
 
 
@@ -115,12 +115,13 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
                       listing_url_template: str | None = None, detail_pages: str | None = None,
                       feeds: str | None = None, feed_hosts=(), api_bodies: str | None = None,
                       api_url_prefix: str = "", api_hosts=(), container_pages: str | None = None,
-                      container_selectors: str = "", url_of=None) -> tuple:
+                      container_selectors: str = "", url_of=None, sequence=None) -> tuple:
     """Build one intake batch from crawled files (the four source kinds), in
     fixed source order, failures isolated per source.
 
     ``url_of(path_col) -> Column`` maps a file path to the page URL (default:
-    the path). Detail pages join the listing on URL; listing titles win.
+    the path); ``sequence(path_col) -> Column`` gives the order of files within a
+    source as text (default: by path). Detail pages join the listing on URL; listing titles win.
     Returns ``(intake, failures)``; ``ord`` is ``(source_rank, file key, pos)``.
     """
     from ..functions import dates as D
@@ -132,7 +133,7 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
     url_of = url_of or (lambda c: c)
 
     def pages(path):
-        d = FL.with_key(FL.read_documents(spark, path))
+        d = FL.with_key(FL.read_documents(spark, path), sequence)
         return d.select(F.col("doc_key").alias("page_id"), url_of(F.col("path")).alias("url"), F.col("body").alias("html"))
 
     loaders = []
@@ -156,7 +157,7 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
         loaders.append(("jst", detail_source))
     if feeds:
         def feed_source():
-            d = FL.with_key(FL.read_documents(spark, feeds))
+            d = FL.with_key(FL.read_documents(spark, feeds), sequence)
             e = FD.feed_entries(d.select("doc_key", F.col("body").alias("xml")), "xml", keep=("doc_key",))
             f = FD.feed_items(e, feed_hosts, "mext", keep=("doc_key",))
             return f.select(_ord(1, "doc_key").alias("ord"), "source",
@@ -181,7 +182,7 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
         loaders.append(("nedo", container_source))
     if api_bodies:
         def api_source():
-            d = FL.with_key(FL.read_documents(spark, api_bodies))
+            d = FL.with_key(FL.read_documents(spark, api_bodies), sequence)
             e = FD.json_entries(d, "body", keep=("doc_key",))
             j = FD.json_items(e, api_url_prefix, api_hosts, "jgrants", keep=("doc_key",))
             return j.select(_ord(3, "doc_key").alias("ord"), "source",

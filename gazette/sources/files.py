@@ -13,6 +13,9 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 
-def with_key(df: DataFrame) -> DataFrame:
-    """Stable numeric key per file (for ordering rules): xxhash64 of the path."""
-    return df.withColumn("doc_key", F.xxhash64("path"))
+def with_key(df: DataFrame, sequence=None) -> DataFrame:
+    """The key that ordering rules go by: ``sequence(path)`` if the caller knows
+    the order in which files were crawled, else the path itself. Paths are
+    unlike, so no two files tie."""
+    key = F.col("path") if sequence is None else sequence(F.col("path"))
+    return df.withColumn("doc_key", key.cast("string"))
