@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import uuid
-import zipfile
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import apply_engine_conf, ensure_checkpoint_dir
+from ..session import apply_engine_conf, ensure_checkpoint_dir, ship_package
 
 # A word is a maximal run of anything but these (space and \t \n \v \f \r).
 BLANKS = " \t\n\x0b\x0c\r"
@@ -20,27 +17,6 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 # Non-ASCII characters outside this Latin-1 range may be changed by lower().
 _MAY_FOLD = r"[^\x00-\u00BF\u00D7\u00DF-\u00FF]"
 
-_shipped: set = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package's code to the Python workers, once per application,
-    so that functions of the package run wherever the driver was started."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(prefix="gazette-code-"), "gazette_code.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for folder, _, names in os.walk(root):
-            for n in sorted(names):
-                if n.endswith(".py"):
-                    p = os.path.join(folder, n)
-                    z.write(p, os.path.join("gazette", os.path.relpath(p, root)))
-    sc.addPyFile(target)  # served by the driver; executors fetch their own copy
-    _shipped.add(sc.applicationId)
-
-
 def prepare(spark: SparkSession) -> None:
     """Session settings and code the operators rely on."""
     apply_engine_conf(spark)
@@ -58,7 +34,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     values that depend on how rows lay in tasks are fixed for all readers."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -67,7 +43,8 @@ def ascii_lower(c: Column) -> Column:
 
     ``lower`` does just that (and fast) unless the text holds a character whose
     case it could change; only then each character is mapped."""
-    return F.when(c.rlike(_MAY_FOLD), F.translate(c, UPPER, LOWER)).otherwise(F.lower(c))
+    plain = (F.octet_length(c) == F.char_length(c)) | ~c.rlike(_MAY_FOLD)
+    return F.when(plain, F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
 def text_or_empty(docs: DataFrame, column: str = "text") -> Column:

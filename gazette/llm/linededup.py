@@ -30,11 +30,17 @@ def line_keys(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc, th, pos, h1, h2) a line: th tells apart rows of one doc_id."""
     t = text_or_empty(docs, text)
     lines = docs.select(docs["doc_id"].alias("doc"), F.xxhash64(t).alias("th"), F.posexplode(F.split(t, "\n")).alias("pos", "line"))
-    keyed = lines.select("doc", "th", "pos", ascii_lower(F.btrim("line", F.lit(BLANKS))).alias("key"))
+    keyed = lines.select("doc", "th", "pos", ascii_lower(trimmed(F.col("line"))).alias("key"))
     return (keyed.where(F.char_length("key") >= MIN_CHARS)
             .select("doc", "th", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")))
 
 
+def trimmed(line):
+    """Without blanks at both ends; most lines have none and are left alone."""
+    at_end = F.lit(BLANKS).contains(F.left(line, F.lit(1))) | F.lit(BLANKS).contains(F.right(line, F.lit(1)))
+    return F.when(at_end, F.btrim(line, F.lit(BLANKS))).otherwise(line)
+
+
 def shared_keys(keys: DataFrame, min_docs: int) -> DataFrame:
     """Hashes found in at least ``min_docs`` documents, and who keeps them."""
     return (keys.select("h1", "h2", "doc").distinct()
@@ -45,7 +51,7 @@ def shared_keys(keys: DataFrame, min_docs: int) -> DataFrame:
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, text: str = "text") -> DataFrame:
     """``docs`` with the cleaned text, n_lines and n_dropped (replacing columns
     so named)."""
-    keys = staged(line_keys(docs, text), "line-keys")  # read twice, and cutting lines is the costly part
+    keys = line_keys(docs, text)
     shared = staged(shared_keys(keys, min_docs), "line-shared")  # so that the join can split a hot key's rows
     lost = (keys.join(shared, ["h1", "h2"])
             .where(~F.col("doc").eqNullSafe(F.col("keeper")))
