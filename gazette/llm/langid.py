@@ -38,7 +38,7 @@ BUCKETS = 1 << 13
 SAMPLE = 4000        # texts a language
 BLOCK = 1 << 18      # characters read at a time
 UNKNOWN = "und"
-AMBIGUOUS = 0.6      # scores below this are flagged
+AMBIGUOUS = 0.5      # scores below this are flagged: no language has half of the weight
 MAX_LANGUAGES = 512  # the model has BUCKETS numbers a code bit
 
 _MULT = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
