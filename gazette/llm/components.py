@@ -1,8 +1,8 @@
 """Connected components of a table of links, by alternating stars.
 
 Each round moves every link to the least neighbour: first the larger neighbours
-of a node (large star), then the smaller ones (small star). Rounds end when no
-link changes; their number grows with the logarithm of the longest chain. Links
+of a node (large star), then the smaller ones (small star). Rounds end when
+all links are stars; their number grows with the logarithm of the longest chain. Links
 and nodes stay in Spark. Least neighbours are pre-aggregated in each task, and
 the join back on a node with very many links is one that Spark can split, since
 both sides are written tables.
@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, functions as F
 from .common import staged
 
 
-def _digest(links: DataFrame) -> tuple:
-    r = links.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit((1 << 40) - 87)))).first()
-    return r[0], r[1]
+def _done(links: DataFrame) -> bool:
+    """Whether every node has one link, to a node that has none."""
+    roles = links.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionAll(links.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    roles = roles.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return roles.where((F.col("ups") > 1) | ((F.col("ups") > 0) & (F.col("least") == 0))).isEmpty()
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -34,16 +36,9 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(a, b) links between longs -> (node, label): the least node that each
     node is connected to; nodes without a link to another aren't listed."""
-    both = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    now = staged(both, "links")
-    seen = _digest(now)
-    while seen[0]:
-        swapped = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        now = _star(staged(swapped, "links"), large=True)
+    now = staged(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    while not _done(now):
+        now = _star(now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), large=True)
         now = _star(now, large=False)  # every link is from the larger node
-        found = _digest(now)
-        if found == seen:
-            break
-        seen = found
     labels = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return labels.unionAll(labels.select(F.col("label").alias("node"), "label").distinct())

@@ -13,9 +13,10 @@
    for the shingles of the long lists, in DivideSkip's manner, until it reaches
    the overlap that both sizes ask for or no longer can. Candidates that are
    linked already are skipped.
-5. The links found, a spanning forest, are joined to components once more.
+5. What a component's one task links is final. Links found in blocks of a large
+   component, a spanning forest each, are joined to components once more.
 
-Hot groups: a component of more than ``BLOCK`` documents is dealt into blocks.
+Hot groups: a component of more than ``BLOCK`` shingles is dealt into blocks.
 Each block is solved together with a few hub documents of the component, which
 joins groups of copies across blocks; after that only documents outside the
 largest group so far are compared with all blocks, block by block. Pairs are
@@ -37,7 +38,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from .chunks import REQUEST, answers, grams, mixed, read_answers, requests, stage
 from .common import staged
@@ -48,7 +49,7 @@ WORDS = 5
 SIMILAR = 75          # percent
 KEYS_A_BYTE = 0.17
 COUNT_BYTES = 5
-BLOCK = 1000          # documents solved together
+BLOCK = 500_000       # shingles solved together
 HUBS = 8
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -179,7 +180,7 @@ class Solver:
 
 def solve(table: pa.Table) -> pa.Table:
     """Links of one group: documents of role 1 are asked, those of role 0 only
-    found."""
+    found. Each is given as a link to the least row of its tree."""
     table = table.sort_by([("row", "ascending"), ("role", "descending")])
     row = table.column("row").to_numpy()
     new = np.ones(len(row), bool)
@@ -187,8 +188,19 @@ def solve(table: pa.Table) -> pa.Table:
     table = table.filter(pa.array(new))
     row, role = table.column("row").to_numpy(), table.column("role").to_numpy()
     s = Solver([np.frombuffer(x.as_py(), np.uint64) for x in table.column("shingles")], table.column("label").to_numpy())
-    links = s.links(np.flatnonzero(role == 1))
-    return pa.table({"a": pa.array([int(row[x]) for x, _ in links], pa.int64()), "b": pa.array([int(row[y]) for _, y in links], pa.int64())})
+    up = np.arange(len(row))
+    for x, y in s.links(np.flatnonzero(role == 1)):
+        x, y = _top(up, x), _top(up, y)
+        up[max(x, y)] = min(x, y)
+    linked = [(int(row[_top(up, i)]), int(row[i])) for i in range(len(row)) if up[i] != i]
+    return pa.table({"a": pa.array([a for a, _ in linked], pa.int64()), "b": pa.array([b for _, b in linked], pa.int64())})
+
+
+def _top(up: np.ndarray, x: int) -> int:
+    while up[x] != x:
+        up[x] = up[up[x]]
+        x = up[x]
+    return x
 
 
 def jaccard_join(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -216,8 +228,8 @@ def row_of(chunk: str, ord_: str):
 
 
 def joined(chunks) -> DataFrame:
-    """(row, doc_id, n_shingles, group, component_id) of each staged document;
-    rows of one component share a group."""
+    """(row, chunk, doc_id, n_shingles, group, component_id) of each staged
+    document; rows of one component share a group."""
     n1 = chunks.ranges(KEYS_A_BYTE)
 
     def ask(table: pa.Table) -> pa.Table:
@@ -247,43 +259,41 @@ def joined(chunks) -> DataFrame:
     posted = staged(chunks.map_with(counts, post, POSTING), "shingle-lists")
     every = posted.where("kind = 0").select("row", "chunk", "doc_id", "n", "s1", "s2")
     # documents with the same set: the first row speaks for all
-    same = staged(every.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("row", "chunk")).alias("f"), F.min("doc_id").alias("least"))
-                  .select("s1", "s2", F.col("f.row").alias("first"), F.col("f.chunk").alias("chunk"), "least"), "shingle-sets")
+    same = staged(every.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("row", "chunk")).alias("f"), F.min("doc_id").alias("least"), F.min("n").alias("n"))
+                  .select("s1", "s2", F.col("f.row").alias("first"), F.col("f.chunk").alias("chunk"), "least", "n"), "shingle-sets")
     lists = posted.where("kind = 1").select("shingle", "row").join(same.select(F.col("first").alias("row")), "row", "left_semi")
     lists = staged(lists, "shingle-lists-of-sets")
     heads = staged(lists.groupBy("shingle").agg(F.min("row").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle", "head"), "shingle-heads")
     near = components(lists.join(heads, "shingle").select(F.col("head").alias("a"), F.col("row").alias("b")))
-    links = solved(chunks, staged(near.join(same.select(F.col("first").alias("node"), "chunk"), "node"), "jaccard-near"))
-    label = staged(components(links), "jaccard-components")
+    label = solved(chunks, staged(near.join(same.select(F.col("first").alias("node"), "chunk", "n"), "node"), "jaccard-near"))
     of = same.join(label, same["first"] == label["node"], "left").select("s1", "s2", "least", F.coalesce("label", "first").alias("label"))
     of = staged(of, "jaccard-labels")
-    least = staged(of.groupBy("label").agg(F.min("least").alias("component_id")), "jaccard-least")
+    least = of.groupBy("label").agg(F.min("least").alias("component_id"))
     ids = staged(of.join(least, "label").select("s1", "s2", F.col("label").alias("group"), "component_id"), "jaccard-ids")
-    found = every.where("n > 0").join(ids, ["s1", "s2"]).select("row", "doc_id", F.col("n").alias("n_shingles"), "group", "component_id")
-    return found.unionAll(every.where("n = 0").select("row", "doc_id", F.col("n").alias("n_shingles"), F.col("row").alias("group"), F.col("doc_id").alias("component_id")))
+    found = every.where("n > 0").join(ids, ["s1", "s2"]).select("row", "chunk", "doc_id", F.col("n").alias("n_shingles"), "group", "component_id")
+    return found.unionAll(every.where("n = 0").select("row", "chunk", "doc_id", F.col("n").alias("n_shingles"), F.col("row").alias("group"), F.col("doc_id").alias("component_id")))
 
 
 def solved(chunks, near: DataFrame) -> DataFrame:
-    """Links (a, b) within the (node, label, chunk) components of documents
-    that share a short list."""
-    sizes = near.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    sizes = staged(sizes, "jaccard-sizes")
+    """(node, label) of the documents linked within the (node, label, chunk, n)
+    components of documents that share a short list."""
+    sizes = staged(near.groupBy("label").agg(F.sum("n").alias("size")), "jaccard-sizes")
     total, most = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
     groups = max(1, -(-total // BLOCK))
-    placed = near.join(sizes, "label")
     blocks = F.ceil(F.col("size") / BLOCK)
     # small components share a group; a large one has blocks of its own
     grp = F.when(blocks > 1, -1 - F.col("label")).otherwise(F.pmod(F.xxhash64("label"), F.lit(groups)))
     blk = F.pmod(F.xxhash64("node"), blocks)
-    placed = staged(placed.select("node", "label", "chunk", "size", grp.alias("grp"), blk.alias("blk"), blocks.alias("blocks")), "jaccard-placed")
+    placed = near.join(sizes, "label").select("node", "label", "chunk", "n", grp.alias("grp"), blk.alias("blk"), blocks.alias("blocks"))
     own = placed.select("chunk", "node", "grp", "blk", F.lit(0).cast("long").alias("oblk"), F.lit(1).alias("role"), F.col("node").alias("label"))
     if most <= BLOCK:
-        return staged(found(chunks, own), "jaccard-links")
+        return stars(staged(found(chunks, own), "jaccard-links"))
     large = placed.where("blocks > 1")
     hubs = hubs_of(large)
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     hubs = hubs.select("chunk", "node", "grp", every_block.alias("blk"), F.lit(0).cast("long").alias("oblk"), F.lit(1).alias("role"), F.col("node").alias("label"))
     links = staged(found(chunks, own.unionAll(hubs)), "jaccard-links")
+    large = staged(large, "jaccard-placed")
     # of the large ones: all documents outside the largest group so far against all blocks
     so_far = staged(components(links), "jaccard-so-far")
     at = large.join(so_far.select("node", F.col("label").alias("now")), "node", "left").withColumn("now", F.coalesce("now", "node"))
@@ -291,11 +301,18 @@ def solved(chunks, near: DataFrame) -> DataFrame:
     counts = at.groupBy("grp", "now").agg(F.count(F.lit(1)).alias("n"))
     main = staged(counts.groupBy("grp").agg(F.max_by("now", F.struct("n", "now")).alias("main")), "jaccard-main")
     out = staged(at.join(main, "grp").where("now != main"), "jaccard-outside")
-    n_out = staged(out.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("oblocks")), "jaccard-outside-sizes")
+    n_out = staged(out.groupBy("grp").agg(F.ceil(F.sum("n") / BLOCK).alias("oblocks")), "jaccard-outside-sizes")
     asked = out.join(n_out, "grp").select("chunk", "node", "grp", every_block.alias("blk"), F.pmod(F.xxhash64("node", F.lit(1)), "oblocks").alias("oblk"), F.lit(1).alias("role"), F.col("now").alias("label"))
     every_part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("oblocks") - 1))
     there = at.join(n_out, "grp").select("chunk", "node", "grp", "blk", every_part.alias("oblk"), F.lit(0).alias("role"), F.col("now").alias("label"))
-    return links.unionAll(staged(found(chunks, asked.unionAll(there)), "jaccard-links-outside"))
+    every = links.unionAll(staged(found(chunks, asked.unionAll(there)), "jaccard-links-outside"))
+    return components(every)
+
+
+def stars(links: DataFrame) -> DataFrame:
+    """Links that are final, to the least of each component, as labels."""
+    label = links.select(F.col("b").alias("node"), F.col("a").alias("label"))
+    return label.unionAll(label.select(F.col("label").alias("node"), "label").distinct())
 
 
 def hubs_of(large: DataFrame) -> DataFrame:
