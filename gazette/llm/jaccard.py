@@ -215,16 +215,20 @@ def distinct_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     others = [c for c in docs.columns if c.lower() != text.lower()]
     chunks = stage(docs, text, rest=others)
     found = joined(chunks)
-    empty = found.where("n_shingles = 0").select("row")
-    first = F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
-    kept = empty.unionAll(found.where("n_shingles > 0").groupBy("group").agg(first.alias("row")).select("row"))
-    rows = chunks.table.withColumn("row", row_of("chunk", "ord")).join(staged(kept, "jaccard-kept"), "row", "left_semi")
+    empty = found.where("n_shingles = 0").select("row", "chunk")
+    first = F.min_by(F.struct("row", "chunk"), F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    kept = empty.unionAll(found.where("n_shingles > 0").groupBy("group").agg(first.alias("f")).select("f.row", "f.chunk"))
+
+    def keep(table: pa.Table, rows: pa.Table) -> pa.Table:
+        if not (table.num_rows and rows.num_rows):
+            return table.select(["text", "rest"]).slice(0, 0)
+        return with_rows(table, rows.column("row").to_numpy()).select(["text", "rest"])
+
+    # in place: only row numbers move, not the documents
+    fields = [f for f in chunks.table.schema.fields if f.name in ("text", "rest")]
+    out = chunks.table.groupBy("chunk").cogroup(kept.groupBy("chunk")).applyInArrow(keep, T.StructType(fields))
     place = {c: F.col(f"rest.c{i}").alias(c) for i, c in enumerate(others)}
-    return rows.select(*[place.get(c, F.col("text").alias(c)) for c in docs.columns])
-
-
-def row_of(chunk: str, ord_: str):
-    return F.shiftleft(F.shiftright(chunk, _BASE), _BASE).bitwiseOR(F.col(ord_))
+    return out.select(*[place.get(c, F.col("text").alias(c)) for c in docs.columns])
 
 
 def joined(chunks) -> DataFrame:
