@@ -5,7 +5,11 @@ character n-grams (naive Bayes on hashed 1- to 4-grams of lower-cased letters)
 predicts on which side of the bit the text's language stands. Decoding weighs
 each bit's loss by how well its classifier does on the texts it was fit on, and
 takes the codeword of least loss; if the second is nearly as near the text is
-flagged as ambiguous.
+flagged as ambiguous. How near is told by the gap between the two losses, which
+is a mean over the text's n-grams: it is held against the gap that the texts the
+model was fit on have between the same two languages. A text of which ``CLEAR``
+or less is in its language is flagged, however many languages there are. The
+score is a weight among the languages and no part of this.
 
 Fitting reads a sample of labelled texts: a text is in it by the hash of doc_id
 and text, with the chance that makes ``SAMPLE`` texts of each language likely
@@ -14,7 +18,8 @@ the driver gets one count a language and n-gram bucket. Prediction runs over
 every whole text, in Arrow batches, a text at a time; a very long text is read
 in blocks. The model sent to tasks has a fixed size a language.
 
-Defined cases: a text that is null or has no letter gets ``und`` and score 0.
+Defined cases: a text that is null or has no letter gets ``und`` and score 0,
+and is flagged.
 Labelled rows without text, and texts without label, teach nothing. With one
 language all texts with letters get it; with none all get ``und``. Rows without
 doc_id are never learnt from by the query and count as held out. Extra columns
@@ -25,7 +30,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -38,7 +43,7 @@ BUCKETS = 1 << 13
 SAMPLE = 4000        # texts a language
 BLOCK = 1 << 18      # characters read at a time
 UNKNOWN = "und"
-AMBIGUOUS = 0.5      # scores below this are flagged: no language has half of the weight
+CLEAR = 2 / 3        # texts with no larger share in one of two languages are flagged
 MAX_LANGUAGES = 512  # the model has BUCKETS numbers a code bit
 
 _MULT = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -110,23 +115,38 @@ class Model:
     code: np.ndarray      # language x bit
     weights: np.ndarray   # bucket x bit: log odds of the +1 side
     trust: np.ndarray     # weight of each bit's loss
+    gaps: np.ndarray | None = None  # language x language: loss of the second less that of the first, over the first's own n-grams
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, bool]:
         if not self.languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, True
         counts = gram_counts(text)
         if counts is None:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, True
         return self.decode(counts @ self.weights / counts.sum())
 
-    def decode(self, margin: np.ndarray) -> tuple[str, float]:
+    def loss(self, margin: np.ndarray) -> np.ndarray:
+        return (np.logaddexp(0.0, -SHARPNESS * self.code * margin) * self.trust).sum(1) / self.trust.sum()
+
+    def decode(self, margin: np.ndarray) -> tuple[str, float, bool]:
         """Loss-weighted decoding of mean log odds an n-gram, one a bit."""
         if len(self.languages) == 1:
-            return self.languages[0], 1.0
-        loss = (np.logaddexp(0.0, -SHARPNESS * self.code * margin) * self.trust).sum(1) / self.trust.sum()
+            return self.languages[0], 1.0, False
+        loss = self.loss(margin)
         p = np.exp(-DECISION * (loss - loss.min()))
         best = int(loss.argmin())
-        return self.languages[best], float(p[best] / p.sum())
+        near = loss - loss[best] <= self.least_gaps(best)
+        return self.languages[best], float(p[best] / p.sum()), bool(np.delete(near, best).any())
+
+    def least_gaps(self, best: int) -> np.ndarray:
+        """The gap to each other language up to which a text is ambiguous. Gaps
+        are linear in the n-grams: with a share s in the nearest language and
+        the rest in the other, the gap is s * own - (1 - s) * back."""
+        if self.gaps is None:
+            return np.zeros(len(self.languages))
+        own, back = self.gaps[best], self.gaps[:, best]
+        back = np.where(back > 0, back, own)  # a language with nothing learnt has no gaps of its own
+        return np.maximum(0.0, np.maximum((1 - CLEAR) * own, CLEAR * own - (1 - CLEAR) * back))
 
 
 SHARPNESS = 8.0  # of a bit's logistic loss in mean log odds
@@ -169,22 +189,26 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     # how far each language's own n-grams stand on their side of the bit
     sure = (counts / np.maximum(counts.sum(1, keepdims=True), 1)) @ weights * code
     trust = 1.0 / (1.0 + np.exp(-SHARPNESS * sure.min(0))) if code.shape[1] else np.ones(0)
-    return Model(languages, code, weights, np.maximum(trust, 1e-3))
+    model = Model(languages, code, weights, np.maximum(trust, 1e-3))
+    if len(languages) < 2:
+        return model
+    own = np.stack([model.loss(margin) for margin in sure * code])
+    return replace(model, gaps=own - np.diag(own)[:, None])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score and ambiguous (replacing columns so named)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for texts in batches:
-            yield pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score", "ambiguous"])
 
     names = ("lang_pred", "score", "ambiguous")
     own, = free_name(docs, "predicted")
     kept = [c for c in docs.columns if c.lower() not in names]
     out = docs.select(*[docs[f"`{c}`"] for c in kept], predict(docs[text]).alias(own))
     return out.select(*[out[f"`{c}`"] for c in kept], F.col(f"{own}.lang_pred").alias("lang_pred"), F.col(f"{own}.score").alias("score"),
-                      (F.col(f"{own}.score") < AMBIGUOUS).alias("ambiguous"))
+                      F.col(f"{own}.ambiguous").alias("ambiguous"))

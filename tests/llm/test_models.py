@@ -1,6 +1,7 @@
 """URL filter, nearest neighbours, language identification and packing."""
 
 import fnmatch
+import itertools
 import random
 import re
 import zlib
@@ -157,6 +158,36 @@ def test_language_odd_rows(spark):
     assert {r["lang_pred"] for r in langid.identify(docs, langid.fit(docs.where("lang = 'en'"))).collect()} == {"und", "en"}
 
 
+@pytest.mark.parametrize("langs", [("en", "fr"), ("es", "fr"), ("de", "en", "fr"), ("de", "en", "es", "fr")])
+def test_half_and_half_is_ambiguous(spark, langs):
+    """Held-out texts are clear, two of them in one text are not, with two languages as with more."""
+    prepare(spark)
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").where(F.col("lang").isin(*langs)).select("doc_id", "text", "lang")
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    rows = docs.orderBy("doc_id").collect()
+    model = langid.fit(spark.createDataFrame([r for r in rows if not held(r["doc_id"])], docs.schema))
+    clean = {k: [r["text"] for r in rows if held(r["doc_id"]) and r["lang"] == k and len(r["text"]) >= 200][:20] for k in langs}
+    mixed = []
+    for a, b in itertools.combinations(langs, 2):
+        for x, y in zip(clean[a], clean[b]):
+            n = min(len(x), len(y))
+            mixed.append(x[:n] + "\n" + y[:n])
+    given = [(0, t, None) for k in langs for t in clean[k]] + [(1, t, None) for t in mixed] + [(2, None, None), (2, "12 !", None)]
+    out = langid.identify(spark.createDataFrame(given, docs.schema), model).collect()
+    flags = {k: [r["ambiguous"] for r in out if r["doc_id"] == k] for k in (0, 1, 2)}
+    assert not any(flags[0]) and len(flags[0]) >= 15 * len(langs)
+    assert all(flags[1]) and len(flags[1]) >= 15
+    assert all(flags[2])
+
+
+def test_one_language_or_none_is_told(spark):
+    prepare(spark)
+    docs = D.frame(spark)
+    out = langid.identify(docs, langid.fit(docs.where("lang = 'en'"))).collect()
+    assert all(r["ambiguous"] == (r["lang_pred"] == "und") for r in out)
+    assert all(r["ambiguous"] for r in langid.identify(docs, langid.fit(docs.limit(0))).collect())
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 6, 9, 40])
 def test_codewords(n):
     code = langid.codewords(n)
