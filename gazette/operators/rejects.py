@@ -35,5 +35,24 @@ def of_documents(status: DataFrame, source: str, key: str) -> DataFrame:
     return _rows(status.where(F.col("error").isNotNull()), source, F.col(key), "document", F.col("error"))
 
 
+def of_items(errors: DataFrame, source: str, key: str) -> DataFrame:
+    """Items of a document that are left out, from (key, pos, error)."""
+    return _rows(errors, source, F.concat_ws("#", F.col(key).cast("string"), F.col("pos").cast("string")), "item", F.col("error"))
+
+
+def of_details(listing: DataFrame, good: DataFrame, bad: DataFrame, source: str, url: str = "url") -> DataFrame:
+    """Listed rows without a good detail page: those of ``bad`` (url, error)
+    have an unusable one, the others none."""
+    lost = listing.join(good.select(url).distinct(), url, "left_anti")
+    said = bad.groupBy(url).agg(F.min("error").alias("error"))
+    lost = lost.select(url).join(said, url, "left")
+    return _rows(lost, source, F.col(url), "detail", F.coalesce("error", F.lit("detail page missing")))
+
+
+def of_failures(failures: DataFrame) -> DataFrame:
+    """Sources that could not be loaded at all."""
+    return _rows(failures, F.col("source"), None, "source", F.col("error"))
+
+
 def union(parts: list) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)

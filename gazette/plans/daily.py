@@ -45,13 +45,34 @@ class RunResult:
         return R.active_board(self.store, *self.board_of)
 
 
-def daily_run(intake: DataFrame, tax: TXN.Taxonomy, store: DataFrame, run_ts: _dt.datetime, as_of: _dt.date,
+@dataclass
+class FileIntake:
+    """``rejected``: what the sources could not use (documents, items, detail
+    pages, whole sources), as rows of operators/rejects. Unpacks to (intake,
+    failures)."""
+    intake: DataFrame
+    failures: DataFrame
+    rejected: DataFrame
+
+    def __iter__(self):
+        return iter((self.intake, self.failures))
+
+
+def daily_run(intake: DataFrame | FileIntake, tax: TXN.Taxonomy, store: DataFrame, run_ts: _dt.datetime, as_of: _dt.date,
               categories: list, labels: dict, scorer_factory=None, cap: int | None = None,
               since: _dt.date | None = None, source_failures: int = 0, checkpoint: bool = True,
               sources=None, reuse_prepared: bool = True) -> RunResult:
     """``reuse_prepared``: the prepared batch feeds both the store and the run
-    counters; checkpoint it once when both are materialised."""
+    counters; checkpoint it once when both are materialised. What the sources
+    of a ``FileIntake`` rejected is among the run's rejects and counters; then
+    ``source_failures`` are only those that it doesn't know."""
+    unread = None
+    if isinstance(intake, FileIntake):
+        intake, unread = intake.intake, intake.rejected
     spark = intake.sparkSession
+    if unread is not None and checkpoint:
+        ensure_checkpoint_dir(spark)
+        unread = unread.checkpoint(eager=True)           # counted and written: the sources are read for it once
     batch = IN.since_filter(IN.cap(intake, cap), since)
     valid, rejected = IN.split_valid(batch, sources if sources is not None else IN.K.SOURCES)
     prepared = TXN.prepare(valid, tax)
@@ -80,7 +101,9 @@ def daily_run(intake: DataFrame, tax: TXN.Taxonomy, store: DataFrame, run_ts: _d
     # the sources needn't be parsed again to count them
     whole = cap is None and since is None
     stats = STT.run_stats(prepared, answers, fetched_total=None if whole else intake, cap=cap,
-                          source_failures=source_failures, skip_ai=scorer_factory is None, rejected=rejects)
+                          source_failures=source_failures, skip_ai=scorer_factory is None, rejected=rejects, source_rejected=unread)
+    if unread is not None:
+        rejects = RJ.union([unread, rejects])
     if answers is not None:
         rejects = RJ.union([rejects, RJ.of_answers(answers)])
     return RunResult(new_store, stats, rejects, answers, (as_of, categories, labels))
@@ -115,14 +138,18 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
                       listing_url_template: str | None = None, detail_pages: str | None = None,
                       feeds: str | None = None, feed_hosts=(), api_bodies: str | None = None,
                       api_url_prefix: str = "", api_hosts=(), container_pages: str | None = None,
-                      container_selectors: str = "", url_of=None, sequence=None) -> tuple:
+                      container_selectors: str = "", url_of=None, sequence=None) -> FileIntake:
     """Build one intake batch from crawled files (the four source kinds), in
     fixed source order, failures isolated per source.
 
     ``url_of(path_col) -> Column`` maps a file path to the page URL (default:
     the path); ``sequence(path_col) -> Column`` gives the order of files within a
     source as text (default: by path). Detail pages join the listing on URL; listing titles win.
-    Returns ``(intake, failures)``; ``ord`` is ``(source_rank, file key, pos)``.
+    ``ord`` is ``(source_rank, file key, pos)``. Rejected are files without
+    content and what is no feed, no JSON or can't be parsed; feed entries, API
+    items and listing rows that the rules of their source leave out; listed
+    links without a good detail page; sources that can't be loaded. Anchors
+    that are no listing rows are no items, nor is a link met again.
     """
     from ..functions import dates as D
     from ..functions import urls as U
@@ -136,7 +163,13 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
         d = FL.with_key(FL.read_documents(spark, path), sequence)
         return d.select(F.col("doc_key").alias("page_id"), url_of(F.col("path")).alias("url"), F.col("body").alias("html"))
 
-    loaders = []
+    def unread(source, path, status=None):
+        """Files without content, and documents with an error."""
+        empty = FL.with_key(FL.empty_documents(spark, path), sequence).withColumn("error", F.lit("empty document"))
+        out = [RJ.of_documents(empty, source, "doc_key")]
+        return out if status is None else [*out, RJ.of_documents(status, source, "doc_key")]
+
+    loaders, rejected = [], []
     if listing_pages:
         def detail_source():
             listing = H.link_listing(pages(listing_pages), listing_href_pattern, listing_url_template)
@@ -146,10 +179,14 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
                 j = listing.select("*", F.lit(None).cast("date").alias("posted_date"),
                                    F.lit(None).cast("date").alias("deadline"))
             else:
-                fields = H.first_good_page(H.definition_fields(H.definition_pairs(det, keep=("url", "page_id")), ["url", "page_id"]))
+                read = H.definition_fields(H.definition_pairs(det, keep=("url", "page_id")), ["url", "page_id"])
+                fields = H.first_good_page(read)
+                empty = FL.empty_documents(spark, detail_pages).select(url_of(F.col("path")).alias("url"), F.lit("empty document").alias("error"))
+                rejected.append(RJ.of_details(listing, fields, H.bad_pages(read).union(empty), "jst"))
                 fields = fields.select("url", D.era_date("first_value").alias("posted_date"),
                                        D.era_date("last_value").alias("deadline"))
                 j = listing.join(fields, "url", "inner")
+            rejected.extend(unread("jst", listing_pages))
             return j.select(_ord(0, "page_id").alias("ord"),
                             F.lit("jst").alias("source"), U.last_path_segment("url").alias("external_id"),
                             "title", "url", F.lit(None).cast("string").alias("description"), "posted_date",
@@ -160,20 +197,28 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
             d = FL.with_key(FL.read_documents(spark, feeds), sequence)
             e = FD.feed_entries(d.select("doc_key", F.col("body").alias("xml")), "xml", keep=("doc_key",))
             f = FD.feed_items(e, feed_hosts, "mext", keep=("doc_key",))
+            rejected.extend(unread("mext", feeds, FD.feed_status(d, "body", keep=("doc_key",))))
+            rejected.append(RJ.of_items(FD.feed_item_errors(e, feed_hosts, keep=("doc_key",)), "mext", "doc_key"))
             return f.select(_ord(1, "doc_key").alias("ord"), "source",
                             "external_id", "title", "url", "description", "posted_date", "deadline",
                             F.lit("unknown").alias("tender_type"))
         loaders.append(("mext", feed_source))
     if container_pages:
         def container_source():
-            ev = H.container_rows(pages(container_pages), container_selectors).filter(F.col("kind").isNotNull())
-            ev = ev.filter(H.fallback_anchor_filter())
+            every = H.container_rows(pages(container_pages), container_selectors)
+            bad = every.filter(~F.col("ok")).select(F.col("page_id").alias("doc_key"), F.lit("page could not be parsed").alias("error"))
+            rejected.extend(unread("nedo", container_pages, bad))
+            ev = every.filter(F.col("kind").isNotNull()).filter(H.fallback_anchor_filter())
             link = U.resolve(F.col("href"), F.col("url"))
             dates = D.row_dates(F.col("row_text"))
-            ev = ev.select("page_id", "pos", "url", link.alias("link"), "title",
+            ev = ev.select("page_id", "pos", "kind", "url", link.alias("link"), "title",
                            F.when(F.col("kind") == "row", D.row_date_value(F.get(dates, 0))).alias("posted_date"),
                            F.when(F.col("kind") == "row", D.row_date_value(F.get(dates, 1))).alias("deadline"))
-            ev = ev.filter(F.col("link").isNotNull() & (U.host("link") == U.host("url")) & (F.col("title") != ""))
+            used = F.coalesce(F.col("link").isNotNull() & (U.host("link") == U.host("url")) & (F.col("title") != ""), F.lit(False))
+            error = F.when(F.coalesce(F.col("title"), F.lit("")) == "", "title").when(F.col("link").isNull(), "url").otherwise("url not allowed")
+            lost = ev.filter(~used & (F.col("kind") == "row"))
+            rejected.append(RJ.of_items(lost.select("page_id", "pos", error.alias("error")), "nedo", "page_id"))
+            ev = ev.filter(used).drop("kind")
             ev = ev.withColumn("ord", _ord(2, "page_id"))
             first = keep_first(ev.drop("url"), "link", "ord")
             return first.select("ord", F.lit("nedo").alias("source"), F.lit(None).cast("string").alias("external_id"),
@@ -185,15 +230,17 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
             d = FL.with_key(FL.read_documents(spark, api_bodies), sequence)
             e = FD.json_entries(d, "body", keep=("doc_key",))
             j = FD.json_items(e, api_url_prefix, api_hosts, "jgrants", keep=("doc_key",))
+            rejected.extend(unread("jgrants", api_bodies, FD.json_status(d, "body", keep=("doc_key",))))
+            rejected.append(RJ.of_items(FD.json_item_errors(e, api_url_prefix, api_hosts, keep=("doc_key",)), "jgrants", "doc_key"))
             return j.select(_ord(3, "doc_key").alias("ord"), "source",
                             "external_id", "title", "url", "description", "posted_date", "deadline",
                             F.lit("unknown").alias("tender_type"))
         loaders.append(("jgrants", api_source))
     union, failures = IN.union_sources(spark, loaders)
-    return union.drop("source_rank"), failures
+    return FileIntake(union.drop("source_rank"), failures, RJ.union([RJ.of_failures(failures), *rejected]))
 
 
-def run_and_publish(spark, intake: DataFrame, tax, store_root: str, out_dir: str, run_ts, as_of,
+def run_and_publish(spark, intake: DataFrame | FileIntake, tax, store_root: str, out_dir: str, run_ts, as_of,
                     categories: list, labels: dict, scorer_factory=None, cap=None, since=None,
                     source_failures: int = 0, sources=None) -> dict:
     """Daily run against the latest store snapshot: writes the next snapshot

@@ -11,10 +11,13 @@ from ..operators import rejects as RJ
 from ..operators import scoring as SC
 from ..operators import store as ST
 from ..session import scratch_dir
+from ..sources import feeds as FD
+from ..sources import html as H
 from ..sources import intake as IN
 from . import bindings as B
 from . import daily
 from . import sqlgen as S
+from .q_feeds import FEED_HOSTS, GRANT_HOSTS, GRANT_PREFIX, feed_xml_sql, json_body_sql
 from .q_intake import VALIDATE_SPLICE, VALIDATE_SQL
 from .q_report import MONTHS_SQL, T_CTE
 from .q_scoring import CAND_SQL, VALIDATE_SQL as ANSWERS_SQL, validated
@@ -34,6 +37,37 @@ def reject_rows(spark, sf_dir):
     return RJ.union([RJ.of_validation(rejected), RJ.of_answers(validated(spark, sf_dir))])
 
 
+_FEED_LOST = "CASE WHEN o_orderkey % 37 = 0 THEN ' ' WHEN o_orderkey % 41 = 0 THEN 'no feed' ELSE {} END"
+_BODY_LOST = "CASE WHEN o_orderkey % 43 = 0 THEN '{{\"result\": [' WHEN o_orderkey % 47 = 0 THEN '{{\"result\": {{\"id\": 1}}}}' ELSE {} END"
+
+
+@query("source_reject_rows", """WITH o AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS s FROM orders)
+SELECT 'mext' AS source, s AS key, 'document' AS stage, CASE WHEN k % 37 = 0 THEN 'empty document' ELSE 'not a feed' END AS error
+FROM o WHERE k % 37 = 0 OR k % 41 = 0
+UNION ALL SELECT 'mext', s || '#0', 'item', CASE WHEN k % 23 = 0 THEN 'title' WHEN k % 29 = 0 THEN 'url' ELSE 'url not allowed' END
+FROM o WHERE k % 37 <> 0 AND k % 41 <> 0 AND (k % 23 = 0 OR k % 29 = 0 OR k % 9 IN (0, 3, 6))
+UNION ALL SELECT 'mext', s || '#1', 'item', 'malformed item' FROM o WHERE k % 37 <> 0 AND k % 41 <> 0 AND k % 10 = 4
+UNION ALL SELECT 'jgrants', s, 'document', CASE WHEN k % 43 = 0 THEN 'not JSON' ELSE 'no list of items' END
+FROM o WHERE k % 43 = 0 OR k % 47 = 0
+UNION ALL SELECT 'jgrants', s || '#0', 'item', 'title' FROM o WHERE k % 43 <> 0 AND k % 47 <> 0 AND k % 23 = 0
+UNION ALL SELECT 'jst', url, 'detail', 'detail page missing' FROM pages l
+WHERE NOT EXISTS (SELECT 1 FROM pages d WHERE d.url = l.url AND d.page_id % 4 <> 0)""")
+def source_reject_rows(spark, sf_dir):
+    """Feeds, API bodies and detail pages that a run could not use, and the
+    items and listing rows that it left out."""
+    o = B.spread(B.table(spark, sf_dir, "orders"))
+    docs = o.select(F.col("o_orderkey").alias("id"), F.expr(_FEED_LOST.format(feed_xml_sql("spark"))).alias("xml"),
+                    F.expr(_BODY_LOST.format(json_body_sql())).alias("body"))
+    pages = B.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    fields = H.definition_fields(H.definition_pairs(pages.filter("page_id % 4 <> 0"), keep=("url", "page_id")), ["url", "page_id"])
+    return RJ.union([
+        RJ.of_documents(FD.feed_status(docs), "mext", "id"),
+        RJ.of_items(FD.feed_item_errors(FD.feed_entries(docs), FEED_HOSTS), "mext", "id"),
+        RJ.of_documents(FD.json_status(docs), "jgrants", "id"),
+        RJ.of_items(FD.json_item_errors(FD.json_entries(docs), GRANT_PREFIX, GRANT_HOSTS), "jgrants", "id"),
+        RJ.of_details(pages.select("url"), H.first_good_page(fields), H.bad_pages(fields), "jst")])
+
+
 def written_store(spark, sf_dir) -> str:
     """T as the first snapshot of a new store."""
     root = scratch_dir(spark, f"run-{uuid.uuid4().hex}")

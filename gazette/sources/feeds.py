@@ -20,6 +20,7 @@ LINK = "ARRAY<STRUCT<_VALUE: STRING, _href: STRING, _rel: STRING>>"
 ITEM_SCHEMA = ", ".join(f"`{f}` STRING" for f in ITEM_FIELDS) + f", link {LINK}"
 # An RSS or RDF item, or an Atom entry; and an ampersand that starts no reference.
 ITEM_RE = r"(?s)<item[\s>].*?</item>|<entry[\s>].*?</entry>"
+OPEN_ITEM_RE = r"<(item|entry)(\s[^>]*[^/])?>"
 BARE_AMPERSAND = r"&(?!#?\w+;)"
 FEED_RE = r"(?i)<(rss|feed|channel|rdf:RDF)[\s>]"
 
@@ -41,10 +42,12 @@ def feed_entries(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
 
 
 def feed_status(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
-    """A row a document: keep…, n_items, and error for what is no feed."""
+    """A row a document: keep…, n_items, and error for what is no feed or breaks
+    off within an item."""
     n = F.size(F.regexp_extract_all(F.coalesce(F.col(xml), F.lit("")), F.lit(ITEM_RE), F.lit(0)))
+    cut = F.regexp_replace(F.col(xml), ITEM_RE, "").rlike(OPEN_ITEM_RE)
     bad = F.coalesce(F.trim(F.col(xml)), F.lit("")) == ""
-    error = F.when(bad, F.lit("empty document")).when((n == 0) & ~F.col(xml).rlike(FEED_RE), F.lit("not a feed"))
+    error = F.when(bad, F.lit("empty document")).when((n == 0) & ~F.col(xml).rlike(FEED_RE), F.lit("not a feed")).when(cut, F.lit("item without end"))
     return df.select(*keep, n.alias("n_items"), error.alias("error"))
 
 
@@ -52,9 +55,8 @@ def feed_items(entries: DataFrame, allowed_hosts, source: str, keep=("id",)) ->
     """Feed entries to intake columns (A4, B10, B3, H12): title and link
     stripped and required, link on an allowed https host without port,
     posted = published else updated (UTC calendar day), id = guid or rdf:about."""
-    title = TX.unicode_strip(F.coalesce(F.col("title"), F.lit("")))
-    link = TX.unicode_strip(F.coalesce(F.col("link"), F.lit("")))
-    e = entries.select(*keep, "pos", title.alias("title"), link.alias("url"),
+    title, url = _feed_title_url()
+    e = entries.select(*keep, "pos", title.alias("title"), url.alias("url"),
                        TX.blank_to_null(F.coalesce("description", "summary", "content")).alias("description"),
                        D.feed_date(F.coalesce("pubDate", "published"), F.coalesce(F.col("`dc:date`"), F.col("updated"))).alias("posted_date"),
                        F.coalesce(F.col("guid"), F.col("`_rdf:about`"), F.col("atom_id")).alias("external_id"))
@@ -63,6 +65,26 @@ def feed_items(entries: DataFrame, allowed_hosts, source: str, keep=("id",)) ->
                     "posted_date", F.lit(None).cast("date").alias("deadline"))
 
 
+def _feed_title_url() -> tuple:
+    return tuple(TX.unicode_strip(F.coalesce(F.col(c), F.lit(""))) for c in ("title", "link"))
+
+
+def feed_item_errors(entries: DataFrame, allowed_hosts, keep=("id",)) -> DataFrame:
+    """The entries that ``feed_items`` leaves out: keep…, pos, error."""
+    title, url = _feed_title_url()
+    e = entries.select(*keep, "pos", "read", title.alias("title"), url.alias("url"))
+    return _left_out(e, keep, [("malformed item", ~F.col("read")), ("title", F.col("title") == ""), ("url", F.col("url") == "")], allowed_hosts,
+                     (F.col("title") != "") & (F.col("url") != ""))
+
+
+def _left_out(items: DataFrame, keep, rules: list, allowed_hosts, wanted: Column) -> DataFrame:
+    """Items that aren't ``wanted`` or have no allowed url, with the first rule
+    (name, condition) that holds."""
+    error = F.coalesce(*[F.when(cond, F.lit(name)) for name, cond in rules], F.lit("url not allowed"))
+    used = F.coalesce(wanted & U.allowed(F.col("url"), allowed_hosts), F.lit(False))
+    return items.where(~used).select(*keep, "pos", error.alias("error"))
+
+
 # --------------------------------------------------------------------------
 # JSON API bodies (A5)
 
@@ -95,18 +117,35 @@ def truthy_text(prefix: str) -> Column:
 
 
 def json_status(df: DataFrame, body: str = "body", keep=("id",)) -> DataFrame:
-    """A row a body: keep…, and error for what is no JSON."""
-    return df.select(*keep, F.when(F.try_parse_json(F.col(body)).isNull(), F.lit("not JSON")).alias("error"))
+    """A row a body: keep…, and error for what is no JSON or holds something
+    else where the list of items is expected."""
+    d = _json_lists(df, body, keep, also=("_v",))
+    kind = F.schema_of_variant("_v")
+
+    def no_list(v: Column) -> Column:
+        t = F.schema_of_variant(v)
+        return t.startswith("OBJECT") | (~t.startswith("ARRAY") & (t != "VOID") & ~_vget(v, "$", "string").isin("", "0", "false"))
+
+    held = F.exists(F.array(*[_vget(F.col("_v"), f"$.{k}", "variant") for k in UNWRAP_KEYS]), lambda v: F.coalesce(no_list(v), F.lit(False)))
+    other = held | (~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"))
+    error = F.when(F.col("_v").isNull(), F.lit("not JSON")).when(_json_list().isNull() & other, F.lit("no list of items"))
+    return d.select(*keep, error.alias("error"))
 
 
 def json_entries(df: DataFrame, body: str = "body", keep=("id",)) -> DataFrame:
     """One row per API item: keep…, pos, item (VARIANT)."""
+    return _json_lists(df, body, keep).select(*keep, F.posexplode(_json_list()).alias("pos", "item"))
+
+
+def _json_lists(df: DataFrame, body: str, keep, also=()) -> DataFrame:
     d = df.select(*keep, F.try_parse_json(F.col(body)).alias("_v"))
     # staged, so that each key is looked up once
-    d = d.select(*keep, *[_vget(F.col("_v"), f"$.{k}", "array<variant>").alias(f"_a{i}") for i, k in enumerate(UNWRAP_KEYS)],
+    return d.select(*keep, *also, *[_vget(F.col("_v"), f"$.{k}", "array<variant>").alias(f"_a{i}") for i, k in enumerate(UNWRAP_KEYS)],
                  F.when(F.schema_of_variant("_v").startswith("ARRAY"), _vget(F.col("_v"), "$", "array<variant>")).alias("_top"))
-    items = F.coalesce(*[F.when(F.size(f"_a{i}") > 0, F.col(f"_a{i}")) for i in range(len(UNWRAP_KEYS))], F.col("_top"))
-    return d.select(*keep, F.posexplode(items).alias("pos", "item"))
+
+
+def _json_list() -> Column:
+    return F.coalesce(*[F.when(F.size(f"_a{i}") > 0, F.col(f"_a{i}")) for i in range(len(UNWRAP_KEYS))], F.col("_top"))
 
 
 def json_items(entries: DataFrame, url_prefix: str, allowed_hosts, source: str, keep=("id",),
@@ -115,10 +154,7 @@ def json_items(entries: DataFrame, url_prefix: str, allowed_hosts, source: str,
                end_field: str = "acceptance_end_datetime") -> DataFrame:
     """API items to intake columns: blank id or title dropped, URL built from
     the id and checked against the allowlist, lenient dates, no description."""
-    fields = {"_id": id_field, "_ti": title_field, "_st": start_field, "_en": end_field}
-    e = entries.select(*keep, "pos", *[_vget(F.col("item"), f"$.{f}", "variant").alias(a) for a, f in fields.items()])
-    for a in fields:
-        e = variant_parts(e, a, a)
+    e = _json_fields(entries, keep, {"_id": id_field, "_ti": title_field, "_st": start_field, "_en": end_field})
     e = e.select(*keep, "pos", truthy_text("_id").alias("external_id"), truthy_text("_ti").alias("title"),
                  truthy_text("_st").alias("_start"), truthy_text("_en").alias("_end"))
     e = e.filter(F.col("external_id").isNotNull() & F.col("title").isNotNull())
@@ -128,3 +164,20 @@ def json_items(entries: DataFrame, url_prefix: str, allowed_hosts, source: str,
     e = e.filter(U.allowed(F.col("url"), allowed_hosts))
     return e.select(*keep, "pos", F.lit(source).alias("source"), "external_id", "title", "url",
                     F.lit(None).cast("string").alias("description"), "posted_date", "deadline")
+
+
+def _json_fields(entries: DataFrame, keep, fields: dict) -> DataFrame:
+    e = entries.select(*keep, "pos", *[_vget(F.col("item"), f"$.{f}", "variant").alias(a) for a, f in fields.items()])
+    for a in fields:
+        e = variant_parts(e, a, a)
+    return e
+
+
+def json_item_errors(entries: DataFrame, url_prefix: str, allowed_hosts, keep=("id",), id_field: str = "id",
+                     title_field: str = "title") -> DataFrame:
+    """The items that ``json_items`` leaves out: keep…, pos, error."""
+    e = _json_fields(entries, keep, {"_id": id_field, "_ti": title_field})
+    e = e.select(*keep, "pos", truthy_text("_id").alias("external_id"), truthy_text("_ti").alias("title"))
+    e = e.withColumn("url", F.concat(F.lit(url_prefix), F.col("external_id")))
+    return _left_out(e, keep, [("id", F.col("external_id").isNull()), ("title", F.col("title").isNull())], allowed_hosts,
+                     F.col("external_id").isNotNull() & F.col("title").isNotNull())

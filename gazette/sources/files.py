@@ -8,11 +8,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: ``path``, ``body`` (whole file text)."""
+    """One row per file that holds anything: ``path``, ``body`` (whole file text)."""
     df = spark.read.text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 
+def empty_documents(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` of the files of no length: Spark lists but never reads them."""
+    listed = spark.read.text(path, wholetext=True).inputFiles()  # the driver's file index, with empty files
+    every = spark.createDataFrame([(x,) for x in listed], "path string")
+    # no content is read for these columns
+    held = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"))
+    same = lambda c: F.regexp_replace(c, "^(\\w+):/+", "$1:/")  # noqa: E731 - file:/a is file:///a
+    return every.join(held.select(same("path").alias("_held")), same("path") == F.col("_held"), "left_anti")
+
+
 def with_key(df: DataFrame, sequence=None) -> DataFrame:
     """The key that ordering rules go by: ``sequence(path)`` if the caller knows
     the order in which files were crawled, else the path itself. Paths are

@@ -62,3 +62,61 @@ def test_run_from_files(spark, tmpdir_path):
     again = run_and_publish(spark, intake, tax, f"{root}/store", f"{root}/site2", dt.datetime(2026, 7, 3),
                             dt.date(2026, 7, 3), ["grid"], {"grid": "Grid"})
     assert again["version"] == 1 and spark.read.parquet(again["snapshot"]).count() == 4
+
+
+def test_what_sources_leave_out_is_rejected_and_counted(spark, tmpdir_path):
+    root = tmpdir_path
+    write(f"{root}/listing/index.html", LISTING)
+    write(f"{root}/listing/empty one.html", "")
+    write(f"{root}/detail/1-2026-1", DETAIL)                       # that of 1-2026-2 is not there
+    bad_item = "<item><title>broken</titel><link>https://www.min.example/n2</link></item>"
+    blank = "<item><title> </title><link>https://www.min.example/n3</link></item>"
+    away = "<item><title>Away</title><link>https://other.example/n4</link></item>"
+    write(f"{root}/feeds/f1.xml", FEED.replace("</channel>", bad_item + blank + away + "</channel>"))
+    write(f"{root}/feeds/f2.xml", "")
+    write(f"{root}/feeds/f3.xml", "busy, come back later")
+    write(f"{root}/feeds/f4.xml", "<rss><channel><item><title>cut")
+    write(f"{root}/api/b1.json", API.replace('"result": [', '"result": [{"id": "", "title": "No id"}, {"id": "g2", "title": " "}, '))
+    write(f"{root}/api/b2.json", '{"result": [')
+    write(f"{root}/api/b3.json", '{"result": {"id": "g3"}}')
+    write(f"{root}/rows/p.html", '<table class="x"><tr><td><a href="/e1.html">Grid row</a></td></tr>'
+                                 '<tr><td><a href="https://else.example/e2.html">Else</a></td></tr></table>')
+
+    def url_of(path):
+        seg = F.element_at(F.split(path, "/"), -1)
+        return F.when(path.contains("/detail/"), F.concat(F.lit("https://proc.example/detail/"), seg)) \
+                .otherwise(F.lit("https://proc.example/list/index.html"))
+
+    found = intake_from_files(
+        spark, listing_pages=f"{root}/listing/*", listing_href_pattern=r"kankouju/(\d+)_(\d+)_(\d+)\.html$",
+        listing_url_template="/detail/$1-$2-$3", detail_pages=f"{root}/detail/*",
+        feeds=f"{root}/feeds/*", feed_hosts=["www.min.example"], container_pages=f"{root}/rows/*", container_selectors="table.x tr",
+        api_bodies=f"{root}/api/*", api_url_prefix="https://portal.example/subsidy/", api_hosts=["portal.example"],
+        url_of=url_of, sequence=lambda p: F.element_at(F.split(p, "/"), -1))
+    assert found.failures.count() == 0 and found.intake.count() == 4
+    expected = sorted([
+        ("jst", "empty%20one.html", "document", "empty document"), ("jst", "https://proc.example/detail/1-2026-2", "detail", "detail page missing"),
+        ("mext", "f1.xml#1", "item", "malformed item"), ("mext", "f1.xml#2", "item", "title"), ("mext", "f1.xml#3", "item", "url not allowed"),
+        ("mext", "f2.xml", "document", "empty document"), ("mext", "f3.xml", "document", "not a feed"), ("mext", "f4.xml", "document", "item without end"),
+        ("nedo", "p.html#1", "item", "url not allowed"),
+        ("jgrants", "b1.json#0", "item", "id"), ("jgrants", "b1.json#1", "item", "title"),
+        ("jgrants", "b2.json", "document", "not JSON"), ("jgrants", "b3.json", "document", "no list of items")])
+    assert sorted(map(tuple, found.rejected.collect())) == expected
+    tax = tx.Taxonomy.from_dict({"grid": {"g": ["grid"]}, "tender_type_hints": {"subsidy": ["grant"], "commissioned": ["survey"]}})
+    args = (found, tax, f"{root}/store", f"{root}/site", dt.datetime(2026, 7, 2), dt.date(2026, 7, 2), ["grid"], {"grid": "Grid"})
+    out = run_and_publish(spark, *args)
+    s = out["stats"]
+    assert sorted(map(tuple, spark.read.parquet(out["rejects"]).collect())) == expected
+    assert s["failed"] == len(expected) and s["exit_status"] == 1
+    assert s["fetched"] == 4 + len(expected) == s["excluded"] + s["no_category"] + s["upserted"] + s["failed"]
+    capped = run_and_publish(spark, *args, cap=4)["stats"]
+    assert capped["truncated_to"] is None and capped["failed"] == len(expected) and capped["fetched"] == s["fetched"]
+
+
+def test_bad_detail_pages_are_named(spark):
+    from gazette.operators import rejects as RJ
+    from gazette.sources import html as H
+    listing = spark.createDataFrame([("a",), ("b",), ("c",)], "url string")
+    fields = spark.createDataFrame([("a", 1, False), ("a", 2, True), ("b", 3, False), ("b", 4, False)], "url string, page_id long, ok boolean")
+    out = RJ.of_details(listing, H.first_good_page(fields), H.bad_pages(fields), "jst")
+    assert sorted(map(tuple, out.collect())) == [("jst", "b", "detail", "page could not be parsed"), ("jst", "c", "detail", "detail page missing")]
