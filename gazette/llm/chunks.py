@@ -87,7 +87,9 @@ def stage(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES, r
     dealt = given.mapInArrow(deal, schema)
     total = given.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     name = f"chunks_{uuid.uuid4().hex}"
-    buckets = max(1, -(-total // BUCKET_BYTES))
+    # Spark refuses more buckets than this; chunks are grouped within a bucket, so it may hold more of them
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    buckets = max(1, min(most, -(-total // BUCKET_BYTES)))
     (dealt.write.format("parquet").option("compression", "zstd").option("path", f"{ensure_checkpoint_dir(spark)}/{name}")
      .bucketBy(buckets, "chunk").sortBy("chunk").saveAsTable(name))
     return Chunks(spark.table(name), total)

@@ -142,3 +142,19 @@ def test_empty_tables(spark):
     none = D.empty(spark)
     for run in (linededup.line_dedup, suffixdedup.suffix_dedup, substring.substring_dedup, jaccard.jaccard_join, jaccard.distinct_documents, mix.mix, quality.quality):
         assert run(none).collect() == []
+
+
+def test_no_more_buckets_than_spark_allows(spark, monkeypatch):
+    """Beyond the limit a bucket holds more chunks; results are the same."""
+    from gazette.llm import chunks
+    prepare(spark)
+    docs = D.frame(spark)
+    expected = sorted(map(str, substring.substring_dedup(docs).collect()))
+    monkeypatch.setattr(chunks, "BUCKET_BYTES", 1000)
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", 2000)
+    before = spark.conf.get("spark.sql.sources.bucketing.maxBuckets")
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
+    try:
+        assert sorted(map(str, substring.substring_dedup(docs).collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", before)
