@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, jaccard, langid, linededup, mix, packing, quality, substring, suffixdedup, urlfilter
+from . import ann, jaccard, langid, lexical, linededup, merkle, mix, packing, pii, quality, substring, suffixdedup, urlfilter
 from .common import read_table
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -242,3 +242,118 @@ JACCARD_SQL = ("WITH RECURSIVE numbered AS (SELECT row_number() OVER () AS rid,
 def op8_jaccard_join(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.jaccard_join(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op11_personal_data")
+def op11_personal_data(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.find(docs, pii.fit(docs))
+    base = F.filter("spans", lambda p: p["base"])
+
+    def said(spans):
+        return F.array_join(F.transform(spans, lambda p: F.concat_ws(":", p["kind"], p["start"].cast("string"), p["end"].cast("string"))), ",")
+
+    return out.select("doc_id", *[F.size(F.filter(base, lambda p: p["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+                      F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+
+
+# crc32 of a short text, a bit at a time
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, range(8 * length({s}))), lambda a, i:
+    xor(xor(a, CASE WHEN i % 8 = 0 THEN ascii(substr({s}, (i // 8 + 1)::INT, 1)) ELSE 0 END) >> 1,
+        (xor(a, CASE WHEN i % 8 = 0 THEN ascii(substr({s}, (i // 8 + 1)::INT, 1)) ELSE 0 END) & 1) * 3988292384)), 4294967295)"""
+
+
+def _said(value: str) -> str:
+    return f"coalesce(octet_length(encode(({value})::VARCHAR))::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_said(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+         CASE WHEN {_CRC.format(s="doc_id::VARCHAR")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS told
+  FROM documents),
+g AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS grp FROM (SELECT DISTINCT source FROM documents)),
+l AS (
+  SELECT grp, doc_id, leaf, told, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+trees AS (
+  SELECT 0 AS level, grp, pos, leaf AS h FROM l
+  UNION ALL
+  SELECT level + 1, grp, pos // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM trees) WHERE n > 1 GROUP BY level, grp, pos // 3),
+subroots AS (SELECT grp, arg_max(h, level) AS subroot, max(level) AS height FROM trees GROUP BY grp),
+top AS (
+  SELECT 0 AS level, grp AS pos, subroot AS h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM top) WHERE n > 1 GROUP BY level, pos // 3),
+root AS (SELECT arg_max(h, level) AS root, max(level) AS height FROM top),
+-- levels of a leaf's way: those of its group's tree, then those of the top tree
+nodes AS (
+  SELECT trees.grp, trees.level, pos, h FROM trees JOIN subroots USING (grp) WHERE trees.level < height
+  UNION ALL
+  SELECT grp, height + top.level, pos, h FROM subroots CROSS JOIN top WHERE top.level < (SELECT height FROM root)),
+way AS (
+  SELECT l.grp, l.pos AS leaf_pos, 0 AS level, l.pos, told AS h, '' AS proof, height FROM l JOIN subroots USING (grp)
+  UNION ALL
+  SELECT w.grp, leaf_pos, w.level + 1, CASE WHEN w.level + 1 = any_value(height) THEN w.grp ELSE w.pos // 3 END,
+         sha256(string_agg(CASE WHEN n.pos = w.pos THEN w.h ELSE n.h END, '' ORDER BY n.pos)),
+         any_value(proof) || coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos <> w.pos), ''), any_value(height)
+  FROM (SELECT * REPLACE (CASE WHEN level = height THEN grp ELSE pos END AS pos) FROM way) w
+  JOIN nodes n ON n.grp = w.grp AND n.level = w.level AND n.pos // 3 = w.pos // 3
+  GROUP BY w.grp, leaf_pos, w.level, w.pos),
+ends AS (SELECT grp, leaf_pos, arg_max(h, level) AS folded_root, arg_max(proof, level) AS proof FROM way GROUP BY grp, leaf_pos)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN subroots USING (grp) JOIN ends ON ends.grp = l.grp AND leaf_pos = l.pos CROSS JOIN root
+"""
+
+
+@query("op12_merkle_manifest", MERKLE_SQL)
+def op12_merkle_manifest(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select(*merkle.COLUMNS)
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    whole = [F.col(c) for c in merkle.COLUMNS]
+    changed = merkle.leaf(*whole[:-1], F.replace("text", F.lit("\n"), F.lit("")))
+    made = merkle.manifest(docs, keep={"tampered": F.when(even, changed)})
+
+    def text(c):
+        return F.lower(F.hex(c))
+
+    out = made.proofs(F.coalesce("tampered", "digest"))
+    return out.select(F.col("key").alias("doc_id"), text("digest").alias("leaf"), text("subroot").alias("subroot"), text("root").alias("root"),
+                      F.sha2(text("proof"), 256).alias("proof_sha256"), text("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
+_TERMS = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+LEXICAL_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{_TERMS}') AS t FROM documents),
+docs AS (SELECT * FROM d WHERE len(t) > 0),
+total AS (SELECT count(*) AS n, sum(len(t))::BIGINT AS l FROM docs),
+items AS (
+  SELECT iid, item_id, term, count(*) AS times
+  FROM (SELECT row_number() OVER () AS iid, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{_TERMS}')) AS term
+        FROM benchmark)
+  GROUP BY ALL),
+tf AS (
+  SELECT rid, doc_id, n_own, term, count(*) AS tf
+  FROM (SELECT rid, doc_id, len(t) AS n_own, unnest(t) AS term FROM docs) x SEMI JOIN items USING (term) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term) CROSS JOIN total),
+scored AS (
+  SELECT iid, item_id, rid, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n_own * n) // l))))::BIGINT AS score
+  FROM items JOIN tf USING (term) JOIN w USING (term) CROSS JOIN total GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op13_ranked_search", LEXICAL_SQL)
+def op13_ranked_search(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.rank(docs, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
