@@ -4,6 +4,7 @@ dates, and the labels the reports print."""
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -28,23 +29,31 @@ def try_int(col: Column) -> Column:
 
 def ymd_date(y: Column, m: Column, d: Column) -> Column:
     """Calendar date from parts; NULL for an impossible date (no exception)."""
-    txt = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), m.cast("string"), d.cast("string"))
     ok = y.between(1, 9999) & m.between(1, 12) & d.between(1, 31)
-    return F.when(ok, F.try_to_date(txt, "yyyy-M-d"))
+    txt = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), m.cast("string"), d.cast("string"))
+    return F.when(ok, txt.try_cast("date"))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it
+    (merged projections would repeat its expression)."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def era_date(text: Column | str, eras=K.ERA_OFFSETS) -> Column:
     """First '<era><y>年<m>月<d>日' in the text (after NFKC, so full-width
     digits count) as a date; NULL if none or impossible. '元年' is not matched."""
     names = "|".join(name for name, _ in eras)
-    pat = rf"({names})(\d+)年(\d+)月(\d+)日"
-    t = normalize(_c(text), "NFKC")
-    era = F.regexp_extract(t, pat, 1)
-    y, m, d = (try_int(F.regexp_extract(t, pat, i)) for i in (2, 3, 4))
-    offset = F.lit(None).cast("long")
-    for name, off in reversed(eras):
-        offset = F.when(era == name, F.lit(off)).otherwise(offset)
-    return F.when(era != "", ymd_date(offset + y, m, d))
+    found = F.regexp_substr(normalize(_c(text), "NFKC"), F.lit(rf"({names})(\d+)年(\d+)月(\d+)日"))
+
+    def date(s: Column) -> Column:
+        numbers = F.split(F.regexp_replace(s, r"\D+", " "), " ")  # before the first one stands the era
+        offset = F.lit(None).cast("long")
+        for name, off in reversed(eras):
+            offset = F.when(s.startswith(name), F.lit(off)).otherwise(offset)
+        return let(numbers, lambda n: ymd_date(offset + try_int(n[1]), try_int(n[2]), try_int(n[3])))
+
+    return let(found, date)
 
 
 def row_dates(text: Column | str, pattern: str = K.ROW_DATE_PATTERN) -> Column:
@@ -61,54 +70,61 @@ def row_date_value(s: Column) -> Column:
     """A matched row-date string to a date. 'y/m/d' and 'y-m-d' parse, with
     full-width digits too; the '年/月' form is matched but gives NULL (the
     lenient parser rejects it)."""
-    has_kanji = s.contains("年") | s.contains("月")
-    plain = F.translate(F.regexp_replace(s, "/", "-"), FULL_WIDTH, DIGITS)
-    return F.when(~has_kanji, F.try_to_date(plain, "yyyy-M-d"))
+    plain = F.translate(s, "/" + FULL_WIDTH, "-" + DIGITS)
+    return let(plain, lambda x: F.when(x.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$") & ~x.startswith("0000"), x.try_cast("date")))
+
+
+# Each full date has one of these shapes; its groups are the year, the month
+# (a number or a name) and the day, in any order. A weekday or other word may
+# stand before those that begin with a month's name or a day.
+_WORD_BEFORE, _NAME, _DAY, _SEP = r"(?:[A-Za-z]{3,9}\.?,?\s+)?", r"([A-Za-z]{3,9})", r"(\d{1,2})(?:st|nd|rd|th)?", r"[\s/.-]+"
+SHAPES = (
+    r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})",
+    r"(\d{4})(\d{2})(\d{2})(?:\d{4}|\d{6})?",
+    rf"(\d{{4}}){_SEP}{_NAME}\.?{_SEP}{_DAY}",
+    rf"{_WORD_BEFORE}{_NAME}\.?\s+{_DAY},?\s+(\d{{4}})",
+    rf"{_WORD_BEFORE}{_DAY}(?:\s+of)?{_SEP}{_NAME}\.?,?{_SEP}(\d{{4}})",
+    r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})",
+)
+ANY_SHAPE = r"^(?:" + "|".join(SHAPES) + r")(?:[T ,].*)?$"
+# What a string of any shape becomes: year, month or its name, day, and the two
+# numbers before the year of the last shape. Groups of other shapes are empty.
+PARTS = "\u0001$1$4$7$12$15$18 $2$5$8$10$14 $3$6$9$11$13 $16 $17"
 
 
 def month_number(name: Column) -> Column:
-    """1 to 12 for an English month name or its first three letters or more."""
-    low = F.lower(name)
-    hits = F.array(*[F.when(F.startswith(F.lit(m), low), F.lit(i)) for i, m in enumerate(MONTHS, 1)])
-    return F.when(F.length(low) >= 3, F.get(F.array_compact(hits), 0))
+    """The number of a month given as a number or by its English name or the
+    first three letters or more; else NULL."""
+    known, full = F.lit("".join(m[:3] for m in MONTHS)), F.array(*[F.lit(m) for m in MONTHS])
 
+    def named(low: Column) -> Column:
+        nth = (F.instr(known, F.left(low, F.lit(3))) + 2) / 3
+        whole = (F.length(low) >= 3) & (nth >= 1) & (nth == F.floor(nth))
+        return F.when(whole & F.startswith(F.get(full, (nth - 1).cast("int")), low), nth.cast("int"))
 
-_TAIL = r"(?:[T ,].*)?$"
+    return F.coalesce(name.try_cast("int"), let(F.lower(name), named))
 
 
 def lenient_date(value: Column | str) -> Column:
     """Date from a loosely formatted API value; NULL when empty or unreadable.
 
-    The calendar day written in the string is kept: a time of day and any zone
-    suffix are dropped, never applied ('…T15:00:00.000Z' stays on its day).
-    Accepted: year first with '-', '/' or '.', 'yyyymmdd', day or month first
-    with English month names (a weekday may stand before, as in RFC 822), and
-    'a/b/yyyy', where a is the month if it can be one. Not accepted: a lone day
-    number, two-digit years, dates without a year, other languages' months.
-    """
+    The string is matched once, against all ``SHAPES``; which of them it has
+    tells where its year, month and day are. The calendar day written there is
+    kept: a time of day and any zone suffix are dropped, never applied
+    ('…T15:00:00.000Z' stays on its day). In 'a/b/yyyy' a is the month if it can
+    be one. Not accepted: a lone day number, two-digit years, dates without a
+    year or (other than in the reference, which takes today's) without a day,
+    and other languages' months."""
     s = F.translate(F.trim(_c(value).cast("string")), FULL_WIDTH, DIGITS)
 
-    def part(pattern, i):
-        return F.regexp_extract(s, pattern, i)
-
-    def numbers(pattern, y, m, d):
-        return ymd_date(*(try_int(part(pattern, i)) for i in (y, m, d)))
+    def date(p: Column) -> Column:
+        y, m, d, a, b = (p[i] for i in range(5))
+        swap = try_int(a) > 12
+        month = F.when(m != "", month_number(m)).otherwise(F.when(swap, b).otherwise(a))
+        day = F.when(d != "", d).otherwise(F.when(swap, a).otherwise(b))
+        return F.when(F.startswith(y, F.lit("\u0001")) & (y != "\u00010000"), F.concat(F.substring(y, 2, 4), F.lit("-"), month, F.lit("-"), day).try_cast("date"))
 
-    first = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _TAIL
-    compact = r"^(\d{4})(\d{2})(\d{2})" + _TAIL
-    day_name = r"^(?:[A-Za-z]{3,9}\.?,?\s+)?"
-    by_month = day_name + r"([A-Za-z]{3,9})\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + _TAIL
-    by_day = day_name + r"(\d{1,2})(?:st|nd|rd|th)?[\s-]+([A-Za-z]{3,9})\.?,?[\s-]+(\d{4})" + _TAIL
-    last = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})" + _TAIL
-    a, b = try_int(part(last, 1)), try_int(part(last, 2))
-    swap = a > 12
-    return F.coalesce(
-        numbers(first, 1, 2, 3), numbers(compact, 1, 2, 3),
-        F.when(s.rlike("[A-Za-z]"), F.coalesce(
-            ymd_date(try_int(part(by_month, 3)), month_number(part(by_month, 1)), try_int(part(by_month, 2))),
-            ymd_date(try_int(part(by_day, 3)), month_number(part(by_day, 2)), try_int(part(by_day, 1))))),
-        ymd_date(try_int(part(last, 3)), F.when(swap, b).otherwise(a), F.when(swap, a).otherwise(b)),
-    )
+    return let(F.split(F.regexp_replace(s, ANY_SHAPE, PARTS), " "), date)
 
 
 def feed_timestamp(value: Column | str) -> Column:

@@ -142,18 +142,21 @@ def lenient_text_sql():
     y, m, d = f"CAST(year({_D}) AS STRING)", f"month({_D})", f"CAST(day({_D}) AS STRING)"
     compact = f"{y} || {_p2(m)} || {_p2(f'day({_D})')}"
     name = "CASE " + m + " " + " ".join(f"WHEN {i} THEN '{n.title()}'" for i, n in enumerate(D.MONTHS, 1)) + " END"
-    return (f"CASE o_orderkey % 14 WHEN 0 THEN {ymd(_D)} || 'T15:00:00.000Z' WHEN 1 THEN {ymd(_D, '/')} "
+    nth = f"CASE WHEN day({_D}) IN (1, 21, 31) THEN 'st' WHEN day({_D}) IN (2, 22) THEN 'nd' WHEN day({_D}) IN (3, 23) THEN 'rd' ELSE 'th' END"
+    return (f"CASE o_orderkey % 19 WHEN 0 THEN {ymd(_D)} || 'T15:00:00.000Z' WHEN 1 THEN {ymd(_D, '/')} "
             f"WHEN 2 THEN {compact} WHEN 3 THEN {ymd(_D, '-', False)} || ' 23:59:59+09:00' "
             f"WHEN 4 THEN '' WHEN 5 THEN 'TBD' WHEN 6 THEN {ymd(_D, '.')} WHEN 7 THEN {name} || ' ' || {d} || ', ' || {y} "
             f"WHEN 8 THEN {ymd(_D, '/')} || 'T10:00' WHEN 9 THEN {compact} || 'T150000Z' "
             f"WHEN 10 THEN 'Mon, ' || {_p2(f'day({_D})')} || ' ' || substr({name}, 1, 3) || ' ' || {y} || ' 10:00:00 +0900' "
             f"WHEN 11 THEN {_p2(m)} || '/' || {_p2(f'day({_D})')} || '/' || {y} "
             f"WHEN 12 THEN CASE WHEN day({_D}) > 12 THEN {d} || '/' || {_p2(m)} || '/' || {y} ELSE {ymd(_D)} END "
-            f"ELSE {d} END")
+            f"WHEN 14 THEN {y} || ' ' || substr({name}, 1, 3) || ' ' || {d} WHEN 15 THEN {y} || '-' || substr({name}, 1, 3) || '-' || {_p2(f'day({_D})')} "
+            f"WHEN 16 THEN {d} || {nth} || ' of ' || {name} || ' ' || {y} WHEN 17 THEN {compact} || '150000' "
+            f"WHEN 18 THEN substr({name}, 1, 3) || ' ' || {y} ELSE {d} END")
 
 
 @query("lenient_date", f"""SELECT o_orderkey AS id, {lenient_text_sql().replace("STRING", "VARCHAR")} AS raw,
-       CASE WHEN o_orderkey % 14 IN (4, 5, 13) THEN NULL ELSE {_D} END AS parsed_date FROM orders""")
+       CASE WHEN o_orderkey % 19 IN (4, 5, 13, 18) THEN NULL ELSE {_D} END AS parsed_date FROM orders""")
 def lenient_date(spark, sf_dir):
     o = B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.expr(lenient_text_sql()).alias("raw"))
     return o.select("id", "raw", D.lenient_date("raw").alias("parsed_date"))

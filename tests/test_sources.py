@@ -201,11 +201,41 @@ def test_malformed_and_atom_feeds(spark):
     assert [r["error"] for r in FD.json_status(bodies).orderBy("id").collect()] == [None, "not JSON"]
 
 
+def test_lenient_dates_equal_dateutil(spark):
+    """Every full date form, with and without a time, as dateutil reads it."""
+    import datetime
+
+    from dateutil import parser
+    forms = []
+    for i in range(400):
+        d = datetime.date(1990, 1, 1) + datetime.timedelta(days=i * 37)
+        y, m, day, name, wd = d.year, d.month, d.day, d.strftime("%B"), d.strftime("%A")
+        nth = {1: "st", 2: "nd", 3: "rd"}.get(0 if day in (11, 12, 13) else day % 10, "th")
+        every = [f"{y}-{m}-{day}", f"{y}/{m:02d}/{day:02d}", f"{y}.{m:02d}.{day:02d}", f"{y}{m:02d}{day:02d}", f"{y}{m:02d}{day:02d}150000", f"{name} {day}, {y}",
+                 f"{name[:3]}. {day} {y}", f"{day} {name} {y}", f"{day}-{name[:3]}-{y}", f"{y} {name[:3]} {day}", f"{y}-{name[:3]}-{day:02d}", f"{day}{nth} of {name} {y}",
+                 f"{wd}, {day} {name} {y}", f"{wd[:3]} {name[:3]} {day} {y}", f"{m}/{day}/{y}", f"{m:02d}-{day:02d}-{y}", f"{day}/{name[:3]}/{y}", f"{y}-{m:02d}-31", f"{y}-13-{day}"]
+        form = every[i % len(every)]
+        forms.append(form if form.isdigit() else form + ("", " 10:30", " 10:30:00 +0900")[i % 3])
+
+    def known(x):
+        try:
+            return parser.parse(x).date()
+        except ValueError:
+            return None
+    df = spark.createDataFrame(list(enumerate(forms)), "i long, x string")
+    assert [r["d"] for r in df.orderBy("i").select(D.lenient_date("x").alias("d")).collect()] == [known(x) for x in forms]
+
+
+def test_lenient_date_is_matched_once(spark):
+    plan = spark.range(1).select(F.col("id").cast("string").alias("x")).select(D.lenient_date("x").alias("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") + plan.count("regexp_extract(") + plan.count("RLIKE") == 1
+
+
 def test_more_date_forms(spark):
     given = ["2024.04.01", "April 1, 2024", "2024/04/01T10:00", "20240401T150000Z", "Mon, 01 Apr 2024 10:00:00 +0900", "04/01/2024",
-             "1 Apr 2024", "13/04/2024", "２０２４/４/１", "15", "2024-13-01", "Foo 1, 2024"]
+             "1 Apr 2024", "13/04/2024", "２０２４/４/１", "15", "2024-13-01", "Foo 1, 2024", "2024-04", "Apr 2024"]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(given)], "i long, x string")
     got = [str(r[0]) for r in df.orderBy("i").select(D.lenient_date("x")).collect()]
-    assert got == ["2024-04-01"] * 7 + ["2024-04-13", "2024-04-01", "None", "None", "None"]
+    assert got == ["2024-04-01"] * 7 + ["2024-04-13", "2024-04-01"] + ["None"] * 5
     row = spark.createDataFrame([("開始 ２０２４/０４/０１ から",)], "t string").select(D.row_date_value(F.get(D.row_dates("t"), 0))).first()[0]
     assert str(row) == "2024-04-01"
