@@ -31,7 +31,9 @@ def ymd(x, sep="-", pad=True):
 def feed_xml_sql(dialect: str) -> str:
     """One feed document per order: RSS 2.0 for even keys, RDF for odd keys,
     Atom for keys that leave 5 when divided by 8. Some RSS documents hold a bare
-    ampersand, and some a second item that is broken."""
+    ampersand, and some a second item that is broken. Further ones hold CDATA
+    sections (with an ampersand, or with markup and an item's end), a named HTML
+    reference, or an item in a comment; some Atom documents prefix all elements."""
     if dialect == "spark":
         wd, mon = f"date_format({_D}, 'EEE')", f"date_format({_D}, 'MMM')"
     else:
@@ -48,10 +50,20 @@ def feed_xml_sql(dialect: str) -> str:
     rss = (f"'<rss version=\"2.0\"><channel><title>Orders</title><item><title>' || {title} || '</title>' || {linkel} || "
            f"'<description>' || {desc} || '</description><pubDate>' || {rfc} || '</pubDate><guid>urn:o:' || {_K} || "
            f"'</guid></item>' || CASE WHEN o_orderkey % 10 = 4 THEN '<item><title>broken</titel><link>x</item>' ELSE '' END || '</channel></rss>'")
-    rss = f"CASE WHEN o_orderkey % 10 = 2 THEN replace({rss}, '&amp;', '&') ELSE {rss} END"
+    name = "'Order ' || " + _K
+    cdata = (f"replace(replace(replace({rss}, '<title>' || {name} || ' &amp; ' || o_orderpriority, '<title><![CDATA[' || {name} || ' & ' || o_orderpriority || ']]>'), "
+             f"'<link>' || {link} || '</link>', '<link><![CDATA[' || {link} || ']]></link>'), '</channel>', '<!-- </rss> --></channel>')")
+    markup = f"replace(replace({rss}, '<description>Customer', '<description><![CDATA[Customer</item> R&amp;D <b>'), '</description>', ']]></description>')"
+    named = f"replace({rss}, '<title>Order ', '<title>Order&middot;&eacute; ')"
+    draft = f"replace({rss}, '<item><title>' || {name}, '<!-- <item><title>draft</title><link>https://feeds.example/d</link></item> --><item><title>' || {name})"
+    rss = (f"CASE o_orderkey % 14 WHEN 6 THEN {cdata} WHEN 8 THEN CASE WHEN o_orderkey % 31 = 0 THEN {rss} ELSE {markup} END "
+           f"WHEN 10 THEN {named} WHEN 12 THEN {draft} ELSE {rss} END")
+    rss = f"CASE WHEN o_orderkey % 10 = 2 AND o_orderkey % 14 <> 8 THEN replace({rss}, '&amp;', '&') ELSE {rss} END"
     atom = ("'<feed xmlns=\"http://www.w3.org/2005/Atom\"><title>Orders</title><entry><title type=\"text\">' || " + title + " || '</title>' || "
             f"CASE WHEN o_orderkey % 29 = 0 THEN '' ELSE '<link rel=\"self\" href=\"https://feeds.example/self\"/><link href=\"' || {link} || '\"/>' END || "
             f"'<id>' || {link} || '</id><summary>' || {desc} || '</summary><published>' || {iso} || '</published></entry></feed>'")
+    prefixed = f"replace(replace(replace({atom}, '<', '<a:'), '<a:/', '</a:'), 'xmlns=', 'xmlns:a=')"
+    atom = f"CASE WHEN o_orderkey % 16 = 13 THEN {prefixed} ELSE {atom} END"
     rdf = ("'<rdf:RDF xmlns:rdf=\"http://www.w3.org/1999/02/22-rdf-syntax-ns#\" xmlns=\"http://purl.org/rss/1.0/\" "
            "xmlns:dc=\"http://purl.org/dc/elements/1.1/\"><channel rdf:about=\"https://feeds.example/\"><title>Orders</title>"
            f"<items><rdf:Seq><rdf:li rdf:resource=\"' || {link} || '\"/></rdf:Seq></items></channel><item rdf:about=\"' || {link} || '\">"
@@ -62,9 +74,9 @@ def feed_xml_sql(dialect: str) -> str:
 
 @query("feed_items", f"""SELECT o_orderkey AS id, CAST(0 AS INTEGER) AS pos, 'mext' AS source,
        CASE WHEN o_orderkey % 2 = 0 THEN 'urn:o:' || CAST(o_orderkey AS VARCHAR) ELSE 'https://feeds.example/o/' || CAST(o_orderkey AS VARCHAR) END AS external_id,
-       'Order ' || CAST(o_orderkey AS VARCHAR) || ' & ' || o_orderpriority AS title,
+       CASE WHEN o_orderkey % 14 = 10 THEN 'Order·é ' ELSE 'Order ' END || CAST(o_orderkey AS VARCHAR) || ' & ' || o_orderpriority AS title,
        'https://feeds.example/o/' || CAST(o_orderkey AS VARCHAR) AS url,
-       CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'Customer ' || CAST(o_custkey AS VARCHAR) END AS description,
+       CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE CASE WHEN o_orderkey % 14 = 8 THEN 'Customer</item> R&amp;D <b> ' ELSE 'Customer ' END || CAST(o_custkey AS VARCHAR) END AS description,
        CASE WHEN o_orderkey % 24 < 9 THEN CAST(o_orderdate AS DATE) - 1 ELSE CAST(o_orderdate AS DATE) END AS posted_date,
        NULL::DATE AS deadline
 FROM orders

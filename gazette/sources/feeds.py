@@ -18,22 +18,69 @@ from ..functions import urls as U
 ITEM_FIELDS = ("title", "description", "pubDate", "guid", "dc:date", "updated", "published", "summary", "content", "id", "_rdf:about")
 LINK = "ARRAY<STRUCT<_VALUE: STRING, _href: STRING, _rel: STRING>>"
 ITEM_SCHEMA = ", ".join(f"`{f}` STRING" for f in ITEM_FIELDS) + f", link {LINK}"
-# An RSS or RDF item, or an Atom entry; and an ampersand that starts no reference.
+# An RSS or RDF item, or an Atom entry.
 ITEM_RE = r"(?s)<item[\s>].*?</item>|<entry[\s>].*?</entry>"
 OPEN_ITEM_RE = r"<(item|entry)(\s[^>]*[^/])?>"
-BARE_AMPERSAND = r"&(?!#?\w+;)"
 FEED_RE = r"(?i)<(rss|feed|channel|rdf:RDF)[\s>]"
+# A CDATA section, a comment, or a tag with the text after it.
+PIECE_RE = r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->|<?[^<]+|<"
+# The references that XML itself knows.
+XML_REFERENCE = r"&(amp|lt|gt|quot|apos|#[0-9]+|#[xX][0-9A-Fa-f]+);"
+PREFIXED_ITEM = r"<([\w.-]+):(?:entry|item|feed)[\s>]"
+# The namespaces whose elements feeds are made of.
+ITEM_NAMESPACES = r"http://(?:www\.w3\.org/2005/Atom|purl\.org/rss/1\.0/)"
+
+
+def restored(xml: Column) -> Column:
+    """CDATA sections as escaped text, comments gone: what stands in them can't
+    be taken for markup any more."""
+
+    def piece(p: Column) -> Column:
+        inner = F.substring(p, F.lit(10), F.length(p) - 12)
+        for char, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            inner = F.replace(inner, F.lit(char), F.lit(ref))
+        return (F.when(p.startswith("<![CDATA[") & p.endswith("]]>"), inner)
+                .when(p.startswith("<!--") & p.endswith("-->"), F.lit("")).otherwise(p))
+
+    pieces = F.transform(F.regexp_extract_all(xml, F.lit(PIECE_RE), F.lit(0)), piece)
+    return F.when(xml.contains("<!"), F.array_join(pieces, "")).otherwise(xml)
+
+
+def unprefixed(xml: Column) -> Column:
+    """Elements of a feed whose items have a namespace prefix, without it."""
+
+    def cut(found: Column) -> Column:
+        doc, prefix = found["doc"], found["prefix"]
+        bound = F.rlike(doc, F.concat(F.lit("xmlns:\\Q"), prefix, F.lit("\\E\\s*=\\s*[\"']" + ITEM_NAMESPACES)))
+        plain = F.regexp_replace(doc, F.concat(F.lit("<(/?)\\Q"), prefix, F.lit("\\E:")), F.lit("<$1"))
+        return F.when((prefix != "") & bound, plain).otherwise(doc)
+
+    return D.let(xml, lambda x: D.let(F.struct(x.alias("doc"), F.regexp_extract(x, PREFIXED_ITEM, 1).alias("prefix")), cut))
+
+
+def plain_feed(xml: Column) -> Column:
+    """A document as items can be cut from it."""
+    return unprefixed(restored(xml))
+
+
+def plain_references(item: Column) -> Column:
+    """HTML's named references as characters; an ampersand that starts no
+    reference is taken as one."""
+    kept = F.regexp_replace(item, XML_REFERENCE, "\u0002$1;")
+    known = F.replace(F.replace(TX.decode_entities(kept), F.lit("&"), F.lit("&amp;")), F.lit("\u0002"), F.lit("&"))
+    return F.when(item.contains("&"), known).otherwise(item)
 
 
 def feed_entries(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
     """One row per feed item: keep…, pos, read, link and the ITEM fields.
 
     A document is cut into its items first and each is read by itself, so one
-    that is malformed (``read`` is false) costs no other. A bare ampersand is
-    taken as one."""
-    items = F.regexp_extract_all(F.col(xml), F.lit(ITEM_RE), F.lit(0))
+    that is malformed (``read`` is false) costs no other. CDATA sections,
+    comments, HTML's references, bare ampersands and namespace prefixes are
+    resolved before."""
+    items = F.regexp_extract_all(plain_feed(F.col(xml)), F.lit(ITEM_RE), F.lit(0))
     e = df.select(*keep, F.posexplode(items).alias("pos", "item"))
-    whole = F.regexp_replace(F.col("item"), BARE_AMPERSAND, "&amp;")
+    whole = plain_references(F.col("item"))
     e = e.select(*keep, "pos", F.from_xml(whole, ITEM_SCHEMA + ", _bad STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("it"))
     link = F.filter("it.link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
     href = F.coalesce(F.get(link, 0)["_href"], F.get(F.col("it.link"), 0)["_VALUE"])
@@ -44,11 +91,16 @@ def feed_entries(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
 def feed_status(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
     """A row a document: keep…, n_items, and error for what is no feed or breaks
     off within an item."""
-    n = F.size(F.regexp_extract_all(F.coalesce(F.col(xml), F.lit("")), F.lit(ITEM_RE), F.lit(0)))
-    cut = F.regexp_replace(F.col(xml), ITEM_RE, "").rlike(OPEN_ITEM_RE)
-    bad = F.coalesce(F.trim(F.col(xml)), F.lit("")) == ""
-    error = F.when(bad, F.lit("empty document")).when((n == 0) & ~F.col(xml).rlike(FEED_RE), F.lit("not a feed")).when(cut, F.lit("item without end"))
-    return df.select(*keep, n.alias("n_items"), error.alias("error"))
+
+    def judged(doc: Column) -> Column:
+        n = F.size(F.regexp_extract_all(F.coalesce(doc, F.lit("")), F.lit(ITEM_RE), F.lit(0)))
+        cut = F.regexp_replace(doc, ITEM_RE, "").rlike(OPEN_ITEM_RE)
+        bad = F.coalesce(F.trim(doc), F.lit("")) == ""
+        error = F.when(bad, F.lit("empty document")).when((n == 0) & ~doc.rlike(FEED_RE), F.lit("not a feed")).when(cut, F.lit("item without end"))
+        return F.struct(n.alias("n_items"), error.alias("error"))
+
+    status = df.select(*keep, D.let(plain_feed(F.col(xml)), judged).alias("_s"))
+    return status.select(*keep, "_s.n_items", "_s.error")
 
 
 def feed_items(entries: DataFrame, allowed_hosts, source: str, keep=("id",)) -> DataFrame:

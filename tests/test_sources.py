@@ -239,3 +239,48 @@ def test_more_date_forms(spark):
     assert got == ["2024-04-01"] * 7 + ["2024-04-13", "2024-04-01"] + ["None"] * 5
     row = spark.createDataFrame([("開始 ２０２４/０４/０１ から",)], "t string").select(D.row_date_value(F.get(D.row_dates("t"), 0))).first()[0]
     assert str(row) == "2024-04-01"
+
+
+def feed_rows(spark, *docs):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(docs)], "id long, xml string")
+    out = FD.feed_items(FD.feed_entries(df), ["h.example"], "mext").orderBy("id", "pos").collect()
+    return [(r["id"], r["title"], r["url"], r["description"]) for r in out], {r["id"]: (r["n_items"], r["error"]) for r in FD.feed_status(df).collect()}
+
+
+def test_feed_cdata_is_text(spark):
+    """Nothing within CDATA is markup, a reference or the end of an item."""
+    rss = ("<rss><channel><item><title><![CDATA[R&D call & more]]></title><link><![CDATA[https://h.example/2?x=1&y=2]]></link>"
+           "<description><![CDATA[a </item> <b>bold</b> &amp; <!-- kept -->]]></description></item>"
+           "<item><title>T<![CDATA[]]></title><link>https://h.example/3</link></item></channel></rss>")
+    rows, status = feed_rows(spark, rss)
+    assert rows == [(0, "R&D call & more", "https://h.example/2?x=1&y=2", "a </item> <b>bold</b> &amp; <!-- kept -->"), (0, "T", "https://h.example/3", None)]
+    assert status == {0: (2, None)}
+
+
+def test_feed_comments_hold_no_items(spark):
+    rows, status = feed_rows(spark, "<rss><channel><!-- <item><title>old</title><link>https://h.example/0</link></item> --><item><title>new<!-- x --></title>"
+                             "<link>https://h.example/1</link></item></channel></rss>", "<rss><channel><!-- <![CDATA[ --><item><title>A</title><link>https://h.example/2</link></item></channel></rss>")
+    assert [r[1] for r in rows] == ["new", "A"] and status == {0: (1, None), 1: (1, None)}
+
+
+def test_feed_named_references(spark):
+    rows, _ = feed_rows(spark, "<rss><channel><item><title>caf&eacute;&nbsp;&amp; bar &copy; &unknown; &#65;&#x42; &lt;i&gt; A & B</title><link>https://h.example/1?a=1&amp;b=2&c=3</link></item></channel></rss>")
+    assert rows == [(0, "café & bar © &unknown; AB <i> A & B", "https://h.example/1?a=1&b=2&c=3", None)]
+
+
+def test_feed_prefixed_elements(spark):
+    atom = ('<a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:title>F</a:title><a:entry><a:title>T</a:title><a:link href="https://h.example/1"/>'
+            "<a:id>urn:1</a:id><a:summary>S</a:summary></a:entry></a:feed>")
+    rdf = "<r:RDF xmlns:r='http://www.w3.org/1999/02/22-rdf-syntax-ns#' xmlns:s.1='http://purl.org/rss/1.0/'><s.1:item><s.1:title>U</s.1:title><s.1:link>https://h.example/2</s.1:link></s.1:item></r:RDF>"
+    other = "<x:feed xmlns:x='urn:other'><x:entry><x:title>no feed of ours</x:title></x:entry></x:feed>"
+    mixed = ('<rss xmlns:atom="http://www.w3.org/2005/Atom"><channel><atom:link href="https://h.example/self" rel="self"/><item><title>V</title>'
+             "<link>https://h.example/3</link></item></channel></rss>")
+    rows, status = feed_rows(spark, atom, rdf, other, mixed)
+    assert [r[:3] for r in rows] == [(0, "T", "https://h.example/1"), (1, "U", "https://h.example/2"), (3, "V", "https://h.example/3")]
+    assert rows[0][3] == "S" and status[2] == (0, "not a feed") and status[0] == (1, None)
+
+
+def test_feed_with_a_long_body_of_markup(spark):
+    long_ = "<p>x & y</p>" * 60_000
+    rows, _ = feed_rows(spark, f"<rss><channel><item><title>L</title><link>https://h.example/1</link><description><![CDATA[{long_}]]></description></item></channel></rss>")
+    assert rows[0][3] == long_
