@@ -13,15 +13,29 @@ Known urls update, new urls insert, store-only rows pass through. New ids
 continue the store's sequence in first-appearance order.
 
 Stores are Parquet snapshots ``<root>/v=<n>``; a run reads v=n and writes
-v=n+1, never overwriting the version it reads.
+v=n+1, never overwriting the version it reads. A snapshot is dealt into buckets
+by the hash of the url. A run reads only the buckets that its batch touches,
+writes them into its version's folder, and takes the others from where they are:
+``_layout`` in the folder names, for each bucket, the version that holds it (and
+the store's greatest id, so that no scan is needed to continue the ids).
+
+A version is published by renaming its finished folder to ``v=<n+1>``, which
+fails if another writer was there first; the run is then applied again to the
+version it lost against (``apply_touched``). The batches of streams are
+recorded in the same step, so a replayed batch is known. The rename has to be
+atomic, as on HDFS and local disks.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.dates import ts_lit
 
@@ -54,12 +68,12 @@ def fold_batch(batch: DataFrame, type_col: str = "tender_type", confirmed=K.CONF
                     "confirmed_type", "first_ord", "n_records"))
 
 
-def batch_ids(store: DataFrame, folded: DataFrame, checkpoint: bool = True) -> DataFrame:
+def batch_ids(store: DataFrame, folded: DataFrame, checkpoint: bool = True, max_id: int | None = None) -> DataFrame:
     """``(url, id)`` for every url of a folded batch: the stored id of a known
-    url, else the next id after the store's maximum in order of first
-    appearance. Reads only the store's (url, id) columns; the result is
-    batch-sized."""
-    max_id = store.select(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar()
+    url, else the next id after the store's maximum (``max_id``, if ``store`` is
+    a part of it) in order of first appearance. Reads only the store's (url, id)
+    columns; the result is batch-sized."""
+    max_id = F.lit(max_id).cast("long") if max_id is not None else store.select(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar()
     keys = folded.select("url", "first_ord").join(store.select("url", F.col("id").alias("_sid")), "url", "left")
     # the ranking of new urls is checkpointed inside global_rank; the final
     # join is by url, so ``keys`` itself needs no fixed row order
@@ -165,16 +179,6 @@ def snapshot_versions(spark: SparkSession, root: str) -> list:
     return sorted(out)
 
 
-def next_version(spark: SparkSession, root: str, first: int = 0) -> int:
-    """One past every version folder, complete or not."""
-    fs, p = _fs(spark, root)
-    taken = [first - 1]
-    if fs.exists(p):
-        names = [st.getPath().getName() for st in fs.listStatus(p)]
-        taken += [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
-    return max(taken) + 1
-
-
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small text file, None if there is none."""
     fs, p = _fs(spark, path)
@@ -196,38 +200,145 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
-def claim_version(spark: SparkSession, root: str, owner: str, first: int = 1) -> tuple[int, bool]:
-    """``(version, done)`` of the snapshot that ``owner`` writes.
-
-    The claim is written before the snapshot, so a repeated attempt of the same
-    owner finds its version again: done if that is complete. A version that
-    others have passed meanwhile is given up for a new one."""
-    path = os.path.join(root, "_claims", owner)
-    said, complete = read_text(spark, path), snapshot_versions(spark, root)
-    if said is not None and int(said) in complete:
-        return int(said), True
-    if said is not None and not any(v > int(said) for v in complete):
-        return int(said), False
-    version = next_version(spark, root, first)
-    write_text(spark, path, str(version))
-    fs, p = _fs(spark, os.path.join(root, f"v={version}"))
-    fs.mkdirs(p)
-    return version, False
+# ---- buckets
+
+BUCKETS = 64          # of a new store; a bucket should hold some 100 MB
+LAYOUT = "_layout"
+
+
+class Conflict(RuntimeError):
+    """Another writer has published the version."""
+
+
+def bucket_of(url: Column | str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(buckets)).cast("int")
+
+
+@dataclass
+class Snapshot:
+    """A version of a store: for each bucket the version whose folder holds it
+    (None: empty), the greatest id, and the last batch of each stream that is in
+    it. Without ``at`` the version is one of no buckets, written whole."""
+    spark: SparkSession
+    root: str
+    version: int | None
+    at: list | None
+    max_id: int | None
+    streams: dict = field(default_factory=dict)
+    new_buckets: int = BUCKETS   # of the next version, if this one has none
+
+    def read(self, buckets: list | None = None) -> DataFrame:
+        """The rows, or those of some buckets."""
+        if self.version is None:
+            return empty_store(self.spark)
+        if self.at is None:
+            return read_version(self.spark, self.root, self.version)
+        wanted = range(len(self.at)) if buckets is None else buckets
+        paths = [os.path.join(self.root, f"v={self.at[b]}", f"bucket={b}") for b in wanted if self.at[b] is not None]
+        return self.spark.read.schema(STORE).parquet(*paths) if paths else empty_store(self.spark)
+
+    @property
+    def buckets(self) -> int:
+        return len(self.at) if self.at is not None else self.new_buckets
+
+    def touched(self, rows: DataFrame) -> list:
+        """The buckets that the urls of ``rows`` are in: all of them, if the
+        version has none yet."""
+        if self.at is None and self.version is not None:
+            return list(range(self.buckets))
+        found = rows.select(bucket_of("url", self.buckets).alias("b")).distinct().collect()  # no more than buckets
+        return sorted(r["b"] for r in found)
+
+    def but(self, buckets: list, new: DataFrame) -> DataFrame:
+        """The rows with those of some buckets replaced by ``new``."""
+        if self.at is None:
+            return new
+        gone = set(buckets)
+        return self.read([b for b in range(len(self.at)) if b not in gone]).unionByName(new)
+
+    def publish(self, new: DataFrame, buckets: list, streams: dict | None = None, first: int = 0) -> "Snapshot":
+        """Write ``new``, all rows of ``buckets``, as the next version."""
+        n = self.buckets
+        version = first if self.version is None else self.version + 1
+        draft = os.path.join(self.root, "_drafts", uuid.uuid4().hex)
+        rows = new.withColumn("bucket", bucket_of("url", n)).repartition("bucket")
+        rows.write.partitionBy("bucket").parquet(draft)
+        fs, p = _fs(self.spark, draft)
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        held = {int(x[7:]) for x in names if x.startswith("bucket=")}
+        at = list(self.at or [None] * n)
+        for b in buckets:
+            at[b] = version if b in held else None
+        top = self.spark.read.parquet(draft).agg(F.max("id")).first()[0] if held else None  # from the footers
+        known = [x for x in (top, self.max_id, 0) if x is not None]
+        done = Snapshot(self.spark, self.root, version, at, max(known), {**self.streams, **(streams or {})})
+        write_text(self.spark, os.path.join(draft, LAYOUT), json.dumps({"at": at, "max_id": done.max_id, "streams": done.streams}))
+        rename_new(self.spark, draft, os.path.join(self.root, f"v={version}"))
+        return done
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to a name that must be free; :class:`Conflict` if it isn't."""
+    jvm = spark._jvm
+    fs, _ = _fs(spark, target)
+    old, new = (fs.makeQualified(jvm.org.apache.hadoop.fs.Path(x)) for x in (source, target))
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(old, new, options)
+    except Exception as e:
+        if fs.exists(new):
+            raise Conflict(target) from e
+        raise
 
 
-def read_store(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """Latest (or given) snapshot, with missing columns backfilled."""
+def latest(spark: SparkSession, root: str, version: int | None = None, buckets: int = BUCKETS) -> Snapshot:
+    """The last published version (or a given one). ``buckets`` is for a store
+    that has none yet."""
     versions = snapshot_versions(spark, root)
     if not versions:
-        return empty_store(spark)
+        return Snapshot(spark, root, None, None, 0, new_buckets=buckets)
     v = versions[-1] if version is None else version
-    df = backfill_columns(spark.read.parquet(os.path.join(root, f"v={v}")))
+    said = read_text(spark, os.path.join(root, f"v={v}", LAYOUT))
+    if said is None:
+        return Snapshot(spark, root, v, None, None, new_buckets=buckets)
+    layout = json.loads(said)
+    return Snapshot(spark, root, v, layout["at"], layout["max_id"], layout["streams"])
+
+
+def apply_touched(spark: SparkSession, root: str, change: Callable[[Snapshot], tuple | None], streams: dict | None = None,
+                  first: int = 0, attempts: int = 10, buckets: int = BUCKETS) -> Snapshot:
+    """Publish a change of the latest version. ``change(snapshot)`` gives (new
+    rows, buckets) or None for no change; when another writer publishes before,
+    it is asked again for the version that one wrote."""
+    for attempt in range(attempts):
+        base = latest(spark, root, buckets=buckets)
+        made = change(base)
+        if made is None:
+            return base
+        try:
+            return base.publish(*made, streams, first)
+        except Conflict:
+            if attempt == attempts - 1:
+                raise
+    return base
+
+
+def read_store(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """Latest (or given) snapshot, with missing columns backfilled."""
+    return latest(spark, root, version).read()
+
+
+def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """A snapshot that was written whole, maybe before some columns existed."""
+    df = backfill_columns(spark.read.parquet(os.path.join(root, f"v={version}")))
     return df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns
                        else F.lit(None).cast(f.dataType).alias(f.name) for f in STORE.fields])
 
 
 def write_store(df: DataFrame, root: str, version: int) -> str:
-    """Write a new snapshot version; refuses to overwrite an existing one."""
+    """Write a snapshot version whole and without buckets; refuses to overwrite
+    an existing one."""
     path = os.path.join(root, f"v={version}")
     df.write.mode("errorifexists").parquet(path)
     return path

@@ -38,6 +38,19 @@ class RunResult:
     rejected: DataFrame
     answers: DataFrame | None
     board_of: tuple  # as_of, categories, labels
+    folded: DataFrame
+    ids: DataFrame   # (url, id) of the batch, which the answers go by
+
+    def change(self, base: ST.Snapshot, run_ts: _dt.datetime) -> tuple:
+        """What the run writes to a version of a store: the rows of the buckets
+        that its batch touches, with the answers."""
+        buckets = base.touched(self.folded)
+        part = base.read(buckets)
+        ids = ST.batch_ids(part, self.folded, max_id=base.max_id)
+        new = ST.upsert(part, self.folded, run_ts, ids=ids)
+        if self.answers is not None:   # another writer may have given new urls other ids
+            new = SC.merge_scores(new, self.answers.join(self.ids, "id").drop("id").join(ids, "url"))
+        return new, buckets
 
     @property
     def board(self) -> DataFrame:
@@ -58,7 +71,7 @@ class FileIntake:
         return iter((self.intake, self.failures))
 
 
-def daily_run(intake: DataFrame | FileIntake, tax: TXN.Taxonomy, store: DataFrame, run_ts: _dt.datetime, as_of: _dt.date,
+def daily_run(intake: DataFrame | FileIntake, tax: TXN.Taxonomy, store: DataFrame | ST.Snapshot, run_ts: _dt.datetime, as_of: _dt.date,
               categories: list, labels: dict, scorer_factory=None, cap: int | None = None,
               since: _dt.date | None = None, source_failures: int = 0, checkpoint: bool = True,
               sources=None, reuse_prepared: bool = True) -> RunResult:
@@ -84,7 +97,11 @@ def daily_run(intake: DataFrame | FileIntake, tax: TXN.Taxonomy, store: DataFram
     if checkpoint:
         ensure_checkpoint_dir(spark)
         folded = folded.checkpoint(eager=True)           # batch-sized; read by ids, upsert, scorer
-    ids = ST.batch_ids(store, folded, checkpoint)
+    base, buckets = store, None
+    if isinstance(base, ST.Snapshot):
+        buckets = base.touched(folded)
+        store = base.read(buckets)
+    ids = ST.batch_ids(store, folded, checkpoint, base.max_id if buckets is not None else None)
     new_store = ST.upsert(store, folded, run_ts, ids=ids)
     answers = None
     if scorer_factory is not None:
@@ -96,6 +113,8 @@ def daily_run(intake: DataFrame | FileIntake, tax: TXN.Taxonomy, store: DataFram
             raw = raw.checkpoint(eager=True)      # the scorer is called exactly once per row
         answers = SC.validate_answers(raw)
         new_store = SC.merge_scores(new_store, answers)
+    if buckets is not None:
+        new_store = base.but(buckets, new_store)
     rejects = RJ.of_validation(rejected)
     # without a cap or a date every fetched record is prepared or rejected, and
     # the sources needn't be parsed again to count them
@@ -106,7 +125,7 @@ def daily_run(intake: DataFrame | FileIntake, tax: TXN.Taxonomy, store: DataFram
         rejects = RJ.union([unread, rejects])
     if answers is not None:
         rejects = RJ.union([rejects, RJ.of_answers(answers)])
-    return RunResult(new_store, stats, rejects, answers, (as_of, categories, labels))
+    return RunResult(new_store, stats, rejects, answers, (as_of, categories, labels), folded, ids)
 
 
 def scored_once(rows: DataFrame, scorer_factory) -> DataFrame:
@@ -128,6 +147,22 @@ def relabel(store: DataFrame, as_of: _dt.date, scorer_factory, limit: int | None
     return SC.merge_scores(store, answers, type_only=True), answers
 
 
+def publish_answers(spark, store_root: str, rows: DataFrame, scorer_factory, type_only: bool = False) -> tuple:
+    """Ask for ``rows`` of the latest version and publish the next one, in which
+    only the buckets of these rows are written. Returns the answers and whether
+    there was anything to write."""
+    ensure_checkpoint_dir(spark)
+    rows = rows.select("id", "url", "title", "description").checkpoint(eager=True)
+    answers = scored_once(rows.select("id", "title", "description"), scorer_factory)
+
+    def change(base: ST.Snapshot) -> tuple | None:
+        buckets = base.touched(rows)
+        return (SC.merge_scores(base.read(buckets), answers, type_only=type_only), buckets) if buckets and not rows.isEmpty() else None
+
+    before = ST.latest(spark, store_root).version
+    return answers, ST.apply_touched(spark, store_root, change).version != before
+
+
 def _ord(rank: int, key: str):
     """Input order across sources: (source rank, file key, position in file)."""
     return F.struct(F.lit(rank).alias("source_rank"), F.col(key).cast("string").alias("key"),
@@ -242,23 +277,23 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
 
 def run_and_publish(spark, intake: DataFrame | FileIntake, tax, store_root: str, out_dir: str, run_ts, as_of,
                     categories: list, labels: dict, scorer_factory=None, cap=None, since=None,
-                    source_failures: int = 0, sources=None) -> dict:
-    """Daily run against the latest store snapshot: writes the next snapshot
-    and the rejected rows, publishes the board and the archive from what it
+                    source_failures: int = 0, sources=None, buckets: int = ST.BUCKETS) -> dict:
+    """Daily run against the latest store snapshot: writes the touched buckets
+    as the next snapshot (a new store gets ``buckets``) and the rejected rows, publishes the board and the archive from what it
     wrote, and returns the counters."""
-    res = daily_run(intake, tax, ST.read_store(spark, store_root), run_ts, as_of, categories, labels, scorer_factory, cap,
+    res = daily_run(intake, tax, ST.latest(spark, store_root, buckets=buckets), run_ts, as_of, categories, labels, scorer_factory, cap,
                     since, source_failures, sources=sources)
-    done = publish_next(spark, res.store, store_root, out_dir, run_ts, as_of, categories, labels)
+    ST.apply_touched(spark, store_root, lambda base: res.change(base, run_ts), buckets=buckets)
+    done = published(spark, store_root, out_dir, run_ts, as_of, categories, labels)
     done["rejects"] = os.path.join(out_dir, "rejects")
     res.rejected.write.mode("overwrite").parquet(done["rejects"])
     return {**done, "stats": res.stats.first().asDict()}
 
 
-def publish_next(spark, store: DataFrame, store_root: str, out_dir: str, run_ts, as_of, categories: list, labels: dict) -> dict:
-    """Write the next snapshot and publish from it."""
-    version = ST.next_version(spark, store_root)
-    path = ST.write_store(store, store_root, version)
-    return {"snapshot": path, **publish_only(spark, store_root, out_dir, run_ts, as_of, categories, labels, version)}
+def published(spark, store_root: str, out_dir: str, run_ts, as_of, categories: list, labels: dict) -> dict:
+    """Publish from the snapshot that was written last."""
+    done = publish_only(spark, store_root, out_dir, run_ts, as_of, categories, labels)
+    return {"snapshot": os.path.join(store_root, f"v={done['version']}"), **done}
 
 
 def publish_only(spark, store_root: str, out_dir: str, run_ts, as_of, categories: list, labels: dict,
@@ -275,10 +310,9 @@ def backlog_run(spark, store_root: str, out_dir: str, run_ts, as_of, categories:
                 limit: int | None = 100) -> dict:
     """Score pending rows of the latest snapshot, write the next one, publish,
     and return the counts and the exit status."""
-    store, answers = score_backlog(ST.read_store(spark, store_root), scorer_factory, limit)
-    counts = answer_counts(answers)
-    done = publish_next(spark, store, store_root, out_dir, run_ts, as_of, categories, labels) if counts["asked"] else {}
-    return {**done, **counts}
+    answers, wrote = publish_answers(spark, store_root, SC.pending(ST.read_store(spark, store_root), limit), scorer_factory)
+    done = published(spark, store_root, out_dir, run_ts, as_of, categories, labels) if wrote else {}
+    return {**done, **answer_counts(answers)}
 
 
 def relabel_run(spark, store_root: str, out_dir: str, run_ts, as_of, categories: list, labels: dict, scorer_factory,
@@ -288,11 +322,10 @@ def relabel_run(spark, store_root: str, out_dir: str, run_ts, as_of, categories:
     store = ST.read_store(spark, store_root)
     if dry_run:
         return {"candidates": SC.relabel_candidates(store, as_of, limit).count(), "exit_status": 0}
-    new, answers = relabel(store, as_of, scorer_factory, limit)
+    answers, wrote = publish_answers(spark, store_root, SC.relabel_candidates(store, as_of, limit), scorer_factory, type_only=True)
     outcomes = {r["outcome"]: r["n"] for r in SC.relabel_outcomes(answers).collect()}  # a row a type
-    counts = answer_counts(answers)
-    done = publish_next(spark, new, store_root, out_dir, run_ts, as_of, categories, labels) if counts["asked"] else {}
-    return {**done, **counts, "outcomes": outcomes}
+    done = published(spark, store_root, out_dir, run_ts, as_of, categories, labels) if wrote else {}
+    return {**done, **answer_counts(answers), "outcomes": outcomes}
 
 
 def answer_counts(answers: DataFrame) -> dict:

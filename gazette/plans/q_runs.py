@@ -71,7 +71,8 @@ def source_reject_rows(spark, sf_dir):
 def written_store(spark, sf_dir) -> str:
     """T as the first snapshot of a new store."""
     root = scratch_dir(spark, f"run-{uuid.uuid4().hex}")
-    ST.write_store(B.orders_store(spark, sf_dir), f"{root}/store", 0)
+    new = ST.latest(spark, f"{root}/store")
+    new.publish(B.orders_store(spark, sf_dir), list(range(new.buckets)))
     return root
 
 

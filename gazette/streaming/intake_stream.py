@@ -2,12 +2,12 @@
 exactly the batch path (validate -> prepare -> fold -> upsert).
 
 The state is the store itself (``first_seen`` is kept for ever), so there is
-no watermark and no in-memory state store: each micro-batch reads the latest
-snapshot and writes the next free version. Before it writes, the batch claims
-its version under (stream id, batch id); a batch that is replayed after a
-failure finds its claim and skips only if that very snapshot is complete. So a
-new stream over a store that has versions already, or daily runs between the
-batches of a stream, lose nothing. One writer at a time is assumed.
+no watermark and no in-memory state store: each micro-batch reads the buckets of
+the latest snapshot that its urls are in and publishes them as the next version.
+The version records the stream's batch in the same step, so a batch that is
+replayed after a failure is known and skipped. A batch that meets another writer
+(a daily run, another stream) is applied again to what that one published; so
+neither loses rows, and a new stream may start over a store that has versions.
 
 Records that fail validation are written to ``<store>/_rejects``.
 """
@@ -24,6 +24,7 @@ from ..operators import rejects as RJ
 from ..operators import store as ST
 from ..operators import taxonomy as TXN
 from ..schema import INTAKE
+from ..session import ensure_checkpoint_dir
 from ..sources import intake as IN
 
 
@@ -39,9 +40,26 @@ def split(batch: DataFrame, sources=None) -> tuple:
 
 
 def apply_valid(valid: DataFrame, store: DataFrame, tax: TXN.Taxonomy, run_ts: _dt.datetime) -> DataFrame:
+    return ST.upsert(store, ST.fold_batch(kept_rows(valid, tax)), run_ts)
+
+
+def kept_rows(valid: DataFrame, tax: TXN.Taxonomy) -> DataFrame:
     prepared = TXN.prepare(valid, tax)
-    kept = prepared.filter(F.col("stage") == "kept").withColumn("tender_type", F.col("pre_label"))
-    return ST.upsert(store, ST.fold_batch(kept), run_ts)
+    return prepared.filter(F.col("stage") == "kept").withColumn("tender_type", F.col("pre_label"))
+
+
+def publish_valid(spark: SparkSession, root: str, valid: DataFrame, tax: TXN.Taxonomy, run_ts: _dt.datetime,
+                  streams: dict | None = None) -> ST.Snapshot:
+    """Apply valid records to the latest version and publish the next one."""
+    ensure_checkpoint_dir(spark)
+    folded = ST.fold_batch(kept_rows(valid, tax)).checkpoint(eager=True)   # batch-sized; read again on a conflict
+
+    def change(base: ST.Snapshot) -> tuple:
+        buckets = base.touched(folded)
+        part = base.read(buckets)
+        return ST.upsert(part, folded, run_ts, ids=ST.batch_ids(part, folded, max_id=base.max_id)), buckets
+
+    return ST.apply_touched(spark, root, change, streams, first=1)
 
 
 def start_intake_stream(spark: SparkSession, source_dir: str, store_root: str, checkpoint_dir: str,
@@ -56,15 +74,13 @@ def start_intake_stream(spark: SparkSession, source_dir: str, store_root: str, c
     stream = reader.parquet(source_dir)
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        owner = f"{stream_id(spark, checkpoint_dir)}-{batch_id}"
-        version, done = ST.claim_version(spark, store_root, owner)
-        if done:
+        stream = stream_id(spark, checkpoint_dir)
+        if ST.latest(spark, store_root).streams.get(stream, -1) >= batch_id:
             return                                    # replayed batch: already applied
         ts = run_ts(batch_id) if callable(run_ts) else (run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
-        store = ST.read_store(spark, store_root)
         valid, rejected = split(df, sources)
-        RJ.of_validation(rejected).write.mode("overwrite").parquet(os.path.join(store_root, "_rejects", owner))
-        apply_valid(valid, store, tax, ts).write.mode("overwrite").parquet(os.path.join(store_root, f"v={version}"))
+        RJ.of_validation(rejected).write.mode("overwrite").parquet(os.path.join(store_root, "_rejects", f"{stream}-{batch_id}"))
+        publish_valid(spark, store_root, valid, tax, ts, {stream: batch_id})
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -4,12 +4,13 @@ import os
 from pyspark.sql import functions as F
 
 from gazette.operators import scoring as SC
+from gazette.operators import store as ST
 from gazette.operators import taxonomy as tx
 from gazette.plans.daily import intake_from_files, run_and_publish
 
 LISTING = """<html><body><ul>
-<li><a href="kankouju/1_2026_1.html">Grid reactor survey</a></li>
-<li><a href="kankouju/1_2026_2.html">Battery storage grant</a></li>
+<li><a href="calls/1_2026_1.html">Grid reactor survey</a></li>
+<li><a href="calls/1_2026_2.html">Battery storage grant</a></li>
 </ul></body></html>"""
 DETAIL = """<html><body><dl><dt>公告日</dt><dd>令和８年７月１日</dd><dt>期限</dt><dd>令和８年８月１日</dd></dl></body></html>"""
 FEED = """<rss version="2.0"><channel><item><title>Reactor notice</title><link>https://www.min.example/n1</link>
@@ -38,7 +39,7 @@ def test_run_from_files(spark, tmpdir_path):
                 .otherwise(F.lit("https://proc.example/list/index.html"))
 
     intake, fails = intake_from_files(
-        spark, listing_pages=f"{root}/listing/*", listing_href_pattern=r"kankouju/(\d+)_(\d+)_(\d+)\.html$",
+        spark, listing_pages=f"{root}/listing/*", listing_href_pattern=r"calls/(\d+)_(\d+)_(\d+)\.html$",
         listing_url_template="/detail/$1-$2-$3", detail_pages=f"{root}/detail/*",
         feeds=f"{root}/feeds/*", feed_hosts=["www.min.example"],
         api_bodies=f"{root}/api/*", api_url_prefix="https://portal.example/subsidy/", api_hosts=["portal.example"],
@@ -56,12 +57,12 @@ def test_run_from_files(spark, tmpdir_path):
                           {"grid": "Grid", "nuclear": "Nuclear", "storage": "Storage"},
                           scorer_factory=SC.rule_scorer_factory)
     assert out["version"] == 0 and out["stats"]["upserted"] == 4 and out["stats"]["fetched"] == 4
-    store = spark.read.parquet(out["snapshot"])
+    store = ST.read_store(spark, os.path.dirname(out["snapshot"]))
     assert store.count() == 4
     assert dict(store.select("url", "tender_type").collect())["https://portal.example/subsidy/g1"] in ("subsidy", "commissioned", "unknown")
     again = run_and_publish(spark, intake, tax, f"{root}/store", f"{root}/site2", dt.datetime(2026, 7, 3),
                             dt.date(2026, 7, 3), ["grid"], {"grid": "Grid"})
-    assert again["version"] == 1 and spark.read.parquet(again["snapshot"]).count() == 4
+    assert again["version"] == 1 and ST.read_store(spark, os.path.dirname(again["snapshot"]), 1).count() == 4
 
 
 def test_what_sources_leave_out_is_rejected_and_counted(spark, tmpdir_path):
@@ -88,7 +89,7 @@ def test_what_sources_leave_out_is_rejected_and_counted(spark, tmpdir_path):
                 .otherwise(F.lit("https://proc.example/list/index.html"))
 
     found = intake_from_files(
-        spark, listing_pages=f"{root}/listing/*", listing_href_pattern=r"kankouju/(\d+)_(\d+)_(\d+)\.html$",
+        spark, listing_pages=f"{root}/listing/*", listing_href_pattern=r"calls/(\d+)_(\d+)_(\d+)\.html$",
         listing_url_template="/detail/$1-$2-$3", detail_pages=f"{root}/detail/*",
         feeds=f"{root}/feeds/*", feed_hosts=["www.min.example"], container_pages=f"{root}/rows/*", container_selectors="table.x tr",
         api_bodies=f"{root}/api/*", api_url_prefix="https://portal.example/subsidy/", api_hosts=["portal.example"],

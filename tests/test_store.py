@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -113,3 +114,60 @@ def test_snapshots_and_backfill(spark, tmpdir_path):
     assert st.snapshot_versions(spark, tmpdir_path) == [0, 1]
     once = st.backfill_columns(s1.drop("tender_type"))
     assert st.backfill_columns(once).columns == once.columns
+
+
+def _files(root, version):
+    return sorted(x for x in os.listdir(os.path.join(root, f"v={version}")) if x.startswith("bucket="))
+
+
+def test_a_batch_writes_its_buckets_only(spark, tmpdir_path):
+    """One url touches one bucket; the others stay where they are, all rows are
+    read, old versions stay readable, and ids go on without a scan."""
+    def publish(rows, ts):
+        folded = st.fold_batch(batch(spark, rows)).cache()
+
+        def change(base):
+            buckets = base.touched(folded)
+            part = base.read(buckets)
+            return st.upsert(part, folded, ts, ids=st.batch_ids(part, folded, max_id=base.max_id)), buckets
+        return st.apply_touched(spark, tmpdir_path, change, buckets=8)
+
+    every = [(i, f"u{i}", f"t{i}", "unknown") for i in range(100)]
+    publish(every, TS1)
+    assert len(_files(tmpdir_path, 0)) == 8
+    after = publish([(200, "u7", "changed", "subsidy")], TS2)
+    assert after.version == 1 and len(_files(tmpdir_path, 1)) == 1 and sorted(set(after.at)) == [0, 1]
+    rows = by_url(st.read_store(spark, tmpdir_path))
+    assert len(rows) == 100 and rows["u7"]["title"] == "changed" and rows["u8"]["title"] == "t8" and rows["u7"]["id"] == 8
+    assert by_url(st.read_store(spark, tmpdir_path, 0))["u7"]["title"] == "t7"
+    assert publish([(300, "new", "n", "unknown")], TS2).max_id == 101
+    assert by_url(st.read_store(spark, tmpdir_path))["new"]["id"] == 101
+    at_once = run(spark, run(spark, run(spark, st.empty_store(spark), every, TS1), [(200, "u7", "changed", "subsidy")], TS2), [(300, "new", "n", "unknown")], TS2)
+    assert _content(st.read_store(spark, tmpdir_path)) == _content(at_once)
+    read = st.latest(spark, tmpdir_path).read([after.at.index(1)])._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(1 paths)" in read
+
+
+def test_a_store_without_buckets_gets_them(spark, tmpdir_path):
+    s1 = run(spark, st.empty_store(spark), [(i, f"u{i}", "t", "unknown") for i in range(20)], TS1)
+    st.write_store(s1.drop("tender_type"), tmpdir_path, 3)
+    folded = st.fold_batch(batch(spark, [(50, "u3", "new", "unknown")]))
+
+    def change(base):
+        buckets = base.touched(folded)
+        part = base.read(buckets)
+        return st.upsert(part, folded, TS2, ids=st.batch_ids(part, folded, max_id=base.max_id)), buckets
+    done = st.apply_touched(spark, tmpdir_path, change, buckets=4)
+    assert done.version == 4 and set(done.at) == {4} and done.max_id == 20
+    assert len(by_url(st.read_store(spark, tmpdir_path))) == 20
+
+
+def test_a_taken_version_is_a_conflict(spark, tmpdir_path):
+    import pytest
+    s1 = run(spark, st.empty_store(spark), [(1, "a", "t", "unknown")], TS1)
+    base = st.latest(spark, tmpdir_path)
+    every = list(range(base.buckets))
+    base.publish(s1, every)
+    with pytest.raises(st.Conflict):
+        base.publish(s1, every)
+    assert st.snapshot_versions(spark, tmpdir_path) == [0] and st.read_store(spark, tmpdir_path).count() == 1

@@ -61,11 +61,26 @@ def test_new_stream_over_a_store_with_versions(spark, tmpdir_path):
     assert ST.snapshot_versions(spark, root) == [0, 1, 2, 3] and _content(ST.read_store(spark, root)) == expected
 
 
-def test_claims(spark, tmpdir_path):
-    root = os.path.join(tmpdir_path, "s")
-    assert ST.claim_version(spark, root, "a-0") == (1, False)
-    assert ST.claim_version(spark, root, "a-0") == (1, False)      # a retry writes the same version
-    assert ST.claim_version(spark, root, "b-0") == (2, False)      # claimed ones are taken
-    ST.empty_store(spark).write.mode("overwrite").parquet(os.path.join(root, "v=2"))
-    assert ST.claim_version(spark, root, "b-0") == (2, True)
-    assert ST.claim_version(spark, root, "a-0") == (3, False)      # passed meanwhile: a new one
+def test_daily_run_within_a_stream_batch(spark, tmpdir_path, monkeypatch):
+    """Another writer publishes after the batch has read the store and before it
+    writes: the batch is applied again, and neither loses rows or shares ids."""
+    from gazette.streaming import intake_stream as IS
+    n = B.documents_intake(spark, SF001).select(*INTAKE_COLUMNS)
+    half = B.split_point(spark, SF001)
+    mine, other = n.filter(F.col("ord") < half), n.filter(F.col("ord") >= half)
+    src, root = os.path.join(tmpdir_path, "incoming"), os.path.join(tmpdir_path, "store")
+    mine.write.parquet(os.path.join(src, "drop-1"))
+    real, met = ST.Snapshot.publish, []
+
+    def late(self, new, buckets, streams=None, first=0):
+        if streams and not met:
+            met.append(self.version)
+            IS.publish_valid(spark, root, IS.split(other, B.DOC_SOURCE_PATTERN)[0], B.taxonomy(), TS)
+        return real(self, new, buckets, streams, first)
+
+    monkeypatch.setattr(ST.Snapshot, "publish", late)
+    _stream(spark, os.path.join(src, "*"), root, os.path.join(tmpdir_path, "ckpt"))
+    assert met == [None] and ST.snapshot_versions(spark, root) == [1, 2]
+    first = apply_batch(other, ST.empty_store(spark), B.taxonomy(), TS, B.DOC_SOURCE_PATTERN)
+    assert _content(ST.read_store(spark, root)) == _content(apply_batch(mine, first, B.taxonomy(), TS, B.DOC_SOURCE_PATTERN))
+    assert list(ST.latest(spark, root).streams.values()) == [0]
