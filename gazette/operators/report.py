@@ -55,7 +55,14 @@ def active_board(store: DataFrame, as_of: _dt.date, categories: list, labels: di
     act = act.select("*", D.deadline_badge("deadline", as_of).alias("badge"),
                      D.score_band("score").alias("band"),
                      category_tags(flags, [labels[c] for c in categories]).alias("tags"))
-    return global_rank(act, active_order(), out="board_rank")
+    return ranked(act, active_order(), ["deadline", "score"], "board_rank").select(*act.columns, "board_rank")
+
+
+def ranked(rows: DataFrame, order: list, keys: list, out: str) -> DataFrame:
+    """``rows`` with their place in an order of ``keys`` and id. Only these
+    columns are sorted and checkpointed; the place then meets its row by id."""
+    places = global_rank(rows.select("id", *keys), order, out=out).select("id", out)
+    return rows.join(places, "id")
 
 
 def tab_rows(board: DataFrame, categories: list) -> DataFrame:
@@ -88,7 +95,7 @@ def archive(store: DataFrame, run_ts: _dt.datetime) -> DataFrame:
                        D.score_band("score").alias("band"),
                        html_escape("title").alias("title_html"),
                        D.run_stamp(ts_lit(run_ts)).alias("generated_at"))
-    return global_rank(rows, archive_order(), out="archive_rank")
+    return ranked(rows, archive_order(), ["posted_date"], "archive_rank").select(*rows.columns, "archive_rank")
 
 
 def month_counts(store: DataFrame) -> DataFrame:

@@ -7,11 +7,11 @@ by the caller:
 * ``expr`` (the default) — one boolean expression per sub-category, an OR of
   ``contains`` with short-circuit per sub. No join, no shuffle; the cost grows
   with words times text length.
-* ``join`` — for dictionaries of many thousand words: the distinct
-  three-character pieces of each text meet the words that begin with them in an
-  equi-join, and only these candidates are tested with ``contains``. Spark
-  broadcasts the words if they are small and shuffles by piece if not. Needs a
-  column that identifies a row.
+* ``pieces`` — for dictionaries of many thousand words: each word is known by
+  the rarest of its three-character pieces. Of the distinct pieces of a text
+  those that some word is known by are kept (a hash set lookup each), and only
+  the words of these are tested with ``contains``. Everything stays in the row:
+  no text moves. ``join`` is an older name of it.
 
 Matching is by substring on NFC + lower-cased text, title + ' ' + description,
 so a keyword may also match across the joint.
@@ -20,6 +20,8 @@ so a keyword may also match across the joint.
 from __future__ import annotations
 
 import json
+import zlib
+from collections import Counter
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -137,29 +139,63 @@ def category_tags(flags: list, labels: list, sep: str = " ") -> Column:
 
 
 # --------------------------------------------------------------------------
-# form 2: text pieces joined with the words that begin with them
+# form 2: words looked up by their rarest piece
 
 
-def _word_frame(spark: SparkSession, tax: Taxonomy) -> DataFrame:
-    """(piece, word, c, s) of every word of at least ``PIECE`` characters, by
-    the places of its category and sub-category."""
-    rows = [(w[:PIECE], w, i, j) for i, (_, subs) in enumerate(tax.categories) for j, (_, ws) in enumerate(subs) for w in ws if len(w) >= PIECE]
-    return spark.createDataFrame(rows, "piece string, word string, c int, s int").distinct()
+def pieces_of(word: str) -> list:
+    return [word[i:i + PIECE] for i in range(len(word) - PIECE + 1)]
+
+
+def rarest_pieces(tax: Taxonomy, frequency: dict | None = None) -> dict:
+    """piece -> [(word, c, s), ...]: every word of at least ``PIECE`` characters
+    under the rarest of its pieces, with the places of its category and
+    sub-category. How often a piece is met is told by ``frequency`` (texts that
+    hold it) and, where that says nothing, by the number of words that hold it,
+    so that words which all begin alike are told apart."""
+    rows = sorted({(w, i, j) for i, (_, subs) in enumerate(tax.categories) for j, (_, ws) in enumerate(subs) for w in ws if len(w) >= PIECE})
+    held = Counter(p for w in {w for w, _, _ in rows} for p in set(pieces_of(w)))
+    out: dict = {}
+    for w, i, j in rows:
+        best = min(pieces_of(w), key=lambda p: ((frequency or {}).get(p, 0), held[p], p))
+        out.setdefault(best, []).append((w, i, j))
+    return out
 
 
 def _pieces(text: Column) -> Column:
     """The distinct runs of ``PIECE`` characters of a text: those that follow
     each other, from each of the first ``PIECE`` characters on."""
     runs = [F.regexp_extract_all(F.substring(text, k + 1, (1 << 31) - 1), F.lit(f"(?s).{{{PIECE}}}"), F.lit(0)) for k in range(PIECE)]
-    return F.array_distinct(F.concat(*runs))
+    return F.concat(*runs)
+
+
+def piece_frequencies(df: DataFrame, tax: Taxonomy, text: str) -> dict:
+    """Texts that hold each piece of the dictionary's words (bounded by it)."""
+    known = sorted({p for _, subs in tax.categories for _, ws in subs for w in ws for p in pieces_of(w)})
+    if not known:
+        return {}
+    used = F.array_distinct(F.filter(_pieces(F.col(text)), lambda p: p.isin(known)))
+    return {r["p"]: r["n"] for r in df.select(F.explode(used).alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _hits_by_piece(text: Column, tax: Taxonomy, frequency: dict | None) -> Column:
+    """The (c, s) places of the sub-categories found in a text."""
+    by_piece = rarest_pieces(tax, frequency)
+    none = F.array().cast("array<struct<c:int,s:int>>")
+    if not by_piece:
+        return none
+    n = len(by_piece)
+    # words in slots by a hash of their piece: a slot is found without a search
+    slots: list = [[] for _ in range(n)]
+    for p, words in by_piece.items():
+        slots[zlib.crc32(p.encode()) % n] += [{"w": w, "c": i, "s": j} for w, i, j in words]
+    table = F.from_json(F.lit(json.dumps(slots)), "array<array<struct<w:string,c:int,s:int>>>")
 
+    def found(piece: Column) -> Column:
+        words = F.get(table, F.pmod(F.crc32(piece.cast("binary")), F.lit(n)).cast("int"))
+        return F.transform(F.filter(words, lambda x: text.contains(x["w"])), lambda x: F.struct(x["c"].alias("c"), x["s"].alias("s")))
 
-def _hits_by_join(df: DataFrame, tax: Taxonomy, text: str, key: str) -> DataFrame:
-    """(key, _hits): the (c, s) places of the sub-categories found."""
-    pieces = df.select(key, F.explode(_pieces(F.col(text))).alias("piece"))
-    words = pieces.join(_word_frame(df.sparkSession, tax), "piece").select(key, "word", "c", "s")  # no text moves with a piece
-    met = df.select(key, text).join(words, key).where(F.col(text).contains(F.col("word")))
-    return met.groupBy(key).agg(F.collect_set(F.struct("c", "s")).alias("_hits"))
+    used = F.array_distinct(F.filter(_pieces(text), lambda p: p.isin(sorted(by_piece))))
+    return F.coalesce(F.array_distinct(F.flatten(F.transform(used, found))), none)
 
 
 def _subs_hit(hits: Column, category: int, names: Column) -> Column:
@@ -182,24 +218,22 @@ def _categories_from_hits(hits: Column, norm_text: Column, tax: Taxonomy) -> Col
 
 
 def categorise(df: DataFrame, tax: Taxonomy, title: str = "title", description: str = "description",
-               out: str = "categories", method: str = "expr", norm_col: str | None = None, key: str | None = None) -> DataFrame:
+               out: str = "categories", method: str = "expr", norm_col: str | None = None, key: str | None = None, frequency: dict | None = None) -> DataFrame:
     """Add ``out``: the category map of each row (C1 + D1).
 
     ``norm_col`` names an existing normalised match-text column; otherwise it
-    is computed here (NFC + lower of title + ' ' + description). ``key`` is a
-    column that identifies a row, for the ``join`` form."""
+    is computed here (NFC + lower of title + ' ' + description).
+    ``frequency`` says how often pieces are met (:func:`piece_frequencies`);
+    ``key`` is no longer needed."""
     tmp = norm_col or "_match_norm"
     if norm_col is None:
         df = df.withColumn(tmp, norm_lower(match_text(title, description)))
     if method == "expr":
         res = df.withColumn(out, categories_expr(F.col(tmp), tax))
-    elif method == "join":
-        if key is None:
-            raise ValueError("the join form needs the name of a key column")
-        hits = _hits_by_join(df, tax, tmp, key)
-        none = F.array().cast("array<struct<c:int,s:int>>")
-        res = (df.join(hits, key, "left")
-               .withColumn(out, _categories_from_hits(F.coalesce("_hits", none), F.col(tmp), tax)).drop("_hits"))
+    elif method in ("pieces", "join"):
+        hits, = [c for c in ("_hits", "__hits") if c not in df.columns][:1]
+        df = df.withColumn(hits, _hits_by_piece(F.col(tmp), tax, frequency))
+        res = df.withColumn(out, _categories_from_hits(F.col(hits), F.col(tmp), tax)).drop(hits)
     else:
         raise ValueError(method)
     return res.drop(tmp) if norm_col is None else res

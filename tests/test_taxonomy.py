@@ -131,3 +131,31 @@ def test_prepare_stages(spark, tax):
                                "title string, description string")
     st = [r["stage"] for r in tx.prepare(df, tax).collect()]
     assert st == ["excluded", "no_category", "kept"]
+
+
+def test_pieces_form_with_many_words_that_begin_alike(spark):
+    """5,000 words with one beginning: each is known by a rare piece, and both
+    forms agree."""
+    words = [f"prefix-{i:04d}-{'abcdefgh'[i % 8]}" for i in range(5000)]
+    t = tx.Taxonomy.from_dict({"c": {f"s{k}": words[k::50] for k in range(50)}, "short": {"x": ["q", "zz"]}})
+    by = tx.rarest_pieces(t)
+    assert sum(len(v) for v in by.values()) == 5000 and max(len(v) for v in by.values()) < 200 and "pre" not in by
+    texts = [" ".join(words[i * 7 % 5000] for i in range(k, k + 9)) for k in range(0, 200, 5)] + ["prefix-", "zz prefix-9999-a", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, title string").withColumn("description", F.lit(None).cast("string"))
+    few = tx.Taxonomy(categories=[("c", t.categories[0][1][:4]), t.categories[1]])
+    got = {m: {r["k"]: r["categories"] for r in tx.categorise(df, few, method=m).collect()} for m in ("expr", "pieces")}
+    assert got["expr"] == got["pieces"]
+    whole = {r["k"]: r["categories"] for r in tx.categorise(df, t, method="pieces").collect()}
+    for k, text in enumerate(texts):
+        held = {f"s{words.index(w) % 50}" for w in (text or "").split() if w in words}
+        assert set(whole[k].get("c", [])) == held
+
+
+def test_pieces_by_their_frequency_in_texts(spark):
+    t = tx.Taxonomy.from_dict({"c": {"a": ["reactor"], "b": ["react"], "n": ["no"]}})
+    df = spark.createDataFrame([(i, "act react rea", "") for i in range(5)] + [(9, "reactor", "")], "k long, title string, description string")
+    frequency = tx.piece_frequencies(df, t, "title")
+    assert frequency["rea"] == 6 and frequency["tor"] == 1
+    assert [p for p, words in tx.rarest_pieces(t, frequency).items() if ("reactor", 0, 0) in words][0] in ("cto", "tor")
+    a = [r["categories"] for r in tx.categorise(df, t, method="pieces", frequency=frequency).orderBy("k").collect()]
+    assert a == [r["categories"] for r in tx.categorise(df, t).orderBy("k").collect()]
