@@ -1,30 +1,37 @@
 """Approximate nearest neighbours: a forest of random-projection trees searched
 through one priority queue, then exact reranking of the leaves' vectors.
 
-Alike vectors are first put together, with the few smallest ids that a result
-can name, so thousands of copies are one point of the index. The forest is fit
-on at most ``SAMPLE`` distinct vectors on the driver: each node projects on the
-difference of two of its points and splits at the median. Every vector is then
-dealt to its leaf of each tree. A query walks all trees through one queue, the
-node that its path leaves by the least margin first, until the leaves it has
-met hold a share of the sample. Leaves and queries meet by leaf number; in
-each, exact distances in double precision keep the query's nearest, and a
-top-k over its leaves is the result.
-
-The forest's size is bounded by the sample's. A leaf holds about N / leaves
-vectors; above ``BLOCK`` it is dealt into blocks by hash. Leaves (or blocks) are
-gathered in buckets of about ``2 * BLOCK`` vectors, in which a query is answered
-at once: it gets ``k + 1`` rows a bucket, however many leaves it meets there.
-
-The share that is searched decides the recall. It is set for vectors without
-any structure, as random ones, of which a third must be met for nine of ten
-neighbours; vectors with structure need far less.
+Alike vectors are first put together into numbered points, with the few smallest
+ids that a result can name, so thousands of copies are one point of the index.
+A forest is fit for each length of vectors on the driver, on at most ``SAMPLE``
+points in all, each length with its share of them: each node projects on the
+difference of two of its points and splits at the median. Every point is then
+dealt to its leaf of each tree. A query walks the trees of its length through
+one queue, the node that its path leaves by the least margin first, until the
+leaves it has met hold a share of the sample. Leaves and queries meet by leaf
+number; in each, exact distances in double precision keep the query's nearest,
+and a top-k over its leaves is the result. A length with few points has one
+leaf, which its queries search whole.
+
+The forests' size is bounded by the sample's. A leaf holds about N / leaves
+points; above ``BLOCK`` it is dealt into blocks by number. Leaves (or blocks)
+are gathered in buckets of about ``2 * BLOCK`` points, in which a query is
+answered at once: it gets the points of ``k + 1`` ids a bucket, however many
+leaves it meets there.
+
+The share that is searched decides the recall, and with it the work: queries
+that are a fixed share of the rows and meet a fixed share of the points cost the
+square of the table. It is set for vectors without any structure, as random
+ones, of which a third must be met for nine of ten neighbours; vectors with
+structure need far less.
 
 Defined cases: rows without vec_id take no part, nor do vectors that are null,
 empty, zero or hold null or non-finite components. Vectors are compared with
-those of their own length. Repeated rows count once; a query never finds its
-own vec_id. With fewer candidates than k all are returned. Ties go to the
-smaller vec_id. Extra columns are not read; an empty table gives no rows.
+those of their own length; there may be any number of lengths. Repeated rows
+count once; a vec_id with several vectors stands at the nearest of them, and
+asks with each; a query never finds its own vec_id. With fewer candidates than k
+all are returned. Ties go to the smaller vec_id. Extra columns are not read; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -45,7 +52,7 @@ LEAF = 32         # of the sample
 SHARE = 1.0       # of the sample, in the leaves that a query meets (a point counts in each tree)
 LEAST = 2000      # points met at least
 BLOCK = 20_000
-MAX_LENGTHS = 16  # different vector lengths
+ASKED = 64        # queries that a task searches for
 
 
 class Forest:
@@ -133,79 +140,125 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = K, vector: str = "embedd
     rows = valid_vectors(df, vector)
     smallest = W.partitionBy("v").orderBy("vec_id")
     few = rows.withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= k + 1)
-    points = staged(few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select(F.size("v").alias("dim"), "v", "ids"), "ann-points")
+    points = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    points = staged(points.select(F.monotonically_increasing_id().alias("point"), F.size("v").alias("dim"), "v", "ids"), "ann-points")
     asked = staged(valid_vectors(queries, vector).select(F.col("vec_id").alias("query_id"), F.size("v").alias("dim"), "v"), "ann-queries")
-    sizes = {r["dim"]: r["n"] for r in points.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LENGTHS + 1).collect()}
-    if len(sizes) > MAX_LENGTHS:
-        raise ValueError(f"vectors of more than {MAX_LENGTHS} lengths")
-    found = None
-    for dim, n in sorted(sizes.items()):
-        part = _of_length(points.where(F.col("dim") == dim), asked.where(F.col("dim") == dim), dim, n, k, sample, trees, leaf, share)
-        found = part if found is None else found.unionAll(part)
-    if found is None:
-        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    each = found.distinct().select("query_id", "score", F.explode("ids").alias("vec_id")).where(F.col("vec_id") != F.col("query_id")).distinct()
+    sizes = {r["dim"]: r["n"] for r in points.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}  # a number a length
+    found = _met(points, asked, sizes, k, sample, trees, leaf, share)
+    each = found.select("query_id", "score", F.explode("ids").alias("vec_id")).where(F.col("vec_id") != F.col("query_id"))
     # a vec_id with several vectors stands at its nearest
     each = each.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     place = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
     return each.withColumn("rank", place.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _of_length(points: DataFrame, asked: DataFrame, dim: int, n: int, k: int, sample: int, trees: int, leaf: int, share: float) -> DataFrame:
+def fit_forests(points: DataFrame, n: int, sample: int, trees: int, leaf: int) -> dict[int, Forest]:
+    """A forest for each length of which the sample holds more than a leaf."""
     drawn = F.pmod(F.xxhash64("v"), F.lit(1 << 30)) / float(1 << 30)
-    taken = points.where(drawn < min(1.0, 1.0 * sample / n)).select("v").limit(sample + sample // 16).toPandas()
-    taken = np.stack(taken["v"].to_numpy()) if len(taken) else np.zeros((1, dim))
-    taken = taken[np.lexsort(taken.T[::-1])]  # the order rows come in doesn't matter
-    forest = points.sparkSession.sparkContext.broadcast(Forest(taken, trees, leaf))
-    wanted = max(share * len(taken), LEAST)
-    blocks = max(1, -(-n // (forest.value.n_leaves * BLOCK)))
+    taken = points.where(drawn < min(1.0, 1.0 * sample / max(1, n))).select("v").limit(sample + sample // 16).toPandas()
+    by_length: dict[int, list] = {}
+    for v in taken["v"]:
+        by_length.setdefault(len(v), []).append(v)
+    out = {}
+    for dim, vs in by_length.items():
+        if len(vs) > leaf:
+            m = np.stack(vs)
+            out[dim] = Forest(m[np.lexsort(m.T[::-1])], trees, leaf)  # the order rows come in doesn't matter
+    return out
+
+
+def by_length(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, places, matrix) of the vectors of each length."""
+    sizes = np.diff(column.offsets.to_numpy())
+    for dim in np.unique(sizes):
+        at = np.flatnonzero(sizes == dim)
+        yield int(dim), at, _matrix(column.take(pa.array(at)), int(dim))
+
+
+def _met(points: DataFrame, asked: DataFrame, sizes: dict, k: int, sample: int, trees: int, leaf: int, share: float) -> DataFrame:
+    """(query_id, score, ids) of points that queries met, the nearest of each
+    bucket."""
+    spark = points.sparkSession
+    n = sum(sizes.values())
+    forests = fit_forests(points, n, sample, trees, leaf)
+    plans = {}  # length -> (forest or None, points that a query has to meet, blocks of a leaf)
+    for dim, size in sizes.items():
+        f = forests.get(dim)
+        plans[dim] = (f, max(share * f.counts[0].sum(), LEAST) if f else 0, max(1, -(-size // ((f.n_leaves if f else 1) * BLOCK))))
+    shared = spark.sparkContext.broadcast(plans)
     buckets = max(1, -(-n * trees // (2 * BLOCK)))
 
-    def bucket(cells, block):
-        return ((cells * 0x9E3779B1 + block * 0x85EBCA6B) & 0x7FFFFFFF) % buckets
+    def bucket(dim, cells, block):
+        return ((cells * 0x9E3779B1 + block * 0x85EBCA6B + dim * 0xC2B2AE35) & 0x7FFFFFFF) % buckets
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = forest.value
         for b in batches:
-            cells = f.leaves(_matrix(b.column("v"), dim))
-            block = (first_ids(b.column("ids")) * 0x2545F491 >> 7) % blocks
-            for t in range(cells.shape[1]):
-                yield pa.RecordBatch.from_arrays([pa.array(bucket(cells[:, t], block)), pa.array(cells[:, t]), b.column("v"), b.column("ids")], names=["bucket", "cell", "v", "ids"])
+            for dim, at, m in by_length(b.column("v")):
+                f, _, blocks = shared.value[dim]
+                rows = b.take(pa.array(at))
+                cells = f.leaves(m) if f else np.zeros((len(at), 1), np.int64)
+                block = rows.column("point").to_numpy() * 0x2545F491 % (1 << 40) // 131 % blocks
+                for t in range(cells.shape[1]):
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket(dim, cells[:, t], block)), pa.array(cells[:, t]), *rows.columns],
+                                                     names=["bucket", "cell", *rows.schema.names])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = forest.value
         for b in batches:
-            who, where, what = [], [], []
-            for i, q in enumerate(_matrix(b.column("v"), dim)):
-                cells = np.array(f.search(q, wanted), np.int64)
-                at = bucket(cells[:, None], np.arange(blocks)[None, :])
-                for g in np.unique(at):
-                    who.append(i)
-                    where.append(g)
-                    what.append(cells[(at == g).any(axis=1)])
-            i = pa.array(who, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), b.column("query_id").take(i), b.column("v").take(i), pa.array(what, pa.list_(pa.int64()))], names=["bucket", "query_id", "v", "cells"])
+            for dim, at, m in by_length(b.column("v")):
+                if dim not in shared.value:
+                    continue
+                f, wanted, blocks = shared.value[dim]
+                who, where, what = [], [], []
+                for i, q in zip(at, m):
+                    cells = np.array(f.search(q, wanted) if f else [0], np.int64)
+                    places = bucket(dim, cells[:, None], np.arange(blocks)[None, :])
+                    for g in np.unique(places):
+                        who.append(i)
+                        where.append(g)
+                        what.append(cells[(places == g).any(axis=1)])
+                i = pa.array(who, pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), b.column("query_id").take(i), b.column("v").take(i), pa.array(what, pa.list_(pa.int64()))],
+                                                 names=["bucket", "query_id", "v", "cells"])
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out = ([], [], [])
+        left, right = left.combine_chunks(), right.combine_chunks()
         ids = left.column("ids").combine_chunks()
         if left.num_rows and right.num_rows:
-            m, q = (_matrix(x.column("v").combine_chunks(), dim) for x in (left, right))
+            queries = {dim: (at, m) for dim, at, m in by_length(right.column("v").combine_chunks())}
             first = first_ids(ids)
-            order = np.argsort(left.column("cell").to_numpy(), kind="stable")
-            cell = left.column("cell").to_numpy()[order]
-            for j, query, cells in zip(right.column("query_id").to_pylist(), q, right.column("cells").to_pylist()):
-                lo, hi = np.searchsorted(cell, cells, "left"), np.searchsorted(cell, cells, "right")
-                near = order[np.repeat(lo - np.cumsum(np.concatenate([[0], (hi - lo)[:-1]])), hi - lo) + np.arange((hi - lo).sum())]
-                near = near[np.unique(first[near], return_index=True)[1]]  # met in several trees
-                gap = m[near] - query
-                away = np.sqrt((gap * gap).sum(axis=1))
-                best = np.lexsort((first[near], away))[:k + 1]
-                out[0].extend([j] * len(best))
-                out[1].extend(away[best])
-                out[2].extend(near[best])
+            point, cells_of = left.column("point").to_numpy(), left.column("cell").to_numpy()
+            asked_cells = right.column("cells").to_pylist()
+            for dim, rows, m in by_length(left.column("v").combine_chunks()):
+                if dim not in queries:
+                    continue
+                order = rows[np.argsort(cells_of[rows], kind="stable")]
+                m = m[np.argsort(cells_of[rows], kind="stable")]
+                cell = cells_of[order]
+                for j, query in zip(*queries[dim]):
+                    lo, hi = (np.searchsorted(cell, asked_cells[j], side) for side in ("left", "right"))
+                    near = np.repeat(lo - np.cumsum(np.concatenate([[0], (hi - lo)[:-1]])), hi - lo) + np.arange((hi - lo).sum())
+                    near = near[np.unique(point[order[near]], return_index=True)[1]]  # met in several trees
+                    gap = m[near] - query
+                    away = np.sqrt((gap * gap).sum(axis=1))
+                    best = np.lexsort((first[order[near]], away))
+                    for i in until(best, lambda x: ids[int(order[near[x]])].as_py(), k + 1):
+                        out[0].append(right.column("query_id")[int(j)].as_py())
+                        out[1].append(away[i])
+                        out[2].append(order[near[i]])
         return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64()), ids.take(pa.array(out[2], pa.int64()))], names=["query_id", "score", "ids"])
 
-    index = points.mapInArrow(deal, "bucket long, cell long, v array<double>, ids array<long>")
-    asking = asked.mapInArrow(ask, "bucket long, query_id long, v array<double>, cells array<long>")
+    index = points.select("point", "v", "ids").mapInArrow(deal, "bucket long, cell long, point long, v array<double>, ids array<long>")
+    tasks = max(1, -(-asked.count() // ASKED))
+    asking = asked.select("query_id", "v").repartition(tasks, "query_id").mapInArrow(ask, "bucket long, query_id long, v array<double>, cells array<long>")
     return index.groupBy("bucket").cogroup(asking.groupBy("bucket")).applyInArrow(meet, "query_id long, score double, ids array<long>")
+
+
+def until(places: np.ndarray, ids_of, wanted: int) -> Iterator[int]:
+    """The places, in order, until their points name ``wanted`` different ids."""
+    named: set = set()
+    for i in places:
+        if len(named) >= wanted:
+            return
+        named.update(ids_of(i))
+        yield i

@@ -106,6 +106,52 @@ def test_nearest_of_few(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def nearest_lists(df, **more):
+    found = {}
+    for r in ann.nearest(df, df.where("vec_id % 100 = 0"), **more).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    return {q: [(s, v) for _, s, v in sorted(x)] for q, x in found.items()}
+
+
+def test_nearest_of_ids_with_several_vectors(spark):
+    """Every vec_id has a near and a far vector, and others share the near ones:
+    a vector is never taken for another with the same first id."""
+    prepare(spark)
+    rows = [(0, [1.0, 0.0])]
+    for i in range(18, 30):
+        rows += [(i, [1.0, 0.1]), (i, [10.0 + i, float(i % 5)]), (i + 30, [1.0, 0.1 * (i % 3)]), (i + 30, [20.0, float(i)])]
+    for k in (10, 50):
+        want = {q: x for q, x in brute(rows, k).items()}
+        assert nearest_lists(vectors(spark, rows), k=k) == want
+
+
+def test_nearest_of_many_lengths(spark):
+    """Any number of lengths, each searched among its own."""
+    prepare(spark)
+    rng = np.random.default_rng(3)
+    rows = [(100 * d + j, rng.normal(size=d).astype(np.float32).tolist()) for d in range(1, 60) for j in range(14)]
+    rows += [(100 * d + 50, rows[(d - 1) * 14][1]) for d in range(1, 60)]
+    assert nearest_lists(vectors(spark, rows)) == brute(rows)
+
+
+def test_nearest_recall_beyond_the_sample(spark, monkeypatch):
+    """The forest fit on a third of 12,000 vectors, and nothing met by a minimum."""
+    prepare(spark)
+    monkeypatch.setattr(ann, "LEAST", 64)
+    rng = np.random.default_rng(9)
+    m = rng.normal(size=(12_000, 24)).astype(np.float32)
+    df = vectors(spark, [(i, v) for i, v in enumerate(m.tolist())])
+    found = nearest_lists(df, sample=4096)
+    hits = 0
+    for q, x in found.items():
+        away = np.sqrt(((m.astype(float) - m[q].astype(float)) ** 2).sum(1))
+        away[q] = np.inf
+        hits += len({v for _, v in x} & set(np.argsort(away, kind="stable")[:10].tolist()))
+        assert all(abs(s - away[v]) < 1e-12 for s, v in x)
+    assert len(found) == 120 and hits >= 0.9 * 1200, hits
+    print("recall", hits / 1200)
+
+
 def test_nearest_recall(spark):
     prepare(spark)
     df = spark.read.parquet(f"{SF01}/embeddings.parquet")
