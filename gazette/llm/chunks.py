@@ -62,11 +62,13 @@ class Chunks:
         return self.texts.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(fn, schema)
 
 
-def stage(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES, rest: list[str] | None = None) -> Chunks:
+def stage(docs: DataFrame, text: str = "text", chunk_bytes: int | None = None, rest: list[str] | None = None) -> Chunks:
     """Write (doc_id, text) in chunks: a chunk is closed when it holds
     ``chunk_bytes`` of text. Null texts become empty. The columns in ``rest``
-    go with them as one struct."""
+    go with them as one struct. The catalog keeps no entry of the table; its
+    files lie in the shared folder."""
     spark = docs.sparkSession
+    chunk_bytes = chunk_bytes or CHUNK_BYTES
     more = [] if rest is None else [F.struct(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(rest)]).alias("rest")]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,13 +94,19 @@ def stage(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES, r
     buckets = max(1, min(most, -(-total // BUCKET_BYTES)))
     (dealt.write.format("parquet").option("compression", "zstd").option("path", f"{ensure_checkpoint_dir(spark)}/{name}")
      .bucketBy(buckets, "chunk").sortBy("chunk").saveAsTable(name))
-    return Chunks(spark.table(name), total)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external one: its files stay, and with them the table just read
+    return Chunks(table, total)
 
 
-def split_by_range(keys: np.ndarray, n: int) -> np.ndarray:
-    """Where the ranges of sorted uint64 keys begin and end."""
-    cuts = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, cuts, "left"), [len(keys)]])
+def ranges_met(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ranges of the key space, of ``n`` alike ones, that sorted uint64 keys
+    are in: their numbers, and where the keys of each begin and end. Takes a
+    number of steps that depends on the keys, not on ``n`` (below 2 ** 32)."""
+    low, high, by = keys & np.uint64(0xFFFFFFFF), keys >> np.uint64(32), np.uint64(n)
+    part = ((high * by + ((low * by) >> np.uint64(32))) >> np.uint64(32)).astype(np.int64)   # keys * n / 2 ** 64
+    begin = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return part[begin], begin, np.append(begin[1:], len(keys)) if len(keys) else begin
 
 
 def requests(chunk: int, keys: np.ndarray, n: int, counts: np.ndarray | None = None, width: int = 8) -> pa.Table:
@@ -106,12 +114,11 @@ def requests(chunk: int, keys: np.ndarray, n: int, counts: np.ndarray | None = N
     number of its documents (uint8, at most 255) if the answer needs it. Only
     the highest ``width`` bytes are sent; the others have to be 0."""
     sent = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - width:]
-    at = split_by_range(keys, n)
-    full = [i for i in range(n) if at[i] < at[i + 1]]
+    parts, begin, end = ranges_met(keys, n)
     return pa.table({
-        "part": pa.array(full, pa.int32()), "chunk": pa.array([chunk] * len(full), pa.int64()),
-        "keys": pa.array([sent[at[i]:at[i + 1]].tobytes() for i in full], pa.binary()),
-        "counts": pa.array([None if counts is None else counts[at[i]:at[i + 1]].tobytes() for i in full], pa.binary())})
+        "part": pa.array(parts, pa.int32()), "chunk": pa.array(np.full(len(parts), chunk), pa.int64()),
+        "keys": pa.array([sent[b:e].tobytes() for b, e in zip(begin, end)], pa.binary()),
+        "counts": pa.array([None if counts is None else counts[b:e].tobytes() for b, e in zip(begin, end)], pa.binary())})
 
 
 def answers(asked: DataFrame, judge: Callable[[np.ndarray, np.ndarray | None], np.ndarray], round_: int, bits: bool,
@@ -149,14 +156,12 @@ def answers(asked: DataFrame, judge: Callable[[np.ndarray, np.ndarray | None], n
 
 def read_answers(replies: pa.Table, round_: int, keys: np.ndarray, n: int, bits: bool) -> np.ndarray:
     """The answers of a round, in the order of the chunk's keys."""
-    at = split_by_range(keys, n)
+    parts, begin, end = ranges_met(keys, n)
     out = np.zeros(len(keys), bool if bits else np.uint8)
-    rows = zip(replies.column("round").to_pylist(), replies.column("part").to_pylist(), replies.column("reply"))
-    for r, part, blob in rows:
-        if r == round_:
-            got = np.frombuffer(blob.as_py(), np.uint8)
-            size = at[part + 1] - at[part]
-            out[at[part]:at[part + 1]] = np.unpackbits(got, count=size) if bits else got
+    mine = replies.filter(pc.equal(replies.column("round"), round_))
+    for i, blob in zip(np.searchsorted(parts, mine.column("part").to_numpy()), mine.column("reply")):
+        got = np.frombuffer(blob.as_py(), np.uint8)
+        out[begin[i]:end[i]] = np.unpackbits(got, count=end[i] - begin[i]) if bits else got
     return out
 
 

@@ -172,7 +172,7 @@ def held_out():
 def op5_language_id(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(~held_out()))
-    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
 @query("op3_nearest_vectors")

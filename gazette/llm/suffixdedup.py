@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .chunks import REQUEST, Text, answers, distinct, grams, least_in_windows, mixed, read_answers, requests, stage
+from ..operators.ordering import global_rank
 from .common import staged
 
 WINDOW = 50
@@ -47,8 +48,8 @@ REACH = WINDOW - SEED        # bytes to the left of an anchor that a string can
 KEYS_A_BYTE = 0.06           # anchors; sets the number of ranges in step 1
 SUFFIXES_A_RANGE = 100_000
 SUFFIXES_A_BYTE = 0.012      # about so many are sorted
-SAMPLE_CHUNKS = 16           # chunks read for splitters, and
-SAMPLE_SUFFIXES = 4096       # suffixes taken of each
+SAMPLE_CHUNKS = 16           # one chunk of so many is read for splitters, so many at least
+SAMPLE_A_RANGE = 64          # suffixes sampled for each range that is to be
 LEFT, RIGHT = 32, 56         # bytes kept of each side, in whole words of eight
 NO_ID = np.iinfo(np.int64).min
 
@@ -198,22 +199,34 @@ def earliest(group: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def sample_splitters(chunks, first: DataFrame, n1: int, n: int) -> np.ndarray:
-    """``n - 1`` leading tokens that part the suffixes of some chunks evenly."""
+    """``n - 1`` leading tokens that part the suffixes evenly, from a share of
+    the chunks and, by hash, of their suffixes: the sample grows with the number
+    of ranges. It is ranked in Spark; the driver gets the splitters."""
     of = chunks.table.select("chunk").distinct()
-    some = [r["chunk"] for r in of.orderBy(F.xxhash64("chunk"), "chunk").limit(SAMPLE_CHUNKS).collect()]
+    share = max(1.0 / SAMPLE_CHUNKS, min(1.0, SAMPLE_CHUNKS / max(1, of.count())))
+    taken = F.pmod(F.xxhash64("chunk"), F.lit(1 << 30)) / float(1 << 30) < share
+    rate = np.uint64(min(1.0, SAMPLE_A_RANGE / (SUFFIXES_A_RANGE * share)) * (2 ** 64 - 2048))
 
     def leads(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({"lead": pa.array([], pa.int64())})
         r = Suffixes(table).met_again(replies, n1)
-        lead = r.lead[r.speaks]
-        lead = lead[mixed(lead ^ r.doc[r.speaks].astype(np.uint64)).argsort()[:SAMPLE_SUFFIXES]]
-        return pa.table({"lead": pa.array(lead.view(np.int64))})
-
-    got = (chunks.table.where(F.col("chunk").isin(some)).groupBy("chunk")
-           .cogroup(first.where(F.col("chunk").isin(some)).groupBy("chunk")).applyInArrow(leads, "lead long").toPandas())
-    lead = np.sort(got["lead"].to_numpy(np.int64).view(np.uint64))
-    return lead[(np.arange(1, n) * len(lead)) // n] if len(lead) else np.zeros(0, np.uint64)
+        lead, doc = r.lead[r.speaks], r.doc[r.speaks].astype(np.uint64)
+        # by document and place among its suffixes of this lead: frequent leads count as often as they are met
+        lead = lead[mixed(lead ^ mixed(doc + np.arange(len(doc), dtype=np.uint64))) <= rate]
+        return pa.table({"lead": pa.array((lead ^ np.uint64(1 << 63)).view(np.int64))})   # signed, in the same order
+
+    sampled = chunks.texts.where(taken).groupBy("chunk").cogroup(first.where(taken).groupBy("chunk")).applyInArrow(leads, "lead long")
+    ranked = global_rank(sampled, ["lead"])
+    size = ranked.count()
+    if not size:
+        return np.zeros(0, np.uint64)
+    step = F.expr(f"(rank * {n} div {size}) > ((rank - 1) * {n} div {size})")   # the last of each n-th part
+    picked = ranked.where(step & (F.col("rank") < size)).select("rank", "lead").orderBy("rank").toPandas()
+    cuts = picked["lead"].to_numpy(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+    # a sample smaller than the ranges gives a splitter several of them
+    parts = np.diff(np.concatenate([[0], picked["rank"].to_numpy() * n // size]))
+    return np.repeat(cuts, parts)
 
 
 def suffix_dedup(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -152,9 +152,49 @@ def test_no_more_buckets_than_spark_allows(spark, monkeypatch):
     expected = sorted(map(str, substring.substring_dedup(docs).collect()))
     monkeypatch.setattr(chunks, "BUCKET_BYTES", 1000)
     monkeypatch.setattr(chunks, "CHUNK_BYTES", 2000)
+    assert chunks.stage(docs.coalesce(1)).table.select("chunk").distinct().count() > 5   # several chunks a task
     before = spark.conf.get("spark.sql.sources.bucketing.maxBuckets")
     spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
     try:
         assert sorted(map(str, substring.substring_dedup(docs).collect())) == expected
     finally:
         spark.conf.set("spark.sql.sources.bucketing.maxBuckets", before)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("chunks_")]
+
+
+def test_ranges_are_met_in_steps_of_the_keys():
+    """However many ranges there are, a chunk's requests take as many steps as
+    it has keys, and every key is in its range."""
+    import numpy as np
+    from gazette.llm import chunks
+    keys = np.sort(np.random.default_rng(1).integers(0, 2 ** 64, 500, dtype=np.uint64, endpoint=False))
+    keys = np.unique(np.concatenate([keys, np.array([0, 2 ** 64 - 1], np.uint64)]))
+    for n in (1, 7, 1000, 10_000, 2 ** 31 - 1):
+        parts, begin, end = chunks.ranges_met(keys, n)
+        assert len(parts) <= len(keys) and (np.diff(parts) > 0).all() and begin[0] == 0 and end[-1] == len(keys)
+        assert all(int(k) * n >> 64 == p for p, b, e in zip(parts, begin, end) for k in keys[b:e])
+        asked = chunks.requests(3, keys, n)
+        assert asked.num_rows == len(parts) and sum(len(k.as_py()) for k in asked.column("keys")) == 8 * len(keys)
+    assert chunks.requests(3, keys[:0], 100).num_rows == 0
+
+
+def test_splitters_grow_with_the_suffixes(spark, monkeypatch):
+    """Ten times the copies: ten times the ranges, none of them much larger."""
+    import numpy as np
+    from gazette.llm import chunks
+    prepare(spark)
+    monkeypatch.setattr(suffixdedup, "SUFFIXES_A_RANGE", 100)
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", 4000)
+    sizes = {}
+    real = suffixdedup.sample_splitters
+    for copies in (20, 200):
+        got = []
+        monkeypatch.setattr(suffixdedup, "sample_splitters", lambda *a: got.append((real(*a), a[3])) or got[-1][0])
+        given = [(i, D.sentence(i % copies, 60), "en", "s") for i in range(2 * copies)]
+        docs = D.frame(spark, given).repartition(4)
+        same(suffixdedup.suffix_dedup(docs), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], D.suffix_dedup(given))
+        splitters, n = got[0]
+        leads = np.array([int.from_bytes((t[k:k + 8]).encode(), "big") for _, t, *_ in given for k in range(0, len(t) - 8, 17)], np.uint64)
+        sizes[copies] = (n, np.bincount(np.searchsorted(splitters, leads, "right"), minlength=n).max() / len(leads) * n)
+        assert len(splitters) == n - 1
+    assert sizes[200][0] >= 8 * sizes[20][0] and sizes[200][1] < 8
