@@ -12,7 +12,7 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def spread_scan(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """A scan of fewer files than cores dealt out to all cores (the test tables
-    are one row group each). Scans of many files stay as they are."""
+    """A scan of fewer splits than cores dealt out to all cores (the test tables
+    are one row group each). Scans of many splits stay as they are."""
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return spread(df, n) if len(df.inputFiles()) < n else df
+    return spread(df, n) if df._jdf.queryExecution().toRdd().getNumPartitions() < n else df

@@ -18,14 +18,17 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from typing import Callable
 
 import pandas as pd
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import constants as K
 from ..functions.text import prompt_from_safe, sanitise
-from .partitioning import spread
+from ..sources.files import file_system
 
 SCORED = T.StructType([T.StructField("raw", T.StringType()), T.StructField("scorer_error", T.StringType())])
 
@@ -34,40 +37,88 @@ FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
 SCORE_FIELD = "energy_system_score"
 
 
+ROWS_A_TASK = 500   # rows that one task asks for
+ROWS_A_NOTE = 50    # rows whose answers are noted together
+
+
 def score_rows(df: DataFrame, scorer_factory: Callable, key: str = "id",
-               title: str = "title", description: str = "description", partitions: int | None = None) -> DataFrame:
+               title: str = "title", description: str = "description", partitions: int | None = None,
+               ledger: str | None = None) -> DataFrame:
     """``(key, raw, scorer_error)`` for every row of ``df`` (J1), asked in
-    ``partitions`` tasks at a time (the cores, by default).
+    ``partitions`` tasks (by default one for ``ROWS_A_TASK`` rows, for which
+    ``df`` is counted).
 
     Only the key and the sanitised, bounded scorer inputs (title <= 300,
     description <= 800 code points, the prompt) travel to Python; callers
-    merge the keyed answers with ``merge_scores``."""
+    merge the keyed answers with ``merge_scores``.
+
+    ``ledger`` is a folder that all executors reach, one a run. Answers are
+    noted there before they are handed on, so a task that is tried again
+    asks only for the rows it has no answers to. Rows are dealt to tasks by
+    their key: whoever runs a task, it has the same rows and the same notes."""
     safe = df.select(
         F.col(key).alias("_key"),
         sanitise(title, K.SCORER_TITLE_CHARS).alias("_title"),
         sanitise(description, K.SCORER_DESCRIPTION_CHARS).alias("_description"),
     )
-    inputs = spread(safe.select("*", prompt_from_safe("_title", "_description").alias("_prompt")), partitions)
+    n = partitions or max(1, -(-df.count() // ROWS_A_TASK))
+    inputs = safe.select("*", prompt_from_safe("_title", "_description").alias("_prompt")).repartition(n, "_key")
     schema = T.StructType([T.StructField(key, df.schema[key].dataType)] + SCORED.fields)
 
     def run(batches):
         scorer = scorer_factory()
+        notes = Notes(ledger, TaskContext.get().partitionId()) if ledger else None
         for pdf in batches:
-            try:
-                raw, error = _called(scorer, pdf)
-            except Exception:  # find the rows that fail, the others go on
-                raw, error = [], []
-                for i in range(len(pdf)):
-                    try:
-                        r, e = _called(scorer, pdf.iloc[i:i + 1])
-                    except Exception as exc:  # noqa: BLE001 - reported with its row
-                        r, e = [None], [f"{type(exc).__name__}: {exc}"]
-                    raw += r
-                    error += e
-            yield pd.DataFrame({key: pdf["_key"].values, "raw": raw, "scorer_error": error})
+            if notes is None:
+                raw, error = _asked(scorer, pdf)
+            else:
+                new = pdf[[str(k) not in notes.answers for k in pdf["_key"]]]
+                for at in range(0, len(new), ROWS_A_NOTE):
+                    some = new.iloc[at:at + ROWS_A_NOTE]
+                    notes.add([str(k) for k in some["_key"]], *_asked(scorer, some))
+                raw, error = zip(*[notes.answers[str(k)] for k in pdf["_key"]]) if len(pdf) else ([], [])
+            yield pd.DataFrame({key: pdf["_key"].values, "raw": list(raw), "scorer_error": list(error)})
     return inputs.mapInPandas(run, schema)
 
 
+class Notes:
+    """What the scorer has answered to the rows of one task, kept in files of a
+    shared folder (a file for ``ROWS_A_NOTE`` rows; it appears whole or not at all)."""
+
+    def __init__(self, folder: str, task: int):
+        self.fs, base = file_system(folder)
+        self.place, self.answers = f"{base}/task={task}", {}
+        self.fs.create_dir(self.place, recursive=True)
+        for f in self.fs.get_file_info(pafs.FileSelector(self.place)):
+            if f.base_name.endswith(".json"):
+                with self.fs.open_input_stream(f.path) as stream:
+                    self.answers |= {k: (r, e) for k, r, e in json.loads(stream.read())}
+
+    def add(self, keys: list, raw: list, error: list) -> None:
+        rows = [[k, None if pd.isna(r) else r, None if pd.isna(e) else e] for k, r, e in zip(keys, raw, error)]
+        draft = f"{self.place}/{uuid.uuid4().hex}"
+        with self.fs.open_output_stream(draft) as stream:
+            stream.write(json.dumps(rows).encode())
+        self.fs.move(draft, draft + ".json")
+        self.answers |= {k: (r, e) for k, r, e in rows}
+
+
+def _asked(scorer, pdf: pd.DataFrame) -> tuple:
+    """Answers and errors of all rows; where a call fails, of each by itself."""
+    try:
+        return _called(scorer, pdf)
+    except Exception:  # find the rows that fail, the others go on
+        raw, error = [], []
+        for i in range(len(pdf)):
+            try:
+                r, e = _called(scorer, pdf.iloc[i:i + 1])
+            except Exception as exc:  # noqa: BLE001 - reported with its row
+                r, e = [None], [f"{type(exc).__name__}: {exc}"]
+            raw += r
+            error += e
+        return raw, error
+
+
 def _called(scorer, pdf: pd.DataFrame) -> tuple:
     res = scorer(pdf)
     raw, error = list(res["raw"]), list(res["error"])

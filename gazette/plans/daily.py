@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -26,7 +27,7 @@ from ..operators import scoring as SC
 from ..operators import stats as STT
 from ..operators import store as ST
 from ..operators import taxonomy as TXN
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_dir
 from ..sources import intake as IN
 
 
@@ -108,7 +109,7 @@ def daily_run(intake: DataFrame | FileIntake, tax: TXN.Taxonomy, store: DataFram
         # the rows this run touched are the folded batch itself, with their ids:
         # the scorer input never re-reads the store
         touched = folded.join(ids, "url").select("id", "title", "description")
-        raw = SC.score_rows(touched, scorer_factory, key="id")
+        raw = SC.score_rows(touched, scorer_factory, key="id", ledger=new_ledger(spark) if checkpoint else None)
         if checkpoint:
             raw = raw.checkpoint(eager=True)      # the scorer is called exactly once per row
         answers = SC.validate_answers(raw)
@@ -132,7 +133,13 @@ def scored_once(rows: DataFrame, scorer_factory) -> DataFrame:
     """Valid and invalid answers to ``rows``; the scorer is called once a row,
     however often the answers are read."""
     ensure_checkpoint_dir(rows.sparkSession)
-    return SC.validate_answers(SC.score_rows(rows, scorer_factory, key="id").checkpoint(eager=True))
+    asked = SC.score_rows(rows, scorer_factory, key="id", ledger=new_ledger(rows.sparkSession))
+    return SC.validate_answers(asked.checkpoint(eager=True))
+
+
+def new_ledger(spark) -> str:
+    """A folder for the scorer's answers of one run."""
+    return scratch_dir(spark, f"answers-{uuid.uuid4().hex}")
 
 
 def score_backlog(store: DataFrame, scorer_factory, limit: int | None = 100) -> tuple:
@@ -169,13 +176,17 @@ def _ord(rank: int, key: str):
                     F.col("pos").cast("long").alias("pos"))
 
 
-def intake_from_files(spark, listing_pages: str | None = None, listing_href_pattern: str | None = None,
-                      listing_url_template: str | None = None, detail_pages: str | None = None,
-                      feeds: str | None = None, feed_hosts=(), api_bodies: str | None = None,
-                      api_url_prefix: str = "", api_hosts=(), container_pages: str | None = None,
+def intake_from_files(spark, listing_pages: str | DataFrame | None = None, listing_href_pattern: str | None = None,
+                      listing_url_template: str | None = None, detail_pages: str | DataFrame | None = None,
+                      feeds: str | DataFrame | None = None, feed_hosts=(), api_bodies: str | DataFrame | None = None,
+                      api_url_prefix: str = "", api_hosts=(), container_pages: str | DataFrame | None = None,
                       container_selectors: str = "", url_of=None, sequence=None) -> FileIntake:
     """Build one intake batch from crawled files (the four source kinds), in
-    fixed source order, failures isolated per source.
+    fixed source order. Each source is parsed once, into a written frame of what
+    it holds and what can't be used, before anything else: one that fails, while
+    it is read too, is a failure of its own and the others go on.
+
+    Sources are folders of files or tables (path, body).
 
     ``url_of(path_col) -> Column`` maps a file path to the page URL (default:
     the path); ``sequence(path_col) -> Column`` gives the order of files within a
@@ -204,43 +215,50 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
         out = [RJ.of_documents(empty, source, "doc_key")]
         return out if status is None else [*out, RJ.of_documents(status, source, "doc_key")]
 
+    def once(parsed: DataFrame) -> DataFrame:
+        """Parsed now, whatever is read of it later."""
+        ensure_checkpoint_dir(spark)
+        return parsed.checkpoint(eager=True)
+
     loaders, rejected = [], []
-    if listing_pages:
+    if listing_pages is not None:
         def detail_source():
             listing = H.link_listing(pages(listing_pages), listing_href_pattern, listing_url_template)
-            listing = listing.select(F.col("link").alias("url"), "title", "page_id", "pos")
-            det = pages(detail_pages) if detail_pages else None
+            listing = once(listing.select(F.col("link").alias("url"), "title", "page_id", "pos"))
+            lost = unread("jst", listing_pages)
+            det = pages(detail_pages) if detail_pages is not None else None
             if det is None:
                 j = listing.select("*", F.lit(None).cast("date").alias("posted_date"),
                                    F.lit(None).cast("date").alias("deadline"))
             else:
-                read = H.definition_fields(H.definition_pairs(det, keep=("url", "page_id")), ["url", "page_id"])
+                read = once(H.definition_fields(H.definition_pairs(det, keep=("url", "page_id")), ["url", "page_id"]))
                 fields = H.first_good_page(read)
                 empty = FL.empty_documents(spark, detail_pages).select(url_of(F.col("path")).alias("url"), F.lit("empty document").alias("error"))
-                rejected.append(RJ.of_details(listing, fields, H.bad_pages(read).union(empty), "jst"))
+                lost.append(RJ.of_details(listing, fields, H.bad_pages(read).union(empty), "jst"))
                 fields = fields.select("url", D.era_date("first_value").alias("posted_date"),
                                        D.era_date("last_value").alias("deadline"))
                 j = listing.join(fields, "url", "inner")
-            rejected.extend(unread("jst", listing_pages))
+            rejected.extend(lost)
             return j.select(_ord(0, "page_id").alias("ord"),
                             F.lit("jst").alias("source"), U.last_path_segment("url").alias("external_id"),
                             "title", "url", F.lit(None).cast("string").alias("description"), "posted_date",
                             "deadline", F.lit("unknown").alias("tender_type"))
         loaders.append(("jst", detail_source))
-    if feeds:
+    if feeds is not None:
         def feed_source():
             d = FL.with_key(FL.read_documents(spark, feeds), sequence)
-            e = FD.feed_entries(d.select("doc_key", F.col("body").alias("xml")), "xml", keep=("doc_key",))
+            parsed = once(FD.feed_parse(d, "body", keep=("doc_key",)))
+            e = FD.entries_of(parsed)
             f = FD.feed_items(e, feed_hosts, "mext", keep=("doc_key",))
-            rejected.extend(unread("mext", feeds, FD.feed_status(d, "body", keep=("doc_key",))))
+            rejected.extend(unread("mext", feeds, FD.status_of(parsed, ("doc_key",))))
             rejected.append(RJ.of_items(FD.feed_item_errors(e, feed_hosts, keep=("doc_key",)), "mext", "doc_key"))
             return f.select(_ord(1, "doc_key").alias("ord"), "source",
                             "external_id", "title", "url", "description", "posted_date", "deadline",
                             F.lit("unknown").alias("tender_type"))
         loaders.append(("mext", feed_source))
-    if container_pages:
+    if container_pages is not None:
         def container_source():
-            every = H.container_rows(pages(container_pages), container_selectors)
+            every = once(H.container_rows(pages(container_pages), container_selectors))
             bad = every.filter(~F.col("ok")).select(F.col("page_id").alias("doc_key"), F.lit("page could not be parsed").alias("error"))
             rejected.extend(unread("nedo", container_pages, bad))
             ev = every.filter(F.col("kind").isNotNull()).filter(H.fallback_anchor_filter())
@@ -260,12 +278,13 @@ def intake_from_files(spark, listing_pages: str | None = None, listing_href_patt
                                 "title", F.col("link").alias("url"), F.lit(None).cast("string").alias("description"),
                                 "posted_date", "deadline", F.lit("unknown").alias("tender_type"))
         loaders.append(("nedo", container_source))
-    if api_bodies:
+    if api_bodies is not None:
         def api_source():
             d = FL.with_key(FL.read_documents(spark, api_bodies), sequence)
-            e = FD.json_entries(d, "body", keep=("doc_key",))
+            parsed = once(FD.json_parse(d, "body", keep=("doc_key",)))
+            e = FD.entries_of(parsed)
             j = FD.json_items(e, api_url_prefix, api_hosts, "jgrants", keep=("doc_key",))
-            rejected.extend(unread("jgrants", api_bodies, FD.json_status(d, "body", keep=("doc_key",))))
+            rejected.extend(unread("jgrants", api_bodies, FD.status_of(parsed, ("doc_key",))))
             rejected.append(RJ.of_items(FD.json_item_errors(e, api_url_prefix, api_hosts, keep=("doc_key",)), "jgrants", "doc_key"))
             return j.select(_ord(3, "doc_key").alias("ord"), "source",
                             "external_id", "title", "url", "description", "posted_date", "deadline",

@@ -10,7 +10,7 @@ from .. import constants as K
 from ..operators import rejects as RJ
 from ..operators import scoring as SC
 from ..operators import store as ST
-from ..session import scratch_dir
+from ..session import ensure_checkpoint_dir, scratch_dir
 from ..sources import feeds as FD
 from ..sources import html as H
 from ..sources import intake as IN
@@ -59,12 +59,15 @@ def source_reject_rows(spark, sf_dir):
     docs = o.select(F.col("o_orderkey").alias("id"), F.expr(_FEED_LOST.format(feed_xml_sql("spark"))).alias("xml"),
                     F.expr(_BODY_LOST.format(json_body_sql())).alias("body"))
     pages = B.table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    fields = H.definition_fields(H.definition_pairs(pages.filter("page_id % 4 <> 0"), keep=("url", "page_id")), ["url", "page_id"])
+    # each source is parsed once
+    ensure_checkpoint_dir(spark)
+    fields = H.definition_fields(H.definition_pairs(pages.filter("page_id % 4 <> 0"), keep=("url", "page_id")), ["url", "page_id"]).checkpoint(eager=True)
+    feeds, bodies = FD.feed_parse(docs).checkpoint(eager=True), FD.json_parse(docs).checkpoint(eager=True)
     return RJ.union([
-        RJ.of_documents(FD.feed_status(docs), "mext", "id"),
-        RJ.of_items(FD.feed_item_errors(FD.feed_entries(docs), FEED_HOSTS), "mext", "id"),
-        RJ.of_documents(FD.json_status(docs), "jgrants", "id"),
-        RJ.of_items(FD.json_item_errors(FD.json_entries(docs), GRANT_PREFIX, GRANT_HOSTS), "jgrants", "id"),
+        RJ.of_documents(FD.status_of(feeds), "mext", "id"),
+        RJ.of_items(FD.feed_item_errors(FD.entries_of(feeds), FEED_HOSTS), "mext", "id"),
+        RJ.of_documents(FD.status_of(bodies), "jgrants", "id"),
+        RJ.of_items(FD.json_item_errors(FD.entries_of(bodies), GRANT_PREFIX, GRANT_HOSTS), "jgrants", "id"),
         RJ.of_details(pages.select("url"), H.first_good_page(fields), H.bad_pages(fields), "jst")])
 
 

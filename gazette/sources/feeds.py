@@ -71,36 +71,52 @@ def plain_references(item: Column) -> Column:
     return F.when(item.contains("&"), known).otherwise(item)
 
 
-def feed_entries(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
-    """One row per feed item: keep…, pos, read, link and the ITEM fields.
+def feed_parse(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
+    """All that is read of feeds, in one pass: a row a document (pos -1: keep…,
+    n_items, and error for what is no feed or breaks off within an item), and a
+    row an item (keep…, pos, read, link and the ITEM fields).
 
     A document is cut into its items first and each is read by itself, so one
     that is malformed (``read`` is false) costs no other. CDATA sections,
     comments, HTML's references, bare ampersands and namespace prefixes are
     resolved before."""
-    items = F.regexp_extract_all(plain_feed(F.col(xml)), F.lit(ITEM_RE), F.lit(0))
-    e = df.select(*keep, F.posexplode(items).alias("pos", "item"))
-    whole = plain_references(F.col("item"))
-    e = e.select(*keep, "pos", F.from_xml(whole, ITEM_SCHEMA + ", _bad STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("it"))
+
+    def cut(doc: Column) -> Column:
+        items = F.regexp_extract_all(F.coalesce(doc, F.lit("")), F.lit(ITEM_RE), F.lit(0))
+        broken = F.regexp_replace(doc, ITEM_RE, "").rlike(OPEN_ITEM_RE)
+        bad = F.coalesce(F.trim(doc), F.lit("")) == ""
+        error = F.when(bad, F.lit("empty document")).when(~doc.rlike(ITEM_RE) & ~doc.rlike(FEED_RE), F.lit("not a feed")).when(broken, F.lit("item without end"))
+        return F.struct(error.alias("error"), items.alias("items"))
+
+    e = df.select(*keep, D.let(plain_feed(F.col(xml)), cut).alias("_d"))
+    none = F.array(F.lit(None).cast("string"))
+    e = e.select(*keep, F.size("_d.items").alias("n_items"), F.col("_d.error").alias("error"), F.posexplode(F.concat(none, F.col("_d.items"))).alias("pos", "item"))
+    read = F.from_xml(plain_references(F.col("item")), ITEM_SCHEMA + ", _bad STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    e = e.select(*keep, "n_items", "error", (F.col("pos") - 1).alias("pos"), read.alias("it"))
     link = F.filter("it.link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
     href = F.coalesce(F.get(link, 0)["_href"], F.get(F.col("it.link"), 0)["_VALUE"])
     fields = [F.col("it")[f].alias("atom_id" if f == "id" else f) for f in ITEM_FIELDS]
-    return e.select(*keep, "pos", F.col("it._bad").isNull().alias("read"), href.alias("link"), *fields)
+    return e.select(*keep, "n_items", "error", "pos", F.col("it._bad").isNull().alias("read"), href.alias("link"), *fields)
 
 
-def feed_status(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
-    """A row a document: keep…, n_items, and error for what is no feed or breaks
-    off within an item."""
+def entries_of(parsed: DataFrame) -> DataFrame:
+    """The items of a parse."""
+    return parsed.where("pos >= 0").drop("n_items", "error")
 
-    def judged(doc: Column) -> Column:
-        n = F.size(F.regexp_extract_all(F.coalesce(doc, F.lit("")), F.lit(ITEM_RE), F.lit(0)))
-        cut = F.regexp_replace(doc, ITEM_RE, "").rlike(OPEN_ITEM_RE)
-        bad = F.coalesce(F.trim(doc), F.lit("")) == ""
-        error = F.when(bad, F.lit("empty document")).when((n == 0) & ~doc.rlike(FEED_RE), F.lit("not a feed")).when(cut, F.lit("item without end"))
-        return F.struct(n.alias("n_items"), error.alias("error"))
 
-    status = df.select(*keep, D.let(plain_feed(F.col(xml)), judged).alias("_s"))
-    return status.select(*keep, "_s.n_items", "_s.error")
+def status_of(parsed: DataFrame, keep=("id",)) -> DataFrame:
+    """The documents of a parse: keep…, n_items, error."""
+    return parsed.where("pos < 0").select(*keep, *[c for c in ("n_items",) if c in parsed.columns], "error")
+
+
+def feed_entries(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
+    """One row per feed item: keep…, pos, read, link and the ITEM fields."""
+    return entries_of(feed_parse(df, xml, keep))
+
+
+def feed_status(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
+    """A row a document: keep…, n_items, error."""
+    return status_of(feed_parse(df, xml, keep), keep)
 
 
 def feed_items(entries: DataFrame, allowed_hosts, source: str, keep=("id",)) -> DataFrame:
@@ -168,9 +184,10 @@ def truthy_text(prefix: str) -> Column:
     return F.when(~falsy & (F.length(txt) > 0), txt)
 
 
-def json_status(df: DataFrame, body: str = "body", keep=("id",)) -> DataFrame:
-    """A row a body: keep…, and error for what is no JSON or holds something
-    else where the list of items is expected."""
+def json_parse(df: DataFrame, body: str = "body", keep=("id",)) -> DataFrame:
+    """All that is read of API bodies, in one pass: a row a document (pos -1:
+    keep…, and error for what is no JSON or holds something else where the list
+    of items is expected), and a row an item (keep…, pos, item)."""
     d = _json_lists(df, body, keep, also=("_v",))
     kind = F.schema_of_variant("_v")
 
@@ -181,7 +198,14 @@ def json_status(df: DataFrame, body: str = "body", keep=("id",)) -> DataFrame:
     held = F.exists(F.array(*[_vget(F.col("_v"), f"$.{k}", "variant") for k in UNWRAP_KEYS]), lambda v: F.coalesce(no_list(v), F.lit(False)))
     other = held | (~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"))
     error = F.when(F.col("_v").isNull(), F.lit("not JSON")).when(_json_list().isNull() & other, F.lit("no list of items"))
-    return d.select(*keep, error.alias("error"))
+    none = F.array(F.lit(None).cast("variant"))
+    e = d.select(*keep, error.alias("error"), F.posexplode(F.concat(none, F.coalesce(_json_list(), F.array().cast("array<variant>")))).alias("pos", "item"))
+    return e.withColumn("pos", F.col("pos") - 1)
+
+
+def json_status(df: DataFrame, body: str = "body", keep=("id",)) -> DataFrame:
+    """A row a body: keep…, error."""
+    return status_of(json_parse(df, body, keep), keep)
 
 
 def json_entries(df: DataFrame, body: str = "body", keep=("id",)) -> DataFrame:

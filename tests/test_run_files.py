@@ -121,3 +121,52 @@ def test_bad_detail_pages_are_named(spark):
     fields = spark.createDataFrame([("a", 1, False), ("a", 2, True), ("b", 3, False), ("b", 4, False)], "url string, page_id long, ok boolean")
     out = RJ.of_details(listing, H.first_good_page(fields), H.bad_pages(fields), "jst")
     assert sorted(map(tuple, out.collect())) == [("jst", "b", "detail", "page could not be parsed"), ("jst", "c", "detail", "detail page missing")]
+
+
+def test_a_source_that_fails_while_it_is_read(spark, tmpdir_path):
+    """One unreadable file costs its source; the others are published."""
+    root = tmpdir_path
+    write(f"{root}/feeds/f.xml", "<rss><channel><item><title>Grid</title><link>https://www.min.example/1</link></item></channel></rss>")
+    write(f"{root}/rows/p.html", '<table class="x"><tr><td><a href="/e1.html">Grid row</a></td></tr></table>')
+    write(f"{root}/api/b.json.gz", "no gzip")
+    found = intake_from_files(
+        spark, feeds=f"{root}/feeds/*", feed_hosts=["www.min.example"], container_pages=f"{root}/rows/*", container_selectors="table.x tr",
+        api_bodies=f"{root}/api/*", api_url_prefix="https://portal.example/subsidy/", api_hosts=["portal.example"],
+        url_of=lambda p: F.lit("https://proc.example/list/index.html"))
+    assert [r["source"] for r in found.failures.collect()] == ["jgrants"]
+    assert [(r["source"], r["stage"]) for r in found.rejected.collect()] == [("jgrants", "source")]
+    tax = tx.Taxonomy.from_dict({"grid": {"g": ["grid"]}})
+    out = run_and_publish(spark, found, tax, f"{root}/store", f"{root}/site", dt.datetime(2026, 7, 2), dt.date(2026, 7, 2), ["grid"], {"grid": "Grid"})
+    assert out["stats"]["upserted"] == 2 and out["stats"]["failed"] == 1 and ST.read_store(spark, f"{root}/store").count() == 2
+
+
+def test_sources_are_parsed_once_and_tables_are_read_as_folders(spark, tmpdir_path):
+    """Nothing is parsed any more when the intake and the rejects are read, and
+    a table of documents gives what a folder of files gives."""
+    root, name = tmpdir_path, lambda p: F.element_at(F.split(p, "/"), -1)
+    docs = {"feeds": {"f1.xml": "<rss><channel><item><title>Grid</title><link>https://www.min.example/1</link></item></channel></rss>", "f2.xml": ""},
+            "api": {"b1.json": '{"result": [{"id": "g1", "title": "T"}, {"id": "", "title": "x"}]}', "b2.json": "{", "b3.json": ""},
+            "rows": {"p.html": '<table class="x"><tr><td><a href="/e1.html">Row</a></td></tr></table>'}}
+    for kind, files in docs.items():
+        for n, text in files.items():
+            write(f"{root}/{kind}/{n}", text)
+    table = {k: spark.createDataFrame([(f"file:/x/{n}", t) for n, t in v.items()], "path string, body string") for k, v in docs.items()}
+    found = [intake_from_files(spark, feeds=s["feeds"], feed_hosts=["www.min.example"], container_pages=s["rows"], container_selectors="table.x tr",
+                               api_bodies=s["api"], api_url_prefix="https://portal.example/subsidy/", api_hosts=["portal.example"],
+                               url_of=lambda p: F.lit("https://proc.example/list/index.html"), sequence=name)
+             for s in ({k: f"{root}/{k}/*" for k in docs}, table)]
+    read = [(sorted(map(str, f.intake.collect())), sorted(map(str, f.rejected.collect()))) for f in found]
+    assert read[0] == read[1] and len(read[0][0]) == 3 and len(read[0][1]) == 4
+    for df in (found[0].intake, found[0].rejected):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(x in plan for x in ("from_xml", "parse_json", "mapInPandas", "MapInPandas", "xmltostructs"))
+
+
+def test_empty_files_are_named(spark, tmpdir_path):
+    from gazette.sources import files as FL
+    for n, text in (("a/x.xml", ""), ("a/y.xml", "y"), ("b/z.xml", ""), ("b/z.txt", ""), ("c/_skip.xml", ""), ("c/d/w.xml", "")):
+        write(f"{tmpdir_path}/{n}", text)
+    for pattern, names in (("a", ["x.xml"]), ("*/*.xml", ["x.xml", "z.xml"]), ("{a,b}/*", ["x.xml", "z.txt", "z.xml"]), ("a/x.xml", ["x.xml"]), ("none/*", []), ("*", ["x.xml", "z.txt", "z.xml"])):
+        got = FL.empty_documents(spark, f"{tmpdir_path}/{pattern}").collect()
+        assert sorted(r["path"].rsplit("/", 1)[1] for r in got) == names, pattern
+        assert all(r["path"].startswith("file:///") for r in got)

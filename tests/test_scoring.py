@@ -1,3 +1,4 @@
+import os
 import datetime as dt
 import json
 
@@ -101,3 +102,36 @@ def test_score_rows_and_outcomes(spark):
     answers = SC.validate_answers(raw)
     out = {r["outcome"]: r["n"] for r in SC.relabel_outcomes(answers).collect()}
     assert sum(out.values()) == 29 and out.get("failed", 0) >= 2      # lt=13, 26 fail
+
+
+def _counting(folder):
+    """A scorer that leaves a file for each row it is asked for."""
+    def factory():
+        rule = SC.rule_scorer_factory()
+
+        def scorer(pdf):
+            import uuid
+            for k in pdf["_key"]:
+                open(os.path.join(folder, f"{k}-{uuid.uuid4().hex}"), "w").close()
+            return rule(pdf)
+        return scorer
+    return factory
+
+
+def test_a_task_that_is_tried_again_asks_nobody_twice(spark, tmpdir_path, monkeypatch):
+    """The job fails after its answers were given; the next attempt, with the
+    same ledger, asks only for rows without an answer."""
+    import pytest
+    monkeypatch.setattr(SC, "ROWS_A_TASK", 40)
+    monkeypatch.setattr(SC, "ROWS_A_NOTE", 7)
+    calls, ledger = os.path.join(tmpdir_path, "calls"), os.path.join(tmpdir_path, "ledger")
+    os.mkdir(calls)
+    rows = spark.range(200).select("id", F.concat(F.lit("title "), F.col("id").cast("string")).alias("title"), F.lit("text").alias("description"))
+    asked = SC.score_rows(rows, _counting(calls), ledger=ledger)
+    assert asked.rdd.getNumPartitions() == 5                      # by rows, not by cores
+    broken = asked.select(F.when(F.col("id") == 150, F.raise_error(F.lit("lost"))).otherwise(F.lit(1)).alias("x"))
+    with pytest.raises(Exception, match="lost"):
+        broken.collect()
+    got = {r["id"]: (r["raw"], r["scorer_error"]) for r in asked.collect()}
+    assert len(os.listdir(calls)) == 200 == len({f.split("-")[0] for f in os.listdir(calls)})
+    assert got == {r["id"]: (r["raw"], r["scorer_error"]) for r in SC.score_rows(rows, SC.rule_scorer_factory).collect()}
