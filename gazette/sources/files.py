@@ -51,7 +51,7 @@ def empty_files(pattern: str) -> Iterator[list]:
     as Spark writes their paths."""
     fs, place = file_system(pattern)
     parts = place.split("/")
-    fixed = next((i for i, x in enumerate(parts) if any(c in x for c in "*?[")), len(parts))
+    fixed = next((i for i, x in enumerate(parts) if any(c in x for c in "*?[")), len(parts) - 1)
     scheme = pattern[:len(pattern) - len(place)] if "://" in pattern else "file://"
     folders = ["/".join(parts[:fixed]) or "/"]
     while folders:
