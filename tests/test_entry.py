@@ -26,7 +26,7 @@ def test_oracle_sql_parses():
     import duckdb
     E = importlib.import_module("__spark_entry__")
     con = duckdb.connect()
-    for t in ("orders", "documents", "pages"):
+    for t in ("orders", "documents", "pages", "embeddings", "benchmark", "labels", "conversations", "customer", "lineitem", "events"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     for name, sql in E.oracle_sql().items():
         con.sql(f"EXPLAIN {sql}")
