@@ -202,7 +202,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 # ---- buckets
 
-BUCKETS = 64          # of a new store; a bucket should hold some 100 MB
+BUCKETS = 16          # of a new store, unless it is told; a bucket should hold some 100 MB
 LAYOUT = "_layout"
 
 
