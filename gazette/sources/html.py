@@ -5,11 +5,11 @@ Two paths:
 * native — anchors and ``<title>`` by regular expressions in the JVM
   (``regexp_extract_all`` + ``posexplode``). Enough for flat markup such as
   anchor lists, and it stays inside whole-stage codegen.
-* tree — a small tree builder on the standard library's ``html.parser``
-  inside ``mapInPandas``, for rules that depend on nesting: container rows
-  (rows matched by simple CSS selectors, first anchor, row text) and
-  definition lists (``dt``/``dd`` pairs). It emits flat event rows; all the
-  rules after that (dedup, first/last, dates, URLs) are columns again.
+* events — the standard library's ``html.parser`` inside ``mapInPandas``, for
+  rules that depend on nesting: definition lists (``dt``/``dd`` pairs) are read
+  as the tags go by, container rows (rows matched by simple CSS selectors, first
+  anchor, row text) from a small tree. Flat event rows come out; all the rules
+  after that (dedup, first/last, dates, URLs) are columns again.
 """
 
 from __future__ import annotations
@@ -147,15 +147,6 @@ def text_of(node, sep: str = "", strip: bool = False) -> str:
     return sep.join(parts)
 
 
-def single_string(node):
-    """The one string inside a chain of single children, else None."""
-    while isinstance(node, _Node):
-        if len(node.children) != 1:
-            return None
-        node = node.children[0]
-    return node
-
-
 def _parse_simple(sel: str):
     sel = sel.strip()
     tag, _, cls = sel.partition(".")
@@ -223,31 +214,102 @@ def container_events(doc: str, chains) -> list:
     return out
 
 
+class _Open:
+    """An element that is still open: what a ``dt`` needs to be one string, and
+    the pairs of it that wait for a ``dd`` among its children."""
+
+    __slots__ = ("tag", "n", "only", "pair", "waiting", "answers", "start")
+
+    def __init__(self, tag, pair=None, answers=(), start=0):
+        self.tag, self.n, self.only = tag, 0, None
+        self.pair, self.waiting, self.answers, self.start = pair, [], answers, start
+
+
+class _Pairs(HTMLParser):
+    """Definition pairs as the tags go by; no tree is built. Tags open and close
+    as in ``_Builder``. Kept are the elements now open, the pairs found and the
+    text pieces of the ``dd`` elements now open."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open = [_Open("[document]")]
+        self.count = {}                 # open elements by name
+        self.pairs = []                 # [string of dt, text of dd]
+        self.pieces, self.reading = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        up = self.open[-1]
+        up.n += 1
+        if tag in VOID:
+            return
+        answers, pair = (), None
+        if tag == "dd" and up.waiting:
+            answers, up.waiting = up.waiting, []
+            self.reading += 1
+        elif tag == "dt":
+            pair = [None, None]
+            self.pairs.append(pair)
+        self.open.append(_Open(tag, pair, answers, len(self.pieces)))
+        self.count[tag] = self.count.get(tag, 0) + 1
+
+    def handle_startendtag(self, tag, attrs):
+        up = self.open[-1]
+        up.n += 1
+        if tag == "dd":
+            for pair in up.waiting:
+                pair[1] = ""
+            up.waiting = []
+
+    def handle_data(self, data):
+        up = self.open[-1]
+        up.n += 1
+        up.only = data
+        if self.reading:
+            piece = data.strip()
+            if piece:
+                self.pieces.append(piece)
+
+    def handle_endtag(self, tag):
+        if not self.count.get(tag):
+            return
+        while self.leave() != tag:
+            pass
+
+    def leave(self) -> str:
+        """The innermost element ends."""
+        el, up = self.open.pop(), self.open[-1]
+        self.count[el.tag] -= 1
+        only = el.only if el.n == 1 else None
+        up.only = only
+        if el.pair is not None and only is not None:
+            el.pair[0] = only
+            up.waiting.append(el.pair)
+        if el.answers:
+            text = " ".join(self.pieces[el.start:])
+            for pair in el.answers:
+                pair[1] = text
+            self.reading -= 1
+            if not self.reading:
+                self.pieces = []
+        return el.tag
+
+    def close(self):
+        super().close()
+        while len(self.open) > 1:
+            self.leave()
+
+
 def definition_events(doc: str) -> list:
     """Definition pairs (A3): for each ``dt`` whose single string exists, in
     document order: that string and the text of the next following sibling
     ``dd`` (pieces stripped, joined by ' '), or None without one."""
     if not doc:
         return []
-    root = parse_tree(doc)
-    out, pos, places = [], 0, {}
-    for n in _walk(root):
-        if n.tag != "dt":
-            continue
-        s = single_string(n)
-        if s is None:
-            continue
-        sib = n.parent.children
-        if id(sib) not in places:
-            places[id(sib)] = {id(ch): i for i, ch in enumerate(sib)}
-        dd = None
-        for ch in sib[places[id(sib)][id(n)] + 1:]:
-            if isinstance(ch, _Node) and ch.tag == "dd":
-                dd = text_of(ch, " ", True)
-                break
-        out.append((pos, s, dd))
-        pos += 1
-    return out
+    p = _Pairs()
+    p.feed(doc)
+    p.close()
+    found = [(s, dd) for s, dd in p.pairs if s is not None]
+    return [(i, s, dd) for i, (s, dd) in enumerate(found)]
 
 
 def _events(df: DataFrame, html: str, keep: list, event_schema: T.StructType, fn) -> DataFrame:

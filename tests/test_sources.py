@@ -1,4 +1,5 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -174,6 +175,49 @@ def test_deep_page(spark):
     assert r["ok"] and r["first_value"] == "令和2年1月2日"
 
 
+def definition_pairs_of_tree(doc):
+    """The pairs of a whole tree, as the rule is said."""
+    def string(node):
+        while isinstance(node, H._Node):
+            if len(node.children) != 1:
+                return None
+            node = node.children[0]
+        return node
+
+    out = []
+    for n in H._walk(H.parse_tree(doc)):
+        s = string(n) if n.tag == "dt" else None
+        if s is None:
+            continue
+        after = n.parent.children[next(i for i, c in enumerate(n.parent.children) if c is n) + 1:]
+        dds = [c for c in after if isinstance(c, H._Node) and c.tag == "dd"]
+        out.append((len(out), s, H.text_of(dds[0], " ", True) if dds else None))
+    return out
+
+
+def test_definition_pairs_as_the_tags_go_by():
+    rnd = random.Random(11)
+    often = ["<dt>", "</dt>", "<dd>", "</dd>", "a", " b ", "<dt>k</dt>", "<dd>v"]
+    bits = often * 4 + ["<dl>", "</dl>", "<div>", "</div>", "<b>", "</b>", "<br>", "<br/>", "<dd/>", "<dt/>", "&amp;", "<!-- c -->", "  ",
+                        "<p>", "<script>", "</script>", "</zz>", "<img src=x>", "<dt", ">", "<"]
+    pairs = 0
+    for _ in range(20000):
+        doc = "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 25)))
+        expected = definition_pairs_of_tree(doc)
+        assert H.definition_events(doc) == expected, doc
+        pairs += sum(dd is not None for _, _, dd in expected)
+    assert pairs > 1000 and H.definition_events("") == H.definition_events(None) == []
+
+
+def test_definition_pairs_of_a_long_page():
+    """Neither many pairs nor deep ones are trouble."""
+    n = 20000
+    got = H.definition_events("<dl>" + "".join(f"<dt>k{i}</dt><dd>v{i}</dd>" for i in range(n)) + "</dl>")
+    assert len(got) == n and got[-1] == (n - 1, f"k{n - 1}", f"v{n - 1}")
+    deep = H.definition_events("<dl>" + "<dt>k</dt><div>" * 3000 + "<dd>v")
+    assert len(deep) == 3000 and {dd for _, _, dd in deep} == {None}
+
+
 def test_copies_of_a_page_are_not_mixed(spark):
     def page(a, b):
         return f"<dl><dt>公告日</dt><dd>{a}</dd><dt>期限</dt><dd>{b}</dd></dl>"
