@@ -20,7 +20,9 @@ in blocks. The model sent to tasks has a fixed size a language.
 
 Defined cases: a text that is null or has no letter gets ``und`` and score 0,
 and is flagged.
-Labelled rows without text, and texts without label, teach nothing. With one
+Labelled rows without text, and texts without label, teach nothing. Of more than
+``LANGUAGES`` languages those with the fewest texts (of as many, the last by
+name) teach nothing either and are never predicted. With one
 language all texts with letters get it; with none all get ``und``. Rows without
 doc_id are never learnt from by the query and count as held out. Extra columns
 stay, columns named like a result are replaced; an empty table stays empty.
@@ -44,7 +46,7 @@ SAMPLE = 4000        # texts a language
 BLOCK = 1 << 18      # characters read at a time
 UNKNOWN = "und"
 CLEAR = 2 / 3        # texts with no larger share in one of two languages are flagged
-MAX_LANGUAGES = 512  # the model has BUCKETS numbers a code bit
+LANGUAGES = 512      # learnt at most: the model has BUCKETS numbers a code bit
 
 _MULT = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -166,12 +168,12 @@ def _count(lang_text: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(s[at], pa.int64())], names=["lang", "bucket", "n"])
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from (doc_id, text, lang) rows."""
+def fit(labelled: DataFrame, sample: int = SAMPLE, most: int = LANGUAGES) -> Model:
+    """A model from (doc_id, text, lang) rows: of about ``sample`` texts each of
+    the ``most`` languages that have the most texts."""
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(most)
+    sizes = {r["lang"]: r["n"] for r in sizes.collect()}
     if not sizes:
         return Model((), codewords(0), np.zeros((BUCKETS, 0)), np.ones(0))
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample / n)))])

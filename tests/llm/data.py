@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BLANKS = " \t\n\x0b\x0c\r"
@@ -66,7 +68,8 @@ def sha(data) -> str:
     return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
 
 
-def line_dedup(docs, min_docs=3):
+def kept_lines(docs, min_docs=3):
+    """(lines, lines dropped, text left) of each document."""
     keyed = lambda t: [(x, x.strip(BLANKS).translate(FOLD)) for x in (t or "").split("\n")]
     where = {}
     for i, t, *_ in docs:
@@ -78,10 +81,14 @@ def line_dedup(docs, min_docs=3):
     for i, t, *_ in docs:
         all_ = keyed(t)
         kept = [x for x, k in all_ if k not in keeper or keeper[k] == i]
-        out.append((i, len(all_), len(all_) - len(kept), sha("\n".join(kept))))
+        out.append((len(all_), len(all_) - len(kept), "\n".join(kept)))
     return out
 
 
+def line_dedup(docs, min_docs=3):
+    return [(d[0], n, dropped, sha(text)) for d, (n, dropped, text) in zip(docs, kept_lines(docs, min_docs))]
+
+
 def suffix_dedup(docs, n=50):
     low = lambda i: -1 if i is None else i
     first = {}
@@ -126,7 +133,8 @@ def shingles(text):
     return {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
 
 
-def jaccard(docs):
+def jaccard_groups(docs):
+    """The shingle set and the group (a number) of each document."""
     sets = [shingles(t) for _, t, *_ in docs]
     up = list(range(len(docs)))
 
@@ -139,11 +147,25 @@ def jaccard(docs):
             i = len(sets[x] & sets[y])
             if sets[x] and sets[y] and 100 * i >= 75 * len(sets[x] | sets[y]):
                 up[root(x)] = root(y)
+    return sets, [root(x) for x in range(len(docs))]
+
+
+def jaccard(docs):
+    sets, group = jaccard_groups(docs)
     least = {}
     for x, d in enumerate(docs):
         if d[0] is not None:
-            least[root(x)] = min(least.get(root(x), d[0]), d[0])
-    return [(d[0], len(sets[x]), least.get(root(x)) if sets[x] else d[0]) for x, d in enumerate(docs)]
+            least[group[x]] = min(least.get(group[x], d[0]), d[0])
+    return [(d[0], len(sets[x]), least.get(group[x]) if sets[x] else d[0]) for x, d in enumerate(docs)]
+
+
+def distinct(docs):
+    """How many rows of each doc_id stay if each group keeps that of its least."""
+    sets, group = jaccard_groups(docs)
+    ids = [d[0] for x, d in enumerate(docs) if not sets[x]]
+    for g in {g for x, g in enumerate(group) if sets[x]}:
+        ids.append(min((docs[x][0] for x in range(len(docs)) if group[x] == g and docs[x][0] is not None), default=None))
+    return Counter(ids)
 
 
 def mix(docs, weights=(3, 1, 2)):
@@ -166,3 +188,50 @@ def mix(docs, weights=(3, 1, 2)):
             left -= target[s]
         open_ -= full
     return size, source, total, target
+
+
+def mix_copies(docs):
+    """How often the mix takes each document."""
+    size, source, total, target = mix(docs)
+    low = [int(hashlib.md5(f"{'-' if d[0] is None else d[0]}:{d[1] or ''}".encode()).hexdigest()[:15], 16) for d in docs]
+    copies = [0] * len(docs)
+    for s in total:
+        mine = [x for x in range(len(docs)) if source[x] == s]
+        passes = int(target[s] // total[s]) if total[s] else 0
+        rest, at, upto = target[s] - passes * total[s], 0, 0
+        for h in sorted({low[x] for x in mine}) if rest > 0 else []:
+            before, upto = upto, upto + sum(size[x] for x in mine if low[x] == h)
+            if upto >= rest:
+                at = h + 1 if upto - rest <= rest - before else h
+                break
+        for x in mine:
+            copies[x] = passes + (low[x] < at)
+    return copies
+
+
+def language(text, model):
+    """The language that a model gives a text, and whether it is ambiguous."""
+    letters = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    if not letters.strip() or not model.languages:
+        return "und", True
+    if len(model.languages) == 1:
+        return model.languages[0], False
+    run = f" {re.sub(' +', ' ', letters)} "
+    odd = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
+    whole, seen = (1 << 64) - 1, Counter()
+    for i in range(len(run)):
+        h = 0
+        for n, c in enumerate(run[i:i + 4]):
+            h = ((h ^ (h >> 29)) * odd[n] + ord(c) * odd[0]) & whole if n else ord(c) * odd[0] & whole
+            seen[((h ^ (h >> 32)) * odd[3] & whole) >> 51] += 1
+    bits = range(model.code.shape[1])
+    margin = [sum(n * model.weights[g, b] for g, n in seen.items()) / sum(seen.values()) for b in bits]
+    loss = [sum(model.trust[b] * math.log1p(math.exp(-8 * word[b] * margin[b])) for b in bits) / sum(model.trust) for word in model.code]
+    best = loss.index(min(loss))
+    near = False
+    for k in range(len(loss)):
+        own, back = model.gaps[best][k], model.gaps[k][best]
+        back = back if back > 0 else own
+        least = max(0.0, own / 3, own * 2 / 3 - back / 3)  # two thirds in the best, one in the other
+        near |= k != best and loss[k] - loss[best] <= least
+    return model.languages[best], near

@@ -226,6 +226,32 @@ def test_half_and_half_is_ambiguous(spark, langs):
     assert all(flags[2])
 
 
+def test_decoding_by_hand(spark):
+    """Every text is decoded as by plain sums, gram by gram."""
+    prepare(spark)
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").orderBy("doc_id").limit(120).select("doc_id", "text", "lang")
+    rows = [tuple(r) for r in docs.collect()] + [(i, t, lang) for i, t, lang, _ in D.texts() if i != 19]
+    rows += [(900 + i, rows[i][1][:300] + " " + rows[j][1][:300], None) for i, j in ((0, 7), (3, 11), (5, 40), (8, 90))]
+    table = spark.createDataFrame(rows, docs.schema)
+    model = langid.fit(table)
+    got = sorted(((r["text"], r["lang_pred"], r["ambiguous"]) for r in langid.identify(table, model).collect()), key=str)
+    assert got == sorted(((t, *D.language(t, model)) for _, t, _ in rows), key=str)
+    assert any(a and p != "und" for _, p, a in got)
+
+
+def test_more_languages_than_are_learnt(spark):
+    """The languages with the most texts are learnt, the others teach nothing."""
+    prepare(spark)
+    words = {"aa": "kolu miva", "bb": "stran grend", "cc": "oui eau", "dd": "xyx zyz", "ee": "hiho"}
+    rows = [(i, " ".join([w] * 5), k) for k, w in words.items() for i in range({"aa": 3, "bb": 4, "cc": 2, "dd": 2, "ee": 1}[k])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, most=3)
+    assert model.languages == ("aa", "bb", "cc")  # of equal numbers the first by name
+    out = langid.identify(docs, model).collect()
+    assert len(out) == len(rows) and {r["lang_pred"] for r in out} <= {"aa", "bb", "cc"}
+    assert all(r["lang"] == r["lang_pred"] for r in out if r["lang"] in model.languages)
+
+
 def test_one_language_or_none_is_told(spark):
     prepare(spark)
     docs = D.frame(spark)
@@ -329,5 +355,5 @@ def test_packing_of_a_table(spark):
 
 def test_queries_are_registered():
     from gazette.llm.queries import ORACLE, QUERIES
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
     assert F  # the queries are built in the entry tests
