@@ -80,21 +80,34 @@ def url_allowlist(spark, sf_dir):
                     U.allowed("url", ALLOWED_HOSTS, require_https=False, forbid_port=False).alias("allowed_host_only"))
 
 
-@query("container_rows", f"""WITH c0 AS (
-  SELECT page_id, url, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '(?s)<li>(.*?)</li>', 1) AS lis FROM pages),
-c1 AS (SELECT page_id, url, unnest(range(len(lis))) AS pos, lis FROM c0),
-c2 AS (SELECT page_id, url, pos, regexp_extract(lis[pos + 1], {S.lit(PLAIN_ANCHOR)}, 1) AS href,
+# Rows with two dates, rows whose first date is in a form that is matched but
+# not read, and pages without rows, of whose anchors some point into the listing.
+ROW_FORMS_SQL = """CASE
+  WHEN page_id % 5 = 2 THEN replace(replace(replace(html, '<li><a href="/t', '<li><a href="/koubo/t'), '<li>', '<p>'), '</li>', '</p>')
+  WHEN page_id % 4 = 1 THEN replace(html, '</a></li>', '</a> 2024/4/' || CAST(1 + page_id % 28 AS STRING) || ' - 2024-05-' || CAST(1 + page_id % 28 AS STRING) || '</li>')
+  WHEN page_id % 4 = 3 THEN replace(html, '</a></li>', '</a> 2024年4月2日 2024/06/30</li>')
+  ELSE html END"""
+_DAY = "CAST(1 + page_id % 28 AS BIGINT)"
+
+
+@query("container_rows", f"""WITH h AS (SELECT page_id, url, regexp_extract({ROW_FORMS_SQL}, '(?s)<nav>(.*?)</nav>', 1) AS nav, page_id % 5 = 2 AS plain FROM pages),
+c0 AS (
+  SELECT page_id, url, plain,
+         CASE WHEN plain THEN regexp_extract_all(nav, {S.lit(PLAIN_ANCHOR)}, 0) ELSE regexp_extract_all(nav, '(?s)<li>(.*?)</li>', 1) END AS lis FROM h),
+c1 AS (SELECT page_id, url, plain, unnest(range(len(lis))) AS pos, lis FROM c0),
+c2 AS (SELECT page_id, url, plain, pos, regexp_extract(lis[pos + 1], {S.lit(PLAIN_ANCHOR)}, 1) AS href,
               {S.node_text_stripped(f"regexp_extract(lis[pos + 1], {S.lit(PLAIN_ANCHOR)}, 2)")} AS title,
               regexp_matches(lis[pos + 1], {S.lit(PLAIN_ANCHOR)}) AS has_link FROM c1),
-c3 AS (SELECT page_id, pos, regexp_extract(url, {S.lit(S.ORIGIN_RE)}, 1) || href AS link, title
-       FROM c2 WHERE has_link AND href <> '' AND title <> '')
-SELECT link, arg_min({{'page_id': page_id, 'pos': pos, 'title': title}}, page_id * 1000000 + pos).page_id AS page_id,
-       arg_min({{'page_id': page_id, 'pos': pos, 'title': title}}, page_id * 1000000 + pos).pos AS pos,
-       arg_min({{'page_id': page_id, 'pos': pos, 'title': title}}, page_id * 1000000 + pos).title AS title,
-       NULL::DATE AS posted_date, NULL::DATE AS deadline
-FROM c3 GROUP BY link""")
+c3 AS (SELECT page_id, pos, regexp_extract(url, {S.lit(S.ORIGIN_RE)}, 1) || href AS link, title,
+              CASE WHEN NOT plain AND page_id % 4 = 1 THEN make_date(2024, 4, {_DAY}) END AS posted_date,
+              CASE WHEN NOT plain AND page_id % 4 = 1 THEN make_date(2024, 5, {_DAY})
+                   WHEN NOT plain AND page_id % 4 = 3 THEN DATE '2024-06-30' END AS deadline
+       FROM c2 WHERE has_link AND href <> '' AND title <> '' AND (NOT plain OR contains(href, '/koubo/') OR contains(href, '/research/'))),
+c4 AS (SELECT link, arg_min({{'page_id': page_id, 'pos': pos, 'title': title, 'posted_date': posted_date, 'deadline': deadline}},
+                            page_id * 1000000 + pos) AS f FROM c3 GROUP BY link)
+SELECT link, f.page_id AS page_id, f.pos AS pos, f.title AS title, f.posted_date AS posted_date, f.deadline AS deadline FROM c4""")
 def container_rows(spark, sf_dir):
-    pages = B.table(spark, sf_dir, "pages")
+    pages = B.table(spark, sf_dir, "pages").withColumn("html", F.expr(ROW_FORMS_SQL))
     ev = H.container_rows(pages, CONTAINERS).filter(F.col("kind").isNotNull())
     # anchor-only rows (fallback listing) must point into the listing area
     ev = ev.filter(H.fallback_anchor_filter())

@@ -131,6 +131,14 @@ def relabel_candidates(spark, sf_dir):
     return SC.relabel_candidates(B.orders_store(spark, sf_dir), B.AS_OF).select("id", "deadline", "tender_type")
 
 
+@query("relabel_limited", f"""WITH {T_CTE}, {CAND_SQL}
+SELECT id, deadline, tender_type FROM c ORDER BY id LIMIT {K.DEFAULT_MAX_RECORDS}""")
+def relabel_limited(spark, sf_dir):
+    """The candidates of lowest id, as many as a run takes."""
+    found = SC.relabel_candidates(B.orders_store(spark, sf_dir), B.AS_OF, limit=K.DEFAULT_MAX_RECORDS)
+    return found.select("id", "deadline", "tender_type")
+
+
 @query("relabel_outcomes", f"""WITH {T_CTE}, {CAND_SQL},
 s AS (SELECT length({S.sanitise("title", K.SCORER_TITLE_CHARS)}) AS lt,
              length({S.sanitise("description", K.SCORER_DESCRIPTION_CHARS)}) AS ld FROM c)
