@@ -3,9 +3,11 @@
 Three steps over every whole text:
 
 * *Generators* of high recall propose overlapping spans: anything like an e-mail
-  address, spelt-out ones (``name [at] host dot org``) included, and windows of
+  address, spelt-out ones (``name [at] host dot org``) included, and every window of
   neighbouring digit groups that could be an address of a host, a card or a
-  phone number, whatever stands between the groups.
+  phone number, however many groups it has and however wide the blanks, dots,
+  slashes, dashes and brackets between them are: up to 19 digits, the most that
+  any of these numbers has.
 * *Boosted trees* (``GBTClassifier``) judge each candidate by its format (groups,
   separators, check digit, top-level label) and by the characters and words
   around it.
@@ -35,6 +37,7 @@ empty. Keys and passwords are no personal data here.
 from __future__ import annotations
 
 import bisect
+import itertools
 import random
 import re
 import zlib
@@ -56,7 +59,8 @@ BESIDE = 0.3       # of them with another right beside
 TREES, DEPTH = 20, 4
 PRECISION = 0.99   # on held-out examples, a kind
 AROUND = 32        # characters of context on each side
-MAX_GROUPS = 6     # digit groups a candidate spans
+MOST_DIGITS = 19   # of a card, the longest of the numbers
+SCORED = 20_000    # candidates whose features are held at once
 RESULT = ("spans", "redacted")
 
 # ---- plain forms
@@ -135,30 +139,25 @@ def base_spans(text: str, parts: list[tuple[int, int]]) -> list[tuple[str, int,
 _AT = re.compile(r" ?[\[({<] ?(?:at|AT|@) ?[\])}>] ?| (?:at|AT) | ?[@＠] ?")
 _LOOSE_DOT = r"(?: ?[\[({<] ?(?:dot|DOT|\.) ?[\])}>] ?| (?:dot|DOT) |\.)"
 _LOOSE_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:" + _LOOSE_DOT + r"[A-Za-z0-9-]+)+")
-_SPELT = ("dot", "DOT", "[.", "(.", "{.", "<.")
 _SIX = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z:])")
 
 
 def candidates(text: str, parts: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
     """Everything that could be personal data, overlaps included."""
     out = set()
-    if "@" in text or "＠" in text or any(x in text for x in _SPELT):
-        for m in _AT.finditer(text):
-            start = local_start(text, m.start(), 0) if m.start() and text[m.start() - 1] in _LOCAL else m.start()
-            host = _LOOSE_DOMAIN.match(text, m.end())
-            if host and start < m.start():
-                out.add(("email", start, host.end()))
+    for m in _AT.finditer(text):
+        host = _LOOSE_DOMAIN.match(text, m.end()) if m.start() and text[m.start() - 1] in _LOCAL else None
+        if host:
+            out.add(("email", local_start(text, m.start(), 0), host.end()))
     if text.count(":") > 1:
-        out.update(("ip", *m.span()) for m in _SIX.finditer(text) if m.end() - m.start() > 3)
+        out.update(("ip", *m.span()) for m in _SIX.finditer(text) if m.group().strip(":"))
     for s, e in parts:
         groups = [m.span() for m in _NUMBER.finditer(text, s, e)]
         for i, (a, _) in enumerate(groups):
             n = 0
-            for j in range(i, min(len(groups), i + MAX_GROUPS)):
-                if j > i and groups[j][0] - groups[j - 1][1] > 3:
-                    break
+            for j in range(i, len(groups)):
                 b, n = groups[j][1], n + groups[j][1] - groups[j][0]
-                if n > 19:
+                if n > MOST_DIGITS:
                     break
                 first = a - 1 if a and text[a - 1] in "+(" else a
                 if first and first < a and text[first - 1] == "+":
@@ -229,8 +228,12 @@ def name(r: random.Random) -> str:
     return "".join(r.choice("abcdefghilmnoprstu") for _ in range(r.randrange(3, 9)))
 
 
+def spelt(number: str, size: int, mark: str) -> str:
+    return mark.join(number[i:i + size] for i in range(0, len(number), size))
+
+
 def fours(number: str, mark: str) -> str:
-    return mark.join(number[i:i + 4] for i in range(0, len(number), 4))
+    return spelt(number, 4, mark)
 
 
 def genuine(r: random.Random) -> tuple[str, str]:
@@ -245,9 +248,10 @@ def genuine(r: random.Random) -> tuple[str, str]:
         if r.random() < 0.3:
             groups = ["%x" % r.randrange(1, 65536) for _ in range(8)]
             return kind, ":".join(groups) if r.random() < 0.5 else ":".join(groups[:r.randrange(1, 4)]) + "::" + ":".join(groups[5:])
-        return kind, r.choice((".", ".", "[.]", " . ")).join(str(r.randrange(1, 256)) for _ in range(4))
+        return kind, r.choice((".", ".", "[.]", " . ", " [.] ")).join(str(r.randrange(1, 256)) for _ in range(4))
     if kind == "card":
-        return kind, fours(checked(r), r.choice(("", " ", "-", ".", "/", "  ", "_")))
+        mark, number = r.choice(("", " ", "-", ".", "/", "  ", "_")), checked(r)
+        return kind, fours(number, mark) if r.random() < 0.85 else spelt(number, r.choice((1, 2)), r.choice((" ", "-", ".")))
     a, b, c, z = numbers(r, 3), numbers(r, 3), numbers(r, 4), r.choice("1234567")
     return kind, r.choice((f"+{z} ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{z}{r.randrange(10)} {a} {b} {c}",
                            f"0{a}/{b}{c}", f"0{z} " + " ".join(numbers(r, 2) for _ in range(4)), f"+{z}{r.randrange(10)} {a} {b}{c}", f"{z}-{a}-{b}-{c}"))
@@ -265,7 +269,8 @@ def decoy(r: random.Random) -> str:
         ".".join(str(r.randrange(1, 12)) for _ in range(5)), ".".join(str(r.randrange(256, 1000)) for _ in range(4)),
         f"{numbers(r, 1)} {numbers(r, 3)} {numbers(r, 3)}", f"{numbers(r, 2)}.{numbers(r, 3)}.{numbers(r, 3)},{numbers(r, 2)}",
         wrong, fours(wrong, r.choice(" -.")), numbers(r, r.randrange(7, 12)), numbers(r, r.randrange(12, 20)), numbers(r, 25),
-        " ".join(numbers(r, 1) for _ in range(14)), " ".join(numbers(r, 2) for _ in range(9)),
+        " ".join(numbers(r, 1) for _ in range(14)), " ".join(numbers(r, 2) for _ in range(9)), spelt(wrong, r.choice((1, 2)), r.choice(" -.")),
+        (" " * r.randrange(4, 12)).join(numbers(r, r.randrange(1, 5)) for _ in range(r.randrange(3, 9))),
         f"{name(r)} at {name(r)}.{name(r)}", f"{name(r)} at {name(r)} dot {name(r)}", f"look at the {name(r)} dot", f"{numbers(r, 1)}:{numbers(r, 2)}:{numbers(r, 2)}:{numbers(r, 1)}",
         f"{numbers(r, 3)}/{numbers(r, 4)}/{numbers(r, 3)}", f"{numbers(r, 4)}-{numbers(r, 7)}"))
 
@@ -421,6 +426,14 @@ def redacted(text: str, spans: list) -> str:
     return "".join(out) + text[at:]
 
 
+def scored(model: Model, found: Iterator[tuple[str, tuple]]) -> np.ndarray:
+    """The scores of (text, candidate), ``SCORED`` at a time."""
+    out = [np.zeros(0)]
+    while x := [features(t, *c) for t, c in itertools.islice(found, SCORED)]:
+        out.append(model.scores(np.array(x, float)))
+    return np.concatenate(out)
+
+
 def find(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with spans (kind, start, end in code points, score, base) by
     start, and the redacted text (null for null)."""
@@ -434,8 +447,7 @@ def find(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             known = [t.as_py() for t in texts]
             parts = [islands(t or "") for t in known]
             found = [candidates(t or "", p) for t, p in zip(known, parts)]
-            x = [features(t, *c) for t, cs in zip(known, found) for c in cs]
-            score = m.scores(np.array(x, float)) if x else np.zeros(0)
+            score = scored(m, ((t, c) for t, cs in zip(known, found) for c in cs))
             at, spans, texts_out = 0, [], []
             for t, p, cs in zip(known, parts, found):
                 mine = selected(t or "", base_spans(t or "", p), cs, score[at:at + len(cs)], m.least)

@@ -150,3 +150,28 @@ def test_scores_equal_the_fitted_trees(spark):
     fitted = GBTClassifier(maxIter=5, maxDepth=pii.DEPTH, stepSize=0.3, seed=7).fit(df)
     p = [r[0] for r in fitted.transform(df).select(F.get(vector_to_array("probability"), F.lit(1))).collect()]
     assert np.allclose(pii.read_trees(fitted, np.zeros(4)).scores(np.array(x)), p)
+
+
+def test_numbers_of_many_groups_are_proposed():
+    """Neither the groups of a number, nor how far they stand apart, nor what
+    else a text holds decides whether it is looked at."""
+    card = "4111111111111111"
+    for text, kind in ((" ".join(card), "card"), ("-".join(card[i:i + 2] for i in range(0, 16, 2)), "card"), (" ".join("15553201987"), "phone"),
+                       ("4111    1111    1111    1111", "card"), ("10 [.] 20 [.] 30 [.] 40", "ip"), ("::1", "ip"),
+                       ("jane [at] example.org", "email"), ("jane(at)example.org", "email")):
+        assert (kind, 0, len(text)) in pii.candidates(text, pii.islands(text)), text
+        assert (kind, 2, 2 + len(text)) in pii.candidates(f"x {text} y", pii.islands(f"x {text} y")), text
+
+
+def test_cards_in_small_groups_are_caught(spark, model):
+    texts = ["pay with card 41-11-11-11-11-11-11-11 today", "card 4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 is", "mail jane [at] example.org now"]
+    got = found(spark, model, texts)
+    assert [[(k, t) for k, t, _ in g] for g in got] == [[("card", "41-11-11-11-11-11-11-11")], [("card", " ".join("4" + "1" * 15))], [("email", "jane [at] example.org")]]
+
+
+def test_scores_do_not_depend_on_how_many_are_held(spark, model, monkeypatch):
+    import numpy as np
+    every = [(t, c) for t in ODD for c in pii.candidates(t, pii.islands(t))]
+    whole = pii.scored(model, iter(every))
+    monkeypatch.setattr(pii, "SCORED", 3)
+    assert len(every) > 20 and np.array_equal(pii.scored(model, iter(every)), whole) and len(pii.scored(model, iter([]))) == 0
