@@ -23,7 +23,7 @@ from ..functions.dates import ts_lit
 
 from .. import constants as K
 from ..functions.text import unicode_strip
-from ..operators.partitioning import spread_scan
+from ..operators.partitioning import spread_rows, spread_scan
 from ..operators.taxonomy import Taxonomy
 
 AS_OF = _dt.date(1998, 6, 1)
@@ -79,8 +79,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A plain scan dealt out to the cores, ahead of rendering and parsing."""
-    return spread_scan(df)
+    """A plain scan dealt out to tasks of bounded size, ahead of rendering and
+    parsing."""
+    return spread_rows(df)
 
 
 # --------------------------------------------------------------------------

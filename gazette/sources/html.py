@@ -367,7 +367,8 @@ def definition_fields(pairs: DataFrame, key, first_label: str = K.POSTED_LABEL,
     (dt text compared after a Unicode strip). Pages without pairs give NULLs."""
     keys = [key] if isinstance(key, str) else list(key)
     dt = TX.unicode_strip(F.col("dt"))
-    p = pairs.withColumn("_dt", dt)
+    # other pairs are not sorted; the marker row (without a position) keeps a page
+    p = pairs.withColumn("_dt", dt).where(F.col("pos").isNull() | F.col("_dt").isin(first_label, last_label))
     first = F.min_by(F.when(F.col("_dt") == first_label, F.struct("dd")),
                      F.when(F.col("_dt") == first_label, F.col("pos")))
     last = F.max_by(F.when(F.col("_dt") == last_label, F.struct("dd")),
