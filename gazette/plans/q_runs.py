@@ -59,10 +59,10 @@ def source_reject_rows(spark, sf_dir):
     docs = o.select(F.col("o_orderkey").alias("id"), F.expr(_FEED_LOST.format(feed_xml_sql("spark"))).alias("xml"),
                     F.expr(_BODY_LOST.format(json_body_sql())).alias("body"))
     pages = B.table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    # each source is parsed once
+    # each source is parsed once; kept is what tells the rejects
     ensure_checkpoint_dir(spark)
     fields = H.definition_fields(H.definition_pairs(pages.filter("page_id % 4 <> 0"), keep=("url", "page_id")), ["url", "page_id"]).checkpoint(eager=True)
-    feeds, bodies = FD.feed_parse(docs).checkpoint(eager=True), FD.json_parse(docs).checkpoint(eager=True)
+    feeds, bodies = FD.feed_parse(docs).select("id", "n_items", "error", "pos", "read", "title", "link").checkpoint(eager=True), FD.json_parse(docs).checkpoint(eager=True)
     return RJ.union([
         RJ.of_documents(FD.status_of(feeds), "mext", "id"),
         RJ.of_items(FD.feed_item_errors(FD.entries_of(feeds), FEED_HOSTS), "mext", "id"),

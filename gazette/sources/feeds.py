@@ -9,6 +9,8 @@ truthiness of ids and titles are expressed in columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import dates as D
@@ -82,10 +84,12 @@ def feed_parse(df: DataFrame, xml: str = "xml", keep=("id",)) -> DataFrame:
     resolved before."""
 
     def cut(doc: Column) -> Column:
-        items = F.regexp_extract_all(F.coalesce(doc, F.lit("")), F.lit(ITEM_RE), F.lit(0))
+        return D.let(F.regexp_extract_all(F.coalesce(doc, F.lit("")), F.lit(ITEM_RE), F.lit(0)), lambda items: judged(doc, items))
+
+    def judged(doc: Column, items: Column) -> Column:
         broken = F.regexp_replace(doc, ITEM_RE, "").rlike(OPEN_ITEM_RE)
         bad = F.coalesce(F.trim(doc), F.lit("")) == ""
-        error = F.when(bad, F.lit("empty document")).when(~doc.rlike(ITEM_RE) & ~doc.rlike(FEED_RE), F.lit("not a feed")).when(broken, F.lit("item without end"))
+        error = F.when(bad, F.lit("empty document")).when((F.size(items) == 0) & ~doc.rlike(FEED_RE), F.lit("not a feed")).when(broken, F.lit("item without end"))
         return F.struct(error.alias("error"), items.alias("items"))
 
     e = df.select(*keep, D.let(plain_feed(F.col(xml)), cut).alias("_d"))
@@ -140,17 +144,21 @@ def _feed_title_url() -> tuple:
 def feed_item_errors(entries: DataFrame, allowed_hosts, keep=("id",)) -> DataFrame:
     """The entries that ``feed_items`` leaves out: keep…, pos, error."""
     title, url = _feed_title_url()
-    e = entries.select(*keep, "pos", "read", title.alias("title"), url.alias("url"))
-    return _left_out(e, keep, [("malformed item", ~F.col("read")), ("title", F.col("title") == ""), ("url", F.col("url") == "")], allowed_hosts,
-                     (F.col("title") != "") & (F.col("url") != ""))
+    return _left_out(entries, keep, F.struct(F.col("read").alias("read"), title.alias("title"), url.alias("url")), allowed_hosts,
+                     lambda x: (x["title"] != "") & (x["url"] != ""),
+                     lambda x: [("malformed item", ~x["read"]), ("title", x["title"] == ""), ("url", x["url"] == "")])
 
 
-def _left_out(items: DataFrame, keep, rules: list, allowed_hosts, wanted: Column) -> DataFrame:
+def _left_out(items: DataFrame, keep, parts: Column, allowed_hosts, wanted: Callable, rules: Callable) -> DataFrame:
     """Items that aren't ``wanted`` or have no allowed url, with the first rule
-    (name, condition) that holds."""
-    error = F.coalesce(*[F.when(cond, F.lit(name)) for name, cond in rules], F.lit("url not allowed"))
-    used = F.coalesce(wanted & U.allowed(F.col("url"), allowed_hosts), F.lit(False))
-    return items.where(~used).select(*keep, "pos", error.alias("error"))
+    (name, condition) that holds. The rules see the ``parts`` of an item (url
+    among them), each computed once: a filter on them would repeat them."""
+
+    def error(x: Column) -> Column:
+        said = F.coalesce(*[F.when(cond, F.lit(name)) for name, cond in rules(x)], F.lit("url not allowed"))
+        return F.when(~F.coalesce(wanted(x) & U.allowed(x["url"], allowed_hosts), F.lit(False)), said)
+
+    return items.select(*keep, "pos", D.let(parts, error).alias("error")).where(F.col("error").isNotNull())
 
 
 # --------------------------------------------------------------------------
@@ -163,23 +171,34 @@ def _vget(v: Column, path: str, typ: str) -> Column:
     return F.call_function("try_variant_get", v, F.lit(path), F.lit(typ))
 
 
+def _variant_columns(x: Column) -> dict:
+    return {"_t": F.schema_of_variant(x), "_s": _vget(x, "$", "string"), "_n": _vget(x, "$", "double"),
+            "_len": F.when(F.schema_of_variant(x).startswith("ARRAY"), F.size(_vget(x, "$", "array<variant>")))}
+
+
 def variant_parts(df: DataFrame, col: str, prefix: str) -> DataFrame:
     """Add ``<prefix>_t`` (JSON type), ``_s`` (as text) and ``_n`` (as number)
     of a VARIANT column: each is computed once and read by later checks."""
-    x = F.col(col)
-    return (df.withColumn(prefix + "_t", F.schema_of_variant(x))
-              .withColumn(prefix + "_s", _vget(x, "$", "string"))
-              .withColumn(prefix + "_n", _vget(x, "$", "double"))
-              .withColumn(prefix + "_len", F.when(F.schema_of_variant(x).startswith("ARRAY"),
-                                                  F.size(_vget(x, "$", "array<variant>")))))
+    for name, part in _variant_columns(F.col(col)).items():
+        df = df.withColumn(prefix + name, part)
+    return df
+
+
+def variant_text(v: Column) -> Column:
+    """:func:`truthy_text` of a VARIANT, its parts computed once."""
+    parts = F.struct(*[part.alias(name) for name, part in _variant_columns(v).items()])
+    return D.let(parts, lambda p: _truthy(p["_t"], p["_s"], p["_n"], p["_len"]))
 
 
 def truthy_text(prefix: str) -> Column:
     """``str(value or '').strip()`` of a JSON value from its parts, NULL when ''."""
-    t, s, num = F.col(prefix + "_t"), F.col(prefix + "_s"), F.col(prefix + "_n")
+    return _truthy(*(F.col(prefix + p) for p in ("_t", "_s", "_n", "_len")))
+
+
+def _truthy(t: Column, s: Column, num: Column, size: Column) -> Column:
     falsy = (t.isNull() | (t == "VOID") | ((t == "BOOLEAN") & (s == "false"))
              | ((t != "STRING") & (t != "BOOLEAN") & (num == 0))
-             | F.coalesce(F.col(prefix + "_len") == 0, F.lit(False)))
+             | F.coalesce(size == 0, F.lit(False)))
     txt = TX.unicode_strip(F.when(t == "BOOLEAN", F.initcap(s)).otherwise(s))
     return F.when(~falsy & (F.length(txt) > 0), txt)
 
@@ -252,8 +271,8 @@ def _json_fields(entries: DataFrame, keep, fields: dict) -> DataFrame:
 def json_item_errors(entries: DataFrame, url_prefix: str, allowed_hosts, keep=("id",), id_field: str = "id",
                      title_field: str = "title") -> DataFrame:
     """The items that ``json_items`` leaves out: keep…, pos, error."""
-    e = _json_fields(entries, keep, {"_id": id_field, "_ti": title_field})
-    e = e.select(*keep, "pos", truthy_text("_id").alias("external_id"), truthy_text("_ti").alias("title"))
-    e = e.withColumn("url", F.concat(F.lit(url_prefix), F.col("external_id")))
-    return _left_out(e, keep, [("id", F.col("external_id").isNull()), ("title", F.col("title").isNull())], allowed_hosts,
-                     F.col("external_id").isNotNull() & F.col("title").isNotNull())
+    ident, title = (variant_text(_vget(F.col("item"), f"$.{f}", "variant")) for f in (id_field, title_field))
+    parts = D.let(F.struct(ident.alias("id"), title.alias("title")),
+                  lambda x: F.struct(x["id"].alias("id"), x["title"].alias("title"), F.concat(F.lit(url_prefix), x["id"]).alias("url")))
+    return _left_out(entries, keep, parts, allowed_hosts, lambda x: x["id"].isNotNull() & x["title"].isNotNull(),
+                     lambda x: [("id", x["id"].isNull()), ("title", x["title"].isNull())])

@@ -328,3 +328,27 @@ def test_feed_with_a_long_body_of_markup(spark):
     long_ = "<p>x & y</p>" * 60_000
     rows, _ = feed_rows(spark, f"<rss><channel><item><title>L</title><link>https://h.example/1</link><description><![CDATA[{long_}]]></description></item></channel></rss>")
     assert rows[0][3] == long_
+
+
+def test_left_out_items_are_judged_once(spark):
+    """Title and link of an item are stripped once for the filter and once for
+    the rows that stay, however many rules read them."""
+    from gazette.sources import feeds as FD
+    bodies = [(1, '{"result": [{"id": "a", "title": "T"}, {"id": "", "title": "x"}, {"id": 0, "title": "x"}, {"id": [], "title": "x"}, {"id": "b c", "title": "x"}, {"id": "b", "title": " "}, {"title": false, "id": true}, 5]}'), (2, None)]
+    items = FD.json_entries(spark.createDataFrame(bodies, "id long, body string"))
+    got = FD.json_item_errors(items, "https://g.example/", ["g.example"])
+    assert [(r["pos"], r["error"]) for r in got.orderBy("pos").collect()] == [(1, "id"), (2, "id"), (3, "id"), (4, "url not allowed"), (5, "title"), (6, "title"), (7, "id")]
+    entries = spark.createDataFrame([(1, i, i != 3, t, u) for i, (t, u) in enumerate([("T", "https://f.example/1"), (" ", "https://f.example/1"), ("T", None), (None, None), ("T", "http://f.example/1")])],
+                                    "id long, pos int, read boolean, title string, link string")
+    got = FD.feed_item_errors(entries, ["f.example"])
+    assert [(r["pos"], r["error"]) for r in got.orderBy("pos").collect()] == [(1, "title"), (2, "url"), (3, "malformed item"), (4, "url not allowed")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 6
+    assert FD.json_item_errors(items, "https://g.example/", ["g.example"])._jdf.queryExecution().optimizedPlan().toString().count("schema_of_variant") <= 20
+
+
+def test_pairs_of_other_labels_are_not_grouped(spark):
+    pairs = spark.createDataFrame([(1, True, None, None, None), (1, True, 0, " 公告日 ", "a"), (1, True, 1, "x", "b"), (1, True, 2, "期限", "c"), (2, True, None, None, None), (2, True, 0, "x", "d"), (3, False, None, None, None)],
+                                  "id long, ok boolean, pos int, dt string, dd string")
+    f = H.definition_fields(pairs, "id")
+    assert {tuple(r) for r in f.collect()} == {(1, True, "a", "c"), (2, True, None, None), (3, False, None, None)}
+    assert "Filter" in f._jdf.queryExecution().optimizedPlan().toString()
