@@ -58,11 +58,12 @@ def active_board(store: DataFrame, as_of: _dt.date, categories: list, labels: di
     return ranked(act, active_order(), ["deadline", "score"], "board_rank").select(*act.columns, "board_rank")
 
 
-def ranked(rows: DataFrame, order: list, keys: list, out: str) -> DataFrame:
+def ranked(rows: DataFrame, order: list, keys: list, out: str, how: str | None = None) -> DataFrame:
     """``rows`` with their place in an order of ``keys`` and id. Only these
-    columns are sorted and checkpointed; the place then meets its row by id."""
+    columns are sorted and checkpointed; the place then meets its row by id
+    (``how``: a join hint)."""
     places = global_rank(rows.select("id", *keys), order, out=out).select("id", out)
-    return rows.join(places, "id")
+    return rows.join(places.hint(how) if how else places, "id")
 
 
 def tab_rows(board: DataFrame, categories: list) -> DataFrame:
@@ -95,7 +96,8 @@ def archive(store: DataFrame, run_ts: _dt.datetime) -> DataFrame:
                        D.score_band("score").alias("band"),
                        html_escape("title").alias("title_html"),
                        D.run_stamp(ts_lit(run_ts)).alias("generated_at"))
-    return ranked(rows, archive_order(), ["posted_date"], "archive_rank").select(*rows.columns, "archive_rank")
+    # the whole store: its wide rows aren't sorted for the join
+    return ranked(rows, archive_order(), ["posted_date"], "archive_rank", "shuffle_hash").select(*rows.columns, "archive_rank")
 
 
 def month_counts(store: DataFrame) -> DataFrame:

@@ -37,7 +37,9 @@ FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
 SCORE_FIELD = "energy_system_score"
 
 
-ROWS_A_TASK = 500   # rows that one task asks for
+ROWS_A_TASK = 500   # rows that one task asks for, while there are few tasks a core
+TASKS_A_CORE = 8    # beyond these a task asks for more rows ...
+MOST_ROWS = 20_000  # ... up to so many
 ROWS_A_NOTE = 50    # rows whose answers are noted together
 
 
@@ -46,7 +48,7 @@ def score_rows(df: DataFrame, scorer_factory: Callable, key: str = "id",
                ledger: str | None = None) -> DataFrame:
     """``(key, raw, scorer_error)`` for every row of ``df`` (J1), asked in
     ``partitions`` tasks (by default one for ``ROWS_A_TASK`` rows, for which
-    ``df`` is counted).
+    ``df`` is counted; of very many rows ``tasks_for`` tasks).
 
     Only the key and the sanitised, bounded scorer inputs (title <= 300,
     description <= 800 code points, the prompt) travel to Python; callers
@@ -61,7 +63,7 @@ def score_rows(df: DataFrame, scorer_factory: Callable, key: str = "id",
         sanitise(title, K.SCORER_TITLE_CHARS).alias("_title"),
         sanitise(description, K.SCORER_DESCRIPTION_CHARS).alias("_description"),
     )
-    n = partitions or max(1, -(-df.count() // ROWS_A_TASK))
+    n = partitions or tasks_for(df.count(), df.sparkSession.sparkContext.defaultParallelism)
     inputs = safe.select("*", prompt_from_safe("_title", "_description").alias("_prompt")).repartition(n, "_key")
     schema = T.StructType([T.StructField(key, df.schema[key].dataType)] + SCORED.fields)
 
@@ -81,6 +83,13 @@ def score_rows(df: DataFrame, scorer_factory: Callable, key: str = "id",
     return inputs.mapInPandas(run, schema)
 
 
+def tasks_for(rows: int, cores: int) -> int:
+    """A task for ``ROWS_A_TASK`` rows. More than ``TASKS_A_CORE`` a core gain
+    nothing, since a task that is tried again has its answers noted; tasks then
+    grow, to ``MOST_ROWS`` rows at most."""
+    return max(1, min(-(-rows // ROWS_A_TASK), max(TASKS_A_CORE * cores, -(-rows // MOST_ROWS))))
+
+
 class Notes:
     """What the scorer has answered to the rows of one task, kept in files of a
     shared folder (a file for ``ROWS_A_NOTE`` rows; it appears whole or not at all)."""

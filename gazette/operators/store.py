@@ -261,7 +261,8 @@ class Snapshot:
         n = self.buckets
         version = first if self.version is None else self.version + 1
         draft = os.path.join(self.root, "_drafts", uuid.uuid4().hex)
-        rows = new.withColumn("bucket", bucket_of("url", n)).repartition("bucket")
+        # a bucket of more rows than a task should write is written by several
+        rows = new.withColumn("bucket", bucket_of("url", n)).hint("rebalance", "bucket")
         rows.write.partitionBy("bucket").parquet(draft)
         fs, p = _fs(self.spark, draft)
         names = [st.getPath().getName() for st in fs.listStatus(p)]

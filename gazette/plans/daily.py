@@ -134,7 +134,7 @@ def scored_once(rows: DataFrame, scorer_factory) -> DataFrame:
     however often the answers are read."""
     ensure_checkpoint_dir(rows.sparkSession)
     asked = SC.score_rows(rows, scorer_factory, key="id", ledger=new_ledger(rows.sparkSession))
-    return SC.validate_answers(asked.checkpoint(eager=True))
+    return SC.validate_answers(asked).checkpoint(eager=True)
 
 
 def new_ledger(spark) -> str:

@@ -135,3 +135,17 @@ def test_a_task_that_is_tried_again_asks_nobody_twice(spark, tmpdir_path, monkey
     got = {r["id"]: (r["raw"], r["scorer_error"]) for r in asked.collect()}
     assert len(os.listdir(calls)) == 200 == len({f.split("-")[0] for f in os.listdir(calls)})
     assert got == {r["id"]: (r["raw"], r["scorer_error"]) for r in SC.score_rows(rows, SC.rule_scorer_factory).collect()}
+
+
+def test_very_many_rows_get_larger_tasks():
+    """One task for 500 rows; of very many rows no task of its own for each 500."""
+    assert [SC.tasks_for(n, 12) for n in (0, 1, 500, 501, 48_000)] == [1, 1, 1, 2, 96]
+    assert SC.tasks_for(1_000_000, 12) == 96 and SC.tasks_for(11_000_000, 12) == 550
+
+
+def test_answers_are_validated_once(spark):
+    from gazette.plans.daily import scored_once
+    rows = spark.range(1, 30).select("id", F.lit("title").alias("title"), F.lit("text").alias("description"))
+    answers = scored_once(rows, SC.rule_scorer_factory)
+    assert answers.count() == 29
+    assert "parse_json" not in answers._jdf.queryExecution().optimizedPlan().toString()
